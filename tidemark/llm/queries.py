@@ -5,23 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, bpe, packing, warc
+from tidemark.llm import bitsliced, bpe, katz, langid, line_dedup, packing, simhash, toxicity, vec_dedup, warc
 from tidemark.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scored(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vec_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -31,7 +57,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op6_byte_bpe, op9_exact_top_k, op10_warc)}
+    import corpus_pipeline
+
+    own = (op1_line_dedup, op2_best_fit_packing, op3_katz_backoff, op4_language_id, op5_embedding_near_dedup, op6_byte_bpe, op7_simhash_near_dedup, op8_toxicity, op9_exact_top_k, op10_warc)
+    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 OP9_SQL = """
@@ -57,5 +86,37 @@ FROM g
 """
 
 
+OP1_SQL = r"""
+WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+w AS (SELECT doc_id, n, line, string_split(trim(regexp_replace(lower(line), '[\t\x0b-\r ]+', ' ', 'g'), ' '), ' ') AS w FROM l),
+s AS (SELECT doc_id, n, CASE WHEN w = [''] THEN NULL ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM w),
+sets AS (SELECT s, min((doc_id, n)) AS first, count(*) AS copies, row_number() OVER (ORDER BY min((doc_id, n))) AS id FROM s WHERE s IS NOT NULL GROUP BY s),
+t AS (SELECT id, len(s) AS size, unnest(s) AS token FROM sets),
+pairs AS (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.token = b.token AND a.id <> b.id
+          GROUP BY a.id, b.id, a.size, b.size HAVING count(*) * 9 >= (a.size + b.size) * 4),
+near AS (SELECT x.id, min(o.first) AS other, sum(o.copies) AS others FROM pairs p JOIN sets x ON x.id = p.a JOIN sets o ON o.id = p.b GROUP BY x.id),
+known AS (SELECT sets.s, copies - 1 + coalesce(others, 0) AS links, least(first, coalesce(other, first)) AS earliest FROM sets LEFT JOIN near ON near.id = sets.id),
+judged AS (SELECT w.doc_id, w.n, l.line, coalesce(k.links, 0) AS links, k.earliest IS NOT NULL AND (w.doc_id, w.n) > k.earliest AS gone
+           FROM s w JOIN l ON l.doc_id = w.doc_id AND l.n = w.n LEFT JOIN known k ON k.s = w.s),
+texts AS (SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed, sum(links)::BIGINT AS n_links,
+                 coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_links, 0) AS n_links,
+       CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(t.text, '')) END AS text_sha256
+FROM documents d LEFT JOIN texts t USING (doc_id)
+"""
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+         AND list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_top_k": OP9_SQL, "op10_warc": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op5_embedding_near_dedup": OP5_SQL, "op9_exact_top_k": OP9_SQL, "op10_warc": OP10_SQL}
