@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,16 +20,20 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-#: Words whose ids a worker remembers at most; the memory holds a bounded number of short words, never results.
-REMEMBERED, SHORT = 200_000, 64
+#: Words after which a worker starts to forget those it met longest ago, and characters of the longest word that it remembers.
+REMEMBERED, SHORT = 400_000, 64
+#: A word without white space but for a blank before it.
+PLAIN = re.compile(r" ?\S+").fullmatch
+#: White space that stands first, last or beside other white space; the parts of a text without any.
+UNEVEN, PARTS = re.compile(r"\s\s|\A\s|\s\Z").search, re.compile(r" ?[^ \n]+|\n").findall
 
 
 class Words:
     """Ids of texts by the tokenizers library, word by word, with the ids of words already met.
 
-    A text is cut before each single blank between characters that are no white space. The tokenizer's
-    own pattern ends a match there whatever stands around, so the ids of the parts, joined, are the ids
-    of the text.
+    A text is cut before each single blank, and on both sides of each single line end, between characters
+    that are no white space. The tokenizer's own pattern ends a match there whatever stands around, so the
+    ids of the parts, joined, are the ids of the text.
     """
 
     def __init__(self, path: str):
@@ -37,15 +42,15 @@ class Words:
 
         self.own = Tokenizer.from_file(path)
         self.own.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.line_end = np.array(self.own.encode("\n", add_special_tokens=False).ids, "<u4")
+        self.known: dict[str, bytes] = {"\n": self.line_end.tobytes()}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def parts(text: str) -> list[str]:
+        if not UNEVEN(text):
+            return PARTS(text)
         words = text.split(" ")
-        if len(words) == 1:
-            return words
-        if "" not in words and not any(w[0].isspace() or w[-1].isspace() for w in words):
-            return [words[0], *[" " + w for w in words[1:]]]
         out = [words[0]]
         for before, w in zip(words, words[1:], strict=False):
             if before and w and not before[-1].isspace() and not w[0].isspace():
@@ -54,24 +59,43 @@ class Words:
                 out[-1] += " " + w
         return out
 
+    def fresh(self, words: list[str]) -> list[bytes]:
+        """The ids of each word; words without white space inside share a call, with line ends between them."""
+        plain = [w for w in words if PLAIN(w)]
+        other = list(set(words).difference(plain)) if len(plain) < len(words) else []
+        found = {}
+        if len(self.line_end) == 1:
+            groups = [plain[i : i + 128] for i in range(0, len(plain), 128)]
+            for group, done in zip(groups, self.own.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(done.ids, "<u4")
+                ends = [*(4 * np.flatnonzero(ids == self.line_end[0])).tolist(), 4 * len(ids)]
+                data, start = ids.tobytes(), 0
+                for w, stop in zip(group, ends, strict=True):
+                    found[w] = data[start:stop]
+                    start = stop + 4
+        else:
+            other += plain
+        for w, done in zip(other, self.own.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            found[w] = np.array(done.ids, "<u4").tobytes()
+        return [found[w] for w in words]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.parts(x) for x in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, fresh = self.known, {}
-        missing = list({p for parts in cut for p in parts if p not in known})
-        for a in range(0, len(missing), 4096):
-            some = missing[a : a + 4096]
-            for word, done in zip(some, self.own.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = np.array(done.ids, "<u4").tobytes()
-                if len(word) <= SHORT and len(known) <= REMEMBERED:
-                    known[word] = ids
-                else:
-                    fresh[word] = ids
-        if not fresh:
-            return [b"".join([known[p] for p in parts]) for parts in cut]
-        return [b"".join([known[p] if p in known else fresh[p] for p in parts]) for parts in cut]
+            self.known, self.older = {"\n": self.line_end.tobytes()}, self.known
+        known, older = self.known, self.older
+        missing = set().union(*cut).difference(known)
+        again = missing & older.keys()
+        known.update((w, older[w]) for w in again)
+        once, new = {}, list(missing - again)
+        for a in range(0, len(new), 8192):
+            some = new[a : a + 8192]
+            for w, ids in zip(some, self.fresh(some), strict=True):
+                (known if len(w) <= SHORT else once)[w] = ids
+        if not once:
+            return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        return [b"".join([known[p] if p in known else once[p] for p in parts]) for parts in cut]
 
 
 @functools.lru_cache(maxsize=2)
