@@ -15,6 +15,7 @@ counts. If nothing can be learned the score is the share of toxic labels. Ties d
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ from tidemark.llm.common import slices
 TOXIC, CLEAN, LONGEST = 1500, 3000, 50_000
 #: Landmarks and training words of either kind, at most.
 LANDMARKS, POSITIVE, NEGATIVE = 64, 200, 1500
+#: Words of other documents among which those to train against are looked for, the most frequent first.
+CONSIDERED = 30_000
 #: Discount of a skipped character, and the steps between the three characters.
 DISCOUNT = 0.6
 STEPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))
@@ -201,12 +204,13 @@ def train(toxic: list[str], clean: list[str], counts: tuple[int, int]) -> Model:
     near = lambda words: np.max([inner(words, row) for row in base], axis=0)
     only = sorted(w for w in bad if w not in good and w not in mined and 4 <= len(w) <= WINDOW)
     variants = [w for w, k in zip(only, near(only), strict=True) if k >= 0.7][: POSITIVE - len(mined)] if only else []
-    rest = sorted(w for w in good if w not in strong)
+    rest = sorted((w for w in good if w not in strong), key=lambda w: (-good[w], zlib.crc32(w.encode())))[:CONSIDERED]
     close = near(rest) if rest else np.zeros(0)
-    order = [i for i in np.argsort(-close, kind="stable") if close[i] < 0.7]
+    # a rare word that is very close may be an insult in a text that is labelled wrong
+    order = [i for i in np.argsort(-close, kind="stable") if close[i] < 0.7 or good[rest[i]] >= 3]
     spread = order[NEGATIVE:: max(1, (len(order) - NEGATIVE) // NEGATIVE)][:NEGATIVE] if len(order) > NEGATIVE else []
     negatives = [rest[i] for i in [*order[:NEGATIVE], *spread]]
-    positives = mined + variants + spelled_wrong(mined)
+    positives = mined + variants + spelled_wrong([w for w in mined if 4 * strong[w] >= strong[mined[0]]])
     landmarks = mined + negatives[: LANDMARKS // 2] + negatives[-(LANDMARKS // 2) :] if negatives else mined
     own = dense(landmarks)
     values, vectors = np.linalg.eigh(own @ own.T)
