@@ -36,7 +36,7 @@ from tidemark.llm.common import released, slices, written
 #: Largest count that Good and Turing discount; what is taken from larger ones; words that are dealt by history, for each partition.
 GOOD, TAIL, HEAVY = 5, 0.1, 4
 #: Bytes of text and rows of a block.
-BLOCK, ROWS = 8 << 20, 60_000
+BLOCK, ROWS = 3 << 20, 60_000
 END, START = np.uint64(1), np.uint64(2)
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -60,7 +60,7 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edges = np.flatnonzero(np.diff(np.concatenate([[False], word]).astype(np.int8)))
     starts, stops = edges[0::2], edges[1::2]
     sizes = stops - starts
-    eight = np.ndarray((len(data) - 7,), "<u8", data.tobytes(), strides=(1,))
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
     h = mixed((sizes.astype(np.uint64) + np.uint64(11)) * ONE)
     at, left = np.arange(len(starts)), sizes.copy()
     for step in range(0, 128, 8):
@@ -114,10 +114,10 @@ def singles(rows: DataFrame) -> DataFrame:
             words.append(w)
             counts.append(n)
             size += len(w)
-            if size > 1 << 21:
+            if size > 1 << 20:
                 one = merged()
                 words, counts, size = [one[0]], [one[1]], 0
-                if len(one[0]) > 1 << 20:
+                if len(one[0]) > 1 << 19:
                     yield pa.RecordBatch.from_arrays([pa.array(one[0].view(np.int64)), pa.array(one[1])], names=["h", "n"])
                     words, counts = [], []
         if words:
@@ -223,7 +223,7 @@ class Discounts:
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
     spark = docs.sparkSession
-    parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = 2 * max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = rows_of(docs)
     table = singles(rows)
     released(spark)
@@ -304,7 +304,7 @@ def scored(docs: DataFrame) -> DataFrame:
         tables = [pa.Table.from_arrays([pa.array(x[n], schema.field(n).type) if n in x else pa.nulls(len(x["kind"]), schema.field(n).type) for n in names], schema=schema) for x in out]
         return pa.concat_tables(tables) if tables else schema.empty_table()
 
-    back = written(blocks(rows, parts, heavy_words).groupBy("p").applyInArrow(partition, BACK), "bigrams")
+    back = written(blocks(rows, parts, heavy_words).repartition(parts, "p").groupBy("p").applyInArrow(partition, BACK), "bigrams")
     released(spark)
     pairs = Discounts({r["h"]: r["n"] for r in back.where("kind = 3").groupBy("h").agg(F.sum("n").alias("n")).collect()})
 
