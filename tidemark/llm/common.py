@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -46,8 +47,10 @@ def discard(df: DataFrame) -> None:
 
 def released(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of DataFrames that are no longer used; else they stay until the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the second time for what only the first one let go
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
