@@ -158,7 +158,8 @@ def retry_delay(attempts: Column, least: int, most: int) -> Column:
 
 
 def disk_class(free: Column, high: int, critical: int, emergency: int) -> Column:
-    return F.when(free.isNull() | (free <= emergency), "emergency").when(free <= critical, "critical").when(free <= high, "high").otherwise("normal")
+    """Unknown free space counts as none."""
+    return F.when(free >= high, "normal").when(free >= critical, "high").when(free >= emergency, "critical").otherwise("emergency")
 
 
 def error_number(name: Column) -> Column:
