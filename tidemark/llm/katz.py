@@ -11,7 +11,7 @@ The text decides all of a row's figures; a null text is an empty one, a null doc
 Rows that repeat an id and a text have the same figures. Without training rows all tokens are unknown
 and the score is 0. Only doc_id and text are read. Words are told apart by 64-bit hashes.
 
-Counting and scoring share one shuffle: blocks of documents send, to the partition of each token's word,
+Counting and scoring share a shuffle: blocks of documents send, to the partition of each token's word,
 packed arrays of the word, its histories and the documents where they meet. A partition thus has all
 that is needed of its words' counts. It sends back sums for each block's documents, counts of counts,
 and what it knows of each history, from which the table of backoff weights is made; the tokens that
@@ -35,6 +35,8 @@ from tidemark.llm.common import released, slices, written
 
 #: Largest count that Good and Turing discount; what is taken from larger ones; words that are dealt by history, for each partition.
 GOOD, TAIL, HEAVY = 5, 0.1, 4
+#: Passes over the texts, each for a share of the partitions: no more than that share of the packed arrays is on disk at a time.
+PASSES = 2
 #: Bytes of text and rows of a block.
 BLOCK, ROWS = 3 << 20, 60_000
 END, START = np.uint64(1), np.uint64(2)
@@ -149,8 +151,8 @@ def unpacked(data: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
-def blocks(rows: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
-    """p, block, data and docs: what each block of documents has for each partition."""
+def blocks(rows: DataFrame, parts: int, heavy: np.ndarray, first: int, last: int) -> DataFrame:
+    """p, block, data and docs: what each block of documents has for each partition from first to last - 1."""
 
     def block(p: np.ndarray, w: np.ndarray, before: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
         order = np.lexsort((before, w) if p is None else (before, w, p))
@@ -167,7 +169,7 @@ def blocks(rows: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
         pairs = np.searchsorted(pair_at, word_at)
         per_pair, per_word = np.diff(np.append(entries, len(entry))), np.diff(np.append(pairs, len(pair_at)))
         cuts = np.searchsorted(p[word_at], np.arange(parts + 1, dtype=p.dtype))
-        for k in np.flatnonzero(np.diff(cuts)):
+        for k in first + np.flatnonzero(np.diff(cuts[first : last + 1])):
             a, b = cuts[k], cuts[k + 1]
             x, y = pairs[a], pairs[b] if b < len(pairs) else len(pair_at)
             u, v = entries[x], entries[y] if y < len(entries) else len(entry)
@@ -188,13 +190,13 @@ def blocks(rows: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                     p = (mixed(w[hot] ^ before[hot] * ONE) >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)
                     parted += block(p, w[hot], before[hot], doc[hot])
                 docs = packed([d, th, held.astype(np.uint8)])
-                own = number % parts
+                own = [number % parts] if first <= number % parts < last else []
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([own, *(k for k, _ in parted)], pa.int32()),
-                        pa.array([number] * (len(parted) + 1), pa.int64()),
-                        pa.array([None, *(packed([bits, np.array([len(d)], np.uint32), *arrays]) for _, arrays in parted)], pa.binary()),
-                        pa.array([docs, *(None for _ in parted)], pa.binary()),
+                        pa.array([*own, *(k for k, _ in parted)], pa.int32()),
+                        pa.array([number] * (len(parted) + len(own)), pa.int64()),
+                        pa.array([*(None for _ in own), *(packed([bits, np.array([len(d)], np.uint32), *arrays]) for _, arrays in parted)], pa.binary()),
+                        pa.array([*(docs for _ in own), *(None for _ in parted)], pa.binary()),
                     ],
                     names=["p", "block", "data", "docs"],
                 )
@@ -304,8 +306,13 @@ def scored(docs: DataFrame) -> DataFrame:
         tables = [pa.Table.from_arrays([pa.array(x[n], schema.field(n).type) if n in x else pa.nulls(len(x["kind"]), schema.field(n).type) for n in names], schema=schema) for x in out]
         return pa.concat_tables(tables) if tables else schema.empty_table()
 
-    back = written(blocks(rows, parts, heavy_words).repartition(parts, "p").groupBy("p").applyInArrow(partition, BACK), "bigrams")
-    released(spark)
+    back = None
+    for k in range(PASSES):
+        first, last = parts * k // PASSES, parts * (k + 1) // PASSES
+        some = blocks(rows, parts, heavy_words, first, last).repartition(last - first, "p").groupBy("p").applyInArrow(partition, BACK)
+        some = written(some, "bigrams")
+        released(spark)
+        back = some if back is None else back.unionByName(some)
     pairs = Discounts({r["h"]: r["n"] for r in back.where("kind = 3").groupBy("h").agg(F.sum("n").alias("n")).collect()})
 
     def documents(group: pa.Table) -> pa.Table:
