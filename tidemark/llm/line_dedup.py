@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import released, written
+from tidemark.llm.common import discard, released, written
 
 #: Words of a shingle; the similarity is at least NEAR/OF.
 WORDS, NEAR, OF = 5, 4, 5
@@ -42,8 +42,9 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def shingles(rows: DataFrame) -> DataFrame:
-    """rows with s, the hashes of the line's shingles; a line of fewer words is one shingle."""
-    return rows.withColumn("s", F.expr(f"transform(sequence(1, greatest(size(w) - {WORDS - 1}, 1)), i -> xxhash64(slice(w, i, {WORDS})))")).drop("w")
+    """rows with s, the hashes of the line's shingles; a word that a short line lacks is a null, which adds nothing to the hash."""
+    of = ", ".join(f"get(w, i + {k})" for k in range(WORDS))
+    return rows.withColumn("s", F.expr(f"transform(sequence(0, greatest(size(w) - {WORDS}, 0)), i -> xxhash64({of}))")).drop("w")
 
 
 def rarity(rows: DataFrame) -> Column:
@@ -89,19 +90,11 @@ def candidates(table: DataFrame) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def matched(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two tables: doc_id, th, n, h1, h2 of each line; and h1, h2, earliest, links of each set.
+def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """h1, h2, other, others: for each set with a similar one the first place of those, and the number of their lines.
 
-    earliest is the first place of a line of the set or of a set that is similar; links counts the other
-    lines that a line of the set matches, copies included.
+    Only the lines of candidates are read again, by their places, and compared whole.
     """
-    rows = shingles(lines(docs))
-    done = ordered(rows, rarity(rows))
-    size = F.size("t").alias("size")
-    table = written(done.select("doc_id", "th", "n", "h1", "h2", size, F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)").alias("prefix")), "lines")
-    pairs = written(candidates(table), "pairs")
-    released(docs.sparkSession)
-    sets = table.groupBy("h1", "h2").agg(F.min(place()).alias("first"), F.count("*").alias("copies"))
     wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct()
     near = written(sets.join(wanted, "h1", "left_semi"), "sets")
     need = near.select("first.doc_id", "first.th", "first.n").groupBy("doc_id", "th").agg(F.collect_set("n").alias("ns"))
@@ -113,7 +106,8 @@ def matched(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = F.split(F.lower("text"), "\n")
     some = some.select("doc_id", "th", F.explode(F.transform("ns", lambda n: F.struct(n.alias("n"), F.get(parts, n).alias("line")))).alias("x"))
     again = exact(some)
-    full = near.join(again, near["first"].eqNullSafe(again["place"])).select("h1", "h2", "first", "copies", "s")
+    full = written(near.join(again, near["first"].eqNullSafe(again["place"])).select("h1", "h2", "first", "copies", "s"), "sets")
+    released(docs.sparkSession)
     left = full.select(*(F.col(c).alias(f"l_{c}") for c in full.columns))
     right = full.select(*(F.col(c).alias(f"r_{c}") for c in full.columns))
     both = pairs.join(left, pairs["a"] == left["l_h1"]).join(right, pairs["b"] == right["r_h1"])
@@ -121,11 +115,36 @@ def matched(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = both.where(shared * (NEAR + OF) >= (F.size("l_s") + F.size("r_s")) * NEAR)
     sides = (("l", "r"), ("r", "l"))
     links = both.select(F.explode(F.array(*(F.struct(F.col(f"{x}_h1").alias("h1"), F.col(f"{x}_h2").alias("h2"), F.col(f"{y}_first").alias("other"), F.col(f"{y}_copies").alias("others")) for x, y in sides))).alias("x")).select("x.*")
-    links = links.groupBy("h1", "h2").agg(F.min("other").alias("other"), F.sum("others").alias("others"))
-    per_set = sets.join(links, ["h1", "h2"], "left").select(
-        "h1", "h2", F.when(F.col("other") < F.col("first"), F.col("other")).otherwise(F.col("first")).alias("earliest"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links")
-    )
-    return table.select("doc_id", "th", "n", "h1", "h2"), per_set
+    links = written(links.groupBy("h1", "h2").agg(F.min("other").alias("other"), F.sum("others").alias("others")), "links")
+    for done in (near, full):
+        discard(done)
+    released(docs.sparkSession)
+    return links
+
+
+def decided(docs: DataFrame) -> DataFrame:
+    """doc_id, th, ns (numbers of the lines that go) and links (other lines that the document's lines match, copies included).
+
+    Each step ends in a written table, so that its shuffle files can go before the next one's come.
+    """
+    rows = shingles(lines(docs))
+    done = ordered(rows, rarity(rows))
+    size = F.size("t").alias("size")
+    prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
+    table = written(done.select("doc_id", "th", "n", "h1", "h2", size, prefix.alias("prefix")), "lines")
+    pairs = written(candidates(table), "pairs")
+    released(docs.sparkSession)
+    sets = table.groupBy("h1", "h2").agg(F.min(place()).alias("first"), F.count("*").alias("copies"))
+    near = similar(docs, sets, pairs)
+    earliest = F.when(F.col("other") < F.col("first"), F.col("other")).otherwise(F.col("first"))
+    per_set = sets.join(near, ["h1", "h2"], "left").select("h1", "h2", earliest.alias("earliest"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    judged = table.select("doc_id", "th", "n", "h1", "h2").join(per_set, ["h1", "h2"]).select("doc_id", "th", "n", "links", (place() > F.col("earliest")).alias("gone"))
+    per_line = judged.where("links > 0 OR gone").groupBy("doc_id", "th", "n").agg(F.first("links").alias("links"), F.first("gone").alias("gone"))
+    out = written(per_line.groupBy("doc_id", "th").agg(F.collect_list(F.when(F.col("gone"), F.col("n"))).alias("ns"), F.sum("links").alias("links")), "decided")
+    for old in (table, pairs, near):
+        discard(old)
+    released(docs.sparkSession)
+    return out
 
 
 def exact(some: DataFrame) -> DataFrame:
@@ -136,11 +155,7 @@ def exact(some: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """docs without the lines that match an earlier one; three columns more: n_lines, n_removed and n_links (of all the document's lines)."""
-    table, per_set = matched(docs)
-    decided = table.join(per_set, ["h1", "h2"]).select("doc_id", "th", "n", "links", (place() > F.col("earliest")).alias("gone"))
-    per_doc = decided.groupBy("doc_id", "th", "n").agg(F.first("links").alias("links"), F.first("gone").alias("gone"))
-    per_doc = per_doc.where("links > 0 OR gone").groupBy("doc_id", "th").agg(F.collect_list(F.when(F.col("gone"), F.col("n"))).alias("ns"), F.sum("links").alias("links"))
-    per_doc = per_doc.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("ns").alias("_gone"), F.col("links").alias("_links"))
+    per_doc = decided(docs).select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("ns").alias("_gone"), F.col("links").alias("_links"))
     joined = docs.withColumn("_th", F.xxhash64("text")).alias("docs").join(per_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
     parts = F.split("text", "\n")
     stay = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone")), lambda n: F.get(parts, n))
