@@ -21,7 +21,8 @@ def little(value: Column, size: int) -> Column:
 def u64(value: Column) -> Column:
     """Eight bytes of a decimal(20,0) from 0 to 2**64 - 1."""
     value = value.cast("decimal(20,0)")
-    return little(F.when(value >= F.lit(2**63).cast("decimal(20,0)"), value - F.lit(2**64).cast("decimal(21,0)")).otherwise(value), 8)
+    half, whole = (F.lit(str(2**k)).cast("decimal(20,0)") for k in (63, 64))
+    return little(F.when(value >= half, value - whole).otherwise(value), 8)
 
 
 def from_little(data: Column, size: int = 8) -> Column:
@@ -90,8 +91,8 @@ def chain_step(sequence: Column, previous: Column, row: Column) -> Column:
 
 
 def chain_root(rows: Column) -> Column:
-    """The last hash of an array of struct(sequence, bytes), which is put into order first; zero for none."""
-    return F.aggregate(F.array_sort(rows), raw(D.ZERO), lambda a, x: chain_step(x[0], a, x[1]))
+    """The last hash of an array of struct(s: sequence, d: bytes), which is put into order first; zero for none."""
+    return F.aggregate(F.array_sort(rows), raw(D.ZERO), lambda a, x: chain_step(x["s"], a, x["d"]))
 
 
 def lease(*identity: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -114,7 +115,8 @@ def _segments(spark, sf):
 
 @query
 def segment_contiguity(spark, sf):
-    return wal.ordered_segments(_segments(spark, sf)).select("segment", "first_sequence", "last_sequence", "breaks")
+    rows = wal.ordered_segments(_segments(spark, sf).withColumnRenamed("first_sequence", "start_sequence"))
+    return rows.select("segment", F.col("start_sequence").alias("first_sequence"), "last_sequence", "breaks")
 
 
 @query
@@ -354,8 +356,6 @@ def frame_decode(spark, sf):
     schema = "sequence long, scope string, day string, kind string, error string, records int, fingerprint string"
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             out = []
             for x in batch.to_pylist():
@@ -385,10 +385,10 @@ def cursor_outcomes(spark, sf):
 
 @query
 def canonical_json(spark, sf):
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def encoded(day: pd.Series, revision: pd.Series, digest: pd.Series) -> pd.Series:
-        return pd.Series([C.canonical_json({"revision": int(r), "date": d, "sha256": x}).decode() for d, r, x in zip(day, revision, digest, strict=True)])
+    def run(batches):
+        for batch in batches:
+            rows = batch.to_pylist()
+            text = [C.canonical_json({"revision": r["revision"], "date": r["day"], "sha256": r["digest"]}).decode() for r in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("day"), batch.column("revision"), pa.array(text, pa.string())], names=["day", "revision", "json"])
 
-    return _revisions(spark, sf).select("day", "revision", encoded("day", "revision", "digest").alias("json"))
+    return _revisions(spark, sf).select("day", "revision", "digest").mapInArrow(run, "day string, revision long, json string")
