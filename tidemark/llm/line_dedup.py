@@ -15,7 +15,7 @@ through, whatever their names. Tokens are 58-bit hashes, told apart within the p
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, released, written
@@ -69,29 +69,49 @@ def place(prefix: str = "") -> Column:
     return F.struct(*(F.col(prefix + c) for c in ("doc_id", "th", "n")))
 
 
-def candidates(table: DataFrame) -> DataFrame:
-    """a, b: the h1 of pairs of different sets that pass the prefix, length and positional filters.
+def passes(x: str, y: str) -> Column:
+    """The length and positional filters for two places of one token, given as codes; of two sets the smaller one shares a token in the first ninth of its order."""
+    size, at = (lambda c: F.floor(F.col(c) / 2**31)), (lambda c: F.col(c) % 2**31)
+    sx, ix, sy, iy = size(x), at(x), size(y), at(y)
+    length = F.least(sx, sy) * OF >= F.greatest(sx, sy) * NEAR
+    follows = F.least(sx - ix, sy - iy)  # the shared token and what may come after it
+    early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
+    return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR)
 
-    Of two sets the smaller one shares a token already in the first ninth of its order, so a pair is found
-    there only. Tokens are dealt once, for taking out copies and for the join alike.
+
+def shared(table: DataFrame) -> DataFrame:
+    """token, h1, code (size and place), many, y1, y2 of the prefix tokens that several sets have.
+
+    Tokens are dealt once. Within a token the sets stand in an order that depends on the token; y1 and y2
+    are the two before each.
     """
     parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     posts = table.select("h1", "size", F.posexplode("prefix").alias("at", "token"))
     posts = posts.select("token", "h1", (F.col("size").cast("long") * 2**31 + F.col("at")).alias("code")).repartition(parts, "token").dropDuplicates(["token", "h1"])
-    size, at = "div 2147483648", "% 2147483648"
-    a = posts.selectExpr("token", "h1 AS a", f"code {size} AS sa", f"code {at} AS ia")
-    b = posts.selectExpr("token AS token_b", "h1 AS b", f"code {size} AS sb", f"code {at} AS ib")
-    length = F.col("sb") * OF >= F.col("sa") * NEAR
-    follows = F.least(F.col("sa") - F.col("ia"), F.col("sb") - F.col("ib"))  # the shared token and what may come after it
-    positional = follows * (NEAR + OF) >= (F.col("sa") + F.col("sb")) * NEAR
-    early = F.col("ib") * (NEAR + OF) <= F.col("sb") * (OF - NEAR)
-    smaller = (F.col("sb") < F.col("sa")) | ((F.col("sb") == F.col("sa")) & (F.col("a") < F.col("b")))
-    pairs = a.join(b, (F.col("token") == F.col("token_b")) & smaller & length & early & positional)
-    return pairs.select("a", "b").distinct()
+    order = Window.partitionBy("token").orderBy(F.xxhash64("token", "h1"))
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = F.struct("h1", "code")
+    return posts.select("token", "h1", "code", F.count("*").over(whole).alias("many"), F.lag(own, 1).over(order).alias("y1"), F.lag(own, 2).over(order).alias("y2")).where("many > 1")
+
+
+def neighbours(posts: DataFrame) -> DataFrame:
+    """a, b: the h1 of candidates that stand near each other at some token; all candidates of tokens with three sets or fewer."""
+    some = posts.select("h1", "code", F.explode(F.array("y1", "y2")).alias("y")).where("y IS NOT NULL")
+    some = some.select(F.col("h1").alias("a"), "code", F.col("y.h1").alias("b"), F.col("y.code").alias("other")).where(passes("code", "other"))
+    return some.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def remaining(posts: DataFrame, sets: DataFrame, settled: DataFrame) -> DataFrame:
+    """a, b: the candidates that are left: a is a set without a similar earlier one so far, b any earlier one."""
+    own = posts.where("many > 3").select("token", "h1", "code").join(sets.select("h1", "first"), "h1")
+    own = written(own, "postings")
+    x = own.join(settled, "h1", "left_anti").select("token", F.col("h1").alias("a"), F.col("code").alias("ca"), F.col("first").alias("fa"))
+    y = own.select(F.col("token").alias("t"), F.col("h1").alias("b"), F.col("code").alias("cb"), F.col("first").alias("fb"))
+    return x.join(y, (F.col("token") == F.col("t")) & (F.col("fb") < F.col("fa")) & passes("ca", "cb")).select("a", "b").distinct()
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """h1, h2, other, others: for each set with a similar one the first place of those, and the number of their lines.
+    """h1, h2, first, other: sets of the pairs with a similar one, their own first place and the first place of those.
 
     Only the lines of candidates are read again, by their places, and compared whole.
     """
@@ -106,7 +126,7 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     parts = F.split(F.lower("text"), "\n")
     some = some.select("doc_id", "th", F.explode(F.transform("ns", lambda n: F.struct(n.alias("n"), F.get(parts, n).alias("line")))).alias("x"))
     again = exact(some)
-    full = written(near.join(again, near["first"].eqNullSafe(again["place"])).select("h1", "h2", "first", "copies", "s"), "sets")
+    full = written(near.join(again, near["first"].eqNullSafe(again["place"])).select("h1", "h2", "first", "s"), "sets")
     released(docs.sparkSession)
     left = full.select(*(F.col(c).alias(f"l_{c}") for c in full.columns))
     right = full.select(*(F.col(c).alias(f"r_{c}") for c in full.columns))
@@ -114,8 +134,8 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     shared = F.size(F.array_intersect("l_s", "r_s"))
     both = both.where(shared * (NEAR + OF) >= (F.size("l_s") + F.size("r_s")) * NEAR)
     sides = (("l", "r"), ("r", "l"))
-    links = both.select(F.explode(F.array(*(F.struct(F.col(f"{x}_h1").alias("h1"), F.col(f"{x}_h2").alias("h2"), F.col(f"{y}_first").alias("other"), F.col(f"{y}_copies").alias("others")) for x, y in sides))).alias("x")).select("x.*")
-    links = written(links.groupBy("h1", "h2").agg(F.min("other").alias("other"), F.sum("others").alias("others")), "links")
+    links = both.select(F.explode(F.array(*(F.struct(F.col(f"{x}_h1").alias("h1"), F.col(f"{x}_h2").alias("h2"), F.col(f"{x}_first").alias("first"), F.col(f"{y}_first").alias("other")) for x, y in sides))).alias("x")).select("x.*")
+    links = written(links.groupBy("h1", "h2").agg(F.first("first").alias("first"), F.min("other").alias("other")), "links")
     for done in (near, full):
         discard(done)
     released(docs.sparkSession)
@@ -123,27 +143,35 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def decided(docs: DataFrame) -> DataFrame:
-    """doc_id, th, ns (numbers of the lines that go) and links (other lines that the document's lines match, copies included).
+    """doc_id, th and ns, the numbers of the lines that go.
 
-    Each step ends in a written table, so that its shuffle files can go before the next one's come.
+    One similar earlier line is enough for a line to go. So each set is first compared with its neighbours
+    at each of its tokens, which settles most members of a large group of similar lines; only the sets that
+    are left meet all earlier ones. Thus a group of similar lines does not become all its pairs, and no
+    decision depends on which neighbours came first. Each step ends in a written table, so that its shuffle
+    files can go before the next one's come.
     """
+    spark = docs.sparkSession
     rows = shingles(lines(docs))
     done = ordered(rows, rarity(rows))
     size = F.size("t").alias("size")
     prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
     table = written(done.select("doc_id", "th", "n", "h1", "h2", size, prefix.alias("prefix")), "lines")
-    pairs = written(candidates(table), "pairs")
-    released(docs.sparkSession)
-    sets = table.groupBy("h1", "h2").agg(F.min(place()).alias("first"), F.count("*").alias("copies"))
-    near = similar(docs, sets, pairs)
+    sets = table.groupBy("h1", "h2").agg(F.min(place()).alias("first"))
+    posts = written(shared(table), "shared")
+    released(spark)
+    one = similar(docs, sets, written(neighbours(posts), "pairs"))
+    released(spark)
+    two = similar(docs, sets, written(remaining(posts, sets, one.where("other < first").select("h1").distinct()), "pairs"))
+    released(spark)
+    found = one.unionByName(two).groupBy("h1", "h2").agg(F.min("other").alias("other"))
     earliest = F.when(F.col("other") < F.col("first"), F.col("other")).otherwise(F.col("first"))
-    per_set = sets.join(near, ["h1", "h2"], "left").select("h1", "h2", earliest.alias("earliest"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
-    judged = table.select("doc_id", "th", "n", "h1", "h2").join(per_set, ["h1", "h2"]).select("doc_id", "th", "n", "links", (place() > F.col("earliest")).alias("gone"))
-    per_line = judged.where("links > 0 OR gone").groupBy("doc_id", "th", "n").agg(F.first("links").alias("links"), F.first("gone").alias("gone"))
-    out = written(per_line.groupBy("doc_id", "th").agg(F.collect_list(F.when(F.col("gone"), F.col("n"))).alias("ns"), F.sum("links").alias("links")), "decided")
-    for old in (table, pairs, near):
+    per_set = sets.join(found, ["h1", "h2"], "left").select("h1", "h2", earliest.alias("earliest"))
+    gone = table.select("doc_id", "th", "n", "h1", "h2").join(per_set, ["h1", "h2"]).where(place() > F.col("earliest"))
+    out = written(gone.groupBy("doc_id", "th").agg(F.collect_set("n").alias("ns")), "decided")
+    for old in (table, posts, one, two):
         discard(old)
-    released(docs.sparkSession)
+    released(spark)
     return out
 
 
@@ -154,17 +182,16 @@ def exact(some: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs without the lines that match an earlier one; three columns more: n_lines, n_removed and n_links (of all the document's lines)."""
-    per_doc = decided(docs).select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("ns").alias("_gone"), F.col("links").alias("_links"))
+    """docs without the lines that match an earlier one; two columns more: n_lines and n_removed."""
+    per_doc = decided(docs).select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("ns").alias("_gone"))
     joined = docs.withColumn("_th", F.xxhash64("text")).alias("docs").join(per_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
     parts = F.split("text", "\n")
     stay = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone")), lambda n: F.get(parts, n))
-    text = F.when(F.col("text").isNull() | F.col("_gone").isNull() | (F.size("_gone") == 0), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     return joined.select(
-        *(text.alias(c) if c == "text" else F.col(f"docs.{c}") for c in docs.columns if c not in ("n_lines", "n_removed", "n_links")),
+        *(text.alias(c) if c == "text" else F.col(f"docs.{c}") for c in docs.columns if c not in ("n_lines", "n_removed")),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 

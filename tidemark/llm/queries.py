@@ -13,7 +13,7 @@ from tidemark.llm.common import table
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,17 +90,17 @@ OP1_SQL = r"""
 WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
 w AS (SELECT doc_id, n, line, string_split(trim(regexp_replace(lower(line), '[\t\x0b-\r ]+', ' ', 'g'), ' '), ' ') AS w FROM l),
 s AS (SELECT doc_id, n, CASE WHEN w = [''] THEN NULL ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM w),
-sets AS (SELECT s, min((doc_id, n)) AS first, count(*) AS copies, row_number() OVER (ORDER BY min((doc_id, n))) AS id FROM s WHERE s IS NOT NULL GROUP BY s),
+sets AS (SELECT s, min((doc_id, n)) AS first, row_number() OVER (ORDER BY min((doc_id, n))) AS id FROM s WHERE s IS NOT NULL GROUP BY s),
 t AS (SELECT id, len(s) AS size, unnest(s) AS token FROM sets),
 pairs AS (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.token = b.token AND a.id <> b.id
           GROUP BY a.id, b.id, a.size, b.size HAVING count(*) * 9 >= (a.size + b.size) * 4),
-near AS (SELECT x.id, min(o.first) AS other, sum(o.copies) AS others FROM pairs p JOIN sets x ON x.id = p.a JOIN sets o ON o.id = p.b GROUP BY x.id),
-known AS (SELECT sets.s, copies - 1 + coalesce(others, 0) AS links, least(first, coalesce(other, first)) AS earliest FROM sets LEFT JOIN near ON near.id = sets.id),
-judged AS (SELECT w.doc_id, w.n, l.line, coalesce(k.links, 0) AS links, k.earliest IS NOT NULL AND (w.doc_id, w.n) > k.earliest AS gone
+near AS (SELECT p.a AS id, min(o.first) AS other FROM pairs p JOIN sets o ON o.id = p.b GROUP BY p.a),
+known AS (SELECT sets.s, least(first, coalesce(other, first)) AS earliest FROM sets LEFT JOIN near ON near.id = sets.id),
+judged AS (SELECT w.doc_id, w.n, l.line, k.earliest IS NOT NULL AND (w.doc_id, w.n) > k.earliest AS gone
            FROM s w JOIN l ON l.doc_id = w.doc_id AND l.n = w.n LEFT JOIN known k ON k.s = w.s),
-texts AS (SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed, sum(links)::BIGINT AS n_links,
+texts AS (SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_removed,
                  coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text FROM judged GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_links, 0) AS n_links,
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(t.text, '')) END AS text_sha256
 FROM documents d LEFT JOIN texts t USING (doc_id)
 """
