@@ -116,3 +116,34 @@ def test_lease_is_not_length_prefixed():
 
 def test_roots_of_nothing():
     assert C.part_set_root([]) == D.ZERO
+
+
+SCOPE = {"dataset_id": "demo", "day_definition_id": "utc-day-v1", "date": "2024-03-09", "replay_contract_id": "replay-v1", "conversion_id": "conversion-v1", "raw_day_manifest_key": "snapshots/raw/day-definition=utc-day-v1/date=2024-03-09/raw-day-1-demo.json", "raw_day_manifest_sha256": b"\x55" * 32}
+
+
+def test_published_replay_chain():
+    segment = C.segment_id(SCOPE, 1, 0, "SEGMENT_START", D.ZERO)
+    assert segment == "4e84354e364ae621dc1ff4849b98f099a0246ea24bb84ac2039ae4c2b7a73c60"
+    marker = {"raw_object_key": "", "raw_object_sha256": D.ZERO, "marker_code": "SEGMENT_START", "reason": "INITIAL", "marker_detail": "first accepted source occurrence", "reference_gateway_ingest_sequence": 1, "reference_record_ordinal": 0, "predecessor_row_chain_hash": D.ZERO, "continuity_segment_start_hash": D.ZERO}
+    record = {"time": 1, "bid_bits": 2, "ask_bits": 3, "last_bits": 4, "volume": 5, "time_msc": 1000, "flags": 7, "volume_real_bits": 8, "capture_sequence": 1}
+    fingerprint = C.payload_fingerprint(record)
+    data = record | {"raw_object_key": f"objects/raw/wal-{'a' * 64}.rtw", "raw_object_sha256": b"\xaa" * 32, "gateway_ingest_sequence": 1, "producer_instance_id": "producer-1", "producer_session_id": "session-1", "batch_sequence": 1, "record_ordinal": 0, "source_payload_fingerprint": fingerprint, "observation_hash": C.observation_hash("producer-1", "session-1", 1, 0, 1, fingerprint), "fetch_wall_start_s": 10, "fetch_wall_end_s": 11, "fetch_monotonic_start_us": 100, "fetch_monotonic_end_us": 101, "copy_ticks_error": 0, "source_status_flags": 5}
+    first, second = C.row_bytes(SCOPE, 0, segment, marker, True), C.row_bytes(SCOPE, 1, segment, data, False)
+    assert (len(first), len(second)) == (400, 529)
+    one = C.chain_step(0, D.ZERO, first)
+    assert one.hex() == "f88e1980da4dcf0cb21d003cc526128992d36b00d52295df9b67f49e42151dc1"
+    assert C.chain_step(1, one, second).hex() == "8114214929035cba63226e3c7c44d4a47dffbf353000826e06b8d4e394c6f4cf"
+
+
+def test_published_manifests():
+    from tidemark.operators import publication
+
+    scope = SCOPE | {"raw_day_manifest_sha256": "5" * 64}
+    conversion = {"converter_build_id": "converter-1", "dependency_lock_hash": "6" * 64, "writer_configuration_hash": "7" * 64, "target_platform_contract": "parquet-v1"}
+    key = f"{publication.derivative_base(scope)}/parquet/0-1-{'1' * 64}.parquet"
+    part = {"canonical_row_bytes": 929, "row_count": 2, "part_bytes": 123, "part_key": key, "part_sha256": "1" * 64, "first_stream_sequence": 0, "last_stream_sequence": 1, "previous_row_chain_hash": "0" * 64, "first_row_chain_hash": "f88e1980da4dcf0cb21d003cc526128992d36b00d52295df9b67f49e42151dc1", "last_row_chain_hash": "8114214929035cba63226e3c7c44d4a47dffbf353000826e06b8d4e394c6f4cf"}
+    parts = publication.part_manifests(scope, conversion, [part])
+    assert parts[0]["digest"] == "fa06b116cbff31a68517e1e3d2331b724d1ced57c05bdd6a196f4b1cf05651db"
+    day = publication.replay_day_manifest(scope, conversion, parts, 1, None, "settled_snapshot")
+    assert day["manifest"]["part_set_root"] == "8cc5b4de685bbceda59566816121bb3f6d052f589c61c17546b73399e504651c"
+    assert C.digest(D.REPLAY_DAY, day["manifest"] | {"manifest_id": "replay-demo-r1"}).hex() == "1f439ad689b9d2bdfe4ad280fc635eee49f46200b4549500dd3b239c4633579d"

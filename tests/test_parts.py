@@ -66,3 +66,33 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["items"][0]["bytes"] == 5
     assert cli.main(["--config", f"{tmp_path}/c.toml", "fetch-plan", "demo", "f" * 64], spark) == 2
     wal.register(spark)
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["before_checkpoint", "after_checkpoint", "after_trash", "after_delete"])
+def test_prune_survives_a_crash_at_each_step(spark, tmp_path, step):
+    from tidemark.operators import retention
+
+    (tmp_path / "sealed").mkdir()
+    actions = []
+    for k in (1, 2):
+        data = b"segment" * k
+        (tmp_path / "sealed" / f"{k}.rtw").write_bytes(data)
+        actions.append({"artifact_id": f"a{k}", "name": f"{k}.rtw", "start_sequence": k, "end_sequence": k, "retained_chain_root": "c" * 64, "segment_sha256": C.sha(data).hex()})
+
+    def fault(at, artifact):
+        if (at, artifact) == (step, "a2"):
+            raise Crash
+
+    root = f"file://{tmp_path}"
+    with pytest.raises(Crash):
+        retention.Executor(spark, root, fault).execute(actions)
+    own = retention.Executor(spark, root)
+    own.recover()
+    assert own.execute(actions) == ["a1", "a2"] and not list((tmp_path / "sealed").glob("*.rtw")) and not list((tmp_path / "trash").glob("*.rtw"))
+    assert [c["end_sequence"] for c in own.checkpoints()] == [1, 2]
+    with pytest.raises(C.FormatError):
+        own.execute([actions[0] | {"artifact_id": "x", "start_sequence": 9, "end_sequence": 9}])

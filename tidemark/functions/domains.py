@@ -19,6 +19,12 @@ MARKER = b"tick-data-platform/replay-marker/v1\0"
 ROW_CHAIN = b"tick-data-platform/replay-row-chain/v1\0"
 PART = b"tick-data-platform/part-manifest/v1\0"
 PART_SET = b"tick-data-platform/part-set/v1\0"
+SCOPE_KEY = b"tick-data-platform/source-symbol-scope/v1\0"
+REPLAY_IDENTITY = b"tick-data-platform/replay-identity/v1\0"
+PROOF = b"tick-data-platform/retention-proof/v1\0"
+CHECKPOINT = b"tick-data-platform/prune-checkpoint/v1\0"
+PRUNE_PLAN = b"tick-data-platform/prune-plan/v1\0"
+COMPLETION = b"tick-data-platform/prune-completion/v1\0"
 CONFIG = b"tick-data-platform/archive-config/v1\0"
 SCHEMA_ID = "mt5.mqltick.v1"
 FORMAT_ID = "ticks-parquet-v1"

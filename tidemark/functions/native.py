@@ -129,7 +129,7 @@ def replay_manifest_key(base: Column, revision: Column, digest: Column) -> Colum
 def scope_path_key(provider: Column, symbol: Column) -> Column:
     """Strings with eight bytes of length, unlike text()."""
     part = lambda c: F.concat(little(F.octet_length(c), 8), F.encode(c, "UTF-8"))
-    return F.sha2(F.concat(part(provider), part(symbol)), 256)
+    return F.sha2(F.concat(raw(D.SCOPE_KEY), part(provider), part(symbol)), 256)
 
 
 def utc_day(msc: Column) -> Column:

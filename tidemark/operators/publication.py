@@ -53,11 +53,12 @@ def replay_day_manifest(scope: dict[str, Any], conversion: dict[str, Any], parts
     if completeness not in D.COMPLETENESS or (revision == 1) != (previous is None):
         raise C.FormatError("INVALID_FIELD", "completeness or predecessor")
     items = [{"key": p["key"], "digest": bytes.fromhex(p["digest"])} | {k: p["manifest"][k] for k in ("first_stream_sequence", "last_stream_sequence")} for p in parts]
-    identity = "\0".join([scope["dataset_id"], scope["day_definition_id"], scope["date"], scope["replay_contract_id"], scope["conversion_id"]])
+    names = ("converter_build_id", "dependency_lock_hash", "writer_configuration_hash", "target_platform_contract")
+    identity = {k: scope[k] for k in ("dataset_id", "day_definition_id", "date", "replay_contract_id", "conversion_id")} | {k: conversion[k] for k in names} | {"format_id": D.FORMAT_ID}
     manifest = {k: scope[k] for k in ("dataset_id", "day_definition_id", "date", "raw_day_manifest_key", "raw_day_manifest_sha256", "replay_contract_id", "conversion_id")}
     manifest |= {k: conversion[k] for k in ("converter_build_id", "dependency_lock_hash", "writer_configuration_hash", "target_platform_contract")}
     manifest |= {
-        "manifest_version": "replay-day-manifest-v1", "manifest_id": "replay-" + C.sha(identity.encode()).hex()[:32], "revision": revision, "format_id": D.FORMAT_ID, "completeness_status": completeness,
+        "manifest_version": "replay-day-manifest-v1", "manifest_id": "replay-" + C.digest(D.REPLAY_IDENTITY, identity).hex()[:32], "revision": revision, "format_id": D.FORMAT_ID, "completeness_status": completeness,
         "part_manifest_keys": [p["key"] for p in parts], "part_set_root": C.part_set_root(items).hex(),
         "canonical_stream_row_chain_root": parts[-1]["manifest"]["last_row_chain_hash"] if parts else D.ZERO.hex(), "previous_manifest_sha256": previous,
     }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import codec as C
+from tidemark.functions import domains as D
 from tidemark.operators import chains
 
 
@@ -68,7 +70,7 @@ def plan(candidates: DataFrame, policy: Policy) -> DataFrame:
 
 def plan_digest(rows: list[tuple[str, str, str | None]]) -> str:
     """Digest of a collected plan; a plan has at most max_candidates actions."""
-    return C.sha(C.canonical_json([{"action": a, "artifact_id": i, "reason": r} for i, a, r in sorted(rows, key=lambda x: (x[0], x[1], x[2] or ""))])).hex()
+    return C.digest(D.PRUNE_PLAN, [{"action": a, "artifact_id": i, "reason": r} for i, a, r in sorted(rows, key=lambda x: (x[0], x[1], x[2] or ""))]).hex()
 
 
 def within_budget(inventory: DataFrame, max_objects: int, max_bytes: int) -> DataFrame:
@@ -84,3 +86,85 @@ def retained_from(checkpoints: DataFrame, segments: DataFrame) -> DataFrame:
     w = Window.orderBy("first_sequence")
     before, root = F.coalesce(F.lag("last_sequence").over(w), last.select("s").scalar()), F.coalesce(F.lag("chain_root").over(w), last.select("r").scalar())
     return segments.withColumn("breaks", ~((F.col("first_sequence") == before + 1) & (root.isNull() | (F.col("chain_start") == root))))
+
+
+@dataclass
+class Executor:
+    """Carries out a plan's log prefix in a store that Spark reaches: a checkpoint is durable before its segment moves to the trash, and
+    the segment is deleted last, so that whatever a crash leaves can be finished. fault is called at each step, for tests."""
+
+    spark: SparkSession
+    root: str
+    fault: Callable[[str, str], None] = lambda step, artifact: None
+
+    def __post_init__(self) -> None:
+        self.path = self.spark._jvm.org.apache.hadoop.fs.Path
+        self.store = self.path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _where(self, *parts: str):
+        return self.path("/".join([self.root, *parts]))
+
+    def checkpoints(self) -> list[dict]:
+        """The chain of checkpoints, verified: each names the digest of the one before it and starts where that ended."""
+        folder = self._where("checkpoints")
+        if not self.store.exists(folder):
+            return []
+        rows = self.spark.read.format("binaryFile").load(f"{self.root}/checkpoints").select("path", "content").collect()
+        out: list[dict] = []
+        for row in sorted(rows, key=lambda r: r["path"]):
+            value = C.parse_canonical(bytes(row["content"]), {"end_sequence", "previous_checkpoint_digest", "retained_chain_root", "segment_sha256", "start_sequence"})
+            before = out[-1] if out else {"digest": D.ZERO.hex(), "end_sequence": value["start_sequence"] - 1}
+            if value["previous_checkpoint_digest"] != before["digest"] or value["start_sequence"] != before["end_sequence"] + 1:
+                raise C.FormatError("INVALID_FIELD", f"{row['path']} does not follow")
+            out.append(value | {"digest": C.digest(D.CHECKPOINT, value).hex()})
+        return out
+
+    def _publish(self, action: dict) -> None:
+        from tidemark.sources.parts import put_if_absent
+
+        chain = self.checkpoints()
+        if any(c["end_sequence"] == action["end_sequence"] and c["segment_sha256"] == action["segment_sha256"] for c in chain):
+            return
+        last = chain[-1] if chain else None
+        if last and action["start_sequence"] != last["end_sequence"] + 1:
+            raise C.FormatError("INVALID_FIELD", "the plan does not follow the last checkpoint")
+        value = {k: action[k] for k in ("start_sequence", "end_sequence", "retained_chain_root", "segment_sha256")} | {"previous_checkpoint_digest": last["digest"] if last else D.ZERO.hex()}
+        put_if_absent(self.spark, f"{self.root}/checkpoints/{action['end_sequence']:020d}.json", C.canonical_json(value))
+
+    def execute(self, actions: list[dict]) -> list[str]:
+        """Prune segments (artifact_id, name, start_sequence, end_sequence, retained_chain_root, segment_sha256) in order; the ids that are done."""
+        done = []
+        for action in sorted(actions, key=lambda a: a["start_sequence"]):
+            name, own = action["name"], action["artifact_id"]
+            if "/" in name or name in ("", ".", ".."):
+                raise C.FormatError("INVALID_FIELD", "path")
+            here, trash = self._where("sealed", name), self._where("trash", name)
+            self.fault("before_checkpoint", own)
+            self._publish(action)
+            self.fault("after_checkpoint", own)
+            if self.store.exists(here):
+                self.store.mkdirs(self._where("trash"))
+                if not self.store.rename(here, trash):
+                    raise OSError(f"cannot move {name}")
+            self.fault("after_trash", own)
+            self.store.delete(trash, False)
+            self.fault("after_delete", own)
+            done.append(own)
+        return done
+
+    def recover(self) -> list[str]:
+        """Finish what a crash left: segments in the trash go if a checkpoint covers them, else they return."""
+        covered = {c["segment_sha256"] for c in self.checkpoints()}
+        trash = self._where("trash")
+        if not self.store.exists(trash):
+            return []
+        finished = []
+        rows = self.spark.read.format("binaryFile").load(f"{self.root}/trash")
+        for row in rows.select("path", F.sha2("content", 256).alias("sha")).collect():
+            name = row["path"].rsplit("/", 1)[-1]
+            if row["sha"] in covered:
+                self.store.delete(self._where("trash", name), False)
+                finished.append(name)
+            else:
+                self.store.rename(self._where("trash", name), self._where("sealed", name))
+        return finished

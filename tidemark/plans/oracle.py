@@ -116,7 +116,7 @@ SELECT artifact_id, CASE WHEN reason IS NULL THEN 'prune' ELSE 'blocked' END AS
 ORACLE["budget_first_exceed"] = f"""WITH {BASE}, c AS (SELECT symbol, event_id, bid, sum(bid) OVER (PARTITION BY symbol ORDER BY event_id)::BIGINT AS total FROM ticks) SELECT symbol, event_id, total FROM c WHERE total > 1000000 AND total - bid <= 1000000"""
 ORACLE["list_datasets"] = f"WITH {BASE} SELECT DISTINCT 'dataset-' || symbol AS dataset_id FROM ticks"
 ORACLE["list_scopes"] = f"""WITH {BASE}, s AS (SELECT DISTINCT 'provider-' || (volume % 3) AS provider_id, symbol FROM ticks)
-SELECT provider_id, symbol, {sha(le('octet_length(encode(provider_id))::BIGINT', 8), 'encode(provider_id)', le('octet_length(encode(symbol))::BIGINT', 8), 'encode(symbol)')} AS scope_key FROM s"""
+SELECT provider_id, symbol, {sha(raw(D.SCOPE_KEY), le('octet_length(encode(provider_id))::BIGINT', 8), 'encode(provider_id)', le('octet_length(encode(symbol))::BIGINT', 8), 'encode(symbol)')} AS scope_key FROM s"""
 ORACLE["list_raw_snapshots"] = f"WITH {REVISIONS} SELECT day, revision, digest FROM revisions"
 ORACLE["overall_status"] = f"""WITH {BASE}, s AS (SELECT DISTINCT sequence AS scope FROM ticks), x AS (SELECT scope, list_transform([1, 7, 49], lambda k: ['healthy', 'healthy', 'degraded', 'healthy', 'blocked', 'healthy', 'failed'][(scope // k) % 7 + 1]) AS states FROM s)
 SELECT scope, CASE WHEN list_contains(states, 'failed') THEN 'failed' WHEN list_contains(states, 'blocked') THEN 'blocked' WHEN list_contains(states, 'degraded') THEN 'degraded' ELSE 'healthy' END AS status FROM x"""
