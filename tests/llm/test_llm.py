@@ -63,6 +63,42 @@ def test_similar_lines_go(spark):
     assert got == {1: " ".join(words), 2: "first", 3: " ".join(words[:30])}
 
 
+def lines_by_hand(rows):
+    """Texts by the definition: a line goes if an earlier one has the same tokens or a Jaccard similarity of 0.8 or more."""
+
+    def tokens(line):
+        w = re.split("[ \\t\\x0b-\\r]+", line.lower().strip(" \t\x0b\x0c\r"))
+        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w != [""] else None
+
+    seen, out = [], {}
+    for d, text in sorted(rows):
+        kept = []
+        for line in text.split("\n"):
+            own = tokens(line)
+            if own is None or not any(own == o or len(own & o) * 9 >= (len(own) + len(o)) * 4 for o in seen):
+                kept.append(line)
+            if own is not None:
+                seen.append(own)
+        out[d] = "\n".join(kept)
+    return out
+
+
+def test_large_groups_of_similar_lines(spark):
+    rng = random.Random(6)
+    base = [[f"{g}w{k}" for k in range(n)] for g, n in enumerate((83, 59, 30, 12, 6))]
+    rows = []
+    for d in range(240):
+        lines = []
+        for _ in range(3):
+            own = list(rng.choice(base))
+            for _ in range(rng.choice((0, 1, 1, 1, 2))):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10_000)}"
+            lines.append(" ".join(own))
+        rows.append((d, "\n".join(lines)))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == lines_by_hand(rows)
+
+
 # 2
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import time
@@ -53,6 +55,13 @@ def released(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def trimmed() -> None:
+    """Give the memory that a worker no longer uses back to the system; workers are kept for the next stage."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

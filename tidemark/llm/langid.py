@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, trimmed
 
 #: Families of closely related languages. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -173,6 +173,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             found = shared.value.predict(batch.column("text").to_pylist())
             columns = [*(batch.column(c) for c in keep), pa.array([x for x, _ in found]), pa.array([x for _, x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
+        trimmed()
 
     return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
 

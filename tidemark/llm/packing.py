@@ -17,15 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, written
+from tidemark.llm.common import slices, trimmed, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Words after which a worker starts to forget those it met longest ago, and characters of the longest word that it remembers.
-REMEMBERED, SHORT = 400_000, 64
+REMEMBERED, SHORT = 250_000, 64
 #: A word without white space but for a blank before it.
 PLAIN = re.compile(r" ?\S+").fullmatch
-#: White space that stands first, last or beside other white space; the parts of a text without any.
-UNEVEN, PARTS = re.compile(r"\s\s|\A\s|\s\Z").search, re.compile(r" ?[^ \n]+|\n").findall
+#: The parts of a text whose only white space are blanks and line ends, each between other characters; other white space.
+PARTS, BLANK, OTHER = re.compile(r" ?[^ \n]+|\n").findall, re.compile(r"[^\S \n]").search, "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 class Words:
@@ -48,8 +48,10 @@ class Words:
 
     @staticmethod
     def parts(text: str) -> list[str]:
-        if not UNEVEN(text):
-            return PARTS(text)
+        if not (any(c in text for c in OTHER) if text.isascii() else BLANK(text)):
+            parts = PARTS(text)
+            if len(parts) == text.count(" ") + 2 * text.count("\n") + 1:  # no blank or line end is first, last or beside another
+                return parts
         words = text.split(" ")
         out = [words[0]]
         for before, w in zip(words, words[1:], strict=False):
@@ -123,6 +125,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end: int, size: int) -> DataFra
                     out.append((doc, k, start, stop - start, ids[4 * start : 4 * stop]))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids"])
+        trimmed()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, trimmed
 
 #: The sample that is learned from: documents of either label, and characters of a text that may be in it.
 TOXIC, CLEAN, LONGEST = 1500, 3000, 50_000
@@ -36,7 +36,7 @@ CONSIDERED = 30_000
 DISCOUNT = 0.6
 STEPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))
 #: Characters of a window: a longer word is read as overlapping windows. Words that a worker remembers.
-WINDOW, REMEMBERED = 22, 300_000
+WINDOW, REMEMBERED = 22, 150_000
 #: Decisions below this do not tell documents apart.
 FLOOR = -0.5
 #: Characters that stand for letters, characters that separate words, characters that are dropped inside words.
@@ -246,8 +246,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(shared.value.score(batch.column("text").to_pylist()))], names=[*keep, "toxicity"])
+        model = shared.value
+        for batch in slices(batches, "text", 2 << 20):
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(model.score(batch.column("text").to_pylist()))], names=[*keep, "toxicity"])
+        model.known.clear()
+        model.found.clear()
+        trimmed()
 
     return docs.mapInArrow(run, f"{schema}, toxicity double")
 
