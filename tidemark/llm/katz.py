@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import released, slices, written
+from tidemark.llm.common import released, slices, trimmed, written
 
 #: Largest count that Good and Turing discount; what is taken from larger ones; words that are dealt by history, for each partition.
 GOOD, TAIL, HEAVY = 5, 0.1, 4
@@ -125,6 +125,7 @@ def singles(rows: DataFrame) -> DataFrame:
         if words:
             one = merged()
             yield pa.RecordBatch.from_arrays([pa.array(one[0].view(np.int64)), pa.array(one[1])], names=["h", "n"])
+        trimmed()
 
     found = rows.where("NOT held").select("text").mapInArrow(run, "h long, n long")
     return written(found.groupBy("h").agg(F.sum("n").alias("n")), "unigrams")
@@ -201,6 +202,7 @@ def blocks(rows: DataFrame, parts: int, heavy: np.ndarray, first: int, last: int
                     names=["p", "block", "data", "docs"],
                 )
                 number += 1
+        trimmed()
 
     return rows.select("d", "th", "held", "text").mapInArrow(run, "p int, block long, data binary, docs binary")
 
@@ -304,7 +306,10 @@ def scored(docs: DataFrame) -> DataFrame:
                 out.append({"kind": np.full(len(k), 3), "h": np.arange(1, len(k) + 1), "n": k})
         schema = pa.schema([(n, pa.int32() if n == "kind" else pa.float64() if n == "single" else pa.binary() if n in ("data", "docs") else pa.int64()) for n in names])
         tables = [pa.Table.from_arrays([pa.array(x[n], schema.field(n).type) if n in x else pa.nulls(len(x["kind"]), schema.field(n).type) for n in names], schema=schema) for x in out]
-        return pa.concat_tables(tables) if tables else schema.empty_table()
+        found = pa.concat_tables(tables) if tables else schema.empty_table()
+        del group, out, tables
+        trimmed()
+        return found
 
     back = None
     for k in range(PASSES):

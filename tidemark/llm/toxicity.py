@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -138,16 +139,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.logistic, -30, 30)))
 
 
-def contexts(texts: list[str]) -> tuple[dict[str, int], int]:
-    """For each word the number of different pairs of neighbours, and the number of words in all."""
-    seen: dict[str, set[int]] = {}
-    total = 0
+def counted(texts: list[str]) -> Counter[str]:
+    """How often each word stands in the texts."""
+    out: Counter[str] = Counter()
+    for text in texts:
+        out.update(units(text))
+    return out
+
+
+def contexts(texts: list[str], words: set[str]) -> dict[str, int]:
+    """For each of the words the number of different pairs of neighbours: copies of a text add nothing."""
+    seen: dict[str, set[int]] = {w: set() for w in words}
     for text in texts:
         own = units(text)
-        total += len(own)
         for before, word, after in zip(["", *own], own, [*own[1:], ""], strict=False):
-            seen.setdefault(word, set()).add(hash((before, after)))
-    return {w: len(c) for w, c in seen.items()}, total
+            if word in seen:
+                seen[word].add(hash((before, after)))
+    return {w: len(c) for w, c in seen.items()}
 
 
 def machine(features: np.ndarray, sign: np.ndarray, cost: float = 10.0) -> np.ndarray:
@@ -194,10 +202,13 @@ def train(toxic: list[str], clean: list[str], counts: tuple[int, int]) -> Model:
     nothing = Model(np.zeros(SIZE), -1.0, np.array([prior, 0.0, 0.0]))
     if not toxic or not clean:
         return nothing
-    (bad, n_bad), (good, n_good) = contexts(toxic), contexts(clean)
-    expected = {w: (good.get(w, 0) + 0.5) / max(1, n_good) * n_bad for w in bad}
-    strong = {w: (c - expected[w]) / np.sqrt(expected[w] + 1) for w, c in bad.items() if c >= 3 and 3 <= len(w) <= WINDOW and c >= 4 * expected[w]}
-    mined = sorted((w for w in strong if strong[w] >= 2.5), key=lambda w: (-strong[w], w))[:LANDMARKS]
+    bad, good = counted(toxic), counted(clean)
+    times = sum(bad.values()) / max(1, sum(good.values()))
+    expected = {w: (good[w] + 0.5) * times for w, c in bad.items() if c >= 3 and 3 <= len(w) <= WINDOW and c >= 4 * (good[w] + 0.5) * times}
+    strong = {w: (c - expected[w]) / np.sqrt(expected[w] + 1) for w, c in contexts(toxic, set(expected)).items() if c >= 3 and c >= 4 * expected[w]}
+    # where there are words that stand out, weak ones are chance
+    least = max(2.5, min(4.5, 0.2 * max(strong.values(), default=0.0)))
+    mined = sorted((w for w in strong if strong[w] >= least), key=lambda w: (-strong[w], w))[:LANDMARKS]
     if not mined:
         return nothing
     base = dense(mined)
@@ -236,7 +247,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     some = F.broadcast(own.where(place < share))
     texts = docs.where(F.col("text").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "text").join(some, "doc_id")
     rows = sorted((r["doc_id"], r["toxic"], r["text"]) for r in texts.collect())
-    return train([t for _, x, t in rows if x == 1], [t for _, x, t in rows if x == 0], n)
+    model = train([t for _, x, t in rows if x == 1], [t for _, x, t in rows if x == 0], n)
+    del rows
+    trimmed()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
