@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, trimmed, written
+from tidemark.llm.common import slices, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Words after which a worker starts to forget those it met longest ago, and characters of the longest word that it remembers.
-REMEMBERED, SHORT = 250_000, 64
+REMEMBERED, SHORT = 450_000, 64
 #: A word without white space but for a blank before it.
 PLAIN = re.compile(r" ?\S+").fullmatch
 #: The parts of a text whose only white space are blanks and line ends, each between other characters; other white space.
@@ -87,7 +87,10 @@ class Words:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {"\n": self.line_end.tobytes()}, self.known
         known, older = self.known, self.older
-        missing = set().union(*cut).difference(known)
+        found = [list(map(known.get, parts)) for parts in cut]
+        missing = {p for parts, ids in zip(cut, found, strict=True) if None in ids for p, x in zip(parts, ids, strict=True) if x is None}
+        if not missing:
+            return [b"".join(ids) for ids in found]
         again = missing & older.keys()
         known.update((w, older[w]) for w in again)
         once, new = {}, list(missing - again)
@@ -95,9 +98,7 @@ class Words:
             some = new[a : a + 8192]
             for w, ids in zip(some, self.fresh(some), strict=True):
                 (known if len(w) <= SHORT else once)[w] = ids
-        if not once:
-            return [b"".join(map(known.__getitem__, parts)) for parts in cut]
-        return [b"".join([known[p] if p in known else once[p] for p in parts]) for parts in cut]
+        return [b"".join(ids) if None not in ids else b"".join([x if x is not None else known[p] if p in known else once[p] for p, x in zip(parts, ids, strict=True)]) for parts, ids in zip(cut, found, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -125,7 +126,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, end: int, size: int) -> DataFra
                     out.append((doc, k, start, stop - start, ids[4 * start : 4 * stop]))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids"])
-        trimmed()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
