@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, written
+from tidemark.llm.common import slices, trimmed, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Words after which a worker starts to forget those it met longest ago, and characters of the longest word that it remembers.
@@ -126,6 +126,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end: int, size: int) -> DataFra
                     out.append((doc, k, start, stop - start, ids[4 * start : 4 * stop]))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids"])
+        words(tokenizer_path).older = {}
+        trimmed()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
