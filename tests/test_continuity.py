@@ -103,3 +103,12 @@ def test_retries_conflicts_and_leases():
     assert state.accept(frame("s", 1, [record("b")]), 2)["status"] == 8
     assert state.accept(frame("t", 1, [record("b")]), 3)["status"] == 9
     assert state.accept(frame("t", 1, [record("b", 2000)]), 99)["status"] == 1
+
+
+def test_retries_of_any_age():
+    state = State()
+    sent = [frame("s", k, [record("a", 1000 + k)]) for k in range(1, 4200)]
+    last = [state.accept(x, 0) for x in sent][-1]
+    again, altered = state.accept(sent[0], 1), state.accept(frame("s", 2, [record("b", 9000)]), 2)
+    assert (again["status"], altered["status"]) == (3, 8)
+    assert all(x[n] == last[n] for x in (again, altered) for n in ("sequence", "cursor", "digest", "entry_hash"))

@@ -145,6 +145,24 @@ def test_stream_equals_batch(spark, tmp_path):
     assert gateway.metrics(expected).count() >= 1
 
 
+def test_stream_knows_batches_of_any_age(spark, tmp_path):
+    """Retries and an altered resend, each in a later micro-batch, after more batches than the stream once remembered."""
+    row = {"time": 1, "volume": 1, "flags": 0, "capture_sequence": 1} | {n: 1 for n in ("bid_bits", "ask_bits", "last_bits", "volume_real_bits")}
+    base = C.decode_message(bytes(E.frames(spark, SF).first()["frame"]))[1]
+    send = lambda k, more=0: C.encode_message("BATCH", base | {"batch_sequence": k, "returned_count": 1, "copy_ticks_error": 0, "records": [row | {"time_msc": 1000 + k + more}]})
+    numbers = [(k, 0) for k in range(1, 4200)]
+    for n, some in enumerate((numbers, [(1, 0), (4199, 0)], [(2, 9000)])):
+        rows = [("s", 10_000 * n + i, 0, bytearray(send(k, more))) for i, (k, more) in enumerate(some)]
+        spark.createDataFrame(rows, "scope string, arrival long, now long, frame binary").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema("scope string, arrival long, now long, frame binary").parquet(f"{tmp_path}/in")
+        q = gateway.acknowledge_stream(source).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        assert q.awaitTermination(120)
+    got = spark.read.parquet(f"{tmp_path}/out")
+    want = gateway.acknowledge(spark.read.parquet(f"{tmp_path}/in"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert [r["status"] for r in got.orderBy("arrival").collect()][-3:] == [3, 3, 8]
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7])
 def test_roots_do_not_depend_on_partitions(spark, parts):
     before = spark.conf.get("spark.sql.shuffle.partitions")

@@ -1,19 +1,21 @@
 """Live ingestion: accepting batches once, in order, with a cursor, as a batch fold and as a stateful stream.
 
 Both run the same step, so a stream can be checked against a rerun over the log. The state of a scope is
-one small record; the hashes of accepted batches are kept for as long as retries can come.
+one small record. The hash of every accepted batch is kept, however late its retry comes: in the fold in a
+dictionary, in the stream as one entry a batch of keyed map state, of which only what a batch asks for is read.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from dataclasses import asdict, dataclass, field
+from collections.abc import Iterator, MutableMapping
+from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions import codec as C
 from tidemark.functions import domains as D
@@ -36,8 +38,7 @@ class State:
     session: str = ""
     lease_until: int = 0
     lease_s: int = 30
-    accepted: dict[str, str] = field(default_factory=dict)
-    kept: int = 4096
+    accepted: MutableMapping[str, str] = field(default_factory=dict)
 
     def outcome(self, batch: dict) -> int:
         """Move the cursor for a batch that is new, and give its status."""
@@ -76,8 +77,6 @@ class State:
         else:
             status = self.outcome(batch)
             self.accepted[key] = own
-            while len(self.accepted) > self.kept:
-                del self.accepted[next(iter(self.accepted))]
             self.sequence += 1
             self.entry_hash = C.entry_hash(self.sequence, bytes.fromhex(self.entry_hash), now, 0, bytes.fromhex(own), frame).hex()
         return {"session": batch["producer_session_id"], "batch_sequence": batch["batch_sequence"], "sequence": self.sequence, "status": status, "cursor": self.cursor, "next_count": self.count, "digest": self.digest, "entry_hash": self.entry_hash}
@@ -93,15 +92,59 @@ def acknowledge(frames: DataFrame, **start: int) -> DataFrame:
     return frames.groupBy("scope").applyInPandas(lambda group: fold(group, State(**start)), ACKS)
 
 
-def acknowledge_stream(frames: DataFrame, **start: int) -> DataFrame:
-    """The same of a stream; the state of a scope survives in the stream's checkpoint."""
+class Hashes(MutableMapping):
+    """Hashes of accepted batches in the map state of a stream."""
+
+    def __init__(self, state: Any) -> None:
+        self.state = state
+
+    def __contains__(self, key: object) -> bool:
+        return self.state.containsKey((key,))
+
+    def __getitem__(self, key: str) -> str:
+        if key not in self:
+            raise KeyError(key)
+        return self.state.getValue((key,))[0]
+
+    def __setitem__(self, key: str, value: str) -> None:
+        self.state.updateValue((key,), (value,))
+
+    def __delitem__(self, key: str) -> None:
+        self.state.removeKey((key,))
+
+    def __iter__(self) -> Iterator[str]:
+        return (key for (key,) in self.state.keys())
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-        own = State(**json.loads(state.get[0])) if state.exists else State(**start)
-        yield fold(pd.concat(list(batches)), own)
-        state.update((json.dumps(asdict(own)),))
 
-    return frames.groupBy("scope").applyInPandasWithState(step, ACKS, "state string", "append", "NoTimeout")
+class Gateway(StatefulProcessor):
+    """The step of a stream: the small record of a scope is read and written whole, hashes one by one."""
+
+    def __init__(self, start: dict[str, int]) -> None:
+        self.start = start
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.record = handle.getValueState("record", "state string")
+        self.hashes = handle.getMapState("accepted", "batch string", "hash string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        own = State(**json.loads(self.record.get()[0]) if self.record.exists() else self.start)
+        own.accepted = Hashes(self.hashes)
+        yield fold(pd.concat(list(rows)), own)
+        fields = asdict(replace(own, accepted={}))
+        del fields["accepted"]
+        self.record.update((json.dumps(fields),))
+
+    def close(self) -> None:
+        pass
+
+
+def acknowledge_stream(frames: DataFrame, **start: int) -> DataFrame:
+    """The same of a stream; the state of a scope survives in the stream's checkpoint. Sets the session's state store to RocksDB, which keyed map state needs."""
+    frames.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return frames.groupBy("scope").transformWithStateInPandas(Gateway(start), ACKS, "append", "None")
 
 
 def metrics(acks: DataFrame) -> DataFrame:
