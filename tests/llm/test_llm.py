@@ -429,6 +429,25 @@ def test_top_k_by_brute_force(spark):
     assert [tuple(r) for r in bitsliced.neighbours(few).collect()] == [(0, 1, 1, 1024 * 2048)]
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(9)
+    big = {k: np.append([0, 0], rng.integers(-(2**18), 2**18, 6) * 2.0 ** rng.integers(-5, 2)) for k in range(300)}
+    big |= {300: np.array([1e5]), 301: np.array([-(2.0**53)]), 302: np.array([0, 2.0**52]), 303: np.array([7e4, 1]), 400: np.array([0, 2.0**-10, 0.5])}
+    big = {k: np.pad(v, (0, 8 - len(v))) for k, v in big.items()}
+    table = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in big.items()], "vec_id long, embedding array<double>")
+    exact = {k: [int(np.floor(1024 * c)) for c in v] for k, v in big.items()}
+    want = set()
+    for q in (0, 100, 200, 300, 400):
+        ranked = sorted((-sum(a * b for a, b in zip(exact[q], v, strict=True)), k) for k, v in exact.items() if k != q)[:10]
+        want |= {(q, n, k, -s) for n, (s, k) in enumerate(ranked, 1) if -s < 2**63}
+    assert len(want) == 50 and max(w[3] for w in want) > 2**53
+    assert set(map(tuple, bitsliced.neighbours(table).collect())) == want
+    for other in (1e17, -1e17):
+        two = spark.createDataFrame([(0, [1e10]), (1, [other / 1024])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="no long"):
+            bitsliced.neighbours(two).collect()
+
+
 def test_top_k_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(bitsliced, "ROWS", 90)
     monkeypatch.setattr(bitsliced, "QUERIES", 2)
