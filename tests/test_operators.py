@@ -1,5 +1,7 @@
 """Operators on small tables: decisions, retention, health, reading, streaming."""
 
+from zlib import crc32
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def test_queries_without_sql_run(spark, name):
     assert catalogue.QUERIES[name](spark, SF).count() > 0
 
 
+def test_queries_cover_the_whole_table(spark):
+    events = [(r["event_type"], r["event_id"]) for r in spark.read.parquet(f"{SF}/events.parquet").select("event_type", "event_id").collect()]
+    found = catalogue.QUERIES["selected_ranges_by_symbol"](spark, SF)
+    assert found.agg(F.sum(F.col("last_ordinal") - F.col("first_ordinal") + 1)).first()[0] == len(events) and found.select("symbol").distinct().count() == len({s for s, _ in events}) > 1
+    bound = catalogue.QUERIES["raw_binding_all"](spark, SF)
+    assert bound.count() == catalogue.QUERIES["list_raw_snapshots"](spark, SF).count()
+    assert bound.where("bound").count() == bound.select("day").distinct().count()
+    want = set()
+    for symbol, event in events:
+        h = crc32(f"object-{event}".encode())
+        kind = "orphan" if not h % 7 and h % 5 else "missing" if h % 7 and not h % 5 else "duplicate" if h % 7 and not h % 11 else None
+        want |= {(symbol, f"object-{event}", kind)} if kind else set()
+    assert set(map(tuple, catalogue.QUERIES["orphan_missing_objects"](spark, SF).select("symbol", "object_id", "kind").collect())) == want
+
+
 def test_native_matches_codec(spark):
     values = [0, 1, 255, 2**31, 2**63 - 1, -1, -(2**63)]
     rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", N.little(F.col("v"), 8).alias("b"), N.little(F.col("v"), 4).alias("c")).collect()

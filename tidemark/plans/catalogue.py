@@ -35,6 +35,12 @@ def selected_ranges(spark, sf):
     return selection.ranges(E.ticks(spark, sf).where("symbol = 'view'"))
 
 
+@query
+def selected_ranges_by_symbol(spark, sf):
+    """The ranges of every symbol, not of one as in selected_ranges."""
+    return selection.ranges(E.ticks(spark, sf), "symbol").select("symbol", "day", "sequence", "first_ordinal", "last_ordinal")
+
+
 @query
 def payload_fingerprint(spark, sf):
     return E.fingerprints(spark, sf).select("event_id", N.hexed(F.col("fingerprint")).alias("fingerprint"))
@@ -200,7 +206,7 @@ def exactly_one_binding(spark, sf):
 
 @query
 def orphan_missing_objects(spark, sf):
-    rows = E.ticks(spark, sf).select("symbol", F.concat(F.lit("object-"), (F.col("event_id") % 400).cast("string")).alias("object_id")).distinct()
+    rows = E.ticks(spark, sf).select("symbol", F.concat(F.lit("object-"), F.col("event_id").cast("string")).alias("object_id")).distinct()
     expected = rows.where(F.crc32(F.col("object_id").cast("binary")) % 7 != 0)
     observed = rows.where(F.crc32(F.col("object_id").cast("binary")) % 5 != 0)
     twice = observed.where(F.crc32(F.col("object_id").cast("binary")) % 11 == 0)
@@ -214,11 +220,21 @@ def journal_differences(spark, sf):
     return chains.reconciled(journal, log.where("sequence % 19 <> 0"), ["sequence"], ["entry_hash", "records"])
 
 
+def _bound(revisions, replays):
+    raw = selection.latest(revisions, "day").select("day", F.col("digest").alias("raw_digest"))
+    replay = replays.select("day", F.col("revision").alias("replay_revision"), F.col("digest").alias("raw_digest"))
+    return replay.join(raw.withColumn("bound", F.lit(True)), ["day", "raw_digest"], "left").select("day", "replay_revision", F.coalesce("bound", F.lit(False)).alias("bound"))
+
+
 @query
 def raw_binding(spark, sf):
-    raw = selection.latest(_revisions(spark, sf), "day").select("day", F.col("digest").alias("raw_digest"))
-    replay = _revisions(spark, sf).where("revision <= 2").select("day", F.col("revision").alias("replay_revision"), F.col("digest").alias("raw_digest"))
-    return replay.join(raw.withColumn("bound", F.lit(True)), ["day", "raw_digest"], "left").select("day", "replay_revision", F.coalesce("bound", F.lit(False)).alias("bound"))
+    return _bound(_revisions(spark, sf), _revisions(spark, sf).where("revision <= 2"))
+
+
+@query
+def raw_binding_all(spark, sf):
+    """The replays of all revisions, not of the first two of a day as in raw_binding."""
+    return _bound(_revisions(spark, sf), _revisions(spark, sf))
 
 
 @query

@@ -64,6 +64,8 @@ ORACLE["day_selection"] = f"""WITH {BASE} SELECT day, count(*) AS accepted, coun
   min(sequence) AS first_sequence, max(sequence) AS last_sequence, min_by(previous_hash, sequence) AS start_root, max_by(entry_hash, sequence) AS end_root FROM ticks GROUP BY day"""
 ORACLE["selected_ranges"] = f"""WITH {BASE}, v AS (SELECT day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY day, sequence ORDER BY ordinal) AS run FROM ticks WHERE symbol = 'view')
 SELECT day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY day, sequence, run"""
+ORACLE["selected_ranges_by_symbol"] = f"""WITH {BASE}, v AS (SELECT symbol, day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY symbol, day, sequence ORDER BY ordinal) AS run FROM ticks)
+SELECT symbol, day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY symbol, day, sequence, run"""
 ORACLE["payload_fingerprint"] = f"WITH {PRINTS} SELECT event_id, lower(hex(fingerprint)) AS fingerprint FROM prints"
 ORACLE["observation_hash"] = f"WITH {PRINTS} SELECT event_id, {sha(raw(D.OBSERVATION), text("'producer'"), text("('session-' || volume)"), le('sequence', 8), le('ordinal', 4), le('capture_sequence', 8), 'fingerprint')} AS observation FROM prints"
 ORACLE["batch_sha256"] = f"WITH {PRINTS} SELECT sequence, {sha(raw(D.BATCH), joined('record', 'ordinal'))} AS batch_sha256 FROM prints GROUP BY sequence"
@@ -99,6 +101,7 @@ ORACLE["journal_differences"] = f"""WITH {BASE}, b AS (SELECT sequence, count(*)
 SELECT sequence, CASE WHEN sequence % 19 = 0 THEN 'journal_only' WHEN sequence % 13 = 0 THEN 'log_only' ELSE 'differs' END AS difference FROM b
 WHERE (sequence % 19 = 0 AND sequence % 13 <> 0) OR (sequence % 13 = 0 AND sequence % 19 <> 0) OR (sequence % 17 = 0 AND sequence % 13 <> 0 AND sequence % 19 <> 0)"""
 ORACLE["raw_binding"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day) WHERE revision <= 2"""
+ORACLE["raw_binding_all"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day)"""
 ORACLE["scope_collisions"] = f"""WITH {BASE}, u AS (SELECT DISTINCT volume AS u FROM ticks),
 s AS (SELECT 'scope-' || u AS scope, CASE WHEN u % 40 = 0 THEN 0 ELSE u END AS k, CASE WHEN u % 50 = 3 THEN 3 ELSE u END AS p, '/data/' || CASE WHEN u % 60 = 7 THEN '5/' || u ELSE u::VARCHAR END AS d FROM u)
 SELECT a.scope AS left, b.scope AS right, 'scope_key' AS shared FROM s a JOIN s b ON a.k = b.k AND a.scope < b.scope
