@@ -223,6 +223,18 @@ def test_manifests_and_reader(spark, tmp_path):
         catalog.manifests(spark, str(tmp_path), D.REPLAY_DAY).count()
 
 
+def test_manifest_by_digest_and_health(spark):
+    table = lambda *rows: spark.createDataFrame(rows, "digest string, path string")
+    a, b, c = ("a" * 64, "b" * 64, "c" * 64)
+    archive = catalog.Archive(table(("s", "p")), table((a, "raw"), (b, "x"), (b, "y")), table((a, "replay"), (b, "replay"), (c, "replay")))
+    handle = catalog.api(archive, health=lambda: {"status": "healthy"})
+    of = lambda d, q=None: handle(f"/v1/manifests/{d}", q or {})
+    assert [of(d)[1]["items"][0]["path"] for d in (a, c)] == ["raw", "replay"]
+    assert [of(b)[0], of("d" * 64)[0], of("d")[0], of("0" * 64)[0], of(a, {"x": ["1"]})[0]] == [409, 404, 400, 400, 400]
+    assert handle("/v1/health", {}) == (200, {"items": [{"status": "healthy"}], "next_cursor": None})
+    assert handle("/v1/health", {"x": ["1"]})[0] == 400 and catalog.api(archive)("/v1/health", {})[0] == 502
+
+
 def test_rank_without_one_task(spark):
     rows = spark.range(0, 300_000, 3)
     got = chains.ranked(rows, "id", "rank", width=1000)

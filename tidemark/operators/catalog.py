@@ -96,6 +96,15 @@ class Archive:
         by = "digest" if DIGEST.fullmatch(selector) else "path"
         return only(self.raw.where((F.col("dataset_id") == dataset) & (F.col(by) == selector)))
 
+    def manifest(self, digest: str) -> dict[str, Any]:
+        """The manifest of a digest: raw first, then replay. Several raw ones are a conflict, which a replay one does not mask."""
+        try:
+            return only(self.raw.where(F.col("digest") == digest))
+        except ReadError as bad:
+            if bad.code != "not_found" or self.replay is None:
+                raise
+        return only(self.replay.where(F.col("digest") == digest))
+
     def resolve_replay(self, dataset: str, date: str, revision: int | None = None, digest: str | None = None) -> dict[str, Any]:
         """The replay manifest of a revision or of a digest, not both, else the newest."""
         if revision is not None and digest is not None:
@@ -171,8 +180,8 @@ def verify_replay(stream: DataFrame, parts: DataFrame, manifest: dict[str, Any])
     }
 
 
-def api(archive: Archive, most: int = 1000) -> Callable[[str, dict[str, list[str]]], tuple[int, dict]]:
-    """A request handler (path, query) -> (status, body) over an archive; a server of any kind can call it."""
+def api(archive: Archive, most: int = 1000, health: Callable[[], dict[str, Any]] | None = None) -> Callable[[str, dict[str, list[str]]], tuple[int, dict]]:
+    """A request handler (path, query) -> (status, body) over an archive; a server of any kind can call it. health gives its state."""
     routes: dict[str, tuple[set[str], set[str], Callable[[dict[str, str]], DataFrame]]] = {
         "/v1/datasets": (set(), set(), lambda q: archive.datasets()),
         "/v1/scopes": ({"dataset"}, set(), lambda q: archive.list_scopes(q["dataset"])),
@@ -183,6 +192,15 @@ def api(archive: Archive, most: int = 1000) -> Callable[[str, dict[str, list[str
 
     def handle(path: str, query: dict[str, list[str]]) -> tuple[int, dict]:
         try:
+            if path.startswith("/v1/manifests/"):
+                digest = strict_query({"manifest": [path.removeprefix("/v1/manifests/")]}, {"manifest"})["manifest"]
+                strict_query(query, set())
+                return 200, {"items": [archive.manifest(digest)], "next_cursor": None}
+            if path == "/v1/health":
+                strict_query(query, set())
+                if health is None:
+                    raise ReadError("unavailable", "no health source")
+                return 200, {"items": [health()], "next_cursor": None}
             if path not in routes:
                 raise ReadError("not_found", path)
             required, optional, rows = routes[path]
