@@ -151,6 +151,25 @@ def test_search_only_improves():
             assert len(after) <= len(before) and sum(int(lengths[b].sum()) ** 2 for b in after) >= sum(int(lengths[b].sum()) ** 2 for b in before)
 
 
+def test_search_ends_without_an_exchange():
+    rng = np.random.default_rng(4)
+    for n in (60, 3000):
+        lengths = rng.integers(200, 500, n)
+        bins = packing.improve([[k] for k in range(n)], lengths, 1024)
+        fill = [int(lengths[b].sum()) for b in bins]
+        if len(bins) == -(-int(lengths.sum()) // 1024):
+            continue
+        richest = collections.defaultdict(list)  # of each length, bins that hold it
+        for at, b in enumerate(bins):
+            for length in {int(lengths[r]) for r in b}:
+                richest[length].append(at)
+        for at, b in enumerate(bins):
+            own = [int(lengths[r]) for r in b]
+            sums = {*own, *(x + y for k, x in enumerate(own) for y in own[:k])}
+            assert not any(fill[to] >= fill[at] and fill[to] + x <= 1024 for x in own for to in range(len(bins)) if to != at and fill[to] < 1024)
+            assert not any(0 < x - length <= 1024 - fill[to] and fill[to] >= fill[at] for x in sums for length, places in richest.items() for to in places if to != at)
+
+
 # 3
 
 

@@ -8,6 +8,7 @@ are separate pieces. Empty tables give empty results; other columns are not carr
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -155,12 +156,12 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, size: int, steps: int = 2000) -> list[list[int]]:
+def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
     """The bins after moves and one-for-one and two-for-one swaps between underfull bins.
 
     Each step takes from the emptiest bin and makes a fuller one fuller, so the sum of squared fills
-    grows with every step and the search ends. It stops when no step is left, when as few bins are
-    left as their sum allows, or after the given number of steps.
+    grows with every step and the search ends. It stops when no step is left or when as few bins are
+    left as their sum allows. Swaps try every piece and every pair of the donor, by the lengths of both sides.
     """
     total = int(lengths.sum())
     least = -(-total // size)
@@ -170,7 +171,7 @@ def improve(bins: list[list[int]], lengths: np.ndarray, size: int, steps: int =
     flat = [(int(lengths[r]), k, r) for k, b in enumerate(work) for r in b]
     item, home, rows = (np.array(x, np.int64) for x in zip(*flat, strict=True)) if flat else (np.zeros(0, np.int64),) * 3
     place = {int(r): i for i, r in enumerate(rows)}
-    alive, stuck = len(work), np.zeros(len(work), bool)
+    alive, stuck, stepped = len(work), np.zeros(len(work), bool), False
 
     def put(i: int, to: int) -> None:
         frm = int(home[i])
@@ -180,12 +181,13 @@ def improve(bins: list[list[int]], lengths: np.ndarray, size: int, steps: int =
         work[to].append(int(rows[i]))
         home[i] = to
 
-    for _ in range(steps):
-        if alive + len(full) <= least:
-            break
+    while alive + len(full) > least:
         ready = np.flatnonzero((fill > 0) & ~stuck)
-        if len(ready) < 2:
-            break
+        if not len(ready):
+            if not stepped:
+                break
+            stuck[:], stepped = False, False  # once more round: a step may have made room for a stuck donor
+            continue
         donor = int(ready[np.argmin(fill[ready])])
         own = sorted((place[r] for r in work[donor]), key=lambda i: -item[i])
         gap = np.where((fill > 0) & (np.arange(len(fill)) != donor), size - fill, 0)
@@ -198,26 +200,29 @@ def improve(bins: list[list[int]], lengths: np.ndarray, size: int, steps: int =
                 done = True
                 break
         if not done:
-            room = gap[home]  # of the bin where each piece lies
-            best = (0, None, None, None)
-            two = [(own[0], own[1])] if len(own) > 1 else []
-            for group in [*((i,) for i in own[:8]), *two, *([(own[-2], own[-1])] if len(own) > 2 else [])]:
-                gain = sum(int(item[i]) for i in group) - item
-                ok = np.flatnonzero((gain > 0) & (gain <= room) & richer[home] & (home != donor))
-                if len(ok):
-                    j = int(ok[np.argmax(gain[ok])])
-                    if gain[j] > best[0]:
-                        best = (int(gain[j]), group, j, int(home[j]))
-            if best[1] is not None:
-                _, group, j, to = best
+            others = richer[home] & (home != donor)
+            room = np.zeros(size + 1, np.int64)  # the most room of a bin that holds a piece of each length
+            np.maximum.at(room, item[others], gap[home[others]])
+            groups: dict[int, tuple[int, ...]] = {}
+            for n in (1, 2):
+                for group in itertools.combinations(own, n):
+                    groups.setdefault(sum(int(item[i]) for i in group), group)
+            sums, kinds = np.array(sorted(groups), np.int64), np.flatnonzero(room)
+            gain = sums[:, None] - kinds
+            gain[(gain <= 0) | (gain > room[kinds])] = 0
+            if gain.any():
+                s, k = np.unravel_index(int(np.argmax(gain)), gain.shape)
+                j = int(np.flatnonzero(others & (item == kinds[k]) & (gap[home] >= gain[s, k]))[0])
+                to = int(home[j])
                 put(j, donor)
-                for i in group:
+                for i in groups[int(sums[s])]:
                     put(i, to)
                 done = True
         if not done:
             stuck[donor] = True
-        elif fill[donor] == 0:
-            alive -= 1
+            continue
+        stepped = True
+        alive -= int(fill[donor] == 0)
     return full + [b for b in work if b]
 
 
