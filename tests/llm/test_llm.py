@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -173,38 +174,43 @@ def test_search_ends_without_an_exchange():
 # 3
 
 
-def katz_by_hand(rows):
+def katz_by_hand(rows, order=3):
     """rows: (doc_id, text). Scores by the definition, with dictionaries."""
     token = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["</s>"]
     held = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
-    texts = [["<s>", *token(t)] for _, t in rows]
-    one, two, context = collections.Counter(), collections.Counter(), collections.Counter()
+    texts = [["<s>"] * (order - 1) + token(t) for _, t in rows]
+    counts, context = ([collections.Counter() for _ in range(order + 1)] for _ in range(2))
     for h, t in zip(held, texts, strict=True):
-        if not h:
-            one.update(t[1:])
-            two.update(zip(t, t[1:], strict=False))
-            context.update(t[:-1])
-
-    def discounts(counts):
-        types = collections.Counter(counts.values())
-        return katz.Discounts({r: types[r] for r in range(1, 7)})
-
-    d1, d2, total = discounts(one), discounts(two), sum(one.values())
-    mass = lambda d, c: float(d.mass(np.array([c]))[0])
-    left = 1 - sum(mass(d1, c) for c in one.values()) / total if total else 1.0
-    single = lambda w: mass(d1, one[w]) / total if one[w] else left
-    follow = collections.defaultdict(list)
-    for (h, w), c in two.items():
-        follow[h].append((w, c))
-    weight = {h: (1 - sum(mass(d2, c) for _, c in f) / context[h]) / (1 - sum(single(w) for w, _ in f)) for h, f in follow.items()}
-    for h, f in list(follow.items())[:50]:  # each history's distribution sums to one
-        inside = {w for w, _ in f}
-        assert abs(sum(mass(d2, c) for _, c in f) / context[h] + weight[h] * (sum(single(w) for w in one if w not in inside) + left) - 1) < 1e-9
+        for i in () if h else range(order - 1, len(t)):
+            for n in range(1, order + 1):
+                counts[n][tuple(t[i - n + 1 : i + 1])] += 1
+                context[n][tuple(t[i - n + 1 : i])] += 1
+    total, discounts, follow = context[1][()], [None], [None]
+    for n in range(1, order + 1):
+        types = collections.Counter(counts[n].values())
+        discounts.append(katz.Discounts({r: types[r] for r in range(1, 7)}))
+        follow.append(collections.defaultdict(list))
+        for gram, r in counts[n].items():
+            follow[n][gram[:-1]].append((gram, r))
+    mass = lambda n, r: float(discounts[n].mass(np.array([r]))[0])
+    size = functools.cache(lambda n, h: context[n][h] + all(r > 5 for _, r in follow[n][h]))
+    left = functools.cache(lambda n, h: 1 - sum(mass(n, r) for _, r in follow[n][h]) / size(n, h))
+    weight = functools.cache(lambda n, h: left(n, h) / (1 - sum(prob(n - 1, g[1:]) for g, _ in follow[n][h])))
+
+    def prob(n, gram):
+        if counts[n][gram]:
+            return mass(n, counts[n][gram]) / size(n, gram[:-1])
+        if n == 1:
+            return left(1, ()) if total else 1.0
+        return (weight(n, gram[:-1]) if context[n][gram[:-1]] else 1.0) * prob(n - 1, gram[1:])
+
+    for h in list(follow[order])[:20]:  # each history's distribution sums to one
+        assert abs(sum(prob(order, (*h, *w)) for w in counts[1]) + prob(order, (*h, None)) - 1) < 1e-9
     out = []
     for (d, _), h, t in zip(rows, held, texts, strict=True):
-        base = sum(math.log10((one[w] + 0.1) / (total + 0.1 * (len(one) + 1))) for w in t[1:])
-        score = sum(math.log10(mass(d2, two[a, w]) / context[a] if two[a, w] else weight.get(a, 1.0) * single(w)) for a, w in zip(t, t[1:], strict=False))
-        out.append((d, h, len(t) - 1, sum(one[w] > 0 for w in t[1:]), total, base, score))
+        own = range(order - 1, len(t))
+        base = sum(math.log10((counts[1][(t[i],)] + 0.1) / (total + 0.1 * (len(counts[1]) + 1))) for i in own)
+        out.append((d, h, len(own), sum(counts[1][(t[i],)] > 0 for i in own), total, base, sum(math.log10(prob(order, tuple(t[i - order + 1 : i + 1]))) for i in own)))
     return out
 
 
@@ -215,9 +221,23 @@ def same_scores(got, want):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-8)
 
 
-def test_katz_by_definition(spark, docs):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz_by_definition(spark, docs, monkeypatch, order):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
-    same_scores(katz.scored(docs).collect(), katz_by_hand(rows))
+    want = katz_by_hand(rows, order)
+    same_scores(katz.scored(docs, order).collect(), want)
+    if order == 3:  # with many partitions, and frequent histories whose n-grams are dealt by themselves
+        monkeypatch.setattr(katz, "HOT", 50)
+        monkeypatch.setattr(katz, "ENTRIES", 10_000)
+        same_scores(katz.scored(docs.repartition(3), order).collect(), want)
+
+
+def test_katz_frequent_histories_leave_something(spark):
+    rows = [(d, "a b c" if d % 2 else "a b d") for d in range(60)] + [(100, "a b"), (1000, "b e a a c")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = katz.scored(table).collect()
+    same_scores(got, katz_by_hand(rows))
+    assert all(math.isfinite(r["score"]) for r in got)
 
 
 def test_katz_odd_rows(spark):

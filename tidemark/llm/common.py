@@ -5,8 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -17,11 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Makes Spark delete the shuffle files of a statement when the statement ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidemark-scratch"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -32,10 +34,21 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: its lineage ends in files that survive a lost executor."""
+    """df written to the shared folder and read again: its lineage ends in files that survive a lost executor.
+
+    Nothing reads the statement's shuffle files again, so they go when it ends.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,14 +60,6 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of DataFrames that are no longer used; else they stay until the driver happens to collect its garbage."""
-    for _ in range(2):  # the second time for what only the first one let go
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def trimmed() -> None:
     """Give the memory that a worker no longer uses back to the system; workers are kept for the next stage."""
     gc.collect()

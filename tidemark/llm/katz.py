@@ -1,42 +1,46 @@
-"""Katz backoff language model: Good-Turing discounted bigram and unigram counts, exactly normalised.
-
-A text is its words (lower-cased A-Z, between ASCII white space) and one end. With r the training count
-of a bigram and c that of its history, a token's probability is d(r) r / c if r > 0, else the history's
-backoff weight times the token's own discounted probability; an unknown token has what the discounts of
-the single tokens leave, and after an unknown history the weight is 1. The weight of a history is what
-its discounts leave over what its followers leave of the single tokens' probabilities, so each history's
-distribution sums to one. Counts up to GOOD are discounted by Good and Turing, larger ones by TAIL each.
-
-The text decides all of a row's figures; a null text is an empty one, a null doc_id is never held out.
-Rows that repeat an id and a text have the same figures. Without training rows all tokens are unknown
-and the score is 0. Only doc_id and text are read. Words are told apart by 64-bit hashes.
-
-Counting and scoring share a shuffle: blocks of documents send, to the partition of each token's word,
-packed arrays of the word, its histories and the documents where they meet. A partition thus has all
-that is needed of its words' counts. It sends back sums for each block's documents, counts of counts,
-and what it knows of each history, from which the table of backoff weights is made; the tokens that
-backed off are joined to it. A word that holds much of the corpus is dealt by its history too, and its
-own count, found beforehand, is sent along; there are at most HEAVY times as many such words as
-partitions.
+"""Katz backoff language model: Good-Turing discounted n-gram counts, exactly normalised backoff weights.
+
+A text is its words (lower-cased A-Z, between ASCII white space) and one end, after as many start marks
+as the order needs. With r the training count of an n-gram and c that of its history, a token's
+probability is d(r) r / c if r > 0; else, if c > 0, the history's backoff weight times the probability
+after the history less its first word, and so on down to single tokens; an unknown token has what the
+discounts of the single tokens leave. The weight is what a history's discounts leave over what its
+followers leave of the shorter history, so each history's distribution sums to one. Counts up to GOOD
+have the discounts of Good and Turing (where the counts of counts give none between 0 and 1, a count
+loses a half); larger ones have none. A history that would leave nothing, for all its followers are
+frequent, counts itself once more (c + 1), as toolkits do.
+
+A null text is an empty one; a null doc_id is never held out. Each row is scored on its own, so rows
+that repeat have the same figures. Without training rows all tokens are unknown and the score is 0.
+Only doc_id and text are read. An empty table gives an empty result. A text is held whole by one task;
+there is no other limit on its length. Words and n-grams are told apart by 64-bit hashes.
+
+Texts are tokenised once, into a table of blocks of documents. Then the orders are counted one after
+the other. Each block asks, at the partition of each history, for the counts of its distinct n-grams;
+the partition adds up all blocks' training counts and answers with the totals, which are written as
+the table of that order, partitioned by history, and joined back to the blocks. With the answers of
+the orders below, a block knows each history's count before it asks, so n-grams of a frequent history
+are dealt by themselves, and what its followers add up to is summed afterwards; nothing is collected
+but counts of counts. At last each block evaluates its tokens from the highest order down.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import released, slices, trimmed, written
+from tidemark.llm.common import discard, slices, trimmed, written
 
-#: Largest count that Good and Turing discount; what is taken from larger ones; words that are dealt by history, for each partition.
-GOOD, TAIL, HEAVY = 5, 0.1, 4
-#: Passes over the texts, each for a share of the partitions: no more than that share of the packed arrays is on disk at a time.
-PASSES = 2
+#: Words of an n-gram; largest count that Good and Turing discount.
+ORDER, GOOD = 3, 5
+#: N-grams that a group of a partition gets, about; tokens after a history from which its n-grams are dealt by themselves.
+ENTRIES, HOT = 700_000, 200_000
 #: Bytes of text and rows of a block.
 BLOCK, ROWS = 3 << 20, 60_000
 END, START = np.uint64(1), np.uint64(2)
@@ -45,8 +49,12 @@ WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
-COUNTS = [f"m{r}" for r in range(1, GOOD + 1)]
-BACK = ", ".join(["kind int, block long, h long, n long, tail long, types long, single double, data binary, docs binary", *(f"{m} long" for m in COUNTS)])
+#: Of a history's followers: how many have the count 1 to GOOD, the sum of the larger counts; the same of their counts in the order below.
+SUMS = 2 * (GOOD + 1)
+BLOCKS = "block long, tokens long, started long, data binary"
+ANSWER = "kind int, block long, p int, h long, sums array<long>, data binary"
+REPLY, TYPES, PART, WANTS = range(4)
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -94,43 +102,6 @@ def held_out(column: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(10)) == 0, F.lit(False))
 
 
-def rows_of(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text")).select(
-        F.coalesce("doc_id", F.lit(-1)).alias("d"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("th"), held_out(F.col("doc_id")).alias("held"), F.encode("text", "UTF-8").alias("text"), "doc_id"
-    )
-
-
-def singles(rows: DataFrame) -> DataFrame:
-    """h and n: each token's training count, written as a table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, size = [], [], 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            every, at = np.unique(np.concatenate(words), return_inverse=True)
-            return every, np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
-
-        for batch in slices(batches, "text", 4 << 20):
-            w, n = np.unique(tokens(batch.column("text").to_pylist())[0], return_counts=True)
-            words.append(w)
-            counts.append(n)
-            size += len(w)
-            if size > 1 << 20:
-                one = merged()
-                words, counts, size = [one[0]], [one[1]], 0
-                if len(one[0]) > 1 << 19:
-                    yield pa.RecordBatch.from_arrays([pa.array(one[0].view(np.int64)), pa.array(one[1])], names=["h", "n"])
-                    words, counts = [], []
-        if words:
-            one = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(one[0].view(np.int64)), pa.array(one[1])], names=["h", "n"])
-        trimmed()
-
-    found = rows.where("NOT held").select("text").mapInArrow(run, "h long, n long")
-    return written(found.groupBy("h").agg(F.sum("n").alias("n")), "unigrams")
-
-
 def small(x: np.ndarray) -> np.ndarray:
     """x, not negative, in the smallest unsigned type that holds it."""
     top = int(x.max(initial=0))
@@ -138,73 +109,230 @@ def small(x: np.ndarray) -> np.ndarray:
 
 
 def packed(arrays: list[np.ndarray]) -> bytes:
-    """Arrays as bytes: the number of elements and of bytes each, then the elements."""
-    head = np.array([[len(a), a.dtype.itemsize] for a in arrays], "<u4").tobytes()
+    """Unsigned arrays as bytes: how many, the number of elements and of bytes of each, then the elements."""
+    head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.dtype.itemsize))], "<u4").tobytes()
     return head + b"".join(a.tobytes() for a in arrays)
 
 
-def unpacked(data: bytes, kinds: str) -> list[np.ndarray]:
-    head = np.frombuffer(data, "<u4", 2 * len(kinds)).reshape(-1, 2)
-    out, at = [], 8 * len(kinds)
-    for kind, (n, size) in zip(kinds, head.tolist(), strict=True):
-        out.append(np.frombuffer(data, f"<{kind}{size}", n, at))
+def unpacked(data: bytes) -> list[np.ndarray]:
+    many = int(np.frombuffer(data, "<u4", 1)[0])
+    out, at = [], 4 + 8 * many
+    for n, size in np.frombuffer(data, "<u4", 2 * many, 4).reshape(-1, 2).tolist():
+        out.append(np.frombuffer(data, f"<u{size}", n, at))
         at += n * size
     return out
 
 
-def blocks(rows: DataFrame, parts: int, heavy: np.ndarray, first: int, last: int) -> DataFrame:
-    """p, block, data and docs: what each block of documents has for each partition from first to last - 1."""
-
-    def block(p: np.ndarray, w: np.ndarray, before: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
-        order = np.lexsort((before, w) if p is None else (before, w, p))
-        w, before, doc = w[order], before[order], doc[order]
-        p = (w >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24) if p is None else p[order]
-        word = np.append(True, (w[1:] != w[:-1]) | (p[1:] != p[:-1]))
-        pair = word.copy()
-        pair[1:] |= before[1:] != before[:-1]
-        entry = pair.copy()
-        entry[1:] |= doc[1:] != doc[:-1]
-        entry, pair_at, word_at = np.flatnonzero(entry), np.flatnonzero(pair), np.flatnonzero(word)
-        times = np.diff(np.append(entry, len(w)))
-        entries = np.searchsorted(entry, pair_at)
-        pairs = np.searchsorted(pair_at, word_at)
-        per_pair, per_word = np.diff(np.append(entries, len(entry))), np.diff(np.append(pairs, len(pair_at)))
-        cuts = np.searchsorted(p[word_at], np.arange(parts + 1, dtype=p.dtype))
-        for k in first + np.flatnonzero(np.diff(cuts[first : last + 1])):
-            a, b = cuts[k], cuts[k + 1]
-            x, y = pairs[a], pairs[b] if b < len(pairs) else len(pair_at)
-            u, v = entries[x], entries[y] if y < len(entries) else len(entry)
-            yield int(k), [w[word_at[a:b]], small(per_word[a:b]), before[pair_at[x:y]], small(per_pair[x:y]), doc[entry[u:v]].astype(np.uint16), small(times[u:v])]
+def squeezed(arrays: list[np.ndarray]) -> bytes:
+    data = packed(arrays)
+    return np.array([len(data)], "<u8").tobytes() + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def spread(data: bytes) -> list[np.ndarray]:
+    return unpacked(pa.decompress(data[8:], int(np.frombuffer(data, "<u8", 1)[0]), codec="zstd", asbytes=True))
+
+
+def bits(flags: np.ndarray) -> np.ndarray:
+    return np.packbits(flags, bitorder="little")
+
+
+def unbits(data: np.ndarray, n: int) -> np.ndarray:
+    return np.unpackbits(data, count=n, bitorder="little").astype(bool)
+
+
+def place(hashes: np.ndarray, parts: int) -> np.ndarray:
+    p = (mixed(hashes * ONE) >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)
+    return p.astype(np.uint16 if parts <= 1 << 16 else np.int64)
+
+
+@dataclass
+class Level:
+    """A block's distinct n-grams of one order, sorted by history. of: of each token; suffix: of each, that of the order below."""
+
+    of: np.ndarray
+    grams: np.ndarray
+    suffix: np.ndarray
+    run: np.ndarray  # the history of each, as a place in heads
+    heads: np.ndarray
+    back: np.ndarray  # of each history one more than its n-gram in the order below, 0 for the start marks
+
+
+@dataclass
+class Known:
+    """Answers for a Level: the n-grams' counts, which histories count themselves once more, and the sums of those that some token backs off from."""
+
+    count: np.ndarray
+    once_more: np.ndarray
+    runs: np.ndarray
+    sums: np.ndarray
+
+    def arrays(self) -> list[np.ndarray]:
+        return [small(self.count), bits(self.once_more), small(self.runs), small(self.sums.ravel())]
+
+
+class Block:
+    """Documents' ids and tokens, and what is known of their n-grams. A token is a place in the sorted hashes of the block's words."""
+
+    def __init__(self, data: bytes):
+        held, null, ids, many, self.words, stream, *rest = spread(data)
+        self.fixed = [held, null, ids, many, self.words, stream]
+        self.held, self.null, self.ids = unbits(held, len(many)), unbits(null, len(many)), ids.view(np.int64)
+        self.many, self.stream = many.astype(np.int64), stream.astype(np.int64)
+        self.first = np.zeros(len(stream), bool)
+        self.first[np.cumsum(self.many) - self.many] = True
+        self.doc = np.repeat(np.arange(len(many)), self.many)
+        zero = np.zeros(len(self.words), np.int64)
+        self.levels = [Level(self.stream, self.words, zero, zero, np.zeros(1, np.uint64), np.zeros(1, np.int64))]
+        self.known: list[Known] = []
+        for k in range(0, len(rest), 4):
+            count, more, runs, sums = rest[k : k + 4]
+            self.grow(k // 4 + 1)
+            self.known.append(Known(count.astype(np.int64), unbits(more, len(self.levels[k // 4].heads)), runs.astype(np.int64), sums.astype(np.int64).reshape(-1, SUMS)))
+
+    def data(self) -> bytes:
+        return squeezed(self.fixed + [a for k in self.known for a in k.arrays()])
+
+    def grow(self, order: int) -> None:
+        """Have the levels up to order."""
+        while len(self.levels) < order:
+            below, size = self.levels[-1], max(1, len(self.words))
+            history = np.zeros(len(self.stream), np.int64)
+            history[1:] = below.of[:-1] + 1
+            history[self.first] = 0
+            found, of = np.unique(history * size + self.stream, return_inverse=True)
+            suffix = np.empty(len(found), np.int64)
+            suffix[of] = below.of
+            before, word = found // size, found % size
+            new = np.append(True, before[1:] != before[:-1])[: len(found)]
+            back = before[new]
+            heads = np.append(mixed(np.array([len(self.levels)], np.uint64) * ONE ^ START), below.grams)[back]
+            run = np.cumsum(new) - 1
+            self.levels.append(Level(of, mixed((heads[run] + TWO) * ONE ^ mixed(self.words[word])), suffix, run, heads, back))
+
+    def histories(self, order: int, total: int, started: int) -> np.ndarray:
+        """The training count of each history of a level."""
+        if order == 1:
+            return np.full(1, total, np.int64)
+        return np.append(started, self.known[order - 2].count)[self.levels[order - 1].back]
+
+    def dealt(self, order: int, parts: int, total: int, started: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The level's n-grams ordered by partition, the partition of each, and which histories' n-grams are dealt by themselves."""
+        own = self.levels[order - 1]
+        hot = self.histories(order, total, started) > HOT if order > 1 else np.ones(1, bool)
+        p = place(own.heads, parts)[own.run]
+        alone = hot[own.run]
+        p[alone] = place(own.grams[alone], parts)
+        turn = np.argsort(p, kind="stable")
+        return turn, p[turn], hot
+
+    def asked(self, order: int, parts: int, first: int, last: int, total: int, started: int) -> Iterator[tuple[int, bytes]]:
+        self.grow(order)
+        own = self.levels[order - 1]
+        trained = np.bincount(own.of[~self.held[self.doc]], minlength=len(own.grams))
+        below = self.known[order - 2].count[own.suffix] if order > 1 else np.zeros(len(own.grams), np.int64)
+        turn, p, hot = self.dealt(order, parts, total, started)
+        cuts = np.searchsorted(p, np.arange(first, last + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            some = turn[cuts[k] : cuts[k + 1]]
+            run = own.run[some]
+            starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+            runs = run[starts]
+            yield first + int(k), packed([own.heads[runs], small(np.diff(np.append(starts, len(some)))), bits(hot[runs]), own.grams[some], small(trained[some]), small(below[some])])
+
+    def told(self, order: int, parts: int, total: int, started: int, replies: list[bytes], hot_sums: dict[int, list[int]]) -> None:
+        """Take in the answers of all partitions that were asked, in their order, and the sums of hot histories."""
+        self.grow(order)
+        own = self.levels[order - 1]
+        turn, p, hot = self.dealt(order, parts, total, started)
+        run = own.run[turn]
+        edge = np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))[: len(run)]
+        runs = run[edge]
+        ends = np.searchsorted(p[edge], np.unique(p), "right")
+        counts, more, which, sums, at = [], [], [], [], 0
+        for end, data in zip(ends.tolist(), replies, strict=True):
+            count, flags, wanted, found = unpacked(data)
+            counts.append(count.astype(np.int64))
+            more.append(unbits(flags, end - at))
+            which.append(runs[at:end][wanted])
+            sums.append(found.astype(np.int64).reshape(-1, SUMS))
+            at = end
+        count = np.empty(len(turn), np.int64)
+        count[turn] = np.concatenate([*counts, np.zeros(0, np.int64)])
+        once_more = np.zeros(len(own.heads), bool)
+        once_more[runs] = np.concatenate([*more, np.zeros(0, bool)])
+        once_more[hot] = False
+        if order > 1 and hot.any():
+            at = np.flatnonzero(hot)
+            of = np.array([hot_sums[int(h)] for h in own.heads[at].view(np.int64)], np.int64).reshape(-1, SUMS)
+            once_more[at] = (of[:, :GOOD].sum(axis=1) == 0) & (of[:, GOOD] > 0)
+            which.append(at)
+            sums.append(of)
+        self.known.append(Known(count, once_more, np.concatenate([*which, np.zeros(0, np.int64)]), np.concatenate([*sums, np.zeros((0, SUMS), np.int64)])))
+
+
+def tokenised(docs: DataFrame, order: int) -> DataFrame:
+    """Blocks of documents."""
+    text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
+    rows = docs.select(F.col("doc_id").cast("long").alias("d"), held_out(F.col("doc_id")).alias("held"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 24
+        number = TaskContext.get().partitionId() << 32
         for whole in slices(batches, "text", BLOCK):
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
-                d, th = (batch.column(c).to_numpy() for c in ("d", "th"))
-                held = batch.column("held").to_numpy(zero_copy_only=False)
-                bits = np.packbits(held, bitorder="little")
-                w, before, doc = tokens(batch.column("text").to_pylist())
-                hot = np.isin(w, heavy)
-                parted = list(block(None, w[~hot], before[~hot], doc[~hot])) if not hot.all() else []
-                if hot.any():
-                    p = (mixed(w[hot] ^ before[hot] * ONE) >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)
-                    parted += block(p, w[hot], before[hot], doc[hot])
-                docs = packed([d, th, held.astype(np.uint8)])
-                own = [number % parts] if first <= number % parts < last else []
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([*own, *(k for k, _ in parted)], pa.int32()),
-                        pa.array([number] * (len(parted) + len(own)), pa.int64()),
-                        pa.array([*(None for _ in own), *(packed([bits, np.array([len(d)], np.uint32), *arrays]) for _, arrays in parted)], pa.binary()),
-                        pa.array([*(docs for _ in own), *(None for _ in parted)], pa.binary()),
-                    ],
-                    names=["p", "block", "data", "docs"],
-                )
+                held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
+                ids = batch.column("d")
+                w, _, doc = tokens(batch.column("text").to_pylist())
+                words, stream = np.unique(w, return_inverse=True)
+                data = squeezed([bits(held), bits(ids.is_null().to_numpy(zero_copy_only=False)), ids.fill_null(0).to_numpy().view(np.uint64), small(np.bincount(doc, minlength=len(held))), words, small(stream)])
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (number, len(w), int((~held).sum()))] + [pa.array([data], pa.binary())], names=["block", "tokens", "started", "data"])
                 number += 1
         trimmed()
 
-    return rows.select("d", "th", "held", "text").mapInArrow(run, "p int, block long, data binary, docs binary")
+    return rows.mapInArrow(run, BLOCKS)
+
+
+def answered(group: pa.Table) -> pa.Table:
+    """For each asking block the training counts of its n-grams, whole histories' sums; counts of counts; partial sums of histories whose n-grams are dealt by themselves."""
+    p = group["p"][0].as_py()
+    blocks = group["block"].to_pylist()
+    read = [unpacked(x) for x in group["data"].to_pylist()]
+    sizes = [x[1].astype(np.int64) for x in read]
+    alone = [unbits(x[2], len(x[0])) for x in read]
+    head = np.repeat(np.concatenate([x[0] for x in read]), np.concatenate(sizes))
+    gram = np.concatenate([x[3] for x in read])
+    turn = np.lexsort((gram, head))
+    head, gram = head[turn], gram[turn]
+    new = np.append(True, (gram[1:] != gram[:-1]) | (head[1:] != head[:-1]))
+    of = np.empty(len(turn), np.int64)
+    of[turn] = np.cumsum(new) - 1
+    first = turn[new]
+    head = head[new]
+    edge = np.append(True, head[1:] != head[:-1])
+    run, heads = np.cumsum(edge) - 1, head[edge]
+    del turn, gram, head, new
+    count = np.bincount(of, weights=np.concatenate([x[4] for x in read])).astype(np.int64)
+    below = np.concatenate([x[5] for x in read])[first].astype(np.int64)
+    hot = np.repeat(np.concatenate(alone), np.concatenate(sizes))[first][edge]
+    some = lambda x: np.bincount(run, weights=x, minlength=len(heads)).astype(np.int64)
+    seen = count > 0
+    sums = np.stack([*(some(count == k) for k in range(1, GOOD + 1)), some(count * (count > GOOD)), *(some(seen & (below == k)) for k in range(1, GOOD + 1)), some(below * (seen & (below > GOOD)))], axis=1)
+    once_more = (sums[:, :GOOD].sum(axis=1) == 0) & (sums[:, GOOD] > 0)
+    open_runs = (sums[:, : GOOD + 1].sum(axis=1) > 0) & ~hot
+    types = [*np.bincount(np.minimum(count, GOOD + 2), minlength=GOOD + 3)[1 : GOOD + 2].tolist(), int(seen.sum()), int(count[count > GOOD].sum())]
+    out = [(TYPES, 0, p, 0, types, None)]
+    out += [(PART, 0, p, int(h), s, None) for h, s in zip(heads[hot].view(np.int64), sums[hot].tolist(), strict=True)]
+    at = 0
+    for block, size, own in zip(blocks, sizes, alone, strict=True):
+        mine = of[at : at + int(size.sum())]
+        at += len(mine)
+        starts = np.cumsum(size) - size
+        runs = run[mine[starts]]
+        wanted = np.flatnonzero(open_runs[runs] & (np.add.reduceat((count[mine] == 0).astype(np.int64), starts) > 0))
+        out.append((REPLY, block, p, 0, None, packed([small(count[mine]), bits(once_more[runs]), small(wanted), small(sums[runs[wanted]].ravel())])))
+        out += [(WANTS, block, p, h, None, None) for h in heads[runs[own]].view(np.int64).tolist()]
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in ANSWER.split(", ")])
 
 
 class Discounts:
@@ -213,141 +341,143 @@ class Discounts:
     def __init__(self, types: dict[int, int]):
         n = [0, *(types.get(r, 0) for r in range(1, GOOD + 2))]
         top = (GOOD + 1) * n[GOOD + 1] / n[1] if n[1] else 1.0
-        self.of = np.zeros(GOOD + 1)
+        self.of = np.ones(GOOD + 2)
         for r in range(1, GOOD + 1):
             d = ((r + 1) * n[r + 1] / (n[r] * r) - top) / (1 - top) if n[r] and top != 1 else 0.0
             self.of[r] = d if 0 < d < 1 else (r - 0.5) / r
 
     def mass(self, counts: np.ndarray) -> np.ndarray:
         """d(r) r of counts above zero."""
-        low = np.minimum(counts, GOOD)
-        return np.where(counts <= GOOD, self.of[low] * counts, counts - TAIL)
-
-
-def scored(docs: DataFrame) -> DataFrame:
+        return self.of[np.minimum(counts, GOOD + 1)] * counts
+
+    def total(self, sums: np.ndarray) -> np.ndarray:
+        """d(r) r over all followers, from how many have each count and the sum of the larger ones."""
+        return sums[:, :GOOD] @ (self.of[1 : GOOD + 1] * np.arange(1, GOOD + 1)) + sums[:, GOOD]
+
+
+@dataclass
+class Model:
+    """What all blocks need to evaluate their tokens: training tokens, types and documents, and each order's discounts."""
+
+    total: int
+    kinds: int
+    started: int
+    discounts: list[Discounts]
+    singles: np.ndarray  # the sums of the empty history
+
+    def scores(self, block: Block) -> dict[str, np.ndarray]:
+        first = self.singles[:GOOD].sum() == 0 and self.total > 0  # single tokens, too, must leave something
+        whole = self.total + int(first)
+        unknown = (whole - float(self.discounts[0].total(self.singles[None])[0])) / whole if whole else 1.0
+        count = block.known[0].count[block.stream]
+        score, left = np.zeros(len(count)), np.arange(len(count))
+        for order in range(len(self.discounts), 1, -1):
+            level, known, discount, below = block.levels[order - 1], block.known[order - 1], self.discounts[order - 1], self.discounts[order - 2]
+            history = block.histories(order, self.total, self.started) + known.once_more
+            gram = level.of[left]
+            r, c = known.count[gram], history[level.run[gram]]
+            seen = r > 0
+            score[left[seen]] += np.log10(discount.mass(r[seen]) / c[seen])
+            # the weights of this block's histories, from the sums over their followers
+            shorter = np.full(len(level.heads), whole, np.int64)
+            if order > 2:
+                lower = block.levels[order - 2]
+                shorter = (block.histories(order - 1, self.total, self.started) + block.known[order - 2].once_more)[lower.run][level.suffix]
+                of = np.empty(len(level.heads), np.int64)
+                of[level.run] = shorter  # all n-grams of a history have the same shorter one
+                shorter = of
+            weight = np.zeros(len(level.heads))
+            own, rest = history[known.runs], shorter[known.runs]
+            weight[known.runs] = np.log10((own - discount.total(known.sums[:, : GOOD + 1])) / own) - np.log10((rest - below.total(known.sums[:, GOOD + 1 :])) / rest)
+            back = left[~seen]
+            score[back] += np.where(c[~seen] > 0, weight[level.run[gram[~seen]]], 0.0)
+            left = back
+        r = count[left]
+        score[left] += np.log10(np.where(r > 0, self.discounts[0].mass(np.maximum(r, 1)) / max(whole, 1), unknown))
+        base = np.log10(count + 0.1) - np.log10(self.total + 0.1 * (self.kinds + 1))
+        some = lambda x: np.bincount(block.doc, weights=x, minlength=len(block.many))
+        return {"n_tokens": block.many, "n_known": some(count > 0).astype(np.int64), "train_tokens": np.full(len(block.many), self.total), "base_score": some(base), "score": some(score)}
+
+
+def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
     spark = docs.sparkSession
-    parts = 2 * max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows_of(docs)
-    table = singles(rows)
-    released(spark)
-    total, kinds = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    low = {r["n"]: r["k"] for r in table.where(F.col("n") <= GOOD + 1).groupBy("n").agg(F.count("*").alias("k")).collect()}
-    discount = Discounts(low)
-    many = table.where(F.col("n") > max(total / (HEAVY * parts), GOOD)).collect()
-    heavy = {r["h"]: r["n"] for r in many}
-    heavy_words = np.array(list(heavy), np.int64).view(np.uint64)
-    started = rows.where("NOT held").count()
-    seen_low = sum(r * k for r, k in low.items() if r <= GOOD)
-    mass_low = sum(float(discount.of[r]) * r * k for r, k in low.items() if r <= GOOD)
-    seen = mass_low + (total - seen_low) - TAIL * (kinds - sum(k for r, k in low.items() if r <= GOOD))
-    unknown = 1 - seen / total if total else 1.0
-    floor = total + 0.1 * (kinds + 1)
-
-    def own_log(c: np.ndarray) -> np.ndarray:
-        """log10 of the probability of tokens with training counts c, the unknown one included."""
-        return np.log10(np.where(c > 0, discount.mass(np.maximum(c, 1)) / max(total, 1), unknown))
-
-    def partition(group: pa.Table) -> pa.Table:
-        names = [x.split()[0] for x in BACK.split(", ")]
-        out: list[dict[str, object]] = []
-        for number, data in zip(group["block"].to_pylist(), group["docs"].to_pylist(), strict=True):
-            if data is not None:
-                out.append({"kind": [0], "block": [number], "docs": [data]})
-        group = group.filter(pc.is_valid(group["data"]))
-        if group.num_rows:
-            numbers = group["block"].to_pylist()
-            read = [unpacked(x, "uuuuuuuu") for x in group["data"].to_pylist()]
-            words, word = np.unique(np.concatenate([x[2] for x in read]), return_inverse=True)
-            pair_word = np.repeat(word, np.concatenate([x[3] for x in read]))
-            before = np.concatenate([x[4] for x in read])
-            order = np.lexsort((before, pair_word))
-            new = np.append(True, (pair_word[order][1:] != pair_word[order][:-1]) | (before[order][1:] != before[order][:-1]))
-            pair = np.empty(len(order), np.int64)
-            pair[order] = np.cumsum(new) - 1
-            counts = []
-            for bits, _, _, _, _, per_pair, doc, times in read:
-                trained = np.unpackbits(bits, bitorder="little")[doc] == 0
-                counts.append(np.add.reduceat(times * trained, np.cumsum(per_pair, dtype=np.int64) - per_pair, dtype=np.int64))
-            counted = np.concatenate(counts)
-            r_of = np.bincount(pair, weights=counted).astype(np.int64)
-            c_of = np.bincount(pair_word, weights=counted, minlength=len(words)).astype(np.int64)
-            for k in np.flatnonzero(np.isin(words, heavy_words)):
-                c_of[k] = heavy[int(words[k : k + 1].view(np.int64)[0])]
-            r, c = r_of[pair], c_of[pair_word]
-            ends = words[pair_word] == END
-            base = np.log10(c + 0.1) - np.log10(floor)
-            value = np.where(r > GOOD, np.log10(np.maximum(r, 1) - TAIL), 0.0) + np.where(r == 0, own_log(c), 0.0) - np.where(ends | (c == 0), 0.0, np.log10(np.maximum(c, 1)))
-            at = 0
-            for number, (_, size, _, _, _, per_pair, doc, times) in zip(numbers, read, strict=True):
-                n, stop = int(size[0]), at + len(per_pair)
-                mine = [np.repeat(x[at:stop], per_pair) for x in (r, c, base, value, before.view(np.int64))]
-                at = stop
-                some = lambda x, n=n, doc=doc: np.bincount(doc, weights=x, minlength=n)
-                sums = [some(times * 1.0), some(times * (mine[1] > 0)), *(some(times * (mine[0] == k)) for k in range(1, GOOD + 1))]
-                there = np.flatnonzero(sums[0])
-                out.append({"kind": [0], "block": [number], "data": [packed([small(there), *(small(x[there].astype(np.int64)) for x in sums), some(times * mine[2])[there], some(times * mine[3])[there]])]})
-                none = np.flatnonzero(mine[0] == 0)
-                if len(none):  # tokens that back off: their history's weight is still missing
-                    key = np.stack([mine[4][none], doc[none].astype(np.int64)])
-                    order = np.lexsort(key[::-1])
-                    key, n_here = key[:, order], times[none][order].astype(np.int64)
-                    new = np.flatnonzero(np.append(True, (np.diff(key) != 0).any(axis=0)))
-                    out.append({"kind": np.full(len(new), 1), "block": np.full(len(new), number), "h": key[0, new], "types": key[1, new], "n": np.add.reduceat(n_here, new)})
-            first = np.flatnonzero(new_pairs(pair))
-            r1, h1, c1 = r[first], before[first], c[first]
-            known = r1 > 0
-            r1, h1, single = r1[known], h1[known], 10 ** own_log(c1[known])
-            if len(r1):
-                every, at_h = np.unique(h1, return_inverse=True)
-                of = lambda x: np.bincount(at_h, weights=x, minlength=len(every))
-                out.append({"kind": np.full(len(every), 2), "h": every.view(np.int64), "tail": of(r1 * (r1 > GOOD)).astype(np.int64), "types": of(r1 > GOOD).astype(np.int64), "single": of(single)} | {m: of(r1 == k).astype(np.int64) for k, m in enumerate(COUNTS, 1)})
-                k = np.bincount(np.minimum(r1, GOOD + 2), minlength=GOOD + 2)[1 : GOOD + 2]
-                out.append({"kind": np.full(len(k), 3), "h": np.arange(1, len(k) + 1), "n": k})
-        schema = pa.schema([(n, pa.int32() if n == "kind" else pa.float64() if n == "single" else pa.binary() if n in ("data", "docs") else pa.int64()) for n in names])
-        tables = [pa.Table.from_arrays([pa.array(x[n], schema.field(n).type) if n in x else pa.nulls(len(x["kind"]), schema.field(n).type) for n in names], schema=schema) for x in out]
-        found = pa.concat_tables(tables) if tables else schema.empty_table()
-        del group, out, tables
+    blocks = written(tokenised(docs, order), "blocks")
+    every, started = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("started"), F.lit(0))).first()
+    parts = max(order, min(1 << 24, -(-every // ENTRIES)))
+    blocks_now, discounts, singles, total, kinds = blocks, [], np.zeros(SUMS, np.int64), 0, 0
+
+    for level in range(1, order + 1):
+        answers = []
+        for k in range(level):  # the n-grams of an order are more than those of the one below; what is dealt at a time stays about as large
+            answers.append(_answers(blocks_now, level, parts, parts * k // level, parts * (k + 1) // level, total, started))
+        table = answers[0]
+        for more in answers[1:]:
+            table = table.unionByName(more)
+        types = table.where(F.col("kind") == TYPES).agg(*(F.coalesce(F.sum(F.get("sums", F.lit(k))), F.lit(0)) for k in range(GOOD + 3))).first()
+        discounts.append(Discounts(dict(enumerate(types[: GOOD + 1], 1))))
+        if level == 1:
+            kinds = types[GOOD + 1]
+            total = sum(r * n for r, n in enumerate(types[:GOOD], 1)) + types[GOOD + 2]
+            singles = np.array([*types[:GOOD], types[GOOD + 2]], np.int64)
+        # what the blocks want to know of hot histories, from the partitions' parts of their sums
+        parts_of = table.where(F.col("kind") == PART).groupBy("h").agg(F.array(*(F.sum(F.get("sums", F.lit(k))) for k in range(SUMS))).alias("sums"))
+        wants = table.where(F.col("kind") == WANTS).select("block", "h").distinct()
+        hot = wants.join(parts_of, "h").select("block", F.lit(None).cast("int").alias("p"), "h", "sums", F.lit(None).cast("binary").alias("data"))
+        replies = table.where(F.col("kind") == REPLY).select("block", "p", F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
+        own = blocks_now.select("block", F.lit(-1).alias("p"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
+        rows = own.unionByName(replies)
+        if level > 1:
+            rows = rows.unionByName(hot)
+        model = Model(total, kinds, started, discounts, singles) if level == order else None
+        done = written(rows.groupBy("block").applyInArrow(_teller(level, parts, total, started, model), SCORES if model else BLOCKS), "scores" if model else "blocks")
+        for old in (blocks_now, *answers):
+            discard(old)
+        blocks_now = done
+    return blocks_now
+
+
+def _answers(blocks: DataFrame, level: int, parts: int, first: int, last: int, total: int, started: int) -> DataFrame:
+    """The written table of an order's counts, for a range of its partitions."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data in zip(batch.column("block").to_pylist(), batch.column("data"), strict=True):
+                found = list(Block(data.as_py()).asked(level, parts, first, last, total, started))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([number] * len(found), pa.int64()), pa.array([d for _, d in found], pa.binary())], names=["p", "block", "data"])
+        trimmed()
+
+    def answer(group: pa.Table) -> pa.Table:
+        found = answered(group)
         trimmed()
         return found
 
-    back = None
-    for k in range(PASSES):
-        first, last = parts * k // PASSES, parts * (k + 1) // PASSES
-        some = blocks(rows, parts, heavy_words, first, last).repartition(last - first, "p").groupBy("p").applyInArrow(partition, BACK)
-        some = written(some, "bigrams")
-        released(spark)
-        back = some if back is None else back.unionByName(some)
-    pairs = Discounts({r["h"]: r["n"] for r in back.where("kind = 3").groupBy("h").agg(F.sum("n").alias("n")).collect()})
+    asks = blocks.select("block", "data").mapInArrow(ask, "p int, block long, data binary")
+    return written(asks.repartition(min(last - first, 10_000), "p").groupBy("p").applyInArrow(answer, ANSWER), f"counts-{level}")
+
 
-    def documents(group: pa.Table) -> pa.Table:
+def _teller(level: int, parts: int, total: int, started: int, model: Model | None):
+    """Joins the answers to a block; with a model the block's documents are scored."""
+
+    def tell(group: pa.Table) -> pa.Table:
         number = group["block"][0].as_py()
-        d, th, held = unpacked(next(x for x in group["docs"].to_pylist() if x is not None), "iiu")
-        sums = np.zeros((GOOD + 4, len(d)))
-        for data in group["data"].to_pylist():
-            if data is not None:
-                there, *parts_of = unpacked(data, "uuu" + "u" * GOOD + "ff")
-                for line, x in zip(sums, parts_of, strict=True):
-                    line[there] += x
-        first = -np.log10(started) if started else 0.0  # the history of a text's first token
-        score = sums[-1] + first + sum(sums[1 + k] * np.log10(pairs.of[k] * k) for k in range(1, GOOD + 1))
-        return pa.table({"block": np.full(len(d), number), "types": np.arange(len(d)), "d": d, "th": th, "held": held.astype(bool), "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64), "base_score": sums[-2], "part": score})
-
-    found = back.where("kind = 0").select("block", "data", "docs").groupBy("block").applyInArrow(documents, "block long, types long, d long, th long, held boolean, n_tokens long, n_known long, base_score double, part double")
-    weights = back.where("kind = 2").groupBy("h").agg(F.sum("tail").alias("tail"), F.sum("types").alias("types"), F.sum("single").alias("single"), *(F.sum(m).alias(m) for m in COUNTS))
-    context = table.unionByName(spark.createDataFrame([(int(START.view(np.int64)), started)], "h long, n long")).where("n > 0").withColumnRenamed("n", "c")
-    mass = sum((F.col(m) * (float(pairs.of[k]) * k) for k, m in enumerate(COUNTS, 1)), F.col("tail") - TAIL * F.col("types"))
-    # log10 of the weight, and the history's count, which the partitions took away from every token
-    weights = weights.join(context, "h").select("h", (F.log10((F.col("c") - mass) / F.col("c")) - F.log10(1 - F.col("single")) + F.log10("c")).alias("weight"))
-    missing = back.where("kind = 1").select("block", "types", "h", "n").join(weights, "h").groupBy("block", "types").agg(F.sum(F.col("n") * F.col("weight")).alias("more"))
-    done = found.join(missing, ["block", "types"], "left").withColumn("score", F.col("part") + F.coalesce("more", F.lit(0.0)))
-    done = done.groupBy("d", "th").agg(*(F.first(c).alias(c) for c in ("held", "n_tokens", "n_known", "base_score", "score")))
-    own = rows.select("doc_id", "d", "th")
-    return own.join(done, ["d", "th"]).select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def new_pairs(pair: np.ndarray) -> np.ndarray:
-    """For each place whether its pair stands there first."""
-    out = np.zeros(len(pair), bool)
-    out[np.unique(pair, return_index=True)[1]] = True
-    return out
+        own, replies, hot = None, [], {}
+        for p, h, sums, data in zip(group["p"].to_pylist(), group["h"].to_pylist(), group["sums"].to_pylist(), group["data"].to_pylist(), strict=True):
+            if p is None:
+                hot[h] = sums
+            elif p < 0:
+                own = data
+            else:
+                replies.append((p, data))
+        block = Block(own)
+        block.told(level, parts, total, started, [d for _, d in sorted(replies, key=lambda x: x[0])], hot)
+        if model is None:
+            out = pa.table({"block": [number], "tokens": [len(block.stream)], "started": [int((~block.held).sum())], "data": pa.array([block.data()], pa.binary())})
+        else:
+            out = pa.table({"doc_id": pa.array(block.ids, mask=block.null), "held_out": block.held} | model.scores(block))
+        del group, block, replies
+        trimmed()
+        return out
+
+    return tell

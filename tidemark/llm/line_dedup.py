@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, released, written
+from tidemark.llm.common import discard, written
 
 #: Words of a shingle; the similarity is at least NEAR/OF.
 WORDS, NEAR, OF = 5, 4, 5
@@ -127,7 +127,6 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     some = some.select("doc_id", "th", F.explode(F.transform("ns", lambda n: F.struct(n.alias("n"), F.get(parts, n).alias("line")))).alias("x"))
     again = exact(some)
     full = written(near.join(again, near["first"].eqNullSafe(again["place"])).select("h1", "h2", "first", "s"), "sets")
-    released(docs.sparkSession)
     left = full.select(*(F.col(c).alias(f"l_{c}") for c in full.columns))
     right = full.select(*(F.col(c).alias(f"r_{c}") for c in full.columns))
     both = pairs.join(left, pairs["a"] == left["l_h1"]).join(right, pairs["b"] == right["r_h1"])
@@ -138,7 +137,6 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     links = written(links.groupBy("h1", "h2").agg(F.first("first").alias("first"), F.min("other").alias("other")), "links")
     for done in (near, full):
         discard(done)
-    released(docs.sparkSession)
     return links
 
 
@@ -159,11 +157,8 @@ def decided(docs: DataFrame) -> DataFrame:
     table = written(done.select("doc_id", "th", "n", "h1", "h2", size, prefix.alias("prefix")), "lines")
     sets = table.groupBy("h1", "h2").agg(F.min(place()).alias("first"))
     posts = written(shared(table), "shared")
-    released(spark)
     one = similar(docs, sets, written(neighbours(posts), "pairs"))
-    released(spark)
     two = similar(docs, sets, written(remaining(posts, sets, one.where("other < first").select("h1").distinct()), "pairs"))
-    released(spark)
     found = one.unionByName(two).groupBy("h1", "h2").agg(F.min("other").alias("other"))
     earliest = F.when(F.col("other") < F.col("first"), F.col("other")).otherwise(F.col("first"))
     per_set = sets.join(found, ["h1", "h2"], "left").select("h1", "h2", earliest.alias("earliest"))
@@ -171,7 +166,6 @@ def decided(docs: DataFrame) -> DataFrame:
     out = written(gone.groupBy("doc_id", "th").agg(F.collect_set("n").alias("ns")), "decided")
     for old in (table, posts, one, two):
         discard(old)
-    released(spark)
     return out
 
 
