@@ -26,6 +26,7 @@ but counts of counts. At last each block evaluates its tokens from the highest o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +42,8 @@ from tidemark.llm.common import discard, slices, trimmed, written
 ORDER, GOOD = 3, 5
 #: N-grams that a group of a partition gets, about; tokens after a history from which its n-grams are dealt by themselves.
 ENTRIES, HOT = 700_000, 200_000
-#: Bytes of text and rows of a block.
-BLOCK, ROWS = 3 << 20, 60_000
+#: Bytes of text and rows of a block; shares of the blocks that take in their answers at a time, each of which replaces its own files.
+BLOCK, ROWS, SLICES = 3 << 20, 60_000, 3
 END, START = np.uint64(1), np.uint64(2)
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -124,12 +125,27 @@ def unpacked(data: bytes) -> list[np.ndarray]:
 
 
 def squeezed(arrays: list[np.ndarray]) -> bytes:
-    data = packed(arrays)
+    """packed() and compressed, each array's lowest bytes first, then its next ones, which compress better."""
+    data = packed([a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.ravel().view(a.dtype) for a in arrays])
     return np.array([len(data)], "<u8").tobytes() + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def spread(data: bytes) -> list[np.ndarray]:
-    return unpacked(pa.decompress(data[8:], int(np.frombuffer(data, "<u8", 1)[0]), codec="zstd", asbytes=True))
+    arrays = unpacked(pa.decompress(data[8:], int(np.frombuffer(data, "<u8", 1)[0]), codec="zstd", asbytes=True))
+    return [np.ascontiguousarray(a.view(np.uint8).reshape(a.dtype.itemsize, -1).T).view(a.dtype).ravel() for a in arrays]
+
+
+def unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and the place of each value among them."""
+    width = len(values).bit_length()
+    if not len(values) or int(values.max()) >= 1 << 62 - width:
+        return np.unique(values, return_inverse=True)
+    both = np.sort(values << width | np.arange(len(values)))  # several times as fast as sorting places
+    value = both >> width
+    new = np.append(True, value[1:] != value[:-1])
+    of = np.empty(len(values), np.int64)
+    of[both & ((1 << width) - 1)] = np.cumsum(new) - 1
+    return value[new], of
 
 
 def bits(flags: np.ndarray) -> np.ndarray:
@@ -174,8 +190,9 @@ class Block:
     """Documents' ids and tokens, and what is known of their n-grams. A token is a place in the sorted hashes of the block's words."""
 
     def __init__(self, data: bytes):
-        held, null, ids, many, self.words, stream, *rest = spread(data)
-        self.fixed = [held, null, ids, many, self.words, stream]
+        held, null, ids, many, steps, stream, *rest = spread(data)
+        self.fixed = [held, null, ids, many, steps, stream]
+        self.words = np.cumsum(steps, dtype=np.uint64)
         self.held, self.null, self.ids = unbits(held, len(many)), unbits(null, len(many)), ids.view(np.int64)
         self.many, self.stream = many.astype(np.int64), stream.astype(np.int64)
         self.first = np.zeros(len(stream), bool)
@@ -199,7 +216,7 @@ class Block:
             history = np.zeros(len(self.stream), np.int64)
             history[1:] = below.of[:-1] + 1
             history[self.first] = 0
-            found, of = np.unique(history * size + self.stream, return_inverse=True)
+            found, of = unique(history * size + self.stream)
             suffix = np.empty(len(found), np.int64)
             suffix[of] = below.of
             before, word = found // size, found % size
@@ -231,13 +248,15 @@ class Block:
         trained = np.bincount(own.of[~self.held[self.doc]], minlength=len(own.grams))
         below = self.known[order - 2].count[own.suffix] if order > 1 else np.zeros(len(own.grams), np.int64)
         turn, p, hot = self.dealt(order, parts, total, started)
+        run = own.run[turn]
+        edge = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))[: len(run)])
+        runs = run[edge]
+        heads, sizes, alone, grams, trained, below = own.heads[runs], np.diff(np.append(edge, len(run))), hot[runs], own.grams[turn], trained[turn], below[turn]
         cuts = np.searchsorted(p, np.arange(first, last + 1))
+        run_cuts = np.searchsorted(edge, cuts)
         for k in np.flatnonzero(np.diff(cuts)):
-            some = turn[cuts[k] : cuts[k + 1]]
-            run = own.run[some]
-            starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-            runs = run[starts]
-            yield first + int(k), packed([own.heads[runs], small(np.diff(np.append(starts, len(some)))), bits(hot[runs]), own.grams[some], small(trained[some]), small(below[some])])
+            some, their = slice(cuts[k], cuts[k + 1]), slice(run_cuts[k], run_cuts[k + 1])
+            yield first + int(k), packed([heads[their], small(sizes[their]), bits(alone[their]), grams[some], small(trained[some]), small(below[some])])
 
     def told(self, order: int, parts: int, total: int, started: int, replies: list[bytes], hot_sums: dict[int, list[int]]) -> None:
         """Take in the answers of all partitions that were asked, in their order, and the sums of hot histories."""
@@ -284,7 +303,7 @@ def tokenised(docs: DataFrame, order: int) -> DataFrame:
                 ids = batch.column("d")
                 w, _, doc = tokens(batch.column("text").to_pylist())
                 words, stream = np.unique(w, return_inverse=True)
-                data = squeezed([bits(held), bits(ids.is_null().to_numpy(zero_copy_only=False)), ids.fill_null(0).to_numpy().view(np.uint64), small(np.bincount(doc, minlength=len(held))), words, small(stream)])
+                data = squeezed([bits(held), bits(ids.is_null().to_numpy(zero_copy_only=False)), ids.fill_null(0).to_numpy().view(np.uint64), small(np.bincount(doc, minlength=len(held))), np.diff(words, prepend=np.uint64(0)), small(stream)])
                 yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (number, len(w), int((~held).sum()))] + [pa.array([data], pa.binary())], names=["block", "tokens", "started", "data"])
                 number += 1
         trimmed()
@@ -301,19 +320,17 @@ def answered(group: pa.Table) -> pa.Table:
     alone = [unbits(x[2], len(x[0])) for x in read]
     head = np.repeat(np.concatenate([x[0] for x in read]), np.concatenate(sizes))
     gram = np.concatenate([x[3] for x in read])
-    turn = np.lexsort((gram, head))
-    head, gram = head[turn], gram[turn]
-    new = np.append(True, (gram[1:] != gram[:-1]) | (head[1:] != head[:-1]))
+    turn = np.argsort(gram)
+    new = np.append(True, np.diff(gram[turn]) != 0)
     of = np.empty(len(turn), np.int64)
     of[turn] = np.cumsum(new) - 1
     first = turn[new]
-    head = head[new]
-    edge = np.append(True, head[1:] != head[:-1])
-    run, heads = np.cumsum(edge) - 1, head[edge]
-    del turn, gram, head, new
+    heads, run = np.unique(head[first], return_inverse=True)
+    del turn, gram, new
     count = np.bincount(of, weights=np.concatenate([x[4] for x in read])).astype(np.int64)
     below = np.concatenate([x[5] for x in read])[first].astype(np.int64)
-    hot = np.repeat(np.concatenate(alone), np.concatenate(sizes))[first][edge]
+    hot = np.zeros(len(heads), bool)
+    hot[run] = np.repeat(np.concatenate(alone), np.concatenate(sizes))[first]
     some = lambda x: np.bincount(run, weights=x, minlength=len(heads)).astype(np.int64)
     seen = count > 0
     sums = np.stack([*(some(count == k) for k in range(1, GOOD + 1)), some(count * (count > GOOD)), *(some(seen & (below == k)) for k in range(1, GOOD + 1)), some(below * (seen & (below > GOOD)))], axis=1)
@@ -402,18 +419,16 @@ class Model:
 def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
     spark = docs.sparkSession
-    blocks = written(tokenised(docs, order), "blocks")
-    every, started = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("started"), F.lit(0))).first()
+    blocks = [written(tokenised(docs, order), "blocks")]
+    every, started = blocks[0].agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("started"), F.lit(0))).first()
     parts = max(order, min(1 << 24, -(-every // ENTRIES)))
-    blocks_now, discounts, singles, total, kinds = blocks, [], np.zeros(SUMS, np.int64), 0, 0
+    discounts, singles, total, kinds = [], np.zeros(SUMS, np.int64), 0, 0
 
     for level in range(1, order + 1):
         answers = []
         for k in range(level):  # the n-grams of an order are more than those of the one below; what is dealt at a time stays about as large
-            answers.append(_answers(blocks_now, level, parts, parts * k // level, parts * (k + 1) // level, total, started))
-        table = answers[0]
-        for more in answers[1:]:
-            table = table.unionByName(more)
+            answers.append(_answers(_all(blocks), level, parts, parts * k // level, parts * (k + 1) // level, total, started))
+        table = _all(answers)
         types = table.where(F.col("kind") == TYPES).agg(*(F.coalesce(F.sum(F.get("sums", F.lit(k))), F.lit(0)) for k in range(GOOD + 3))).first()
         discounts.append(Discounts(dict(enumerate(types[: GOOD + 1], 1))))
         if level == 1:
@@ -425,16 +440,24 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
         wants = table.where(F.col("kind") == WANTS).select("block", "h").distinct()
         hot = wants.join(parts_of, "h").select("block", F.lit(None).cast("int").alias("p"), "h", "sums", F.lit(None).cast("binary").alias("data"))
         replies = table.where(F.col("kind") == REPLY).select("block", "p", F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
-        own = blocks_now.select("block", F.lit(-1).alias("p"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
-        rows = own.unionByName(replies)
-        if level > 1:
-            rows = rows.unionByName(hot)
+        rows = replies.unionByName(hot) if level > 1 else replies
         model = Model(total, kinds, started, discounts, singles) if level == order else None
-        done = written(rows.groupBy("block").applyInArrow(_teller(level, parts, total, started, model), SCORES if model else BLOCKS), "scores" if model else "blocks")
-        for old in (blocks_now, *answers):
+        tell, done = _teller(level, parts, total, started, model), []
+        for k in range(SLICES):
+            slice_of = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
+            own = blocks[k] if len(blocks) > 1 else blocks[0].where(slice_of)
+            own = own.select("block", F.lit(-1).alias("p"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
+            done.append(written(own.unionByName(rows.where(slice_of)).groupBy("block").applyInArrow(tell, SCORES if model else BLOCKS), "scores" if model else "blocks"))
+            if len(blocks) > 1:
+                discard(blocks[k])
+        for old in (*(blocks if len(blocks) == 1 else ()), *answers):
             discard(old)
-        blocks_now = done
-    return blocks_now
+        blocks = done
+    return _all(blocks)
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, tables)
 
 
 def _answers(blocks: DataFrame, level: int, parts: int, first: int, last: int, total: int, started: int) -> DataFrame:
