@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import gc
 import uuid
 from collections.abc import Iterator
 
@@ -33,7 +32,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """df written to the shared folder and read again: its lineage ends in files that survive a lost executor.
 
     Nothing reads the statement's shuffle files again, so they go when it ends.
@@ -43,7 +42,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", compression).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
@@ -62,7 +61,6 @@ def discard(df: DataFrame) -> None:
 
 def trimmed() -> None:
     """Give the memory that a worker no longer uses back to the system; workers are kept for the next stage."""
-    gc.collect()
     with contextlib.suppress(OSError, AttributeError):  # not every C library has it
         ctypes.CDLL(None).malloc_trim(0)
 
@@ -71,6 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A name that begins like name and that no column of docs has, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    while any(c.startswith(name) for c in taken):
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column has about size bytes in each, or one row."""
     for batch in batches:

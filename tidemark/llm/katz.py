@@ -42,6 +42,8 @@ from tidemark.llm.common import discard, slices, trimmed, written
 ORDER, GOOD = 3, 5
 #: N-grams that a group of a partition gets, about; tokens after a history from which its n-grams are dealt by themselves.
 ENTRIES, HOT = 700_000, 200_000
+#: Passes over the blocks for an order beyond the first, each for a share of the partitions; no more than that share is dealt at a time.
+PASSES = 2
 #: Bytes of text and rows of a block; shares of the blocks that take in their answers at a time, each of which replaces its own files.
 BLOCK, ROWS, SLICES = 3 << 20, 60_000, 3
 END, START = np.uint64(1), np.uint64(2)
@@ -52,9 +54,9 @@ ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
 #: Of a history's followers: how many have the count 1 to GOOD, the sum of the larger counts; the same of their counts in the order below.
 SUMS = 2 * (GOOD + 1)
-BLOCKS = "block long, tokens long, started long, data binary"
+BLOCKS = "block long, tokens long, started long, wants array<long>, data binary"
 ANSWER = "kind int, block long, p int, h long, sums array<long>, data binary"
-REPLY, TYPES, PART, WANTS = range(4)
+REPLY, TYPES, PART = range(3)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -232,6 +234,11 @@ class Block:
             return np.full(1, total, np.int64)
         return np.append(started, self.known[order - 2].count)[self.levels[order - 1].back]
 
+    def hot_heads(self, order: int, total: int, started: int) -> list[int]:
+        """The histories of the next order whose n-grams are dealt by themselves."""
+        self.grow(order)
+        return self.levels[order - 1].heads[self.histories(order, total, started) > HOT].view(np.int64).tolist()
+
     def dealt(self, order: int, parts: int, total: int, started: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The level's n-grams ordered by partition, the partition of each, and which histories' n-grams are dealt by themselves."""
         own = self.levels[order - 1]
@@ -246,7 +253,7 @@ class Block:
         self.grow(order)
         own = self.levels[order - 1]
         trained = np.bincount(own.of[~self.held[self.doc]], minlength=len(own.grams))
-        below = self.known[order - 2].count[own.suffix] if order > 1 else np.zeros(len(own.grams), np.int64)
+        below = self.known[order - 2].count[own.suffix] if order > 1 else np.ones(len(own.grams), np.int64)
         turn, p, hot = self.dealt(order, parts, total, started)
         run = own.run[turn]
         edge = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))[: len(run)])
@@ -289,7 +296,7 @@ class Block:
         self.known.append(Known(count, once_more, np.concatenate([*which, np.zeros(0, np.int64)]), np.concatenate([*sums, np.zeros((0, SUMS), np.int64)])))
 
 
-def tokenised(docs: DataFrame, order: int) -> DataFrame:
+def tokenised(docs: DataFrame) -> DataFrame:
     """Blocks of documents."""
     text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("d"), held_out(F.col("doc_id")).alias("held"), text.alias("text"))
@@ -304,13 +311,22 @@ def tokenised(docs: DataFrame, order: int) -> DataFrame:
                 w, _, doc = tokens(batch.column("text").to_pylist())
                 words, stream = np.unique(w, return_inverse=True)
                 data = squeezed([bits(held), bits(ids.is_null().to_numpy(zero_copy_only=False)), ids.fill_null(0).to_numpy().view(np.uint64), small(np.bincount(doc, minlength=len(held))), np.diff(words, prepend=np.uint64(0)), small(stream)])
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (number, len(w), int((~held).sum()))] + [pa.array([data], pa.binary())], names=["block", "tokens", "started", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (number, len(w), int((~held).sum()))] + [pa.nulls(1, pa.list_(pa.int64())), pa.array([data], pa.binary())], names=["block", "tokens", "started", "wants", "data"])
                 number += 1
         trimmed()
 
     return rows.mapInArrow(run, BLOCKS)
 
 
+def followers(run: np.ndarray, counts: np.ndarray, runs: int) -> np.ndarray:
+    """For each run how many counts are 1 to GOOD, and the sum of the larger ones."""
+    width = GOOD + 1
+    out = np.bincount(run * width + np.minimum(counts, width) - 1, minlength=runs * width).reshape(runs, width)
+    large = np.flatnonzero(counts > GOOD)
+    out[:, GOOD] = np.bincount(run[large], weights=counts[large], minlength=runs)
+    return out
+
+
 def answered(group: pa.Table) -> pa.Table:
     """For each asking block the training counts of its n-grams, whole histories' sums; counts of counts; partial sums of histories whose n-grams are dealt by themselves."""
     p = group["p"][0].as_py()
@@ -331,23 +347,21 @@ def answered(group: pa.Table) -> pa.Table:
     below = np.concatenate([x[5] for x in read])[first].astype(np.int64)
     hot = np.zeros(len(heads), bool)
     hot[run] = np.repeat(np.concatenate(alone), np.concatenate(sizes))[first]
-    some = lambda x: np.bincount(run, weights=x, minlength=len(heads)).astype(np.int64)
-    seen = count > 0
-    sums = np.stack([*(some(count == k) for k in range(1, GOOD + 1)), some(count * (count > GOOD)), *(some(seen & (below == k)) for k in range(1, GOOD + 1)), some(below * (seen & (below > GOOD)))], axis=1)
+    seen = np.flatnonzero(count)
+    sums = np.concatenate([followers(run[seen], x[seen], len(heads)) for x in (count, below)], axis=1)
     once_more = (sums[:, :GOOD].sum(axis=1) == 0) & (sums[:, GOOD] > 0)
     open_runs = (sums[:, : GOOD + 1].sum(axis=1) > 0) & ~hot
-    types = [*np.bincount(np.minimum(count, GOOD + 2), minlength=GOOD + 3)[1 : GOOD + 2].tolist(), int(seen.sum()), int(count[count > GOOD].sum())]
+    types = [*np.bincount(np.minimum(count, GOOD + 2), minlength=GOOD + 3)[1 : GOOD + 2].tolist(), len(seen), int(count[count > GOOD].sum())]
     out = [(TYPES, 0, p, 0, types, None)]
     out += [(PART, 0, p, int(h), s, None) for h, s in zip(heads[hot].view(np.int64), sums[hot].tolist(), strict=True)]
     at = 0
-    for block, size, own in zip(blocks, sizes, alone, strict=True):
+    for block, size in zip(blocks, sizes, strict=True):
         mine = of[at : at + int(size.sum())]
         at += len(mine)
         starts = np.cumsum(size) - size
         runs = run[mine[starts]]
         wanted = np.flatnonzero(open_runs[runs] & (np.add.reduceat((count[mine] == 0).astype(np.int64), starts) > 0))
         out.append((REPLY, block, p, 0, None, packed([small(count[mine]), bits(once_more[runs]), small(wanted), small(sums[runs[wanted]].ravel())])))
-        out += [(WANTS, block, p, h, None, None) for h in heads[runs[own]].view(np.int64).tolist()]
     kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary())
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in ANSWER.split(", ")])
 
@@ -419,15 +433,15 @@ class Model:
 def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
     spark = docs.sparkSession
-    blocks = [written(tokenised(docs, order), "blocks")]
+    blocks = [written(tokenised(docs), "blocks", compression="none")]
     every, started = blocks[0].agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("started"), F.lit(0))).first()
-    parts = max(order, min(1 << 24, -(-every // ENTRIES)))
+    parts = max(PASSES, min(1 << 24, -(-every // ENTRIES)))
     discounts, singles, total, kinds = [], np.zeros(SUMS, np.int64), 0, 0
 
     for level in range(1, order + 1):
         answers = []
-        for k in range(level):  # the n-grams of an order are more than those of the one below; what is dealt at a time stays about as large
-            answers.append(_answers(_all(blocks), level, parts, parts * k // level, parts * (k + 1) // level, total, started))
+        for k in range(PASSES if level > 1 else 1):  # what is dealt at a time is a share of the partitions
+            answers.append(_answers(_all(blocks), level, parts, parts * k // PASSES if level > 1 else 0, parts * (k + 1) // PASSES if level > 1 else parts, total, started))
         table = _all(answers)
         types = table.where(F.col("kind") == TYPES).agg(*(F.coalesce(F.sum(F.get("sums", F.lit(k))), F.lit(0)) for k in range(GOOD + 3))).first()
         discounts.append(Discounts(dict(enumerate(types[: GOOD + 1], 1))))
@@ -437,7 +451,7 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
             singles = np.array([*types[:GOOD], types[GOOD + 2]], np.int64)
         # what the blocks want to know of hot histories, from the partitions' parts of their sums
         parts_of = table.where(F.col("kind") == PART).groupBy("h").agg(F.array(*(F.sum(F.get("sums", F.lit(k))) for k in range(SUMS))).alias("sums"))
-        wants = table.where(F.col("kind") == WANTS).select("block", "h").distinct()
+        wants = _all(blocks).select("block", F.explode("wants").alias("h"))
         hot = wants.join(parts_of, "h").select("block", F.lit(None).cast("int").alias("p"), "h", "sums", F.lit(None).cast("binary").alias("data"))
         replies = table.where(F.col("kind") == REPLY).select("block", "p", F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
         rows = replies.unionByName(hot) if level > 1 else replies
@@ -447,7 +461,7 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
             slice_of = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
             own = blocks[k] if len(blocks) > 1 else blocks[0].where(slice_of)
             own = own.select("block", F.lit(-1).alias("p"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
-            done.append(written(own.unionByName(rows.where(slice_of)).groupBy("block").applyInArrow(tell, SCORES if model else BLOCKS), "scores" if model else "blocks"))
+            done.append(written(own.unionByName(rows.where(slice_of)).groupBy("block").applyInArrow(tell, SCORES if model else BLOCKS), "scores" if model else "blocks", compression="zstd" if model else "none"))
             if len(blocks) > 1:
                 discard(blocks[k])
         for old in (*(blocks if len(blocks) == 1 else ()), *answers):
@@ -496,7 +510,7 @@ def _teller(level: int, parts: int, total: int, started: int, model: Model | Non
         block = Block(own)
         block.told(level, parts, total, started, [d for _, d in sorted(replies, key=lambda x: x[0])], hot)
         if model is None:
-            out = pa.table({"block": [number], "tokens": [len(block.stream)], "started": [int((~block.held).sum())], "data": pa.array([block.data()], pa.binary())})
+            out = pa.table({"block": [number], "tokens": [len(block.stream)], "started": [int((~block.held).sum())], "wants": pa.array([block.hot_heads(level + 1, total, started)], pa.list_(pa.int64())), "data": pa.array([block.data()], pa.binary())})
         else:
             out = pa.table({"doc_id": pa.array(block.ids, mask=block.null), "held_out": block.held} | model.scores(block))
         del group, block, replies
