@@ -65,11 +65,11 @@ def test_similar_lines_go(spark):
 
 
 def lines_by_hand(rows):
-    """Texts by the definition: a line goes if an earlier one has the same tokens or a Jaccard similarity of 0.8 or more."""
+    """Texts by the definition: a line goes if an earlier one has the same words or a Jaccard similarity of 0.8 or more."""
 
     def tokens(line):
         w = re.split("[ \\t\\x0b-\\r]+", line.lower().strip(" \t\x0b\x0c\r"))
-        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w != [""] else None
+        return frozenset(w) if w != [""] else None
 
     seen, out = [], {}
     for d, text in sorted(rows):
@@ -100,6 +100,31 @@ def test_large_groups_of_similar_lines(spark):
     assert got == lines_by_hand(rows)
 
 
+def test_one_changed_word_of_a_short_line(spark):
+    rows = [(1, "one two three four five six seven eight nine"), (2, "one two three four five six seven eight other"), (3, "one two other four five six different eight nine"), (4, "a b c"), (5, "a b d"), (6, "b a c b")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == lines_by_hand(rows) and got[2] == "" and got[3] == rows[2][1] and got[5] == "a b d" and got[6] == ""
+
+
+def test_lines_by_the_definition_on_documents(spark, docs, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in docs.where("text IS NOT NULL").collect()]
+    want = lines_by_hand(rows)
+    for listed in (line_dedup.LISTED, 50):
+        monkeypatch.setattr(line_dedup, "LISTED", listed)
+        assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs).collect() if r["text"] is not None} == want
+
+
+def test_line_columns_pass_unchanged(spark):
+    names = "n_lines int, n_removed string, stay int, place_id int, _gone int, `a b` int, n_chars int, Set int"
+    rows = [(1, "a b c\nx", 77, "r", 5, 6, 7, 8, 9, 10), (2, "c b a\ny", 88, "s", 50, 60, 70, 80, 90, 100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, " + names)
+    got = line_dedup.without_repeats(table)
+    assert got.columns == table.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "a b c\nx", 77, "r", 5, 6, 7, 8, 7, 10), (2, "y", 88, "s", 50, 60, 70, 80, 1, 100)]
+    done = {r["doc_id"]: r for r in line_dedup.dedup(table).collect()}
+    assert (done[2]["n_lines"], done[2]["n_removed"], done[1]["n_removed"], done[2]["stay"]) == (2, 1, 0, 50)
+
+
 # 2
 
 

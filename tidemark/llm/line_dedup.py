@@ -1,30 +1,33 @@
 """Line dedup by an exact set-similarity join, in DataFrame and SQL functions only.
 
-A line's tokens are its five-word shingles (a shorter line is one token), lower-cased; lines are sets of
-tokens. The tokens of a line are ordered by rarity over all lines. Two sets with a Jaccard similarity
-of 0.8 or more share a token in the first fifth of their orders (prefix filter); such pairs must agree
-in length (length filter) and in what can still follow the shared token (positional filter); then their
-Jaccard similarity is computed. A line is removed if an earlier line, in the order of doc_id and line
-number, has the same set or one of similarity 0.8 or more, whether or not that line stays itself.
-
-Blank lines have no tokens and stay. A null text stays null, an empty one empty; a document of which
+A line's tokens are its distinct words, lower-cased. They are ordered by rarity: the LISTED most
+frequent words of all lines by their counts, all others before them as equally rare, ties by a hash.
+Two sets with a Jaccard similarity of 0.8 or more share a word in the first fifth of their orders
+(prefix filter); such pairs must agree in length (length filter) and in what can still follow the
+shared word (positional filter); then their words are compared. A line is removed if an earlier line,
+in the order of doc_id and line number, has the same set or one of similarity 0.8 or more, whether or
+not that line stays itself.
+
+Blank lines have no words and stay. A null text stays null, an empty one empty; a document of which
 all lines go keeps an empty text. Rows that repeat an id and a text are one document and lose the same
-lines; texts that share an id are ordered by a hash. A null doc_id sorts first. Other columns pass
-through, whatever their names. Tokens are 58-bit hashes, told apart within the pair that is compared.
+lines; texts that share an id are ordered by a hash. A null doc_id sorts first. An empty table gives an
+empty result. Other columns pass through unchanged, whatever their names. A very long line is one long
+set. Words are looked up and shared by 64-bit hashes, sets are told apart by 128 bits; the similarity
+is computed from the words themselves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, written
+from tidemark.llm.common import discard, unused, written
 
-#: Words of a shingle; the similarity is at least NEAR/OF.
-WORDS, NEAR, OF = 5, 4, 5
-#: Places of the table of token counts: a token's rarity is the count of its place, which every line's tokens are counted in.
-PLACES = 1 << 16
-#: Documents up to which the list of those with candidate lines is broadcast (about 40 bytes each); beyond, it is joined by shuffling.
+#: The similarity is at least NEAR/OF; a smaller set than LEAST is similar to no other.
+NEAR, OF, LEAST = 4, 5, 4
+#: Words whose counts order them, places of their table, and steps of a count's logarithm.
+LISTED, PLACES, STEPS = 1 << 17, 1 << 18, 6
+#: Documents up to which the list of those with lines that are wanted is broadcast (about 60 bytes each); beyond, it is joined by shuffling.
 BROADCAST_ROWS = 300_000
 
 
@@ -35,161 +38,133 @@ def words(line: Column) -> Column:
     return F.split(F.trim(plain), " ")
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (a hash of the text), n and w (words) of every line that is not blank."""
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.lower("text"), "\n")).alias("n", "line"))
-    return rows.where(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "").select("doc_id", "th", "n", words(F.col("line")).alias("w"))
-
-
-def shingles(rows: DataFrame) -> DataFrame:
-    """rows with s, the hashes of the line's shingles; a word that a short line lacks is a null, which adds nothing to the hash."""
-    of = ", ".join(f"get(w, i + {k})" for k in range(WORDS))
-    return rows.withColumn("s", F.expr(f"transform(sequence(0, greatest(size(w) - {WORDS}, 0)), i -> xxhash64({of}))")).drop("w")
-
-
-def rarity(rows: DataFrame) -> Column:
-    """A scalar: for each place the binary logarithm of the number of tokens that were counted there, all lines' tokens counted."""
-    place = F.explode(F.expr(f"transform(s, x -> int(x & {PLACES - 1}))")).alias("place")
-    counts = rows.select(place).groupBy("place").count()
-    ranks = counts.select("place", F.least(F.lit(31), F.floor(F.log2(F.col("count") + 1))).cast("int").alias("rank"))
-    every = rows.sparkSession.range(PLACES).select(F.col("id").cast("int").alias("place")).join(ranks, "place", "left")
-    row = every.agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("rank", F.lit(0)).alias("rank")))).alias("all"))
-    return row.select(F.expr("transform(all, x -> x.rank)").alias("ranks"))
+def blank(line: Column) -> Column:
+    return F.trim(F.translate(line, "\t\r\x0b\x0c", "    ")) == ""
 
 
-def ordered(rows: DataFrame, ranks: DataFrame) -> DataFrame:
-    """rows with t, the line's distinct tokens from the rarest on, and the set's hashes h1 and h2."""
-    rows = rows.withColumn("ranks", ranks.scalar())
-    code = f"transform(s, x -> shiftleft(bigint(element_at(ranks, int(x & {PLACES - 1}) + 1)), 58) | shiftrightunsigned(x, 6))"
-    rows = rows.withColumn("t", F.expr(f"sort_array(array_distinct({code}))")).drop("s", "ranks")
-    return rows.withColumn("h1", F.xxhash64("t")).withColumn("h2", F.xxhash64(F.lit(1), "t"))
+def lines(docs: DataFrame) -> DataFrame:
+    """doc_id, th (a hash of the text), n and line, in lower case, of every line that is not blank."""
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.lower("text"), "\n")).alias("n", "line"))
+    return rows.where(~blank(F.col("line")))
+
+
+def rarity(docs: DataFrame) -> DataFrame:
+    """One row, one column: for each place the listed words whose hash belongs there, with the logarithm of their counts in the lowest byte."""
+    text = F.translate(F.lower("text"), "\n\t\r\x0b\x0c", "     ")
+    each = docs.select(F.explode(F.split(text, " ")).alias("word")).where("word <> ''").select(F.xxhash64("word").alias("token"))
+    most = each.groupBy("token").count().orderBy(F.desc("count"), "token").limit(LISTED)
+    entry = F.col("token").bitwiseAND(F.lit(~255)).bitwiseOR(F.least(F.lit(255), F.ceil(STEPS * F.log2(F.col("count") + 1))))
+    lists = most.select(F.col("token").bitwiseAND(F.lit(PLACES - 1)).alias("place"), entry.alias("entry")).groupBy("place").agg(F.collect_list("entry").alias("entries"))
+    every = docs.sparkSession.range(PLACES).withColumnRenamed("id", "place").join(lists, "place", "left")
+    row = every.agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("entries", F.array().cast("array<bigint>")).alias("entries")))).alias("all"))
+    return row.select(F.expr("transform(all, x -> x.entries)").alias("listed"))
+
+
+def ordered(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order) and the set's hashes h1 and h2."""
+    rows = rows.select("doc_id", "th", "n", F.expr("array_distinct(transform(w, x -> xxhash64(x)))").alias("t")).withColumn("listed", listed.scalar())
+    found = f"get(filter(get(p, int(x & {PLACES - 1})), e -> shiftrightunsigned(e ^ x, 8) = 0), 0)"  # p: the table, which must be named once only
+    codes = f"transform(array(listed), p -> transform(t, x -> shiftleft(coalesce({found}, 0L), 56) | shiftrightunsigned(x, 8)))[0]"
+    rows = rows.withColumn("t", F.expr(f"sort_array(transform({codes}, x -> x ^ shiftleft(1L, 63)))")).drop("listed")  # the sign is turned: sorting is signed
+    prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
+    return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
 
 
-def place(prefix: str = "") -> Column:
-    return F.struct(*(F.col(prefix + c) for c in ("doc_id", "th", "n")))
+def numbered(docs: DataFrame) -> DataFrame:
+    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size and prefix."""
+    rows = lines(docs).select("doc_id", "th", "n", words(F.col("line")).alias("w"))
+    place = F.struct("doc_id", "th", "n")
+    sets = ordered(rows, rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    sets = sets.select("first.*", "size", "prefix").orderBy("doc_id", "th", "n")
+    return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
 
 
 def passes(x: str, y: str) -> Column:
-    """The length and positional filters for two places of one token, given as codes; of two sets the smaller one shares a token in the first ninth of its order."""
-    size, at = (lambda c: F.floor(F.col(c) / 2**31)), (lambda c: F.col(c) % 2**31)
+    """The length and positional filters for two places of one word, given as codes; of two sets the smaller one shares a word in the first ninth of its order."""
+    size, at = (lambda c: F.shiftright(c, 31)), (lambda c: F.col(c).bitwiseAND(F.lit(2**31 - 1)))
     sx, ix, sy, iy = size(x), at(x), size(y), at(y)
     length = F.least(sx, sy) * OF >= F.greatest(sx, sy) * NEAR
-    follows = F.least(sx - ix, sy - iy)  # the shared token and what may come after it
+    follows = F.least(sx - ix, sy - iy)  # the shared word and what may come after it
     early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
     return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR)
 
 
-def shared(table: DataFrame) -> DataFrame:
-    """token, h1, code (size and place), many, y1, y2 of the prefix tokens that several sets have.
+def shared(sets: DataFrame) -> DataFrame:
+    """token, set, code (size and place) of the prefix words that several sets have, with the earliest set of each word and its code, and how many have it.
 
-    Tokens are dealt once. Within a token the sets stand in an order that depends on the token; y1 and y2
-    are the two before each.
+    The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent word.
     """
-    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posts = table.select("h1", "size", F.posexplode("prefix").alias("at", "token"))
-    posts = posts.select("token", "h1", (F.col("size").cast("long") * 2**31 + F.col("at")).alias("code")).repartition(parts, "token").dropDuplicates(["token", "h1"])
-    order = Window.partitionBy("token").orderBy(F.xxhash64("token", "h1"))
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    own = F.struct("h1", "code")
-    return posts.select("token", "h1", "code", F.count("*").over(whole).alias("many"), F.lag(own, 1).over(order).alias("y1"), F.lag(own, 2).over(order).alias("y2")).where("many > 1")
-
-
-def neighbours(posts: DataFrame) -> DataFrame:
-    """a, b: the h1 of candidates that stand near each other at some token; all candidates of tokens with three sets or fewer."""
-    some = posts.select("h1", "code", F.explode(F.array("y1", "y2")).alias("y")).where("y IS NOT NULL")
-    some = some.select(F.col("h1").alias("a"), "code", F.col("y.h1").alias("b"), F.col("y.code").alias("other")).where(passes("code", "other"))
-    return some.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    posts = sets.where("prefix IS NOT NULL").select("set", "size", F.posexplode("prefix").alias("at", "token"))
+    posts = posts.select("token", "set", F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
+    first = posts.groupBy("token").agg(F.min(F.struct("set", "code")).alias("first"), F.count("*").alias("many")).where("many > 1")
+    return posts.join(first.select("token", F.col("first.set").alias("other"), F.col("first.code").alias("other_code"), "many"), "token")
 
 
-def remaining(posts: DataFrame, sets: DataFrame, settled: DataFrame) -> DataFrame:
-    """a, b: the candidates that are left: a is a set without a similar earlier one so far, b any earlier one."""
-    own = posts.where("many > 3").select("token", "h1", "code").join(sets.select("h1", "first"), "h1")
-    own = written(own, "postings")
-    x = own.join(settled, "h1", "left_anti").select("token", F.col("h1").alias("a"), F.col("code").alias("ca"), F.col("first").alias("fa"))
-    y = own.select(F.col("token").alias("t"), F.col("h1").alias("b"), F.col("code").alias("cb"), F.col("first").alias("fb"))
-    return x.join(y, (F.col("token") == F.col("t")) & (F.col("fb") < F.col("fa")) & passes("ca", "cb")).select("a", "b").distinct()
+def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """set: the later sets (a) of pairs whose words have a Jaccard similarity of 0.8 or more. Only the lines of candidates are read again, by their places."""
+    pairs = written(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+    need = sets.select("set", "doc_id", "th", "n").join(wanted, "set", "left_semi")
+    need = written(need.groupBy("doc_id", "th").agg(F.collect_list(F.struct("n", "set")).alias("ns")), "wanted")
+    few = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    own = docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "th"]) if not few else docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text"))
+    right = need.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "ns")
+    some = own.join(F.broadcast(right) if few else right, own["doc_id"].eqNullSafe(right["d"]) & (own["th"] == right["h"]))
+    parts = F.split(F.lower("text"), "\n")
+    some = some.select(F.explode(F.transform("ns", lambda x: F.struct(x["set"].alias("set"), F.get(parts, x["n"]).alias("line")))).alias("x"))
+    full = written(some.select("x.set", F.array_distinct(words(F.col("x.line"))).alias("w")).dropDuplicates(["set"]), "words")
+    left, other = full.select(F.col("set").alias("a"), F.col("w").alias("wa")), full.select(F.col("set").alias("b"), F.col("w").alias("wb"))
+    both = pairs.join(left, "a").join(other, "b")
+    both = both.where(F.size(F.array_intersect("wa", "wb")) * (NEAR + OF) >= (F.size("wa") + F.size("wb")) * NEAR)
+    done = written(both.select(F.col("a").alias("set")).distinct(), "settled")
+    for old in (pairs, need, full):
+        discard(old)
+    return done
 
 
-def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """h1, h2, first, other: sets of the pairs with a similar one, their own first place and the first place of those.
+def kept(docs: DataFrame) -> DataFrame:
+    """doc_id, th and ns, the numbers of the lines that stay, of every document that has such lines.
 
-    Only the lines of candidates are read again, by their places, and compared whole.
-    """
-    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct()
-    near = written(sets.join(wanted, "h1", "left_semi"), "sets")
-    need = near.select("first.doc_id", "first.th", "first.n").groupBy("doc_id", "th").agg(F.collect_set("n").alias("ns"))
-    if need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        need = F.broadcast(need)
-    own = docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text"))
-    need = need.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "ns")
-    some = own.join(need, own["doc_id"].eqNullSafe(need["d"]) & (own["th"] == need["h"]))
-    parts = F.split(F.lower("text"), "\n")
-    some = some.select("doc_id", "th", F.explode(F.transform("ns", lambda n: F.struct(n.alias("n"), F.get(parts, n).alias("line")))).alias("x"))
-    again = exact(some)
-    full = written(near.join(again, near["first"].eqNullSafe(again["place"])).select("h1", "h2", "first", "s"), "sets")
-    left = full.select(*(F.col(c).alias(f"l_{c}") for c in full.columns))
-    right = full.select(*(F.col(c).alias(f"r_{c}") for c in full.columns))
-    both = pairs.join(left, pairs["a"] == left["l_h1"]).join(right, pairs["b"] == right["r_h1"])
-    shared = F.size(F.array_intersect("l_s", "r_s"))
-    both = both.where(shared * (NEAR + OF) >= (F.size("l_s") + F.size("r_s")) * NEAR)
-    sides = (("l", "r"), ("r", "l"))
-    links = both.select(F.explode(F.array(*(F.struct(F.col(f"{x}_h1").alias("h1"), F.col(f"{x}_h2").alias("h2"), F.col(f"{x}_first").alias("first"), F.col(f"{y}_first").alias("other")) for x, y in sides))).alias("x")).select("x.*")
-    links = written(links.groupBy("h1", "h2").agg(F.first("first").alias("first"), F.min("other").alias("other")), "links")
-    for done in (near, full):
-        discard(done)
-    return links
-
-
-def decided(docs: DataFrame) -> DataFrame:
-    """doc_id, th and ns, the numbers of the lines that go.
-
-    One similar earlier line is enough for a line to go. So each set is first compared with its neighbours
-    at each of its tokens, which settles most members of a large group of similar lines; only the sets that
-    are left meet all earlier ones. Thus a group of similar lines does not become all its pairs, and no
-    decision depends on which neighbours came first. Each step ends in a written table, so that its shuffle
-    files can go before the next one's come.
+    One similar earlier line is enough for a line to go. So each set is first compared with the earliest
+    set of each of its words, which settles most members of a large group of similar lines; only the sets
+    that are left meet all earlier ones. Thus a group of similar lines does not become all its pairs.
     """
-    spark = docs.sparkSession
-    rows = shingles(lines(docs))
-    done = ordered(rows, rarity(rows))
-    size = F.size("t").alias("size")
-    prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
-    table = written(done.select("doc_id", "th", "n", "h1", "h2", size, prefix.alias("prefix")), "lines")
-    sets = table.groupBy("h1", "h2").agg(F.min(place()).alias("first"))
-    posts = written(shared(table), "shared")
-    one = similar(docs, sets, written(neighbours(posts), "pairs"))
-    two = similar(docs, sets, written(remaining(posts, sets, one.where("other < first").select("h1").distinct()), "pairs"))
-    found = one.unionByName(two).groupBy("h1", "h2").agg(F.min("other").alias("other"))
-    earliest = F.when(F.col("other") < F.col("first"), F.col("other")).otherwise(F.col("first"))
-    per_set = sets.join(found, ["h1", "h2"], "left").select("h1", "h2", earliest.alias("earliest"))
-    gone = table.select("doc_id", "th", "n", "h1", "h2").join(per_set, ["h1", "h2"]).where(place() > F.col("earliest"))
-    out = written(gone.groupBy("doc_id", "th").agg(F.collect_set("n").alias("ns")), "decided")
-    for old in (table, posts, one, two):
+    sets = numbered(docs)
+    posts = written(shared(sets), "shared")
+    one = similar(docs, sets, posts.where(F.col("other") < F.col("set")).where(passes("code", "other_code")).select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
+    many = posts.where("many > 2").select("token", "set", "code")
+    x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"))
+    y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"))
+    two = similar(docs, sets, x.join(y, "token").where((F.col("b") < F.col("a")) & passes("ca", "cb")).select("a", "b").distinct())
+    stay = sets.select("set", "doc_id", "th", "n").join(one.union(two), "set", "left_anti")
+    out = written(stay.groupBy("doc_id", "th").agg(F.collect_list("n").alias("ns")), "kept")
+    for old in (sets, posts, one, two):
         discard(old)
     return out
 
 
-def exact(some: DataFrame) -> DataFrame:
-    """place and s, the distinct shingles of the chosen lines."""
-    rows = some.select("doc_id", "th", F.col("x.n").alias("n"), words(F.col("x.line")).alias("w"))
-    return shingles(rows).select(place().alias("place"), F.array_distinct("s").alias("s")).distinct()
+def _judged(docs: DataFrame, n_lines: str, n_removed: str) -> DataFrame:
+    """docs with what is left of text, and two columns more."""
+    d, h, own, ns, left = (unused(docs, x) for x in ("place_id", "place_hash", "own_hash", "stay", "left_lines"))
+    per_doc = kept(docs.select("doc_id", "text")).toDF(d, h, ns)
+    if per_doc.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        per_doc = F.broadcast(per_doc)
+    joined = docs.withColumn(own, F.xxhash64("text")).join(per_doc, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(h)), "left")
+    parts, some = F.split("text", "\n"), F.coalesce(F.col(ns), F.array().cast("array<int>"))
+    joined = joined.withColumn(left, F.when(F.size(some) == F.size(parts), parts).otherwise(F.filter(parts, lambda x, n: F.array_contains(some, n) | blank(x))))
+    return joined.select(
+        *(F.array_join(left, "\n").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias(n_lines),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(parts) - F.size(left)).cast("long").alias(n_removed),
+    )
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs without the lines that match an earlier one; two columns more: n_lines and n_removed."""
-    per_doc = decided(docs).select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("ns").alias("_gone"))
-    joined = docs.withColumn("_th", F.xxhash64("text")).alias("docs").join(per_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_h")), "left")
-    parts = F.split("text", "\n")
-    stay = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone")), lambda n: F.get(parts, n))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
-    return joined.select(
-        *(text.alias(c) if c == "text" else F.col(f"docs.{c}") for c in docs.columns if c not in ("n_lines", "n_removed")),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    """docs without the lines that match an earlier one; two columns more, n_lines and n_removed, which replace columns of those names."""
+    return _judged(docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed"))), "n_lines", "n_removed")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the columns they had; n_chars, if there is one, is that of the text that is left."""
-    done = dedup(docs.select("*"))
-    return done.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    done = _judged(docs, unused(docs, "n_lines"), unused(docs, "n_removed"))
+    return done.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))

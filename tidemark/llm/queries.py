@@ -89,10 +89,10 @@ FROM g
 OP1_SQL = r"""
 WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
 w AS (SELECT doc_id, n, line, string_split(trim(regexp_replace(lower(line), '[\t\x0b-\r ]+', ' ', 'g'), ' '), ' ') AS w FROM l),
-s AS (SELECT doc_id, n, CASE WHEN w = [''] THEN NULL ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM w),
+s AS (SELECT doc_id, n, CASE WHEN w = [''] THEN NULL ELSE list_sort(list_distinct(w)) END AS s FROM w),
 sets AS (SELECT s, min((doc_id, n)) AS first, row_number() OVER (ORDER BY min((doc_id, n))) AS id FROM s WHERE s IS NOT NULL GROUP BY s),
 t AS (SELECT id, len(s) AS size, unnest(s) AS token FROM sets),
-pairs AS (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.token = b.token AND a.id <> b.id
+pairs AS (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.token = b.token AND b.id < a.id AND a.size * 5 >= b.size * 4 AND b.size * 5 >= a.size * 4
           GROUP BY a.id, b.id, a.size, b.size HAVING count(*) * 9 >= (a.size + b.size) * 4),
 near AS (SELECT p.a AS id, min(o.first) AS other FROM pairs p JOIN sets o ON o.id = p.b GROUP BY p.a),
 known AS (SELECT sets.s, least(first, coalesce(other, first)) AS earliest FROM sets LEFT JOIN near ON near.id = sets.id),
