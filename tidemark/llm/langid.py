@@ -6,7 +6,8 @@ on a bounded sample of labelled texts; every prediction reads the whole text and
 
 A null text, or one without a letter, is ``und`` with score 0. Rows without a label are not learned
 from; ties of votes go to the larger sum of margins, then to the name that sorts first. If nothing can
-be learned, every text is ``und``. Repeated rows and other columns change nothing.
+be learned, every text is ``und``. Copies of a row are learned from once. At most LANGUAGES languages are
+learned, each a class. An empty table gives an empty result; other columns change nothing.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import slices, trimmed
+from tidemark.llm.common import slices, trimmed, unused
 
 #: Families of closely related languages. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -30,8 +32,8 @@ FAMILIES = {
     "slavic": ("bg", "cs", "pl", "ru", "sk", "sr", "uk"),
 }
 FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-#: The sample that machines are trained on: rows of a language, and characters of a text that may be in it.
-SAMPLE, LONGEST = 300, 50_000
+#: The sample that machines are trained on: rows of a language, characters of a text that may be in it, and languages, the most frequent ones.
+SAMPLE, LONGEST, LANGUAGES = 300, 50_000, 100
 #: Codes: pairs of bytes as they are, triples hashed to TRIPLES places after them.
 PAIRS, TRIPLES = 1 << 16, 1 << 17
 LETTER = re.compile(r"[^\W\d_]")
@@ -121,14 +123,15 @@ class Model:
 
 
 def sampled(docs: DataFrame, learn: Column, per: int) -> list[tuple[str, str]]:
-    """About per texts of each language among the rows to learn from, chosen by a hash of their ids."""
-    able = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= LONGEST))
-    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    """About per different texts of each language among the rows to learn from, chosen by a hash of id and text."""
+    able = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "lang", "text")
+    counts = able.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return []
-    share = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(min(1.0, 1.1 * per / n))) for lang, n in counts.items()))
-    place = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = sorted((r["lang"], r["place"], r["text"]) for r in able.withColumn("place", place).where(F.col("place") < share).select("lang", "place", "text").collect())
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.1 * per / r["n"])) for r in counts], "lang string, share double")
+    place = F.pmod(F.xxhash64(F.lit("lang"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    some = able.withColumn("place", place).join(F.broadcast(share), "lang").where(F.col("place") < F.col("share")).select("lang", "place", "text").dropDuplicates(["lang", "place", "text"])
+    rows = sorted((r["lang"], r["place"], r["text"]) for r in some.limit(2 * per * len(counts)).collect())
     kept: dict[str, int] = {}
     out = []
     for lang, _, text in rows:
@@ -162,20 +165,20 @@ def fit(docs: DataFrame, learn: Column, per: int = SAMPLE) -> Model:
     return Model(families, of, pairs, np.array(weights) if weights else np.zeros((0, PAIRS + TRIPLES + 1)))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and score, which replace columns of those names."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("lang_pred", "score"))
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with two columns more, lang and score; columns of those names are replaced."""
+    keep = [c for c in docs.columns if c not in (lang, score)]
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             found = shared.value.predict(batch.column("text").to_pylist())
-            columns = [*(batch.column(c) for c in keep), pa.array([x for x, _ in found]), pa.array([x for _, x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
+            columns = [*(batch.column(c) for c in keep), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, lang, score])
         trimmed()
 
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.select(*(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -186,6 +189,7 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, least: float = 0.05) -> DataFrame:
-    """The documents in a language that was learned, with a score of least or more; texts without letters go."""
+    """The documents in a language that was learned, with a score of least or more; texts without letters go. All columns pass unchanged."""
     model = fit(docs, ~F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)))
-    return predict(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    lang, score = unused(docs, "lang_pred"), unused(docs, "score")
+    return predict(docs, model, lang, score).where((F.col(lang) != "und") & (F.col(score) >= least)).drop(lang, score)

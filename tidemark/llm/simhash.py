@@ -20,11 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, local_components, slices, written
+from tidemark.llm.common import components, local_components, slices, unused, written
 
 #: Widths of the ring's segments, from the lowest bit up.
 WIDTHS = (13, 13, 13, 13, 12)
-PRINTS = "doc_id long, fp long"
 KEYS = "key long, probe int, fp long, rep long"
 EDGES = "src long, dst long"
 #: Pairs that are compared at a time.
@@ -54,15 +53,17 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id and fp, the SimHash of the whole text's word shingles hashed with XXH64."""
+def fingerprints(docs: DataFrame, size: int = 4, seed: int = 42, extra: str = "") -> DataFrame:
+    """doc_id and fp, the SimHash of the whole text's word shingles hashed with XXH64; and a column more, a long, if extra names one."""
+    names = ["doc_id", *([extra] if extra else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([majority(fingerprint(x or b"", size, seed)) for x in texts], pa.int64())], names=["doc_id", "fp"])
+            found = pa.array([majority(fingerprint(x or b"", size, seed)) for x in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), found], names=[*names, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PRINTS)
+    return docs.select(F.col("doc_id").cast("long"), *names[1:], "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def ring() -> list[tuple[int, int]]:
@@ -157,13 +158,11 @@ def links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
         yield out
 
 
-def groups(prints: DataFrame, most: int = 4) -> DataFrame:
-    """fp, rep (its smallest doc_id) and component (the smallest doc_id that links of most differing bits or fewer reach).
+def reached(reps: DataFrame, most: int) -> DataFrame:
+    """node and component, the smallest rep that links reach, of the reps (distinct fp; rep, a number of its own) that have a link.
 
-    A run of one key holds distinct fingerprints only; those near a common centre are bounded by the
-    number of ways to change a few bits, and runs leave as one star edge a fingerprint, not as pairs.
+    A run of one key holds distinct fingerprints only. Its links leave as one star edge a fingerprint, not as pairs.
     """
-    reps = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -172,10 +171,16 @@ def groups(prints: DataFrame, most: int = 4) -> DataFrame:
                 columns = [np.concatenate(c) for c in zip(*keys_of(fp, rep, most), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "probe", "fp", "rep"])
 
-    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = reps.mapInArrow(spread, KEYS).repartition(parts, "key").sortWithinPartitions("key", "probe")
-    reached = components(dealt.mapInArrow(lambda batches: links(batches, most), EDGES))
-    return reps.join(reached, reps["rep"] == reached["node"], "left").select("fp", "rep", F.coalesce("component", "rep").alias("component"))
+    return components(dealt.mapInArrow(lambda batches: links(batches, most), EDGES))
+
+
+def groups(prints: DataFrame, most: int = 4) -> DataFrame:
+    """fp, rep (its smallest doc_id) and component (the smallest doc_id that links of most differing bits or fewer reach)."""
+    reps = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    found = reached(reps, most)
+    return reps.join(found, reps["rep"] == found["node"], "left").select("fp", "rep", F.coalesce("component", "rep").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, most: int = 4) -> DataFrame:
@@ -192,3 +197,22 @@ def without_copies(docs: DataFrame, size: int = 4, most: int = 4) -> DataFrame:
     kept = near_duplicates(docs, size, most).where("doc_id = component_id").select("doc_id").distinct()
     known = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
     return known.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def one_of_each(docs: DataFrame, size: int = 4, most: int = 4) -> DataFrame:
+    """The documents less all but one of each group of near copies; texts that share an id and are not alike all stay.
+
+    Here a fingerprint is a node, not an id. Of a group the text with the smallest doc_id stays, of its
+    texts the one with the smallest hash, of equal rows any one. Rows without an id stay. Other columns
+    pass unchanged, whatever their names.
+    """
+    own, th = unused(docs, "row_id"), unused(docs, "text_hash")
+    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash.alias("th"))
+    prints = written(fingerprints(rows, size, extra="th"), "prints")
+    nodes = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "th")).alias("best"))
+    group = reached(nodes.select("fp", F.col("fp").alias("rep")), most)
+    best = nodes.join(group, nodes["fp"] == group["node"], "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best"))
+    best = best.select(F.col("best.doc_id").alias(own), F.col("best.th").alias(th + "_kept"))
+    stay = docs.withColumn(th, text_hash).join(best, (F.col("doc_id") == F.col(own)) & (F.col(th) == F.col(th + "_kept")), "left_semi").dropDuplicates(["doc_id", th]).drop(th)
+    return stay.unionByName(docs.where("doc_id IS NULL"))

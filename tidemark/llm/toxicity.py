@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import slices, trimmed
+from tidemark.llm.common import slices, trimmed, unused
 
 #: The sample that is learned from: documents of either label, and characters of a text that may be in it.
 TOXIC, CLEAN, LONGEST = 1500, 3000, 50_000
@@ -246,28 +247,28 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     place = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     some = F.broadcast(own.where(place < share))
     texts = docs.where(F.col("text").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "text").join(some, "doc_id")
-    rows = sorted((r["doc_id"], r["toxic"], r["text"]) for r in texts.collect())
+    rows = sorted((r["doc_id"], r["toxic"], r["text"]) for r in texts.limit(2 * (TOXIC + CLEAN)).collect())
     model = train([t for _, x, t in rows if x == 1], [t for _, x, t in rows if x == 0], n)
     del rows
     trimmed()
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with toxicity, the model's probability for the whole text."""
-    keep = [c for c in docs.columns if c != "toxicity"]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+def score(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
+    """docs with a column more, name: the model's probability for the whole text; a column of that name is replaced."""
+    keep = [c for c in docs.columns if c != name]
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(name, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in slices(batches, "text", 2 << 20):
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(model.score(batch.column("text").to_pylist()))], names=[*keep, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(model.score(batch.column("text").to_pylist()))], names=[*keep, name])
         model.known.clear()
         model.found.clear()
         trimmed()
 
-    return docs.mapInArrow(run, f"{schema}, toxicity double")
+    return docs.select(*(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
 
 
 def remainder(of: int) -> Column:
@@ -283,6 +284,7 @@ def scored(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
 
 
 def harmless(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents with a score below least."""
+    """The documents with a score below least. All columns pass unchanged."""
     model = fit(docs, labels, ~F.coalesce(remainder(4) == 2, F.lit(False)))
-    return score(docs, model).where(F.col("toxicity") < least).select(*docs.columns)
+    name = unused(docs, "toxicity")
+    return score(docs, model, name).where(F.col(name) < least).drop(name)
