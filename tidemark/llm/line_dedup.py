@@ -4,7 +4,8 @@ A line's tokens are its distinct words, lower-cased. They are ordered by rarity:
 frequent words of all lines by their counts, all others before them as equally rare, ties by a hash.
 Two sets with a Jaccard similarity of 0.8 or more share a word in the first fifth of their orders
 (prefix filter); such pairs must agree in length (length filter) and in what can still follow the
-shared word (positional filter); then their words are compared. A line is removed if an earlier line,
+shared word (positional filter) and in all but a few bits of a map of their words (bitmap filter, which
+like the others loses no pair); then their words are compared. A line is removed if an earlier line,
 in the order of doc_id and line number, has the same set or one of similarity 0.8 or more, whether or
 not that line stays itself.
 
@@ -31,10 +32,17 @@ LISTED, PLACES, STEPS = 1 << 17, 1 << 18, 6
 BROADCAST_ROWS = 300_000
 
 
+def spaced(text: Column) -> Column:
+    """The text, in which other ASCII white space than blanks and line ends has become blanks. Few texts have any, and finding out is cheap."""
+    other = F.lit(False)
+    for c in "\t\x0b\x0c\r":
+        other = other | (F.instr(text, c) > 0)
+    return F.when(other, F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
+
+
 def words(line: Column) -> Column:
-    """The line's words between blanks and other ASCII white space."""
-    plain = F.when(line.rlike("[\\t\\x0b-\\r]"), F.regexp_replace(line, "[\\t\\x0b-\\r]", " ")).otherwise(line)
-    plain = F.when(F.instr(plain, "  ") > 0, F.regexp_replace(plain, " +", " ")).otherwise(plain)
+    """The words of a line of a spaced text; one empty word if it is blank."""
+    plain = F.when(F.instr(line, "  ") > 0, F.regexp_replace(line, " +", " ")).otherwise(line)
     return F.split(F.trim(plain), " ")
 
 
@@ -43,14 +51,14 @@ def blank(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (a hash of the text), n and line, in lower case, of every line that is not blank."""
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.lower("text"), "\n")).alias("n", "line"))
-    return rows.where(~blank(F.col("line")))
+    """doc_id, th (a hash of the text), n and w, the words in lower case, of every line that is not blank."""
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.lower(spaced(F.col("text"))), "\n")).alias("n", "line"))
+    return rows.select("doc_id", "th", "n", words(F.col("line")).alias("w")).where(F.get("w", F.lit(0)) != F.lit(""))
 
 
 def rarity(docs: DataFrame) -> DataFrame:
     """One row, one column: for each place the listed words whose hash belongs there, with the logarithm of their counts in the lowest byte."""
-    text = F.translate(F.lower("text"), "\n\t\r\x0b\x0c", "     ")
+    text = F.replace(F.lower(spaced(F.col("text"))), F.lit("\n"), F.lit(" "))
     each = docs.select(F.explode(F.split(text, " ")).alias("word")).where("word <> ''").select(F.xxhash64("word").alias("token"))
     most = each.groupBy("token").count().orderBy(F.desc("count"), "token").limit(LISTED)
     entry = F.col("token").bitwiseAND(F.lit(~255)).bitwiseOR(F.least(F.lit(255), F.ceil(STEPS * F.log2(F.col("count") + 1))))
@@ -61,43 +69,46 @@ def rarity(docs: DataFrame) -> DataFrame:
 
 
 def ordered(rows: DataFrame, listed: DataFrame) -> DataFrame:
-    """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order) and the set's hashes h1 and h2."""
+    """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order), map and the set's hashes h1 and h2.
+
+    A bit of the map is set if an odd number of the set's words belong to it, so two maps differ in no more bits than the sets in words.
+    """
     rows = rows.select("doc_id", "th", "n", F.expr("array_distinct(transform(w, x -> xxhash64(x)))").alias("t")).withColumn("listed", listed.scalar())
     found = f"get(filter(get(p, int(x & {PLACES - 1})), e -> shiftrightunsigned(e ^ x, 8) = 0), 0)"  # p: the table, which must be named once only
     codes = f"transform(array(listed), p -> transform(t, x -> shiftleft(coalesce({found}, 0L), 56) | shiftrightunsigned(x, 8)))[0]"
     rows = rows.withColumn("t", F.expr(f"sort_array(transform({codes}, x -> x ^ shiftleft(1L, 63)))")).drop("listed")  # the sign is turned: sorting is signed
     prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
-    return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
+    return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), F.expr("aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size and prefix."""
-    rows = lines(docs).select("doc_id", "th", "n", words(F.col("line")).alias("w"))
+    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size, prefix and map."""
     place = F.struct("doc_id", "th", "n")
-    sets = ordered(rows, rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    sets = sets.select("first.*", "size", "prefix").orderBy("doc_id", "th", "n")
+    sets = ordered(lines(docs), rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("map").alias("map"))
+    sets = sets.select("first.*", "size", "prefix", "map").orderBy("doc_id", "th", "n")
     return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
 
 
-def passes(x: str, y: str) -> Column:
-    """The length and positional filters for two places of one word, given as codes; of two sets the smaller one shares a word in the first ninth of its order."""
+def passes(x: str, y: str, map_x: str, map_y: str) -> Column:
+    """The length, positional and bitmap filters for two places of one word, given as codes; of two sets the smaller one shares a word in the first ninth of its order."""
     size, at = (lambda c: F.shiftright(c, 31)), (lambda c: F.col(c).bitwiseAND(F.lit(2**31 - 1)))
     sx, ix, sy, iy = size(x), at(x), size(y), at(y)
     length = F.least(sx, sy) * OF >= F.greatest(sx, sy) * NEAR
     follows = F.least(sx - ix, sy - iy)  # the shared word and what may come after it
     early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
-    return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR)
+    differ = F.bit_count(F.col(map_x).bitwiseXOR(F.col(map_y)))  # similar sets differ in a ninth of their words at most
+    return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR) & (differ * (NEAR + OF) <= (sx + sy) * (OF - NEAR))
 
 
 def shared(sets: DataFrame) -> DataFrame:
-    """token, set, code (size and place) of the prefix words that several sets have, with the earliest set of each word and its code, and how many have it.
+    """token, set, code (size and place) and map of the prefix words that several sets have, with the same of the earliest set of each word, and how many have it.
 
     The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent word.
     """
-    posts = sets.where("prefix IS NOT NULL").select("set", "size", F.posexplode("prefix").alias("at", "token"))
-    posts = posts.select("token", "set", F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
-    first = posts.groupBy("token").agg(F.min(F.struct("set", "code")).alias("first"), F.count("*").alias("many")).where("many > 1")
-    return posts.join(first.select("token", F.col("first.set").alias("other"), F.col("first.code").alias("other_code"), "many"), "token")
+    posts = sets.where("prefix IS NOT NULL").select("set", "size", "map", F.posexplode("prefix").alias("at", "token"))
+    posts = posts.select("token", "set", "map", F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
+    first = posts.groupBy("token").agg(F.min(F.struct("set", "code", "map")).alias("first"), F.count("*").alias("many")).where("many > 1")
+    return posts.join(first.select("token", F.col("first.set").alias("other"), F.col("first.code").alias("other_code"), F.col("first.map").alias("other_map"), "many"), "token")
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -106,11 +117,11 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     need = sets.select("set", "doc_id", "th", "n").join(wanted, "set", "left_semi")
     need = written(need.groupBy("doc_id", "th").agg(F.collect_list(F.struct("n", "set")).alias("ns")), "wanted")
-    few = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    own = docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text")).dropDuplicates(["doc_id", "th"]) if not few else docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text"))
+    own = docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text"))
     right = need.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "ns")
+    few = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     some = own.join(F.broadcast(right) if few else right, own["doc_id"].eqNullSafe(right["d"]) & (own["th"] == right["h"]))
-    parts = F.split(F.lower("text"), "\n")
+    parts = F.split(F.lower(spaced(F.col("text"))), "\n")
     some = some.select(F.explode(F.transform("ns", lambda x: F.struct(x["set"].alias("set"), F.get(parts, x["n"]).alias("line")))).alias("x"))
     full = written(some.select("x.set", F.array_distinct(words(F.col("x.line"))).alias("w")).dropDuplicates(["set"]), "words")
     left, other = full.select(F.col("set").alias("a"), F.col("w").alias("wa")), full.select(F.col("set").alias("b"), F.col("w").alias("wb"))
@@ -131,11 +142,11 @@ def kept(docs: DataFrame) -> DataFrame:
     """
     sets = numbered(docs)
     posts = written(shared(sets), "shared")
-    one = similar(docs, sets, posts.where(F.col("other") < F.col("set")).where(passes("code", "other_code")).select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
-    many = posts.where("many > 2").select("token", "set", "code")
-    x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"))
-    y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"))
-    two = similar(docs, sets, x.join(y, "token").where((F.col("b") < F.col("a")) & passes("ca", "cb")).select("a", "b").distinct())
+    one = similar(docs, sets, posts.where(F.col("other") < F.col("set")).where(passes("code", "other_code", "map", "other_map")).select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
+    many = posts.where("many > 2").select("token", "set", "code", "map")
+    x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"), F.col("map").alias("ma"))
+    y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"), F.col("map").alias("mb"))
+    two = similar(docs, sets, x.join(y, "token").where((F.col("b") < F.col("a")) & passes("ca", "cb", "ma", "mb")).select("a", "b").distinct())
     stay = sets.select("set", "doc_id", "th", "n").join(one.union(two), "set", "left_anti")
     out = written(stay.groupBy("doc_id", "th").agg(F.collect_list("n").alias("ns")), "kept")
     for old in (sets, posts, one, two):
