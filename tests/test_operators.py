@@ -9,7 +9,7 @@ from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.functions import native as N
 from tidemark.operators import catalog, chains, operations, publication, retention, selection
-from tidemark.plans import catalogue, oracle
+from tidemark.plans import catalogue, oracle, raw_days, raw_days_oracle  # noqa: F401
 from tidemark.plans import events as E
 from tidemark.sources import wal
 from tidemark.streaming import gateway
@@ -17,12 +17,15 @@ from tidemark.streaming import gateway
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(oracle.ORACLE))
+ORACLE = oracle.ORACLE | raw_days_oracle.ORACLE
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_match_sql(spark, compare, name):
-    compare(catalogue.QUERIES[name](spark, SF), oracle.ORACLE[name], SF)
+    compare(catalogue.QUERIES[name](spark, SF), ORACLE[name], SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(oracle.ORACLE)))
+@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(ORACLE)))
 def test_queries_without_sql_run(spark, name):
     assert catalogue.QUERIES[name](spark, SF).count() > 0
 

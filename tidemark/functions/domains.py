@@ -26,6 +26,8 @@ CHECKPOINT = b"tick-data-platform/prune-checkpoint/v1\0"
 PRUNE_PLAN = b"tick-data-platform/prune-plan/v1\0"
 COMPLETION = b"tick-data-platform/prune-completion/v1\0"
 CONFIG = b"tick-data-platform/archive-config/v1\0"
+EVENT = b"tick-data-platform/replay-publication-event/v1\0"
+ACTION_PLAN = b"tick-data-platform/replay-action-plan/v1\0"
 SCHEMA_ID = "mt5.mqltick.v1"
 FORMAT_ID = "ticks-parquet-v1"
 

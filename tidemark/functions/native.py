@@ -158,6 +158,51 @@ def retry_delay(attempts: Column, least: int, most: int) -> Column:
     return F.least(F.lit(most), F.lit(least) * F.pow(F.lit(2), F.least(F.greatest(attempts - 1, F.lit(0)), F.lit(40)))).cast("long")
 
 
+def checked_add(a: Column, b: Column) -> Column:
+    """Of decimal(20,0) from 0 to 2**64 - 1; a larger sum raises."""
+    total = (a.cast("decimal(38,0)") + b.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return F.when(total < F.lit(str(2**64)).cast("decimal(38,0)"), total.cast("decimal(20,0)")).otherwise(F.raise_error(F.lit("sum overflows")).cast("decimal(20,0)"))
+
+
+def checked_multiply(a: Column, b: Column) -> Column:
+    """Of decimal(20,0) from 0 to 2**64 - 1; a larger product raises."""
+    limit = F.lit(str(2**64 - 1)).cast("decimal(20,0)")
+    whole = F.floor(limit / F.greatest(b.cast("decimal(20,0)"), F.lit(1).cast("decimal(20,0)"))).cast("decimal(20,0)")  # a quotient keeps six places, so what it rounds is below one
+    fits = (b == 0) | (a.cast("decimal(20,0)") <= whole)
+    return F.when(fits, (a.cast("decimal(20,0)") * b.cast("decimal(20,0)")).cast("decimal(20,0)")).otherwise(F.raise_error(F.lit("product overflows")).cast("decimal(20,0)"))
+
+
+def saturating_add(a: Column, b: Column) -> Column:
+    """The same, but a larger sum is 2**64 - 1."""
+    total = (a.cast("decimal(38,0)") + b.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return F.least(total, F.lit(str(2**64 - 1)).cast("decimal(38,0)")).cast("decimal(20,0)")
+
+
+def cache_identity(kind: Column, key: Column, digest: Column) -> Column:
+    return F.concat_ws(":", kind, key, digest)
+
+
+def dates_json(days: Column) -> Column:
+    """Sorted distinct days as a JSON array."""
+    return F.to_json(F.array_sort(F.array_distinct(days)))
+
+
+def dates_of(text: Column) -> Column:
+    """The days of a JSON array; anything but sorted distinct days raises."""
+    days = F.from_json(text, "array<string>")
+    good = days.isNotNull() & (F.to_json(days) == text) & (F.array_sort(F.array_distinct(days)) == days) & F.forall(days, is_day)
+    return F.when(F.coalesce(good, F.lit(False)), days).otherwise(F.raise_error(F.lit("days are not canonical")).cast("array<string>"))
+
+
+def exact_component(value: Column) -> Column:
+    """A path component: each byte but letters, digits and -_.*'() as ! and two digits."""
+    digits = F.hex(F.encode(value, "UTF-8"))
+    count = F.octet_length(value)
+    pairs = F.transform(F.filter(F.sequence(F.lit(0), count), lambda k: k < count), lambda k: F.substr(digits, 2 * k + 1, F.lit(2)))
+    one = lambda p: F.decode(F.unhex(p), "ISO-8859-1")
+    return F.array_join(F.transform(pairs, lambda p: F.when(one(p).rlike(r"^[A-Za-z0-9\-_.*'()]$"), one(p)).otherwise(F.concat(F.lit("!"), p))), "")
+
+
 def disk_class(free: Column, high: int, critical: int, emergency: int) -> Column:
     """Unknown free space counts as none."""
     return F.when(free >= high, "normal").when(free >= critical, "high").when(free >= emergency, "critical").otherwise("emergency")

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
+import threading
+import urllib.parse
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from typing import Any
 
 import pyarrow as pa
@@ -43,14 +49,17 @@ def strict_query(query: dict[str, list[str]], required: set[str], optional: set[
     return flat
 
 
-def manifests(spark: SparkSession, path: str, domain: bytes, pattern: str = "*.json") -> DataFrame:
-    """Manifests under path, decoded strictly; a file whose name lacks its digest is an integrity error."""
+def manifests(spark: SparkSession, path: str, domain: bytes, pattern: str = "*.json", exact: bool = True) -> DataFrame:
+    """Manifests under path, decoded strictly: canonical bytes, a name that holds their digest, and, if exact, the fields of their kind and no others."""
+    from tidemark.operators import archive, publication
+
+    keys = {D.RAW_DAY: set(archive.DAY_KEYS), D.REPLAY_DAY: publication.DAY_KEYS, D.PART: publication.PART_KEYS}.get(domain) if exact else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for p, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                value = C.parse_canonical(content)
+                value = C.parse_canonical(content, keys)
                 own = C.sha(domain, content).hex()
                 if own not in p.rsplit("/", 1)[-1]:
                     raise C.FormatError("INVALID_FIELD", f"{p} does not name its digest")
@@ -119,9 +128,9 @@ class Archive:
             raise ReadError("not_found", date)
         return newest.asDict(True)
 
-    def fetch_plan(self, manifest: dict[str, Any]) -> DataFrame:
-        """Objects of a raw manifest in order, each once: key, sha256 and bytes. Conflicting sizes are an error."""
-        rows = self.raw.where(F.col("digest") == manifest["digest"]).select(F.posexplode("objects").alias("at", "o"))
+    def fetch_plan(self, *chosen: dict[str, Any]) -> DataFrame:
+        """Objects of raw manifests in order, each once: key, sha256 and bytes. Conflicting sizes are an error."""
+        rows = self.raw.where(F.col("digest").isin([m["digest"] for m in chosen])).select(F.posexplode("objects").alias("at", "o"))
         plan = rows.groupBy("o.key").agg(F.min("at").alias("at"), F.min("o.sha256").alias("sha256"), F.min("o.bytes").alias("bytes"), F.count_distinct("o.sha256", "o.bytes").alias("n"))
         return plan.where(F.when(F.col("n") == 1, True).otherwise(F.raise_error(F.lit("conflicting descriptors")).cast("boolean"))).orderBy("at").drop("n")
 
@@ -167,6 +176,42 @@ def fetched(plan: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     return plan.join(seen, "key", "left").withColumn("state", F.when(F.col("_sha").isNull(), "absent").when(same, "exact").otherwise("different")).drop("_sha", "_n")
 
 
+def fetch(plan: DataFrame, store: str, into: str, max_objects: int = 1 << 20, max_bytes: int = 1 << 46) -> DataFrame:
+    """The plan's objects copied from one folder to another, with created; every one is checked on both sides.
+
+    The plan's own sums must be within the limits before an object is opened.
+    """
+    from tidemark.operators.retention import within_budget
+    from tidemark.sources.store import fetch_all
+
+    fits = within_budget(plan.select(F.col("key").alias("path"), F.col("bytes").alias("length"), "key", "sha256", "bytes"), max_objects, max_bytes)
+    return fetch_all(fits.select("key", "sha256", "bytes"), store, into)
+
+
+def fetch_replay(archive: Archive, manifest: dict[str, Any], store: str, into: str, **limits: int) -> DataFrame:
+    """The part files of a replay manifest, copied likewise: parts have part_key, part_sha256 and part_bytes."""
+    plan = archive.replay_plan(manifest).select(F.col("part_key").alias("key"), F.col("part_sha256").alias("sha256"), F.col("part_bytes").alias("bytes"))
+    return fetch(plan, store, into, **limits)
+
+
+def verify_replay_day(stream: DataFrame, parts: DataFrame, manifest: dict[str, Any], raw_days: DataFrame) -> dict[str, bool]:
+    """All facts of a replay day, valid last: its raw day (raw_days: manifest_sha256, valid) is bound and proved, its part files hold what their rows say
+    (parts as of sources.parts.build(), with key and digest of their manifests), rows and parts are chained, counts and roots are the manifest's."""
+    from tidemark.sources import parts as P
+
+    bound = raw_days.where(F.col("manifest_sha256") == manifest["raw_day_manifest_sha256"]).agg(F.count("*").alias("n"), F.coalesce(F.min(F.col("valid").cast("int")), F.lit(0)).alias("v")).first()
+    try:
+        held = P.checked(parts).count() == parts.count()
+    except Exception as bad:  # a part that does not hold fails the job with the format's error
+        if "INVALID_FIELD" not in str(bad):
+            raise
+        held = False
+    items = parts.select("part_sequence", "key", "digest", "first_stream_sequence", "last_stream_sequence").orderBy("part_sequence").collect()
+    root = C.part_set_root([r.asDict() | {"digest": bytes.fromhex(r["digest"])} for r in items]).hex()
+    facts = {"raw_bound": bound["n"] == 1, "raw_valid": bound["v"] == 1, "parts_valid": held, "part_set_root_matches": root == manifest["part_set_root"]} | verify_replay(stream, parts, manifest)
+    return facts | {"valid": all(facts.values())}
+
+
 def verify_replay(stream: DataFrame, parts: DataFrame, manifest: dict[str, Any]) -> dict[str, bool]:
     """What holds of a replay day: rows are numbered without gap and chained, parts follow each other, roots and counts are the manifest's."""
     rows = chains.unlinked(stream, ["scope", "day"], "stream_sequence", "previous_row_chain_hash", "row_chain_hash")
@@ -209,3 +254,114 @@ def api(archive: Archive, most: int = 1000, health: Callable[[], dict[str, Any]]
             return bad.status, {"error": bad.code}
 
     return handle
+
+
+def http(archive: Archive, limits: dict[str, int], health: Callable[[], dict[str, Any]] | None = None) -> Callable[[str, str, dict[str, list[str]], bytes], tuple[int, dict]]:
+    """A request handler (method, path, query, body) -> (status, body) with the published routes.
+
+    GET /v1/datasets, /v1/datasets/DATASET/scopes, /v1/snapshots/raw, /v1/snapshots/replay, /v1/manifests/DIGEST, /v1/health; POST /v1/fetch-plans
+    with {"kind": "raw" or "replay", "selector": {"manifest": DIGEST}}. At most max_concurrent_requests run at a time; one that takes longer than
+    request_timeout_ms is given up, and its Spark jobs are cancelled.
+    """
+    inner = api(archive, limits["max_api_response_items"], health)
+    slots = threading.BoundedSemaphore(limits["max_concurrent_requests"])
+    workers = ThreadPoolExecutor(limits["max_concurrent_requests"])
+    spark = archive.scopes.sparkSession
+
+    def scoped(rows: DataFrame, q: dict[str, str]) -> DataFrame:
+        """The rows of the query's scope; a scope that is none of the dataset's is not found."""
+        only(archive.list_scopes(q["dataset"]).where((F.col("provider_id") == q["source"]) & (F.col("symbol") == q["symbol"])).select("scope_key"))
+        for name in ("provider_id", "symbol"):
+            if name in rows.columns:
+                rows = rows.where(F.col(name) == q["source" if name == "provider_id" else name])
+        return rows
+
+    def answer(path: str, query: dict[str, list[str]], body: bytes, method: str) -> tuple[int, dict]:
+        try:
+            parts = path.split("/")
+            if path == "/v1/fetch-plans":
+                if method != "POST":
+                    raise ReadError("method_not_allowed")
+                strict_query(query, set())
+                if len(body) > limits["max_api_request_bytes"]:
+                    raise ReadError("too_large")
+                try:
+                    value = json.loads(body)
+                    kind, digest = value["kind"], value["selector"]["manifest"]
+                    good = set(value) == {"kind", "selector"} and set(value["selector"]) == {"manifest"} and kind in ("raw", "replay")
+                except (ValueError, TypeError, KeyError):
+                    good, digest = False, ""
+                if not good or not isinstance(digest, str) or not DIGEST.fullmatch(digest):
+                    raise ReadError("invalid_request", "body")
+                manifest = archive.manifest(digest)
+                raw = archive.raw.where(F.col("digest") == digest).limit(1).count() == 1
+                if raw != (kind == "raw"):
+                    raise ReadError("not_found", digest)
+                plan = archive.fetch_plan(manifest) if raw else archive.replay_plan(manifest).select(F.col("part_key").alias("key"), F.col("part_sha256").alias("sha256"), F.col("part_bytes").alias("bytes"))
+                found = [r | {"cache_identity": f"{kind}:{r['key']}:{r['sha256']}"} for r in items(plan, limits["max_api_response_items"])]
+                return 200, {"items": found, "next_cursor": None}
+            if method != "GET":
+                raise ReadError("method_not_allowed")
+            if len(parts) == 5 and path.startswith("/v1/datasets/") and parts[4] == "scopes":
+                strict_query(query, set())
+                dataset = strict_query({"dataset": [parts[3]]}, {"dataset"})["dataset"]
+                return 200, {"items": items(archive.list_scopes(dataset), limits["max_api_response_items"]), "next_cursor": None}
+            if path == "/v1/snapshots/raw":
+                q = strict_query(query, {"dataset", "source", "symbol"}, {"date"})
+                return 200, {"items": items(scoped(archive.raw_snapshots(q["dataset"], q.get("date")).drop("objects"), q), limits["max_api_response_items"]), "next_cursor": None}
+            if path == "/v1/snapshots/replay":
+                q = strict_query(query, {"dataset", "source", "symbol", "date", "stream", "conversion"}, {"day_definition"})
+                rows = scoped(archive.replay_snapshots(q["dataset"]).where(F.col("date") == q["date"]), q)
+                for name, column in (("stream", "replay_contract_id"), ("conversion", "conversion_id"), ("day_definition", "day_definition_id")):
+                    if name in q and column in rows.columns:
+                        rows = rows.where(F.col(column) == q[name])
+                return 200, {"items": items(rows, limits["max_api_response_items"]), "next_cursor": None}
+            if path in ("/v1/scopes", "/v1/fetch-plan"):
+                raise ReadError("not_found", path)
+            return inner(path, query)
+        except ReadError as bad:
+            return bad.status, {"error": bad.code}
+
+    def handle(method: str, path: str, query: dict[str, list[str]], body: bytes = b"") -> tuple[int, dict]:
+        if not slots.acquire(blocking=False):
+            return CODES["too_many_requests"], {"error": "too_many_requests"}
+        group = f"request-{uuid.uuid4().hex}"
+
+        def run() -> tuple[int, dict]:
+            try:
+                spark.sparkContext.setJobGroup(group, path, True)
+                return answer(path, query, body, method)
+            finally:
+                slots.release()
+
+        try:
+            return workers.submit(run).result(limits["request_timeout_ms"] / 1000)
+        except TimeoutError:
+            spark.sparkContext.cancelJobGroup(group)
+            return CODES["timeout"], {"error": "timeout"}
+
+    return handle
+
+
+def serve(handle: Callable[[str, str, dict[str, list[str]], bytes], tuple[int, dict]], port: int = 0, max_body: int = 1 << 20) -> ThreadingHTTPServer:
+    """An HTTP server on this host for a handler; call serve_forever() and shutdown() on it."""
+
+    class Handler(BaseHTTPRequestHandler):
+        def _answer(self) -> None:
+            where = urllib.parse.urlsplit(self.path)
+            size = int(self.headers.get("Content-Length") or 0)
+            body = self.rfile.read(min(size, max_body + 1))
+            status, value = handle(self.command, urllib.parse.unquote(where.path), urllib.parse.parse_qs(where.query, keep_blank_values=True), body)
+            data = json.dumps(value, sort_keys=True, default=str).encode()
+            self.send_response(status)
+            self.send_header("Content-Type", "application/json")
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        do_GET = do_POST = do_PUT = do_DELETE = _answer
+
+        def log_message(self, *_: object) -> None:
+            pass
+
+    return ThreadingHTTPServer(("127.0.0.1", port), Handler)

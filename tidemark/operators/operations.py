@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import codec as C
+
 #: What two scopes may not share, and paths that may not lie in one another.
 EXCLUSIVE, PATHS = ("scope_key", "listener", "publisher_id", "credential_id"), ("wal_dir", "spool_dir")
 
@@ -43,3 +45,38 @@ def ready(free: Column, poisoned: Column, pending: Column, pending_bytes: Column
     room = F.coalesce(free >= policy["critical"], F.lit(False))
     full = F.lit(bool(policy.get("max_pending"))) & ((pending >= policy.get("max_pending", 0)) | (pending_bytes >= policy.get("max_pending_bytes", 0)))
     return room & ~poisoned & ~full
+
+
+#: The fields of the resource limits, and of a scope of the inventory.
+LIMIT_KEYS = ("limits_version", "max_api_request_bytes", "max_api_response_items", "max_concurrent_requests", "max_manifest_nodes", "max_proof_bytes", "max_proof_objects", "max_prune_candidates", "request_timeout_ms")
+SCOPE_KEYS = ("credential_id", "listener", "publisher_id", "scope", "scope_key", "spool_dir", "wal_dir")
+
+
+def resource_limits(data: bytes) -> dict[str, int]:
+    """The limits of a canonical document: every field, none else, all positive."""
+    value = C.parse_canonical(data, set(LIMIT_KEYS))
+    if value.pop("limits_version") != "m4-operational-limits-v1" or not all(isinstance(v, int) and not isinstance(v, bool) and v > 0 for v in value.values()):
+        raise C.FormatError("INVALID_FIELD", "resource limits")
+    return value
+
+
+def scope_inventory(spark: SparkSession, data: bytes, most: int = 10_000) -> DataFrame:
+    """The scopes of a canonical inventory, which names each once; scopes that would get into each other's way are an error."""
+    value = C.parse_canonical(data, {"inventory_version", "scopes"})
+    rows = value["scopes"]
+    if value["inventory_version"] != "scope-inventory-v1" or not 0 < len(rows) <= most or any(set(r) != set(SCOPE_KEYS) or not all(isinstance(v, str) and v for v in r.values()) for r in rows):
+        raise C.FormatError("INVALID_FIELD", "inventory")
+    names = [r["scope"] for r in rows]
+    if names != sorted(set(names)):
+        raise C.FormatError("INVALID_FIELD", "scopes are not sorted and distinct")
+    found = spark.createDataFrame([tuple(r[k] for k in SCOPE_KEYS) for r in rows], ", ".join(f"{k} string" for k in SCOPE_KEYS))
+    if clash := collisions(found).take(1):
+        raise C.FormatError("INVALID_FIELD", f"{clash[0]['left']} and {clash[0]['right']} share {clash[0]['shared']}")
+    return found
+
+
+def supervisor_plan(scopes: DataFrame, running: DataFrame) -> DataFrame:
+    """What is to be done for each scope: start what is not running (scope), stop what is no scope any more, keep the rest."""
+    want, have = scopes.select("scope").distinct().withColumn("_w", F.lit(True)), running.select("scope").distinct().withColumn("_h", F.lit(True))
+    action = F.when(F.col("_h").isNull(), "start").when(F.col("_w").isNull(), "stop").otherwise("keep")
+    return want.join(have, "scope", "full_outer").select("scope", action.alias("action")).orderBy("scope")

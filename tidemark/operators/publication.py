@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 
-#: Barriers in their order; whether what is absent there must be there already, and whether it is a set of objects.
+#: Barriers in their order; whether what is absent there must be there already, and whether it is a set of objects.
 BARRIERS = (("claim", True, False), ("raw_manifest", True, False), ("raw_object", True, True), ("parquet", False, True), ("part_manifest", False, True), ("part_chain", True, False), ("replay_manifest", False, False), ("replay_graph", True, False))
+#: The fields of a part manifest and of a replay day manifest.
 PART_KEYS = {
     "canonical_row_bytes", "conversion_id", "converter_build_id", "dataset_id", "date", "day_definition_id", "dependency_lock_hash", "first_row_chain_hash", "first_stream_sequence", "format_id", "last_row_chain_hash",
     "last_stream_sequence", "manifest_version", "part_bytes", "part_key", "part_sequence", "part_sha256", "previous_manifest_sha256", "previous_row_chain_hash", "raw_day_manifest_key", "raw_day_manifest_sha256", "replay_contract_id",

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import codec as C
 from tidemark.functions import domains as D
+from tidemark.functions import native as N
 from tidemark.operators import chains
+from tidemark.sources.store import FolderStore
 
 
 @dataclass(frozen=True)
@@ -80,12 +82,72 @@ def within_budget(inventory: DataFrame, max_objects: int, max_bytes: int) -> Dat
     return inventory.where(total.select(fits.alias("fits")).scalar()).orderBy("path")
 
 
-def retained_from(checkpoints: DataFrame, segments: DataFrame) -> DataFrame:
-    """Retained segments with breaks: the first must follow the last checkpoint, each other the one before it."""
-    last = checkpoints.agg(F.max_by(F.struct("last_sequence", "chain_root"), "checkpoint").alias("c")).select(F.coalesce(F.col("c.last_sequence"), F.lit(0)).alias("s"), F.col("c.chain_root").alias("r"))
-    w = Window.orderBy("first_sequence")
-    before, root = F.coalesce(F.lag("last_sequence").over(w), last.select("s").scalar()), F.coalesce(F.lag("chain_root").over(w), last.select("r").scalar())
-    return segments.withColumn("breaks", ~((F.col("first_sequence") == before + 1) & (root.isNull() | (F.col("chain_start") == root))))
+def retained_from(checkpoints: DataFrame, segments: DataFrame, *scopes: str) -> DataFrame:
+    """Retained segments with breaks: the first of a scope must follow the scope's last checkpoint, each other the one before it."""
+    keys = scopes or ("_all",)
+    if not scopes:
+        checkpoints, segments = (x.withColumn("_all", F.lit(1)) for x in (checkpoints, segments))
+    last = checkpoints.groupBy(*keys).agg(F.max_by(F.struct("last_sequence", "chain_root"), "checkpoint").alias("_c"))
+    w = Window.partitionBy(*keys).orderBy("first_sequence")
+    rows = segments.join(last, list(keys), "left")
+    before, root = F.coalesce(F.lag("last_sequence").over(w), F.col("_c.last_sequence"), F.lit(0)), F.coalesce(F.lag("chain_root").over(w), F.col("_c.chain_root"))
+    return rows.withColumn("breaks", ~((F.col("first_sequence") == before + 1) & (root.isNull() | (F.col("chain_start") == root)))).drop("_c", "_all")
+
+
+def proofs(candidates: DataFrame, coverage: DataFrame, days: DataFrame, remote: DataFrame, claims: DataFrame, *scopes: str) -> DataFrame:
+    """candidates (scopes, object_key) with what a retention proof must hold, and proof_sha256, the digest of it all, where it does.
+
+    coverage and days are of archive.segment_coverage() and archive.verify_days(), remote has the objects (scopes, object_key) that lie
+    verified in the store, claims the scopes whose claim does.
+    """
+    by = [*scopes, "day", "manifest_sha256"]
+    sound = coverage.where("covered").join(days.where("valid").select(*by), by)
+    best = sound.groupBy(*scopes, "object_key").agg(F.max_by(F.struct("day", "manifest_sha256"), F.struct("day", "manifest_sha256")).alias("_m"))
+    known, claimed = remote.select(*scopes, "object_key").distinct().withColumn("_r", F.lit(True)), claims.select(*scopes).distinct().withColumn("_c", F.lit(True))
+    rows = candidates.join(best, [*scopes, "object_key"], "left").join(known, [*scopes, "object_key"], "left").join(claimed, list(scopes), "left")
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    rows = rows.withColumn("covered", F.col("_m").isNotNull()).withColumn("remote_verified", yes("_r")).withColumn("claimed", yes("_c"))
+    text = F.concat_ws("/", *scopes, "object_key", "_m.day", "_m.manifest_sha256")
+    digest = F.sha2(F.concat(N.raw(D.PROOF), F.encode(text, "UTF-8")), 256)
+    return rows.withColumn("proof_sha256", F.when(F.col("covered") & F.col("remote_verified") & F.col("claimed"), digest)).drop("_m", "_r", "_c")
+
+
+def unexpected(trash: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """Files of the trash (name, sha256) that no checkpoint (segment_sha256) covers: nothing else may lie there."""
+    return trash.join(checkpoints.select(F.col("segment_sha256").alias("sha256")), "sha256", "left_anti")
+
+
+def wall_clock(store: FolderStore, observed_ms: int | None = None) -> int | None:
+    """The latest recorded wall clock; with an observation, which must not be earlier, after recording it."""
+    names = [k for k, _ in store.keys("wall-clock", 1 << 20)]
+    latest = None
+    if names:
+        value = C.parse_canonical(store.get(names[-1]), {"observed_wall_time_unix_ms", "version"})
+        latest = value["observed_wall_time_unix_ms"]
+        if names[-1] != f"wall-clock/{latest:020d}.json":
+            raise C.FormatError("INVALID_FIELD", names[-1])
+    if observed_ms is None:
+        return latest
+    if observed_ms < 1 or latest is not None and observed_ms < latest:
+        raise C.FormatError("INVALID_FIELD", "wall clock regressed")
+    store.put_if_absent(f"wall-clock/{observed_ms:020d}.json", C.canonical_json({"observed_wall_time_unix_ms": observed_ms, "version": "retention-wall-clock-v1"}))
+    return observed_ms
+
+
+def anchor(checkpoints: list[dict]) -> tuple[int, str]:
+    """Where a log that was pruned begins: the sequence and the hash that its first retained entry must follow."""
+    return (checkpoints[-1]["end_sequence"], checkpoints[-1]["retained_chain_root"]) if checkpoints else (0, D.ZERO.hex())
+
+
+def prune(candidates: DataFrame, policy: Policy, executor: Executor, clock: FolderStore, actions: DataFrame) -> list[str]:
+    """One run: what a crash left is finished, the clock is recorded and must not run backwards, the plan is made and carried out.
+
+    actions has what the executor needs of each artifact_id; at most policy.max_candidates of them are collected.
+    """
+    executor.recover()
+    wall_clock(clock, policy.now)
+    chosen = plan(candidates, policy).where("action = 'prune'").join(actions, "artifact_id")
+    return executor.execute([r.asDict() for r in chosen.collect()])
 
 
 @dataclass

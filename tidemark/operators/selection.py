@@ -58,8 +58,14 @@ def in_ranges(entries: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def overlapping(found: DataFrame, start: int | Column, end: int | Column) -> DataFrame:
-    """Segments that share a sequence with [start, end]; 0 as start means unbounded."""
-    return found.where((F.col("last_sequence") >= start) & (F.col("first_sequence") <= end) | F.lit(start == 0 if isinstance(start, int) else False))
+    """Segments that share a sequence with [start, end]; an end that is 0 bounds no slice, and none do."""
+    start, end = (F.lit(x) if isinstance(x, int) else x for x in (start, end))
+    return found.where((start != 0) & (end != 0) & (F.col("last_sequence") >= start) & (F.col("first_sequence") <= end))
+
+
+def in_slice(entries: DataFrame, start: int, end: int) -> DataFrame:
+    """Entries with a sequence from start to end; a start of 0 means all."""
+    return entries.where(F.col("sequence").between(start, end)) if start else entries
 
 
 def affected_days(ticks: DataFrame, *by: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
@@ -131,24 +132,39 @@ def checked(parts: DataFrame) -> DataFrame:
 
 
 def put_if_absent(spark, where: str, data: bytes) -> bool:
-    """Write a file that must not exist yet, in any store that Spark reaches; an existing one must have the same bytes. Whether it was written."""
+    """Write a file that must not exist yet, in any store that Spark reaches; an existing one must have the same bytes. Whether it was written.
+
+    The bytes get their name by a rename when they are whole, so a crash leaves no short file under it.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path(where)
     store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if store.exists(path):
+
+    def same() -> bool:
         old = spark.read.format("binaryFile").load(where).select("content").first()["content"]
         if bytes(old) != data:
             raise C.FormatError("INVALID_FIELD", f"{where} exists with other bytes")
-        return False
-    stream = store.create(path, False)
+        return True
+
+    if store.exists(path):
+        return not same()
+    temporary = spark._jvm.org.apache.hadoop.fs.Path(f"{where}.tmp-{uuid.uuid4().hex}")
+    stream = store.create(temporary, False)
     stream.write(data)
     stream.close()
-    return True
+    moved = store.rename(temporary, path)
+    if not moved:
+        store.delete(temporary, False)
+    same()
+    return bool(moved)
 
 
 def store(parts: DataFrame, folder: str) -> int:
-    """Parts under their keys, one at a time through the driver; the number that was written."""
-    spark = parts.sparkSession
-    return sum(put_if_absent(spark, f"{folder}/{r['part_key']}", bytes(r["content"])) for r in parts.select("part_key", "content").toLocalIterator())
+    """Parts under their keys, written by the tasks; the number that is new."""
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.store import put_all
+
+    return put_all(parts, folder, "part_key", "content").agg(F.count(F.when(F.col("created"), 1))).first()[0]
 
 
 def claim(scope: dict[str, Any]) -> tuple[bytes, str]:

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,14 +73,14 @@ def trailer(first: int, last: int, count: int, root: bytes, file_sha: bytes) ->
     return body + C.u32(C.crc32c(body))
 
 
-def decode_entry(data: bytes, at: int) -> tuple[Entry, int]:
-    """The entry at a place and the place after it; EOFError if the bytes end inside it."""
-    if at + 4 > len(data):
+def decode_entry(data: bytes, at: int, end: int) -> tuple[Entry, int]:
+    """The entry at a place and the place after it; EOFError if the entries' bytes, which stop at end, stop inside it."""
+    if at + 4 > end:
         raise EOFError
     size = struct.unpack_from("<I", data, at)[0]
     if not 140 + D.HEADER + 4 <= size <= 140 + D.MAX_FRAME:
         raise IntegrityError(f"entry length {size}")
-    if at + size > len(data):
+    if at + size > end:
         raise EOFError
     _, version, flags, sequence, wall_s, mono_us, previous, length = struct.unpack_from("<IHHQqQ32sI", data, at)
     if version != 1 or flags or length != size - 140:
@@ -113,7 +114,7 @@ def parse(data: bytes, sealed: bool = True) -> Segment:
     at = size
     while at < end:
         try:
-            entry, at = decode_entry(data[:end], at)
+            entry, at = decode_entry(data, at, end)
         except EOFError:
             if sealed:
                 raise IntegrityError("the last entry is cut") from None
@@ -221,29 +222,19 @@ def ordered_segments(found: DataFrame) -> DataFrame:
 
 
 def promote(spark: SparkSession, found: DataFrame, folder: str) -> DataFrame:
-    """key, sha256 and bytes of each file, copied under its content's name in a store that Spark's file systems reach; existing ones must be equal."""
-    conf = spark._jsc.hadoopConfiguration()
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    out = []
-    for row in found.select("content").toLocalIterator():
-        data = bytes(row["content"])
-        digest = hashlib.sha256(data).hexdigest()
-        key = f"objects/raw/wal-{digest}.rtw"
-        where = path(f"{folder}/{key}")
-        store = where.getFileSystem(conf)
-        if store.exists(where):
-            if store.getFileStatus(where).getLen() != len(data):
-                raise IntegrityError(f"{key} exists with other bytes")
-        else:
-            stream = store.create(where, False)
-            stream.write(data)
-            stream.close()
-        out.append((key, digest, len(data)))
-    return spark.createDataFrame(out, "key string, sha256 string, bytes long")
+    """key, sha256, bytes and created of each file (content), copied by the tasks under its content's name; one that exists must be equal byte for byte."""
+    from tidemark.sources.store import put_all
+
+    digest = F.sha2("content", 256)
+    return put_all(found.select(F.concat(F.lit("objects/raw/wal-"), digest, F.lit(".rtw")).alias("key"), F.col("content").alias("data")), folder)
+
+
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
 def register(spark: SparkSession) -> None:
-    """Make spark.read.format("wal") read local segments, one partition a file."""
+    """Make spark.read.format("wal") read segments, one partition a file, from any store that pyarrow's file systems reach."""
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
     class Reader(DataSourceReader):
@@ -251,14 +242,15 @@ def register(spark: SparkSession) -> None:
             self.path, self.mode = options["path"], options.get("mode", "sealed")
 
         def partitions(self) -> list[InputPartition]:
-            import glob
-
-            return [InputPartition(p) for p in sorted(glob.glob(f"{self.path}/**/*.rtw", recursive=True)) or [""]]
+            store, base = opened(self.path)
+            found = store.get_file_info(fs.FileSelector(base, recursive=True))
+            return [InputPartition(i.path) for i in sorted(found, key=lambda i: i.path) if i.path.endswith(".rtw")] or [InputPartition("")]
 
         def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
             if partition.value:
-                with open(partition.value, "rb") as f:
-                    batch = pa.RecordBatch.from_pydict({"path": [partition.value], "content": [f.read()]})
+                store, _ = opened(self.path)
+                with store.open_input_stream(partition.value) as f:
+                    batch = pa.RecordBatch.from_pydict({"path": [partition.value], "content": pa.array([f.read()], pa.binary())})
                 yield from _entries(iter([batch]), self.mode)
 
     class Wal(DataSource):

@@ -13,7 +13,8 @@ from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,6 +25,14 @@ ACKS = "scope string, arrival long, session string, batch_sequence long, sequenc
 (ADVANCED, SAME, DUPLICATE, DENSE, UNRESOLVED, _, _, CONFLICT, LEASED) = range(1, 10)
 
 
+def check_hello(hello: dict, identity: dict[str, str]) -> None:
+    """Raise unless a producer names itself and its symbol, in the known schema, and is the one that identity (of any fields) expects."""
+    if not all(hello[n] for n in ("producer_instance_id", "producer_session_id", "exact_source_symbol")) or hello["source_schema_id"] != D.SCHEMA_ID:
+        raise C.FormatError("INVALID_FIELD", "producer, symbol or schema")
+    if wrong := [n for n, want in identity.items() if want and hello[n] != want]:
+        raise C.FormatError("INVALID_FIELD", f"{wrong[0]} is not the configured one")
+
+
 @dataclass
 class State:
     """What a gateway knows of a scope between batches."""
@@ -38,6 +47,7 @@ class State:
     session: str = ""
     lease_until: int = 0
     lease_s: int = 30
+    generation: int = 0
     accepted: MutableMapping[str, str] = field(default_factory=dict)
 
     def outcome(self, batch: dict) -> int:
@@ -66,6 +76,32 @@ class State:
         self.session, self.lease_until = session, now + self.lease_s
         return True
 
+    def resume(self, hello: dict, identity: dict[str, str], now: int, gateway: str, lease: str) -> tuple[dict[str, Any], int]:
+        """The RESUME message for a producer's HELLO, and the generation of its session: an earlier generation's late release does nothing.
+
+        It says what is durable of the session's batches and where to go on.
+        """
+        check_hello(hello, identity)
+        session = hello["producer_session_id"]
+        if not self.lease(session, now):
+            raise C.FormatError("SESSION_LEASE_CONFLICT", "another session is active")
+        self.generation = self.generation % (2**64 - 1) + 1
+        last = self.accepted[f"{session}/"] if f"{session}/" in self.accepted else ""
+        number, own = last.split(":") if last else ("0", D.ZERO.hex())
+        message = {
+            "accepted_protocol_version": 1, "gateway_instance_id": gateway, "session_lease_id": lease, "committed_cursor_msc": self.cursor, "committed_boundary_digest": bytes.fromhex(self.digest),
+            "last_durable_batch_sequence": int(number), "last_durable_batch_hash": bytes.fromhex(own), "next_from_msc": self.cursor, "next_requested_count": self.count, "maximum_frame_bytes": D.MAX_FRAME,
+            "maximum_records": D.MAX_RECORDS, "heartbeat_idle_timeout_ms": 1000 * self.lease_s,
+        }
+        return message, self.generation
+
+    def release(self, session: str, generation: int) -> bool:
+        """End a session's lease, if it is still the one of that generation."""
+        if (session, generation) != (self.session, self.generation):
+            return False
+        self.session, self.lease_until = "", 0
+        return True
+
     def accept(self, frame: bytes, now: int) -> dict[str, Any]:
         """Take one batch frame: retries of equal bytes are acknowledged again, different bytes of one number are a conflict."""
         _, batch = C.decode_message(frame)
@@ -77,6 +113,7 @@ class State:
         else:
             status = self.outcome(batch)
             self.accepted[key] = own
+            self.accepted[f"{batch['producer_session_id']}/"] = f"{batch['batch_sequence']}:{own}"  # the session's last one, for resume
             self.sequence += 1
             self.entry_hash = C.entry_hash(self.sequence, bytes.fromhex(self.entry_hash), now, 0, bytes.fromhex(own), frame).hex()
         return {"session": batch["producer_session_id"], "batch_sequence": batch["batch_sequence"], "sequence": self.sequence, "status": status, "cursor": self.cursor, "next_count": self.count, "digest": self.digest, "entry_hash": self.entry_hash}
@@ -174,7 +211,24 @@ def revisions_of(ticks: DataFrame, revisions_path: str, days: DataFrame) -> Data
     return selection.next_revisions(now, known, ["day"], columns)
 
 
-def segment_groups(entries: DataFrame, max_bytes: int) -> DataFrame:
-    """entries (scope, sequence, bytes) with the number of the segment in which they are sealed: a segment closes at the first entry with which it has max_bytes."""
-    total = F.sum("bytes").over(Window.partitionBy("scope").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1))
-    return entries.withColumn("segment", F.floor(F.coalesce(total, F.lit(0)) / max_bytes).cast("long"))
+def segment_groups(entries: DataFrame, max_bytes: int, max_age_s: int | None = None) -> DataFrame:
+    """entries (scope, sequence, bytes, wall_s) with the number of the segment in which they are sealed.
+
+    A segment closes after the first entry with which it has max_bytes, or before one that comes max_age_s or later after its first
+    one; the last stays open until it is sealed by force. Each cut depends on the one before it, so a scope is one group.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("sequence")
+        out, number, total, opened = [], 0, 0, None
+        for size, wall in zip(group["bytes"].to_pylist(), group["wall_s"].to_pylist(), strict=True):
+            if opened is not None and (total >= max_bytes or max_age_s is not None and wall - opened >= max_age_s):
+                number, total, opened = number + 1, 0, None
+            opened = wall if opened is None else opened
+            total += size
+            out.append(number)
+        return group.append_column("segment", pa.array(out, pa.int64()))
+
+    rows = entries if "wall_s" in entries.columns else entries.withColumn("wall_s", F.lit(0).cast("long"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.groupBy("scope").applyInArrow(run, f"{schema}, segment long").select(*entries.columns, "segment")
