@@ -1,7 +1,8 @@
 """Line dedup by an exact set-similarity join, in DataFrame and SQL functions only.
 
 A line's tokens are its distinct words, lower-cased. They are ordered by rarity: the LISTED most
-frequent words of all lines by their counts, all others before them as equally rare, ties by a hash.
+frequent words of all lines come last, by their counts; all others before them, as equally rare; ties
+by a hash.
 Two sets with a Jaccard similarity of 0.8 or more share a word in the first fifth of their orders
 (prefix filter); such pairs must agree in length (length filter) and in what can still follow the
 shared word (positional filter) and in all but a few bits of a map of their words (bitmap filter, which
@@ -26,7 +27,7 @@ from tidemark.llm.common import discard, unused, written
 
 #: The similarity is at least NEAR/OF; a smaller set than LEAST is similar to no other.
 NEAR, OF, LEAST = 4, 5, 4
-#: Words whose counts order them, places of their table, and steps of a count's logarithm.
+#: Words that are listed with their counts, places of their table, and steps of a count's logarithm.
 LISTED, PLACES, STEPS = 1 << 17, 1 << 18, 6
 #: Documents up to which the list of those with lines that are wanted is broadcast (about 60 bytes each); beyond, it is joined by shuffling.
 BROADCAST_ROWS = 300_000
@@ -65,18 +66,19 @@ def rarity(docs: DataFrame) -> DataFrame:
     lists = most.select(F.col("token").bitwiseAND(F.lit(PLACES - 1)).alias("place"), entry.alias("entry")).groupBy("place").agg(F.collect_list("entry").alias("entries"))
     every = docs.sparkSession.range(PLACES).withColumnRenamed("id", "place").join(lists, "place", "left")
     row = every.agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("entries", F.array().cast("array<bigint>")).alias("entries")))).alias("all"))
-    return row.select(F.expr("transform(all, x -> x.entries)").alias("listed"))
+    return row.select(F.expr("transform(all, x -> x.entries)").alias("ranks"))
 
 
-def ordered(rows: DataFrame, listed: DataFrame) -> DataFrame:
+def ordered(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order), map and the set's hashes h1 and h2.
 
     A bit of the map is set if an odd number of the set's words belong to it, so two maps differ in no more bits than the sets in words.
     """
-    rows = rows.select("doc_id", "th", "n", F.expr("array_distinct(transform(w, x -> xxhash64(x)))").alias("t")).withColumn("listed", listed.scalar())
-    found = f"get(filter(get(p, int(x & {PLACES - 1})), e -> shiftrightunsigned(e ^ x, 8) = 0), 0)"  # p: the table, which must be named once only
-    codes = f"transform(array(listed), p -> transform(t, x -> shiftleft(coalesce({found}, 0L), 56) | shiftrightunsigned(x, 8)))[0]"
-    rows = rows.withColumn("t", F.expr(f"sort_array(transform({codes}, x -> x ^ shiftleft(1L, 63)))")).drop("listed")  # the sign is turned: sorting is signed
+    rows = rows.select("doc_id", "th", "n", F.expr("array_distinct(transform(w, x -> xxhash64(x)))").alias("t")).withColumn("ranks", ranks.scalar())
+    found = f"get(filter(get(p, int(x & {PLACES - 1})), e -> shiftrightunsigned(e ^ x, 8) = 0), 0)"  # p: the tables, which must be named once only
+    rank = f"coalesce({found}, 0L)"  # its lowest byte is what the shift leaves
+    codes = f"transform(array(ranks), p -> transform(t, x -> shiftleft({rank}, 56) | shiftrightunsigned(x, 8)))[0]"
+    rows = rows.withColumn("t", F.expr(f"sort_array(transform({codes}, x -> x ^ shiftleft(1L, 63)))")).drop("ranks")  # the sign is turned: sorting is signed
     prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
     return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), F.expr("aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
 
@@ -101,14 +103,18 @@ def passes(x: str, y: str, map_x: str, map_y: str) -> Column:
 
 
 def shared(sets: DataFrame) -> DataFrame:
-    """token, set, code (size and place) and map of the prefix words that several sets have, with the same of the earliest set of each word, and how many have it.
+    """token, set, code (size and place), map and many of the prefix words that several sets have; and other, the earliest set of the word if it is a candidate.
 
     The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent word.
+    Of a word that two sets have only the candidate is left, for the two are compared by it.
     """
     posts = sets.where("prefix IS NOT NULL").select("set", "size", "map", F.posexplode("prefix").alias("at", "token"))
     posts = posts.select("token", "set", "map", F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
     first = posts.groupBy("token").agg(F.min(F.struct("set", "code", "map")).alias("first"), F.count("*").alias("many")).where("many > 1")
-    return posts.join(first.select("token", F.col("first.set").alias("other"), F.col("first.code").alias("other_code"), F.col("first.map").alias("other_map"), "many"), "token")
+    first = first.select("token", F.col("first.set").alias("first"), F.col("first.code").alias("first_code"), F.col("first.map").alias("first_map"), "many")
+    joined = posts.join(first, "token")
+    other = F.when((F.col("first") < F.col("set")) & passes("code", "first_code", "map", "first_map"), F.col("first"))
+    return joined.select("token", "set", "code", "map", "many", other.alias("other")).where("many > 2 OR other IS NOT NULL")
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -121,14 +127,14 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     right = need.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "ns")
     few = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     some = own.join(F.broadcast(right) if few else right, own["doc_id"].eqNullSafe(right["d"]) & (own["th"] == right["h"]))
-    parts = F.split(F.lower(spaced(F.col("text"))), "\n")
-    some = some.select(F.explode(F.transform("ns", lambda x: F.struct(x["set"].alias("set"), F.get(parts, x["n"]).alias("line")))).alias("x"))
-    full = written(some.select("x.set", F.array_distinct(words(F.col("x.line"))).alias("w")).dropDuplicates(["set"]), "words")
+    some = some.withColumn("parts", F.array(F.split(F.lower(spaced(F.col("text"))), "\n")))  # in an array, so that a text is split once
+    some = some.select(F.explode(F.expr("transform(parts, p -> transform(ns, x -> struct(x.set AS set, get(p, x.n) AS line)))[0]")).alias("x"))
+    full = some.select("x.set", F.array_distinct(words(F.col("x.line"))).alias("w")).dropDuplicates(["set"])  # rows may repeat an id and a text; the joins below share its shuffle
     left, other = full.select(F.col("set").alias("a"), F.col("w").alias("wa")), full.select(F.col("set").alias("b"), F.col("w").alias("wb"))
     both = pairs.join(left, "a").join(other, "b")
     both = both.where(F.size(F.array_intersect("wa", "wb")) * (NEAR + OF) >= (F.size("wa") + F.size("wb")) * NEAR)
     done = written(both.select(F.col("a").alias("set")).distinct(), "settled")
-    for old in (pairs, need, full):
+    for old in (pairs, need):
         discard(old)
     return done
 
@@ -142,7 +148,7 @@ def kept(docs: DataFrame) -> DataFrame:
     """
     sets = numbered(docs)
     posts = written(shared(sets), "shared")
-    one = similar(docs, sets, posts.where(F.col("other") < F.col("set")).where(passes("code", "other_code", "map", "other_map")).select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
+    one = similar(docs, sets, posts.where("other IS NOT NULL").select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
     many = posts.where("many > 2").select("token", "set", "code", "map")
     x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"), F.col("map").alias("ma"))
     y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"), F.col("map").alias("mb"))
