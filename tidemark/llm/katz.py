@@ -451,17 +451,16 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
             singles = np.array([*types[:GOOD], types[GOOD + 2]], np.int64)
         # what the blocks want to know of hot histories, from the partitions' parts of their sums
         parts_of = table.where(F.col("kind") == PART).groupBy("h").agg(F.array(*(F.sum(F.get("sums", F.lit(k))) for k in range(SUMS))).alias("sums"))
-        wants = _all(blocks).select("block", F.explode("wants").alias("h"))
-        hot = wants.join(parts_of, "h").select("block", F.lit(None).cast("int").alias("p"), "h", "sums", F.lit(None).cast("binary").alias("data"))
         replies = table.where(F.col("kind") == REPLY).select("block", "p", F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
-        rows = replies.unionByName(hot) if level > 1 else replies
         model = Model(total, kinds, started, discounts, singles) if level == order else None
         tell, done = _teller(level, parts, total, started, model), []
         for k in range(SLICES):
             slice_of = F.pmod(F.xxhash64("block"), F.lit(SLICES)) == k
             own = blocks[k] if len(blocks) > 1 else blocks[0].where(slice_of)
+            hot = own.select("block", F.explode("wants").alias("h")).join(parts_of, "h").select("block", F.lit(None).cast("int").alias("p"), "h", "sums", F.lit(None).cast("binary").alias("data"))
+            rows = replies.where(slice_of).unionByName(hot) if level > 1 else replies.where(slice_of)
             own = own.select("block", F.lit(-1).alias("p"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<long>").alias("sums"), "data")
-            done.append(written(own.unionByName(rows.where(slice_of)).groupBy("block").applyInArrow(tell, SCORES if model else BLOCKS), "scores" if model else "blocks", compression="zstd" if model else "none"))
+            done.append(written(own.unionByName(rows).groupBy("block").applyInArrow(tell, SCORES if model else BLOCKS), "scores" if model else "blocks", compression="zstd" if model else "none"))
             if len(blocks) > 1:
                 discard(blocks[k])
         for old in (*(blocks if len(blocks) == 1 else ()), *answers):
