@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -30,28 +31,40 @@ NONE = "no uniquely provable suffix/prefix overlap"
 MANY = "longest suffix/prefix candidate has multiple positions"
 
 
-def overlap(tail: list, new: list) -> tuple[int, bool]:
-    """How many of the new records repeat the tail's end: the longest match, and whether it also fits elsewhere in the tail."""
-    for n in range(min(len(tail), len(new)), 0, -1):
-        if tail[-n:] == new[:n]:
-            places = sum(tail[k : k + n] == new[:n] for k in range(len(tail) - n + 1))
-            return (n, False) if places == 1 else (0, True)
-    return 0, False
+def borders(items: list) -> list[int]:
+    """At each place the length of the longest proper prefix of items that ends there."""
+    out, n = [0] * len(items), 0
+    for k in range(1, len(items)):
+        while n and items[k] != items[n]:
+            n = out[n - 1]
+        n += items[k] == items[n]
+        out[k] = n
+    return out
 
 
-def _altered(old: list, new: list) -> int | None:
-    """The one inner place where two equally long lists differ."""
-    differ = [k for k, (a, b) in enumerate(zip(old, new, strict=True)) if a != b]
-    return differ[0] if len(differ) == 1 and 0 < differ[0] < len(new) - 1 else None
+def overlap(tail: list, new: list) -> tuple[int, bool]:
+    """How many of the new records repeat the tail's end: the longest match, and whether it also fits elsewhere in the tail. One pass over both."""
+    if not tail or not new:
+        return 0, False
+    stop = object()  # equals no record
+    ends = borders([*new, stop, *tail])[len(new) + 1 :]
+    n = ends[-1]
+    if not n:
+        return 0, False
+    inside = borders([*new[:n], stop, *tail])[n + 1 :]
+    return (n, False) if inside.count(n) == 1 else (0, True)
 
 
 def history_change(tail: list, new: list) -> int | None:
     """The place in the tail of a record that was altered since: the tail's end and the new start agree but for one inner record, and nowhere else."""
-    for n in range(min(len(tail), len(new)), 2, -1):
-        at = _altered(tail[-n:], new[:n])
-        if at is not None:
-            places = [k for k in range(len(tail) - n + 1) if _altered(tail[k : k + n], new[:n]) is not None]
-            return len(tail) - n + at if len(places) == 1 else None
+    known: dict = {}
+    a, b = (np.array([known.setdefault(x, len(known)) for x in some], np.int64) for some in (tail, new))
+    for n in range(min(len(a), len(b)), 2, -1):
+        differ = a[len(a) - n :] != b[:n]
+        if np.count_nonzero(differ) == 1 and 0 < (at := int(np.argmax(differ))) < n - 1:
+            every = np.lib.stride_tricks.sliding_window_view(a, n) != b[:n]
+            alike = (every.sum(axis=1) == 1) & (every[:, 1 : n - 1].sum(axis=1) == 1)
+            return len(a) - n + at if np.count_nonzero(alike) == 1 else None
     return None
 
 
@@ -152,26 +165,51 @@ def replay(batches: DataFrame, scope: dict[str, Any], identity: dict[str, str],
     scope and identity are what all groups share; dataset and date are those of the group.
     """
 
-    def run(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: r["sequence"])
-        own = scope | {"dataset_id": rows[0]["scope"], "date": rows[0]["day"]}
-        reducer = Reducer(own, identity)
-        found = []
-        for r in rows:
-            _, message = C.decode_message(r["frame"])
-            found += reducer.feed(message | {"gateway_ingest_sequence": r["sequence"], "raw_object_key": r["raw_object_key"], "raw_object_sha256": r["raw_object_sha256"]}, r["ordinals"])
-        parts = pack((x["canonical_bytes"] for x in found), max_rows, max_bytes)
-        out = [
-            {
-                "scope": rows[0]["scope"], "day": rows[0]["day"], "stream_sequence": x["stream_sequence"], "row_kind": x["row_kind"], "code": x.get("marker_code"), "detail": x.get("marker_detail"), "segment": x["segment"],
-                "sequence": x.get("gateway_ingest_sequence", x.get("reference_gateway_ingest_sequence")), "ordinal": x.get("record_ordinal", x.get("reference_record_ordinal")), "time_msc": x.get("time_msc"),
-                "fingerprint": x.get("source_payload_fingerprint"), "canonical_bytes": x["canonical_bytes"], "previous_row_chain_hash": x["previous"].hex(), "row_chain_hash": x["hash"].hex(), "part_sequence": part,
-            }
-            for x, part in zip(found, parts, strict=True)
-        ]
-        return pa.Table.from_pylist(out, schema=ARROW)
-
-    return batches.groupBy("scope", "day").applyInArrow(run, REPLAY)
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[dict[str, Any]] = []
+        part, rows, total = 0, 0, 0
+        for own, x in reduced(group, scope, identity):
+            size = x["canonical_bytes"]
+            if size > max_bytes:
+                raise C.FormatError("INVALID_FIELD", "a row is larger than a part")
+            if rows and (rows >= max_rows or total + size > max_bytes):
+                part, rows, total = part + 1, 0, 0
+            rows, total = rows + 1, total + size
+            out.append(
+                {
+                    "scope": own["dataset_id"], "day": own["date"], "stream_sequence": x["stream_sequence"], "row_kind": x["row_kind"], "code": x.get("marker_code"), "detail": x.get("marker_detail"), "segment": x["segment"],
+                    "sequence": x.get("gateway_ingest_sequence", x.get("reference_gateway_ingest_sequence")), "ordinal": x.get("record_ordinal", x.get("reference_record_ordinal")), "time_msc": x.get("time_msc"),
+                    "fingerprint": x.get("source_payload_fingerprint"), "canonical_bytes": size, "previous_row_chain_hash": x["previous"].hex(), "row_chain_hash": x["hash"].hex(), "part_sequence": part,
+                }
+            )
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_pylist(out, schema=ARROW)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, schema=ARROW)
+
+    return in_order(batches).groupBy("scope", "day").applyInArrow(run, REPLAY)
+
+
+def in_order(batches: DataFrame) -> DataFrame:
+    """Batches dealt by scope and day, each in log order: a group can then be read as a stream, whatever its length."""
+    return batches.repartition("scope", "day").sortWithinPartitions("scope", "day", "sequence")
+
+
+def reduced(group: Iterator[pa.RecordBatch], scope: dict[str, Any], identity: dict[str, str]) -> Iterator[tuple[dict[str, Any], dict[str, Any]]]:
+    """The scope and the rows of one group's batches, which come in log order; nothing but the reducer's state is kept."""
+    own, reducer, last = None, None, None
+    for batch in group:
+        for start in range(0, batch.num_rows, 64):
+            for r in batch.slice(start, 64).to_pylist():
+                if own is None:
+                    own = scope | {"dataset_id": r["scope"], "date": r["day"]}
+                    reducer = Reducer(own, identity)
+                if last is not None and r["sequence"] < last:
+                    raise C.FormatError("INVALID_FIELD", "batches out of order")
+                last = r["sequence"]
+                _, message = C.decode_message(r["frame"])
+                for row in reducer.feed(message | {"gateway_ingest_sequence": r["sequence"], "raw_object_key": r["raw_object_key"], "raw_object_sha256": r["raw_object_sha256"]}, r["ordinals"]):
+                    yield own, row
 
 
 KINDS = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}

@@ -70,50 +70,37 @@ def verify(content: bytes, sha256: str, first: int, previous: bytes) -> tuple[in
 
 
 def build(batches: DataFrame, scope: dict[str, Any], identity: dict[str, str], max_rows: int = 1_000_000, max_bytes: int = 1 << 26) -> DataFrame:
-    """The parts of each scope and day, verified, with their bytes; input as for continuity.replay()."""
-
-    def run(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: r["sequence"])
-        own = scope | {"dataset_id": rows[0]["scope"], "date": rows[0]["day"]}
-        reducer = continuity.Reducer(own, identity)
-        out: list[dict[str, Any]] = []
-        held: list[dict[str, Any]] = []
-
-        def close() -> None:
-            if not held:
-                return
+    """The parts of each scope and day, verified, with their bytes; input as for continuity.replay(). A task holds the rows of one part."""
+
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = 0, []
+
+        def closed(own: dict[str, Any]) -> pa.RecordBatch:
             content = part_bytes([parquet_row(own, r) for r in held])
             digest, first = hashlib.sha256(content).hexdigest(), held[0]["stream_sequence"]
             n, total, last = verify(content, digest, first, held[0]["previous"])
             if last != held[-1]["hash"]:
                 raise C.FormatError("INVALID_FIELD", "part chain")
-            key = f"{derivative_base(own)}/parquet/{first}-{held[-1]['stream_sequence']}-{digest}.parquet"
-            out.append(
-                {
-                    "scope": own["dataset_id"], "day": own["date"], "part_sequence": len(out), "part_key": key, "part_sha256": digest, "part_bytes": len(content), "row_count": n, "canonical_row_bytes": total, "first_stream_sequence": first,
-                    "last_stream_sequence": held[-1]["stream_sequence"], "previous_row_chain_hash": held[0]["previous"].hex(), "first_row_chain_hash": held[0]["hash"].hex(), "last_row_chain_hash": last.hex(), "content": content,
-                }
-            )
-            held.clear()
-
-        def stream() -> Iterator[dict[str, Any]]:
-            for r in rows:
-                _, message = C.decode_message(r["frame"])
-                yield from reducer.feed(message | {"gateway_ingest_sequence": r["sequence"], "raw_object_key": r["raw_object_key"], "raw_object_sha256": r["raw_object_sha256"]}, r["ordinals"])
-
-        size = 0
-        for row in stream():
+            row = {
+                "scope": own["dataset_id"], "day": own["date"], "part_sequence": number, "part_key": f"{derivative_base(own)}/parquet/{first}-{held[-1]['stream_sequence']}-{digest}.parquet", "part_sha256": digest, "part_bytes": len(content),
+                "row_count": n, "canonical_row_bytes": total, "first_stream_sequence": first, "last_stream_sequence": held[-1]["stream_sequence"], "previous_row_chain_hash": held[0]["previous"].hex(),
+                "first_row_chain_hash": held[0]["hash"].hex(), "last_row_chain_hash": last.hex(), "content": content,
+            }
+            return pa.RecordBatch.from_pylist([row], schema=ARROW)
+
+        size, own = 0, None
+        for own, row in continuity.reduced(group, scope, identity):
             if row["canonical_bytes"] > max_bytes:
                 raise C.FormatError("INVALID_FIELD", "a row is larger than a part")
             if held and (len(held) >= max_rows or size + row["canonical_bytes"] > max_bytes):
-                close()
-                size = 0
+                yield closed(own)
+                number, size, held = number + 1, 0, []
             held.append(row)
             size += row["canonical_bytes"]
-        close()
-        return pa.Table.from_pylist(out, schema=ARROW)
+        if held:
+            yield closed(own)
 
-    return batches.groupBy("scope", "day").applyInArrow(run, PARTS)
+    return continuity.in_order(batches).groupBy("scope", "day").applyInArrow(run, PARTS)
 
 
 def checked(parts: DataFrame) -> DataFrame:
