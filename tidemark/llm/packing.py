@@ -25,8 +25,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 REMEMBERED, SHORT = 450_000, 64
 #: A word without white space but for a blank before it.
 PLAIN = re.compile(r" ?\S+").fullmatch
-#: The parts of a text whose only white space are blanks and line ends, each between other characters; other white space.
-PARTS, BLANK, OTHER = re.compile(r" ?[^ \n]+|\n").findall, re.compile(r"[^\S \n]").search, "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+#: White space besides blanks and line ends, and what else keeps a text from being cut at each of these.
+BLANK, OTHER, BESIDE = re.compile(r"[^\S \n]|\x00").search, "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\0", ("  ", " \n", "\n ", "\n\n")
 
 
 class Words:
@@ -49,10 +49,9 @@ class Words:
 
     @staticmethod
     def parts(text: str) -> list[str]:
-        if not (any(c in text for c in OTHER) if text.isascii() else BLANK(text)):
-            parts = PARTS(text)
-            if len(parts) == text.count(" ") + 2 * text.count("\n") + 1:  # no blank or line end is first, last or beside another
-                return parts
+        if text and not (any(c in text for c in OTHER) if text.isascii() else BLANK(text)):
+            if text[0] not in " \n" and text[-1] not in " \n" and not any(c in text for c in BESIDE):  # no blank or line end is first, last or beside another
+                return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         words = text.split(" ")
         out = [words[0]]
         for before, w in zip(words, words[1:], strict=False):
@@ -88,18 +87,18 @@ class Words:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {"\n": self.line_end.tobytes()}, self.known
         known, older = self.known, self.older
-        found = [list(map(known.get, parts)) for parts in cut]
-        missing = {p for parts, ids in zip(cut, found, strict=True) if None in ids for p, x in zip(parts, ids, strict=True) if x is None}
-        if not missing:
-            return [b"".join(ids) for ids in found]
-        again = missing & older.keys()
+        missing = set().union(*cut).difference(known)
+        again = [w for w in missing if w in older]
         known.update((w, older[w]) for w in again)
-        once, new = {}, list(missing - again)
+        new, once = list(missing.difference(again)), []
         for a in range(0, len(new), 8192):
             some = new[a : a + 8192]
-            for w, ids in zip(some, self.fresh(some), strict=True):
-                (known if len(w) <= SHORT else once)[w] = ids
-        return [b"".join(ids) if None not in ids else b"".join([x if x is not None else known[p] if p in known else once[p] for p, x in zip(parts, ids, strict=True)]) for parts, ids in zip(cut, found, strict=True)]
+            known.update(zip(some, self.fresh(some), strict=True))
+            once += [w for w in some if len(w) > SHORT]
+        found = [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        for w in once:  # long words are not remembered
+            del known[w]
+        return found
 
 
 @functools.lru_cache(maxsize=2)
