@@ -195,6 +195,7 @@ class Block:
         held, null, ids, many, steps, stream, *rest = spread(data)
         self.fixed = [held, null, ids, many, steps, stream]
         self.words = np.cumsum(steps, dtype=np.uint64)
+        self.mixed = mixed(self.words)
         self.held, self.null, self.ids = unbits(held, len(many)), unbits(null, len(many)), ids.view(np.int64)
         self.many, self.stream = many.astype(np.int64), stream.astype(np.int64)
         self.first = np.zeros(len(stream), bool)
@@ -226,7 +227,7 @@ class Block:
             back = before[new]
             heads = np.append(mixed(np.array([len(self.levels)], np.uint64) * ONE ^ START), below.grams)[back]
             run = np.cumsum(new) - 1
-            self.levels.append(Level(of, mixed((heads[run] + TWO) * ONE ^ mixed(self.words[word])), suffix, run, heads, back))
+            self.levels.append(Level(of, mixed(((heads + TWO) * ONE)[run] ^ self.mixed[word]), suffix, run, heads, back))
 
     def histories(self, order: int, total: int, started: int) -> np.ndarray:
         """The training count of each history of a level."""
@@ -239,14 +240,19 @@ class Block:
         self.grow(order)
         return self.levels[order - 1].heads[self.histories(order, total, started) > HOT].view(np.int64).tolist()
 
-    def dealt(self, order: int, parts: int, total: int, started: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The level's n-grams ordered by partition, the partition of each, and which histories' n-grams are dealt by themselves."""
+    def dealt(self, order: int, parts: int, first: int, last: int, total: int, started: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The level's n-grams that belong to the partitions from first to last - 1, ordered by partition, the partition of each, and which histories' n-grams are dealt by themselves."""
         own = self.levels[order - 1]
         hot = self.histories(order, total, started) > HOT if order > 1 else np.ones(1, bool)
         p = place(own.heads, parts)[own.run]
-        alone = hot[own.run]
-        p[alone] = place(own.grams[alone], parts)
-        turn = np.argsort(p, kind="stable")
+        if hot.any():
+            alone = np.flatnonzero(hot[own.run])
+            p[alone] = place(own.grams[alone], parts)
+        if first or last < parts:
+            some = np.flatnonzero((p >= first) & (p < last))
+            turn = some[np.argsort(p[some], kind="stable")]
+        else:
+            turn = np.argsort(p, kind="stable")
         return turn, p[turn], hot
 
     def asked(self, order: int, parts: int, first: int, last: int, total: int, started: int) -> Iterator[tuple[int, bytes]]:
@@ -254,7 +260,7 @@ class Block:
         own = self.levels[order - 1]
         trained = np.bincount(own.of[~self.held[self.doc]], minlength=len(own.grams))
         below = self.known[order - 2].count[own.suffix] if order > 1 else np.ones(len(own.grams), np.int64)
-        turn, p, hot = self.dealt(order, parts, total, started)
+        turn, p, hot = self.dealt(order, parts, first, last, total, started)
         run = own.run[turn]
         edge = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))[: len(run)])
         runs = run[edge]
@@ -269,7 +275,7 @@ class Block:
         """Take in the answers of all partitions that were asked, in their order, and the sums of hot histories."""
         self.grow(order)
         own = self.levels[order - 1]
-        turn, p, hot = self.dealt(order, parts, total, started)
+        turn, p, hot = self.dealt(order, parts, 0, parts, total, started)
         run = own.run[turn]
         edge = np.append(True, (run[1:] != run[:-1]) | (p[1:] != p[:-1]))[: len(run)]
         runs = run[edge]
