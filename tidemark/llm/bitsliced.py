@@ -6,22 +6,28 @@ added with bitmap arithmetic; the sums are bounds of the scores. The threshold o
 from the most significant slice down, and the rows that the bounds leave open are scored exactly.
 
 Vectors that are null, hold a null or non-finite component or one that is no long after scaling take no
-part, nor do rows without an id. Scores are exact at any size; one among the results that is no long is an error. Vectors of different lengths are padded with zeros, an empty vector
-scores 0. Ties go to the smaller id. Rows that repeat an id are candidates each, but never of a query
-with that id. No queries or no rows give an empty result.
+part, nor do rows without an id. Scores are exact at any size; one among the results that is no long is
+an error. Vectors of different lengths are padded with zeros, an empty vector scores 0; a very long one
+makes its block as wide. Ties go to the smaller id. Rows that repeat an id are candidates each, but
+never of a query with that id; queries that repeat an id are one query, with the smallest of their
+vectors. No queries or no rows give an empty result. Only vec_id and embedding are read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of the index, queries of a block, bits that the index keeps of a component, queries that are added at a time.
-ROWS, QUERIES, BITS, LANES = 8192, 1024, 6, 128
+from tidemark.llm.common import discard, written
+
+#: Rows of a block of the index, queries of a block, blocks of queries that are sent to all tasks at a time, bits that the index keeps of a component, queries that are added at a time.
+ROWS, QUERIES, SENT, BITS, LANES = 8192, 1024, 32, 6, 128
 LEAST, BEYOND = -(2.0**63), 2.0**63
 #: Where the sum of all products of a query may exceed this, components are multiplied in parts of LIMB bits.
 SAFE, LIMB = 2.0**62, 22
@@ -155,12 +161,13 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0) -> DataFrame:
     """query_id, rank, vec_id and score: the k rows of vectors with the largest integer inner products with each query.
 
-    vectors and queries have vec_id and embedding. Blocks of rows and blocks of queries are joined block
-    by block; a task holds one block of each. Each pair of blocks sends k rows a query at most to the
-    final ranking.
+    vectors and queries have vec_id and embedding. The blocks of the index are written once and stay where
+    they are; the queries, which are few, come to them: SENT blocks at a time, a bounded broadcast, in as
+    many rounds as that takes. Each block of rows sends k rows a query at most to the final ranking.
     """
     real = "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND x * {0}D >= {1}D AND x * {0}D < {2}D)".format(scale, LEAST, BEYOND)
     vectors, queries = (x.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where(real) for x in (vectors, queries))
+    queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     row_blocks, query_blocks = (max(1, -(-x.count() // size)) for x, size in ((vectors, ROWS), (queries, QUERIES)))
 
     def index(rows: pa.Table) -> pa.Table:
@@ -177,31 +184,40 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 10
     def blocks(x: DataFrame, n: int) -> DataFrame:
         return x.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(n))).groupBy("block")
 
-    indexed = blocks(vectors, row_blocks).applyInArrow(index, "rb long, ids binary, data binary, slices binary, low binary, shift binary, kind string")
-    asked = blocks(queries, query_blocks).applyInArrow(ask, "qb long, query_ids binary, queries binary, query_kind string")
-    pairs = indexed.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>"))).join(asked.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)).cast("array<long>"))), ["rb", "qb"])
+    indexed = written(blocks(vectors, row_blocks).applyInArrow(index, "rb long, ids binary, data binary, slices binary, low binary, shift binary, kind string"), "index")
+    asked = written(blocks(queries, query_blocks).applyInArrow(ask, "qb long, query_ids binary, queries binary, query_kind string"), "queries")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def search(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.to_pylist():
                 ids, low, shift = (np.frombuffer(x[c], np.int64) for c in ("ids", "low", "shift"))
                 values = np.frombuffer(x["data"], x["kind"]).reshape(len(ids), -1).astype(np.int64)
                 slices = np.frombuffer(x["slices"], np.uint64).reshape(values.shape[1], BITS, -1) if values.shape[1] else np.zeros((0, BITS, -(-len(ids) // 64)), np.uint64)
-                query_ids = np.frombuffer(x["query_ids"], np.int64)
-                wanted = np.frombuffer(x["queries"], x["query_kind"]).reshape(len(query_ids), -1).astype(np.int64)
                 dims = values.shape[1]
-                wanted = wanted[:, :dims] if wanted.shape[1] >= dims else np.pad(wanted, ((0, 0), (0, dims - wanted.shape[1])))
                 out: list[list[np.ndarray]] = [[], [], [], []]
-                for query, found, score in best_rows(slices, low, shift, values, ids, wanted, query_ids, k):
-                    rows = best(found, score, k)
-                    for column, part in zip(out, (np.full(len(rows[0]), query), *rows), strict=True):
-                        column.append(part)
+                for own_ids, own, kind in sent.value:
+                    query_ids = np.frombuffer(own_ids, np.int64)
+                    wanted = np.frombuffer(own, kind).reshape(len(query_ids), -1).astype(np.int64)
+                    wanted = wanted[:, :dims] if wanted.shape[1] >= dims else np.pad(wanted, ((0, 0), (0, dims - wanted.shape[1])))
+                    for query, found, score in best_rows(slices, low, shift, values, ids, wanted, query_ids, k):
+                        rows = best(found, score, k)
+                        for column, part in zip(out, (np.full(len(rows[0]), query), *rows), strict=True):
+                            column.append(part)
                 if out[0]:
                     query_id, vec_id, score, under = (np.concatenate(c) for c in out)
                     yield pa.RecordBatch.from_arrays([pa.array(query_id.astype(np.int64)), pa.array(vec_id), pa.array(score, mask=under)], names=["query_id", "vec_id", "score"])
 
-    found = pairs.repartition(min(row_blocks * query_blocks, 4096), "rb", "qb").mapInArrow(search, RESULT)
-    # Queries that repeat an id find the same rows; the blocks' rows of one id are told apart by their place, so equal rows of one block stay.
+    spark = vectors.sparkSession
+    rounds = []
+    for first in range(0, query_blocks, SENT):
+        own = [(bytes(r["query_ids"]), bytes(r["queries"]), r["query_kind"]) for r in asked.where(F.col("qb").between(first, first + SENT - 1)).collect()]
+        sent = spark.sparkContext.broadcast(own)
+        spread = indexed.repartition(min(row_blocks, 4096)) if row_blocks > 1 else indexed
+        rounds.append(written(spread.mapInArrow(functools.partial(search, sent=sent), RESULT), "found"))
+        sent.destroy()
+    found = functools.reduce(DataFrame.unionByName, rounds)
+    discard(indexed)
+    discard(asked)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     score = F.when(F.col("score").isNull(), F.raise_error(F.lit("a score among the best is no long")).cast("long")).otherwise(F.col("score"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", score.alias("score"))
