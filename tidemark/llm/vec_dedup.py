@@ -27,7 +27,7 @@ from tidemark.llm.common import components, local_components, written
 WIDTH, DIRECTIONS, TABLES, SEED = 1.25, 12, 48, 20_240_501
 #: Vectors of a block: a larger bucket is cut into blocks, and each pair of blocks is compared on its own.
 BLOCK = 1024
-KEYED = "rep long, copies long, embedding array<double>, keys array<long>"
+KEYED = "rep long, keys array<long>"
 FOUND = "rep long, links long, root long"
 
 
@@ -63,12 +63,12 @@ def with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = np.zeros((len(sizes), TABLES), np.int64)
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                keys[at] = table_keys(values[offsets[at][:, None] + np.arange(size)])
+                keys[at] = table_keys(values[offsets[at][:, None] + np.arange(size)].astype(np.float64))
             spread = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, TABLES, dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("copies"), lists, spread], names=["rep", "copies", "embedding", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), spread], names=["rep", "keys"])
 
 
-def compare(table: int, side: np.ndarray, x: np.ndarray, keys: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(table: int, side: np.ndarray, x: np.ndarray, raw: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of rows with a cosine of least or more, and whether no earlier table has them; between the sides, if there are two."""
     cosine = x @ x.T >= least
     two = side.min() != side.max()
@@ -78,6 +78,10 @@ def compare(table: int, side: np.ndarray, x: np.ndarray, keys: np.ndarray, least
         i, j = i[across], j[across]
     first = np.ones(len(i), bool)
     left = np.arange(len(i))
+    if table and len(i):  # the keys are not sent along: those of the rows that have a pair are made again
+        some = np.unique(np.concatenate([i, j]))
+        keys = np.empty((len(x), TABLES), np.int64)
+        keys[some] = table_keys(raw[some])
     for t in range(table):
         if not len(left):
             break
@@ -99,14 +103,14 @@ def linked(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
         if stop > 0:
             done = rows.slice(0, int(starts[stop])).combine_chunks()
             rep, copies, side = (done[c].to_numpy() for c in ("rep", "copies", "side"))
-            lists, many = done["embedding"].combine_chunks(), done["keys"].combine_chunks()
+            lists = done["embedding"].combine_chunks()
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            keys = many.values.to_numpy()[many.offsets.to_numpy()[0] :][: done.num_rows * TABLES].reshape(-1, TABLES)
             for a, b in zip(starts[:stop], starts[1 : stop + 1], strict=True):
                 if b - a < 2:
                     continue
-                x = unit(values[offsets[a] : offsets[b]].reshape(b - a, -1))
-                i, j, first = compare(int(marks[0, a]), side[a:b], x, keys[a:b], least)
+                raw = values[offsets[a] : offsets[b]].reshape(b - a, -1).astype(np.float64)
+                x = unit(raw)
+                i, j, first = compare(int(marks[0, a]), side[a:b], x, raw, least)
                 if not len(i):
                     continue
                 links = np.zeros(b - a, np.int64)
@@ -141,21 +145,22 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     in memory by one task; a pair counts in the first table that has it. What leaves a bucket is one
     count and one star edge a vector and table at most, never all pairs.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if kind == "array<float>" else "array<double>"))
     real = "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(embedding, x -> x <> 0)"
     rows = rows.withColumn("real", F.coalesce(F.expr(real), F.lit(False)))
     rows = rows.withColumn("h1", F.when(F.col("real"), F.xxhash64("embedding"))).withColumn("h2", F.when(F.col("real"), F.xxhash64(F.lit(1), "embedding")))
     distinct = rows.where("real").groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     distinct = written(distinct, "vectors")
     reps = distinct.select("h1", "h2", "rep", "copies")
-    keyed = written(distinct.select("rep", "copies", "embedding").mapInArrow(with_keys, KEYED), "keys")
+    keyed = written(distinct.select("rep", "embedding").mapInArrow(with_keys, KEYED), "keys")
     places = keyed.select("rep", F.posexplode("keys").alias("t", "key"))
     sizes = places.groupBy("t", "key").count().where("count > 1")
     places = places.join(sizes, ["t", "key"]).withColumn("blocks", F.ceil(F.col("count") / BLOCK)).withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     places = places.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     places = places.select("rep", "t", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = places.join(keyed, "rep").repartition(parts, "t", "key", "lo", "hi").sortWithinPartitions("t", "key", "lo", "hi")
+    dealt = places.join(distinct.select("rep", "copies", "embedding"), "rep").repartition(parts, "t", "key", "lo", "hi").sortWithinPartitions("t", "key", "lo", "hi")
     found = written(dealt.mapInArrow(lambda batches: linked(batches, least), FOUND), "linked")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     reached = components(found.where("rep <> root").select(F.col("rep").alias("src"), F.col("root").alias("dst")))
