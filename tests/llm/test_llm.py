@@ -327,6 +327,20 @@ def test_vectors(spark):
     assert all(got[3000 + k]["component_id"] == 0 for k in range(40)) and got[3001]["n_links"] >= 40
 
 
+def test_recall_just_above_the_least_cosine(spark):
+    rng = np.random.default_rng(11)
+    rows, pairs = [], 400
+    for k in range(pairs):
+        x = rng.standard_normal(64)
+        y = rng.standard_normal(64)
+        x, y = x / np.linalg.norm(x), y - (y @ x) * x / (x @ x)
+        y /= np.linalg.norm(y)
+        c = 0.95 + 0.01 * (k + 1) / pairs
+        rows += [(2 * k, x.tolist()), (2 * k + 1, (c * x + np.sqrt(1 - c * c) * y).tolist())]
+    got = {r["vec_id"]: r["n_links"] for r in vec_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert sum(got[2 * k] > 0 for k in range(pairs)) >= 0.94 * pairs
+
+
 def test_blocks_of_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(vec_dedup, "BLOCK", 16)
     rng = np.random.default_rng(2)
@@ -434,6 +448,20 @@ def test_one_of_each_group_stays(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
+    a, b, c = text(), text(), text()
+    rows = [(1, a, 5), (1, b, 6), (1, c, 7), (2, a, 8), (3, f"{b} more", 9), (1, a, 10), (None, a, 11)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, row_id int").repartition(3)
+    got = simhash.one_of_each(table)
+    assert got.columns == table.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (1, c), (None, a)], key=str)
+    assert simhash.one_of_each(empty(spark)).count() == 0
+    assert sorted(map(str, (r["doc_id"] for r in simhash.one_of_each(odd(spark)).collect()))) == ["1", "4", "5", "6", "6", "7", "None"]
+
+
 # 8
 
 
@@ -526,6 +554,22 @@ def test_top_k_over_blocks(spark, monkeypatch):
     assert set(map(tuple, bitsliced.neighbours(table).collect())) == want
 
 
+def test_queries_that_repeat_an_id(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(k, (rng.integers(-9, 9, 4) / 8.0).tolist()) for k in range(60)]
+    table = spark.createDataFrame(rows + rows[:1] * 3 + [(0, [9.0] * 4)], "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(bitsliced, "QUERIES", 1)
+    monkeypatch.setattr(bitsliced, "SENT", 2)
+    got = bitsliced.top_k(table, table.where("vec_id IN (0, 7, 9)")).collect()
+    value = {k: np.floor(1024 * np.array(v)).astype(int) for k, v in rows}
+    every = [*value.items(), *[(0, value[0])] * 3, (0, np.full(4, 9 * 1024))]
+    want = []
+    for q in (0, 7, 9):
+        ranked = sorted((-int(value[q] @ v), k) for k, v in every if k != q)[:10]
+        want += [(q, n, k, -s) for n, (s, k) in enumerate(ranked, 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 # 10
 
 
@@ -547,6 +591,22 @@ def test_magic_inside_payloads(spark, tmp_path):
         warc.read(spark, f"file://{tmp_path}/w").count()
 
 
+def test_large_pages_have_files_of_their_own(spark, tmp_path):
+    rows = [(k, "u", "x" * size) for k, size in enumerate([10] * 30 + [20_000] * 12 + [1_100_000] * 3)]
+    pages = spark.createDataFrame([(k, u, f"{k}{h}") for k, u, h in rows], "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, f"file://{tmp_path}/w", records_per_file=20)
+    sizes = sorted(p.stat().st_size for p in (tmp_path / "w").glob("part*"))
+    assert sum(x > 1_100_000 for x in sizes) == 3 and sizes[-1] < 1_110_000 and len([x for x in sizes if x]) == 2 + 1 + 3
+    assert warc.read(spark, f"file://{tmp_path}/w").count() == 45
+
+
+def test_small_copies_are_all_responses(spark, tmp_path):
+    pages = spark.createDataFrame([(k, "u", "same" if k % 2 else "a much longer page") for k in range(8)], "page_id long, url string, html string").repartition(4)
+    warc.write(pages, f"file://{tmp_path}/w", min_bytes=10, records_per_file=1)
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.read(spark, f"file://{tmp_path}/w").collect()}  # revisits refer across files
+    assert got == {k: ("response", None) if k % 2 or not k else ("revisit", 0) for k in range(8)}
+
+
 def test_only_what_the_start_reaches():
     position, successor = np.array([0, 10, 15, 30, 40]), np.array([30, 15, 30, 50, 60])
     kept, end = warc.reachable(position, successor)
@@ -572,6 +632,19 @@ def test_pipeline(spark, docs):
     assert whole.count() == len(pieces)
 
 
+def test_stages_keep_a_users_columns(spark, docs):
+    import corpus_pipeline
+
+    more = docs.limit(150).select("*", *(F.col("doc_id").cast("string").alias(n) for n in ("n_lines", "n_removed", "_gone", "_d", "score", "lang_pred", "toxicity", "row_id", "component_id", "Stay")))
+    rows = more
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, rows, SF)
+        assert after.columns == more.columns, name
+        kept = after.collect()
+        assert kept and all(r[n] == str(r["doc_id"]) for r in kept for n in more.columns[5:]), name
+        rows = spark.createDataFrame(kept, more.schema)
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     import corpus_pipeline
 

@@ -3,7 +3,8 @@
 A page is a ``response`` record, or a ``revisit`` of the record with the smallest page_id among those
 with the same payload, when the payload has at least a given number of bytes. A null html is an empty
 payload; a null url has no target header. Repeated rows of the smallest page_id are all responses. A
-null page_id never becomes the record that others refer to. Empty tables give empty archives.
+null page_id never becomes the record that others refer to. Empty tables give empty archives. A page of
+more than 1 MB is a file of its own, of at most 2 GB. Only page_id, url and html are read.
 
 Reading does not trust the magic ``WARC/1.1``: every place where it stands gives a candidate edge from
 the record to its successor, and only what pointer jumping reaches from the start of a file is a record.
@@ -21,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import scratch
+from tidemark.llm.common import discard, scratch, written
 
 #: Rows of copies up to which the list of copies is broadcast (16 bytes each and their digest); beyond, it is joined by shuffling.
 BROADCAST_ROWS = 200_000
+#: Bytes of a page up to which so many records share a file: no file has more than about 100 MB but for one of a single larger record.
+SHARED = ((1 << 14, 5000), (1 << 20, 100))
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 MAGIC = re.compile(rb"WARC/1\.1\r\n")
 FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -38,14 +41,21 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), HEX32, BASE32)
 
 
-def records(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """One column, value: the WARC record of each page, without the two line ends that close it."""
+def plain(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload and size (its bytes) of each page."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
-    rows = rows.withColumn("key", F.sha2(F.encode("payload", "UTF-8"), 256)).withColumn("size", F.octet_length("payload"))
-    copies = rows.where(F.col("size") >= min_bytes).groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("key", "first")
-    if copies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        copies = F.broadcast(copies)
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload")).withColumn("size", F.octet_length("payload"))
+
+
+def repeated(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """key (a digest) and first, the smallest page_id, of the payloads of at least min_bytes that several pages have."""
+    rows = plain(pages).where(F.col("size") >= min_bytes).select(F.sha2(F.encode("payload", "UTF-8"), 256).alias("key"), "page_id")
+    return rows.groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("key", "first")
+
+
+def records(pages: DataFrame, copies: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+    """One column, value: the WARC record of each row of plain(), without the two line ends that close it; copies are of repeated()."""
+    rows = pages.withColumn("key", F.sha2(F.encode("payload", "UTF-8"), 256))
     rows = rows.join(copies, "key", "left").withColumn("again", F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")))
     end = "\r\n"
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{end}Content-Type: text/html; charset=utf-8{end}Content-Length: "), F.col("size").cast("string"), F.lit(end + end))
@@ -74,8 +84,16 @@ def records(pages: DataFrame, min_bytes: int = 0, date: str = "2024-01-01T00:00:
 
 
 def write(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = 5000) -> None:
-    """Archives in the folder path. A file has a bounded number of records; it is written by Spark, so path may lie in any store."""
-    records(pages, min_bytes).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+    """Archives in the folder path, written by Spark, so path may lie in any store. A file has a bounded number of records by the bytes of their pages, at most records_per_file."""
+    copies = written(repeated(pages, min_bytes), "copies")
+    near = F.broadcast(copies) if copies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else copies
+    rows, least = plain(pages), -1
+    for most, many in (*SHARED, (None, 1)):
+        some = rows.where(F.col("size") > least) if most is None else rows.where((F.col("size") > least) & (F.col("size") <= most))
+        done = records(some, near).write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", min(many, records_per_file))
+        done.text(path)
+        least = most
+    discard(copies)
 
 
 def header(data: bytes, start: int) -> tuple[dict[bytes, bytes], int] | None:
