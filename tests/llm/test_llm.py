@@ -491,6 +491,30 @@ def test_toxicity_held_out_and_spelled_differently(spark):
     assert (model.score(texts) >= 0.3).all() and (model.score([clean, clean + " 12.5 notion"]) < 0.3).all()
 
 
+def test_toxicity_beyond_ascii(spark):
+    rng = random.Random(3)
+    plain = ["".join(rng.choice(["по", "то", "на", "ре", "ко", "ла", "ни", "ва"]) for _ in range(rng.randint(2, 4))) for _ in range(500)]
+    rows, labels = [], []
+    for d in range(400):
+        words = [rng.choice(plain) for _ in range(rng.randint(20, 80))]
+        if d % 5 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["дурак", "мразь", "идиот", "笨蛋傻瓜"]))
+        rows.append((d, " ".join(words)))
+        labels.append((d, 0, int(d % 5 == 0)))
+    docs, own = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.scored(docs, own).join(own, "doc_id").where("held_out")
+    assert got.count() > 60 and got.where("predicted <> toxic").count() <= 2
+
+
+def test_toxicity_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    got = queries.queries()["op8_toxicity"](spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("toxic IS NOT NULL")
+    n = {(r["predicted"], r["toxic"]): r["n"] for r in got.groupBy("predicted", "toxic").agg(F.count("*").alias("n")).collect()}
+    # some labels are wrong by design; of what is called toxic over half must be, and of what is toxic most must be called so
+    assert n[1, 1] / (n[1, 1] + n.get((0, 1), 0)) > 0.75 and n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) > 0.5 and n[0, 0] / (n[0, 0] + n.get((1, 0), 0)) > 0.85
+
+
 def test_toxicity_odd_rows(spark):
     docs, labels, _ = toxic_tables(spark, 60)
     table = odd(spark)

@@ -48,9 +48,11 @@ DROPPED = ".-_*'`~^"
 FOLD = str.maketrans(STANDS_FOR | {c: " " for c in SEPARATES} | {c: None for c in DROPPED})
 ENDING = re.compile(r"!+(?=\s|$)")
 SPELLED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
-CODE = np.array([0] + [c - 96 if 97 <= c <= 122 else 29 + c % 3 for c in range(1, 0x3000)], np.int64)
+#: a-z, the marks and other ASCII characters have codes below 32, all others are their own codes after them.
+CODE = np.array([0] + [c - 96 if 97 <= c <= 122 else 29 + c % 3 if c < 128 else c for c in range(1, 0x3000)], np.int64)
 CODE[ord("^")], CODE[ord("|")] = 27, 28
-SIZE = 1 << 15
+#: Places of subsequences: of codes below 32 each has its own, those with a larger one are hashed to as many more.
+PLAIN_PLACES, SIZE = 1 << 15, 1 << 16
 
 
 def units(text: str) -> list[str]:
@@ -62,10 +64,19 @@ def units(text: str) -> list[str]:
 def coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the characters, with a mark before and after each word; and the number of codes."""
     packed = np.array(["^" + w + "|" for w in words], dtype=f"U{WINDOW + 2}").view(np.uint32).reshape(len(words), -1)
-    codes = CODE[np.minimum(packed, len(CODE) - 1)]
+    codes = np.where(packed < len(CODE), CODE[np.minimum(packed, len(CODE) - 1)], packed.astype(np.int64))
     return codes, (codes > 0).sum(axis=1)
 
 
+def places(x: np.ndarray, y: np.ndarray, z: np.ndarray, plain: bool) -> np.ndarray:
+    """Where subsequences of three codes belong; plain: no code is above 31."""
+    exact = x << 10 | y << 5 | z
+    if plain:
+        return exact
+    mixed = PLAIN_PLACES + ((x * 0x9E3779B1 ^ y * 0x85EBCA77 ^ z * 0xC2B2AE3D) >> 9) % (SIZE - PLAIN_PLACES)
+    return np.where((x | y | z) < 32, exact, np.where(z > 0, mixed, 0))
+
+
 def length_norm(n: np.ndarray) -> np.ndarray:
     """The length of a word's features if no subsequence repeats."""
     squares = sum(DISCOUNT ** (2 * (a + b - 2)) * np.maximum(n - a - b, 0) for a, b in STEPS)
@@ -81,7 +92,7 @@ def dense(words: list[str]) -> np.ndarray:
         span = codes.shape[1] - a - b
         if span > 0:
             x, y, z = codes[:, :span], codes[:, a : a + span], codes[:, a + b : a + b + span]
-            np.add.at(out, (np.broadcast_to(rows, x.shape), x << 10 | y << 5 | z), np.where(z > 0, DISCOUNT ** (a + b - 2), 0.0))
+            np.add.at(out, (np.broadcast_to(rows, x.shape), places(x, y, z, False)), np.where(z > 0, DISCOUNT ** (a + b - 2), 0.0))
     return out / length_norm(n)[:, None]
 
 
@@ -93,10 +104,14 @@ def inner(words: list[str], against: np.ndarray) -> np.ndarray:
         wide = [(i, w[s : s + WINDOW]) for i, w in enumerate(part) if len(w) > WINDOW for s in range(0, len(w) - WINDOW // 2, WINDOW // 2)]
         codes, n = coded([w[:WINDOW] for w in part] + [w for _, w in wide])
         total = np.zeros(len(codes))
-        for a, b in STEPS:
-            span = codes.shape[1] - a - b
-            if span > 0:
-                total += DISCOUNT ** (a + b - 2) * against[codes[:, :span] << 10 | codes[:, a : a + span] << 5 | codes[:, a + b : a + b + span]].sum(axis=1)
+        high = (codes > 31).any(axis=1)
+        for own, plain in ((np.flatnonzero(~high), True), (np.flatnonzero(high), False)):
+            some = codes[own] if len(own) < len(codes) else codes
+            for a, b in STEPS:
+                span = codes.shape[1] - a - b
+                if span > 0 and len(own):
+                    values = against[places(some[:, :span], some[:, a : a + span], some[:, a + b : a + b + span], plain)]
+                    total[own] += DISCOUNT ** (a + b - 2) * (values.sum(axis=1) if plain else np.where(some[:, a + b : a + b + span] > 0, values, 0.0).sum(axis=1))
         total /= length_norm(n)
         np.maximum.at(out, np.concatenate([np.arange(len(part)), np.array([i for i, _ in wide], np.int64)]) + first, total)
     return out
