@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 import pyarrow as pa
@@ -36,6 +37,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of files, as an archive has it: what reads it several times does not make it again. In the folder that executors share."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/tidemark-tables"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def entry(sequence):
     return F.sha2(F.concat(F.lit("entry-"), sequence.cast("string")), 256)
 

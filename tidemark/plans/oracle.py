@@ -149,3 +149,8 @@ d AS (SELECT p, string_split(CASE {' '.join(steps)} ELSE 'ReadyForReceipt:comple
 
 
 ORACLE["reconcile_decision"] = _decisions()
+ORACLE["canonical_json"] = f"""WITH {REVISIONS} SELECT day, revision, '{{"date":"' || day || '","revision":' || revision || ',"sha256":"' || digest || '"}}' AS json FROM revisions"""
+#: CRC-32 of an ASCII string, bit by bit.
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"
+ORACLE["orphan_missing_objects"] = f"""WITH {BASE}, o AS (SELECT DISTINCT symbol, 'object-' || event_id AS object_id FROM ticks), h AS (SELECT *, {CRC.format('object_id')} AS h FROM o)
+SELECT symbol, object_id, CASE WHEN h % 7 = 0 THEN 'orphan' WHEN h % 5 = 0 THEN 'missing' ELSE 'duplicate' END AS kind FROM h WHERE (h % 7 = 0 AND h % 5 <> 0) OR (h % 7 <> 0 AND h % 5 = 0) OR (h % 7 <> 0 AND h % 5 <> 0 AND h % 11 = 0)"""

@@ -62,18 +62,18 @@ def segments(found: DataFrame) -> DataFrame:
 
 
 def tables(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Records, entries and segments."""
+    """Records, entries and segments, as an archive has them."""
     rows = records(spark, sf)
-    chain = entries(rows)
-    found = rows.drop("record", "time").join(chain, ["symbol", "sequence"])
-    return found, chain, segments(found)
+    chain = E.stored(entries(rows), "entries")
+    found = E.stored(rows.drop("record", "time").join(chain, ["symbol", "sequence"]), "records")
+    return found, chain, E.stored(segments(found), "segments")
 
 
 def manifests(spark, sf, found: DataFrame, own: DataFrame) -> DataFrame:
     names = [r[0] for r in spark.read.parquet(f"{sf}/events.parquet").select("event_type").distinct().limit(1001).collect()]
     if len(names) > 1000:
         raise ValueError("more symbols than configurations")
-    return archive.with_manifests(archive.raw_days(found, own, "symbol"), {s: configuration(s) for s in names}, "symbol")
+    return E.stored(archive.with_manifests(archive.raw_days(found, own, "symbol"), {s: configuration(s) for s in names}, "symbol"), "manifests")
 
 
 def spoiled(days: DataFrame) -> DataFrame:
