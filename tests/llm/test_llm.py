@@ -448,6 +448,25 @@ def test_one_of_each_group_stays(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_keys_with_many_rows_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = random.Random(8)
+    low = rng.getrandbits(39)  # three segments that all share
+    prints = sorted({low | rng.getrandbits(25) << 39 for _ in range(150)} | {low | (rng.getrandbits(4) << 39) for _ in range(12)})
+    rows = [(k, p - 2**64 if p >= 2**63 else p) for k, p in enumerate(prints)]
+    got = {r["rep"]: r["component"] for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, fp long"), 4).collect()}
+    root = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(prints)):
+            for b in range(a):
+                if (prints[a] ^ prints[b]).bit_count() <= 4 and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    assert got == dict(enumerate(root))
+
+
 def test_unlike_texts_of_one_id_stay(spark):
     rng = random.Random(9)
     text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))

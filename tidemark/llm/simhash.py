@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, local_components, slices, unused, written
+from tidemark.llm.common import components, discard, local_components, slices, unused, written
 
 #: Widths of the ring's segments, from the lowest bit up.
 WIDTHS = (13, 13, 13, 13, 12)
 KEYS = "key long, probe int, fp long, rep long"
 EDGES = "src long, dst long"
-#: Pairs that are compared at a time.
-PAIRS = 1 << 20
+#: Pairs that are compared at a time; rows of a key beyond which it is cut into blocks, of which each pair is compared on its own.
+PAIRS, BLOCK = 1 << 20, 1 << 15
 
 
 def fingerprint(text: bytes, size: int, seed: int) -> np.ndarray:
@@ -109,11 +109,11 @@ def chains(most: int) -> list[list[tuple[np.uint64, int]]]:
 
 
 def links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by key and probe; the links of a run of one key, as stars."""
+    """Batches sorted by key, blocks and probe; the links of a run of one key and pair of blocks, as stars."""
     budget = chains(most)
 
-    def compare(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatch | None:
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    def compare(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, rep: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch | None:
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
         sizes = np.diff(np.append(starts, len(key)))
         own = np.add.reduceat((probe == 0).astype(np.int64), starts)
         first = np.repeat(starts, sizes)
@@ -145,12 +145,13 @@ def links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
 
     held: list[np.ndarray] | None = None
     for batch in batches:
-        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "probe", "fp", "rep")]
+        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "probe", "fp", "rep", "lo", "hi")]
         if held is not None:
             rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
         if not len(rows[0]):
             continue
-        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        changes = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[4]) != 0) | (np.diff(rows[5]) != 0))
+        cut = int(changes[-1]) + 1 if len(changes) else 0
         held = [c[cut:] for c in rows]
         if cut and (out := compare(*(c[:cut] for c in rows))) is not None:
             yield out
@@ -172,8 +173,17 @@ def reached(reps: DataFrame, most: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "probe", "fp", "rep"])
 
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = reps.mapInArrow(spread, KEYS).repartition(parts, "key").sortWithinPartitions("key", "probe")
-    return components(dealt.mapInArrow(lambda batches: links(batches, most), EDGES))
+    rows = reps.mapInArrow(spread, KEYS)
+    large = written(rows.groupBy("key").count().where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).alias("blocks")), "large")
+    dealt = rows.withColumn("lo", F.lit(0).cast("long")).withColumn("hi", F.lit(0).cast("long"))
+    if not large.isEmpty():
+        cut = rows.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long"))).withColumn("side", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        dealt = cut.select(*rows.columns, F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+    dealt = dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "probe")
+    found = components(dealt.mapInArrow(lambda batches: links(batches, most), EDGES))
+    discard(large)
+    return found
 
 
 def groups(prints: DataFrame, most: int = 4) -> DataFrame:
