@@ -41,11 +41,11 @@ from tidemark.llm.common import discard, slices, trimmed, written
 #: Words of an n-gram; largest count that Good and Turing discount.
 ORDER, GOOD = 3, 5
 #: N-grams that a group of a partition gets, about; tokens after a history from which its n-grams are dealt by themselves.
-ENTRIES, HOT = 700_000, 200_000
+ENTRIES, HOT = 1_000_000, 200_000
 #: Passes over the blocks for an order beyond the first, each for a share of the partitions; no more than that share is dealt at a time.
 PASSES = 2
 #: Bytes of text and rows of a block; shares of the blocks that take in their answers at a time, each of which replaces its own files.
-BLOCK, ROWS, SLICES = 3 << 20, 60_000, 3
+BLOCK, ROWS, SLICES = 5 << 20, 60_000, 3
 END, START = np.uint64(1), np.uint64(2)
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -349,7 +349,7 @@ def answered(group: pa.Table) -> pa.Table:
     first = turn[new]
     heads, run = np.unique(head[first], return_inverse=True)
     del turn, gram, new
-    count = np.bincount(of, weights=np.concatenate([x[4] for x in read])).astype(np.int64)
+    count = np.bincount(of, weights=np.concatenate([x[4] for x in read], dtype=np.float64)).astype(np.int64)
     below = np.concatenate([x[5] for x in read])[first].astype(np.int64)
     hot = np.zeros(len(heads), bool)
     hot[run] = np.repeat(np.concatenate(alone), np.concatenate(sizes))[first]
