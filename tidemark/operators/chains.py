@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.functions import native as N
 
@@ -12,21 +17,33 @@ from tidemark.functions import native as N
 def ranked(df: DataFrame, key: str, out: str, width: int = 1 << 16) -> DataFrame:
     """df with the rank from 1 of its integer key over all rows, without sorting them in one task.
 
-    Keys are cut into ranges of a fixed width; rows are ranked within their range, after the number of
-    rows in the ranges before, which is a running sum over one small row a range.
+    Keys are cut into ranges of a fixed width, and those into ranges of ranges. Rows are ranked within
+    their range, after the rows in the ranges before, which are running sums over one small row a range and
+    over one a range of ranges.
     """
-    cut = F.floor(F.col(key) / width).cast("long")
-    sizes = df.groupBy(cut.alias("_cut")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    cut, group = F.floor(F.col(key) / width).cast("long"), F.floor(F.col("_cut") / width).cast("long")
+    sizes = df.groupBy(cut.alias("_cut")).agg(F.count("*").alias("_n")).withColumn("_group", group)
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_n")).select("_group", earlier(Window.orderBy("_group")).alias("_start"))
+    offsets = sizes.withColumn("_before", earlier(Window.partitionBy("_group").orderBy("_cut"))).join(groups, "_group").select("_cut", (F.col("_before") + F.col("_start")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_cut").orderBy(key))
     return df.withColumn("_cut", cut).join(offsets, "_cut").withColumn(out, (F.col("_before") + inside).cast("long")).drop("_cut", "_before")
 
 
 def row_chain_root(rows: DataFrame, by: list[str], sequence: str, data: str) -> DataFrame:
-    """The root of each group's rows. A group is one chain, whose steps depend on each other; parallelism comes from groups."""
-    grouped = rows.groupBy(*by).agg(F.collect_list(F.struct(F.col(sequence).alias("s"), F.col(data).alias("d"))).alias("rows"))
-    return grouped.select(*by, F.size("rows").cast("long").alias("rows"), N.hexed(N.chain_root(F.col("rows"))).alias("root"))
+    """rows and root of each group's rows. A group is one chain, whose steps depend on each other; it is read in order as a stream, of any length, and parallelism comes from groups."""
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField("rows", T.LongType()), T.StructField("root", T.StringType())])
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root, count = D.ZERO, 0
+        for batch in batches:
+            for s, d in zip(batch.column("_s").to_pylist(), batch.column("_d").to_pylist(), strict=True):
+                root = C.chain_step(s, root, d)
+            count += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*(pa.array([k.as_py()], k.type) for k in key), pa.array([count], pa.int64()), pa.array([root.hex()])], names=[*by, "rows", "root"])
+
+    some = rows.select(*by, F.col(sequence).cast("long").alias("_s"), F.col(data).alias("_d"))
+    return some.repartition(*by).sortWithinPartitions(*by, "_s").groupBy(*by).applyInArrow(run, schema)
 
 
 def unlinked(df: DataFrame, by: list[str], order: str, previous: str, own: str) -> DataFrame:

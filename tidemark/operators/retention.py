@@ -65,8 +65,9 @@ def plan(candidates: DataFrame, policy: Policy) -> DataFrame:
     wal = wal.select("artifact_id", "first_sequence", broken.alias("reason"))
     other = rows.where("kind <> 'wal'").select("artifact_id", "first_sequence", F.col("own").alias("reason"))
     every = wal.unionByName(other)
-    place = F.row_number().over(Window.partitionBy(F.col("reason").isNull()).orderBy("first_sequence", "artifact_id"))
-    every = every.withColumn("reason", F.when(F.col("reason").isNull() & (place > policy.max_candidates), "max_prune_candidates").otherwise(F.col("reason")))
+    first = every.where("reason IS NULL").orderBy("first_sequence", "artifact_id").limit(policy.max_candidates).select("artifact_id", F.lit(True).alias("_first"))
+    every = every.join(F.broadcast(first), "artifact_id", "left")  # a plan has at most max_candidates actions
+    every = every.withColumn("reason", F.when(F.col("reason").isNull() & F.col("_first").isNull(), "max_prune_candidates").otherwise(F.col("reason")))
     return every.select("artifact_id", F.when(F.col("reason").isNull(), "prune").otherwise("blocked").alias("action"), "reason").orderBy("artifact_id")
 
 
