@@ -447,3 +447,20 @@ def test_replay_day_facts(spark):
     spoiled = parts.withColumn("content", F.concat(F.col("content"), F.lit(b"x")))
     bad = catalog.verify_replay_day(stream, spoiled, manifest | {"part_set_root": "0" * 64}, days.where("false"))
     assert not bad["parts_valid"] and not bad["part_set_root_matches"] and not bad["raw_bound"] and not bad["valid"]
+
+
+def test_small_checks(spark):
+    from tidemark.operators import chains
+
+    days = spark.createDataFrame([("d", 1, "a", None, "r1"), ("d", 2, "b", "a", "r2"), ("d", 3, "c", "b", "r2")], "day string, revision long, digest string, previous string, raw_digest string")
+    assert [r["breaks"] for r in selection.replay_breaks(days, "day").orderBy("revision").collect()] == [False, False, True]
+    ranges = spark.createDataFrame([("d", 1, 0, 1, 5), ("d", 1, 6, 2, 0), ("d", 2, 0, 3, 1), ("d", 5, 4, 5, 3)], "day string, start long, first_ordinal long, end long, last_ordinal long")
+    assert sorted((r["start"], r["first_ordinal"]) for r in selection.not_ascending(ranges, "day").collect()) == [(2, 0), (5, 4)]
+    asked = spark.createDataFrame([("s", 1), ("s", 2), ("s", 3)], "session string, batch_sequence long")
+    known = lambda *rows: spark.createDataFrame(rows, "session string, batch_sequence long, hash string")
+    got = {r["batch_sequence"]: (r["hash"], r["found_in"]) for r in chains.looked_up(asked, known(("s", 1, "j")), known(("s", 1, "w"), ("s", 2, "w"))).collect()}
+    assert got == {1: ("j", "journal"), 2: ("w", "log"), 3: (None, None)}
+    parts = spark.createDataFrame([("d", str(2**63)), ("d", str(2**63 - 1))], "day string, n string").select("day", F.col("n").cast("decimal(20,0)").alias("row_count"))
+    assert int(chains.total_rows(parts, "day").first()["row_count"]) == 2**64 - 1
+    with pytest.raises(Exception, match="overflows"):
+        chains.total_rows(parts.union(parts), "day").collect()

@@ -133,3 +133,26 @@ def duplicate_or_conflict(arrivals: DataFrame) -> DataFrame:
     first = arrivals.groupBy("session", "batch_sequence").agg(F.min(F.struct("arrival", "hash")).alias("first"))
     status = F.when(F.col("arrival") == F.col("first.arrival"), "ACCEPTED").when(F.col("hash") == F.col("first.hash"), "DUPLICATE").otherwise("SOURCE_STATE_CONFLICT")
     return arrivals.join(first, ["session", "batch_sequence"]).withColumn("status", status).drop("first")
+
+
+def supplied(descriptors: DataFrame, objects: DataFrame) -> DataFrame:
+    """descriptors (key, sha256, bytes) with state: exact, different (hash or size), absent, or twice if objects has the key several times."""
+    seen = objects.groupBy("key").agg(F.count("*").alias("_n"), F.min("sha256").alias("_sha"), F.min("bytes").alias("_bytes"))
+    same = (F.col("_sha") == F.col("sha256")) & (F.col("_bytes") == F.col("bytes"))
+    state = F.when(F.col("_n").isNull(), "absent").when(F.col("_n") > 1, "twice").when(same, "exact").otherwise("different")
+    return descriptors.join(seen, "key", "left").withColumn("state", state).drop("_n", "_sha", "_bytes")
+
+
+def looked_up(asked: DataFrame, journal: DataFrame, log: DataFrame) -> DataFrame:
+    """asked (session, batch_sequence) with the hash that the journal has, else the log, and which of them had it."""
+    by = ["session", "batch_sequence"]
+    j, w = (x.select(*by, F.col("hash").alias(n)).dropDuplicates(by) for x, n in ((journal, "_j"), (log, "_w")))
+    rows = asked.join(j, by, "left").join(w, by, "left")
+    return rows.select(*asked.columns, F.coalesce("_j", "_w").alias("hash"), F.when(F.col("_j").isNotNull(), "journal").when(F.col("_w").isNotNull(), "log").alias("found_in"))
+
+
+def total_rows(parts: DataFrame, *by: str) -> DataFrame:
+    """The rows of all parts; a sum that is no unsigned 64-bit number raises."""
+    total = F.sum(F.col("row_count").cast("decimal(38,0)"))
+    fits = F.when(F.col("total") < F.lit(str(2**64)).cast("decimal(38,0)"), F.col("total").cast("decimal(20,0)")).otherwise(F.raise_error(F.lit("row count overflows")).cast("decimal(20,0)"))
+    return parts.groupBy(*by).agg(total.alias("total")).select(*by, fits.alias("row_count"))

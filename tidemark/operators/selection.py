@@ -134,3 +134,18 @@ def next_revisions(now: DataFrame, revisions: DataFrame, by: list[str], columns:
     last = latest(revisions, *by)
     fresh = changed(now, last, by, columns)
     return fresh.join(last.select(*by, F.col("revision").alias("_r"), F.col("digest").alias("previous")), by, "left").withColumn("revision", F.coalesce(F.col("_r"), F.lit(0)) + 1).drop("_r")
+
+
+def replay_breaks(revisions: DataFrame, *by: str) -> DataFrame:
+    """revision_breaks() of replay days (raw_digest, too): a successor must also bind another raw revision than the one before it."""
+    order = Window.partitionBy(*by).orderBy("revision")
+    again = F.coalesce(F.col("raw_digest") == F.lag("raw_digest").over(order), F.lit(False))
+    return revision_breaks(revisions.withColumn("_again", again), *by).withColumn("breaks", F.col("breaks") | F.col("_again")).drop("_again")
+
+
+def not_ascending(found: DataFrame, *by: str) -> DataFrame:
+    """Ranges (start, first_ordinal, end, last_ordinal) that end before they start or do not lie after the one before them."""
+    order = Window.partitionBy(*by).orderBy("start", "first_ordinal", "end", "last_ordinal")
+    before = F.lag(F.struct("end", "last_ordinal")).over(order)
+    first, last = F.struct(F.col("start").alias("end"), F.col("first_ordinal").alias("last_ordinal")), F.struct("end", "last_ordinal")
+    return found.withColumn("_bad", (last < first) | F.coalesce(first <= before, F.lit(False))).where("_bad").drop("_bad")

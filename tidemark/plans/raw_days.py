@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.functions import native as N
-from tidemark.operators import archive, selection
+from tidemark.operators import archive, chains, publication, selection
 from tidemark.plans import events as E
 from tidemark.plans.catalogue import query
 from tidemark.streaming import gateway
@@ -188,3 +188,61 @@ def segment_rotation(spark, sf):
     """Each symbol's entries in segments of 20,000 bytes or 40 hours."""
     rows = records(spark, sf).groupBy("symbol", "sequence").agg((F.count("*") * 60 + 140).alias("bytes"), F.max("time").alias("wall_s"))
     return gateway.segment_groups(rows.withColumnRenamed("symbol", "scope"), 20_000, 144_000).select("scope", "sequence", "segment")
+
+
+@query
+def boundary_digest(spark, sf):
+    """Of each symbol and day: the digest over the fingerprints of the records at its newest millisecond, in the order of capture."""
+    rows = E.fingerprints(spark, sf).withColumn("cursor", F.max("time_msc").over(Window.partitionBy("symbol", "day"))).where("time_msc = cursor")
+    prints = rows.groupBy("symbol", "day", "cursor").agg(F.transform(F.array_sort(F.collect_list(F.struct("capture_sequence", "fingerprint"))), lambda x: x["fingerprint"]).alias("prints"))
+    return prints.select("symbol", "day", "cursor", F.size("prints").cast("long").alias("records"), N.hexed(N.boundary(F.col("cursor"), N.raw(D.ZERO), F.col("prints"))).alias("digest"))
+
+
+@query
+def segment_ids(spark, sf):
+    """A continuity segment a symbol and day, at its first record."""
+    rows = E.ticks(spark, sf).groupBy("symbol", "day").agg(F.min(F.struct("sequence", "ordinal")).alias("at"))
+    scope = [F.concat(F.lit("dataset-"), F.col("symbol")), F.lit("utc-day-v1"), F.col("day"), F.lit("replay-v1"), F.lit("conversion-v1")]
+    own = N.segment_id(scope, F.lit("manifests/raw-day"), N.raw(E.SCOPE["raw_day_manifest_sha256"]), F.col("at.sequence"), F.col("at.ordinal"), F.lit("SEGMENT_START"), N.raw(D.ZERO))
+    return rows.select("symbol", "day", own.alias("segment_id"))
+
+
+@query
+def late_revisions(spark, sf):
+    """Days whose first revision lacks every tenth entry: what arrives late makes a second one, days without such entries stay."""
+    rows = E.ticks(spark, sf)
+    columns = ["accepted", "source_watermark", "capture_watermark", "last_sequence"]
+    known = selection.day_selection(rows.where("sequence % 10 <> 0")).select("day", *columns, F.lit(1).cast("long").alias("revision"), F.sha2("day", 256).alias("digest"))
+    now = selection.day_selection(rows).select("day", *columns)
+    return selection.next_revisions(now, known, ["day"], columns).select("day", "accepted", "revision", "previous")
+
+
+@query
+def watermark_regressions(spark, sf):
+    """Revisions of each symbol, one a hundred records, of which every third lost records: watermarks or ranges go back."""
+    rows = E.ticks(spark, sf).withColumn("n", F.row_number().over(Window.partitionBy("symbol").orderBy("capture_sequence")) - 1)
+    marks = rows.groupBy("symbol", F.floor(F.col("n") / 100).cast("long").alias("k")).agg(F.max("time_msc").alias("source_watermark"), F.max("capture_sequence").alias("capture_watermark"))
+    lost = F.col("k") % 3 == 2
+    marks = marks.select("symbol", (F.col("k") + 1).alias("revision"), "source_watermark", F.when(lost, F.col("capture_watermark") - 100_000).otherwise(F.col("capture_watermark")).alias("capture_watermark"), F.sequence(F.lit(0).cast("long"), F.when(lost, F.greatest(F.col("k") - 2, F.lit(0))).otherwise(F.col("k"))).alias("ranges"))
+    return selection.watermark_regressions(marks, "symbol").select("symbol", "revision", "regression")
+
+
+@query
+def observation_classes(spark, sf):
+    """What a store has of an object an entry: by its number exact, absent, different, doubled, oversized or out of reach."""
+    rows = E.ticks(spark, sf).groupBy("sequence").agg(F.count("*").alias("bytes"))
+    name, sha = F.concat(F.lit("object-"), F.col("sequence").cast("string")), F.sha2(F.col("sequence").cast("string"), 256)
+    expected = rows.select(F.lit(1).alias("publication"), F.lit("parquet").alias("barrier"), name.alias("object_id"), sha.alias("sha256"), "bytes")
+    n = F.col("sequence") % 6
+    seen = rows.where(n != 1).select(name.alias("object_id"), F.when(n == 2, F.lit("0" * 64)).otherwise(sha).alias("sha256"), F.when(n == 4, 1000).otherwise(F.col("bytes")).alias("bytes"), (n != 5).alias("available"), n.alias("n"))
+    return publication.observe(expected, seen.unionByName(seen.where("n = 3")), 900).select("object_id", "class")
+
+
+@query
+def supplied_objects(spark, sf):
+    """Descriptors of the objects of raw days against what is supplied: every fifth is missing, every seventh of another size, every eleventh there twice."""
+    found, _, own = tables(spark, sf)
+    wanted = own.select(F.col("object_key").alias("key"), F.col("object_sha256").alias("sha256"), F.col("file_bytes").alias("bytes"), "start_sequence")
+    n = F.floor((F.col("start_sequence") - 1) / OBJECT)
+    there = wanted.where(n % 5 != 4).withColumn("bytes", F.when(n % 7 == 6, F.col("bytes") + 1).otherwise(F.col("bytes")))
+    return chains.supplied(wanted.drop("start_sequence"), there.unionByName(there.where(n % 11 == 10)).select("key", "sha256", "bytes")).select("key", "state")

@@ -6,7 +6,7 @@ from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.plans import events as E
 from tidemark.plans import raw_days as Q
-from tidemark.plans.oracle import BASE, RECORD, cat, joined, le, raw, sha
+from tidemark.plans.oracle import BASE, PRINTS, RECORD, cat, joined, le, raw, sha, text
 
 ORACLE: dict[str, str] = {}
 
@@ -79,3 +79,17 @@ w(scope, sequence, segment, total, opened) AS (SELECT scope, sequence, 0::BIGINT
   UNION ALL SELECT e.scope, e.sequence, CASE WHEN w.total >= 20000 OR e.wall_s - w.opened >= 144000 THEN w.segment + 1 ELSE w.segment END, CASE WHEN w.total >= 20000 OR e.wall_s - w.opened >= 144000 THEN e.bytes ELSE w.total + e.bytes END,
     CASE WHEN w.total >= 20000 OR e.wall_s - w.opened >= 144000 THEN e.wall_s ELSE w.opened END FROM w JOIN e ON e.scope = w.scope AND e.sequence = w.sequence + 1)
 SELECT scope, sequence, segment FROM w"""
+ORACLE["boundary_digest"] = f"""WITH {PRINTS}, c AS (SELECT symbol, day, max(time_msc) AS cursor FROM prints GROUP BY ALL)
+SELECT c.symbol, c.day, cursor, count(*) AS records, {sha(raw(D.BOUNDARY), le('cursor', 8), raw(D.ZERO), le('count(*)', 4), joined('fingerprint', 'capture_sequence'))} AS digest
+FROM c JOIN prints p ON p.symbol = c.symbol AND p.day = c.day AND p.time_msc = c.cursor GROUP BY c.symbol, c.day, cursor"""
+ORACLE["segment_ids"] = f"""WITH {BASE}, f AS (SELECT symbol, day, min((sequence, ordinal)) AS at_ FROM ticks GROUP BY symbol, day), g AS (SELECT symbol, day, at_[1] AS s, at_[2] AS o FROM f)
+SELECT symbol, day, {sha(raw(D.SEGMENT), text("('dataset-' || symbol)"), text("'utc-day-v1'"), text('day'), text("'replay-v1'"), text("'conversion-v1'"), text("'manifests/raw-day'"), raw(E.SCOPE['raw_day_manifest_sha256']), le('s', 8), le('o', 4), text("'SEGMENT_START'"), raw(D.ZERO))} AS segment_id FROM g"""
+ORACLE["late_revisions"] = f"""WITH {BASE}, a AS (SELECT day, count(*) AS n, count(*) FILTER (sequence % 10 <> 0) AS k FROM ticks GROUP BY day)
+SELECT day, n AS accepted, CASE WHEN k > 0 THEN 2 ELSE 1 END AS revision, CASE WHEN k > 0 THEN sha256(day) END AS previous FROM a WHERE n <> k"""
+ORACLE["watermark_regressions"] = f"""WITH {BASE}, n AS (SELECT *, (row_number() OVER (PARTITION BY symbol ORDER BY capture_sequence) - 1) // 100 AS k FROM ticks),
+m AS (SELECT symbol, k, max(time_msc) AS t, max(capture_sequence) - CASE WHEN k % 3 = 2 THEN 100000 ELSE 0 END AS c, CASE WHEN k % 3 = 2 THEN greatest(k - 2, 0) ELSE k END AS r FROM n GROUP BY symbol, k),
+l AS (SELECT *, lag(t) OVER w AS bt, lag(c) OVER w AS bc, lag(r) OVER w AS br FROM m WINDOW w AS (PARTITION BY symbol ORDER BY k))
+SELECT symbol, k + 1 AS revision, coalesce(t < bt OR c < bc OR r < br, false) AS regression FROM l"""
+ORACLE["observation_classes"] = f"""WITH {BASE}, s AS (SELECT DISTINCT sequence FROM ticks) SELECT 'object-' || sequence AS object_id, ['Exact', 'Absent', 'Different', 'Ambiguous', 'Oversized', 'Unavailable'][sequence % 6 + 1] AS class FROM s"""
+ORACLE["supplied_objects"] = f"""WITH {ROWS}, o AS (SELECT DISTINCT object_key AS key, object AS n FROM rows)
+SELECT key, CASE WHEN n % 5 = 4 THEN 'absent' WHEN n % 11 = 10 THEN 'twice' WHEN n % 7 = 6 THEN 'different' ELSE 'exact' END AS state FROM o"""
