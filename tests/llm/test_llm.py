@@ -376,6 +376,18 @@ def test_cut_texts_have_the_ids_of_whole_ones(monkeypatch):
         assert "".join(bpe.cut(text, 20)) == text
 
 
+def test_long_texts_without_blanks(spark):
+    own, _ = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(2)
+    lines = "\n".join("".join(rng.choice("漢字仮名交文") for _ in range(40)) for _ in range(60_000))  # 7 MB, a line a row
+    code = base64.b64encode(rng.randbytes(300_000)).decode()  # nowhere to cut
+    assert len(bpe.cut(lines)) > 30 and bpe.cut(code) == [code]
+    got = {r["doc_id"]: r for r in bpe.digests(spark.createDataFrame([(1, lines), (2, code)], "doc_id long, text string"), RANKS, public_tokenizers.PATTERN).collect()}
+    for k, text in ((1, lines), (2, code)):
+        ids = own.encode_ordinary(text)
+        assert (got[k]["n_tokens"], got[k]["ids_sha256"]) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+
+
 # 7
 
 

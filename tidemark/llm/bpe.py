@@ -2,7 +2,9 @@
 
 ``encode`` adds the ids of every whole text, ``decode`` turns ids back into bytes. A null text is an
 empty text: no ids, no bytes. A text of any length is cut at safe boundaries only, so that its ids
-are those of the uncut text. Repeated rows are encoded each on their own; other columns pass through.
+are those of the uncut text; a stretch without a single blank or line end is encoded whole, whatever its
+length. Repeated rows are encoded each on their own, an empty table gives an empty result; other columns
+pass through.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from tidemark.llm.common import slices
 #: Texts of more characters are cut before they are encoded.
 LONG = 1 << 16
 #: A single blank between two other characters that are no white space: no match of the pattern spans the place before it,
-#: for a blank only starts a match and nothing that ends before it looks further.
-SAFE = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
+#: for a blank only starts a match and nothing that ends before it looks further. Likewise the place after a single line end.
+SAFE = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])|(?<=[^\s\x1c-\x1f\x85]\n)(?=[^\s\x1c-\x1f\x85])")
 
 
 @functools.lru_cache(maxsize=4)
