@@ -20,6 +20,9 @@ is computed from the words themselves.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,8 @@ from tidemark.llm.common import discard, unused, written
 NEAR, OF, LEAST = 4, 5, 4
 #: Words that are listed with their counts, places of their table, and steps of a count's logarithm.
 LISTED, PLACES, STEPS = 1 << 17, 1 << 18, 6
+#: Shares of the words that are dealt one after the other, so that no more than a share of their places is on its way at a time.
+SHARES = 4
 #: Documents up to which the list of those with lines that are wanted is broadcast (about 60 bytes each); beyond, it is joined by shuffling.
 BROADCAST_ROWS = 300_000
 
@@ -102,6 +107,12 @@ def passes(x: str, y: str, map_x: str, map_y: str) -> Column:
     return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR) & (differ * (NEAR + OF) <= (sx + sy) * (OF - NEAR))
 
 
+def shares(rows: DataFrame, run: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """run() of each share of the words in rows, one written table after the other."""
+    done = [written(run(rows.where(F.pmod(F.shiftright("token", 7), F.lit(SHARES)) == k)), name) for k in range(SHARES)]
+    return functools.reduce(DataFrame.unionByName, done)
+
+
 def shared(sets: DataFrame) -> DataFrame:
     """token, set, code (size and place), map and many of the prefix words that several sets have; and other, the earliest set of the word if it is a candidate.
 
@@ -110,11 +121,14 @@ def shared(sets: DataFrame) -> DataFrame:
     """
     posts = sets.where("prefix IS NOT NULL").select("set", "size", "map", F.posexplode("prefix").alias("at", "token"))
     posts = posts.select("token", "set", "map", F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
-    first = posts.groupBy("token").agg(F.min(F.struct("set", "code", "map")).alias("first"), F.count("*").alias("many")).where("many > 1")
-    first = first.select("token", F.col("first.set").alias("first"), F.col("first.code").alias("first_code"), F.col("first.map").alias("first_map"), "many")
-    joined = posts.join(first, "token")
-    other = F.when((F.col("first") < F.col("set")) & passes("code", "first_code", "map", "first_map"), F.col("first"))
-    return joined.select("token", "set", "code", "map", "many", other.alias("other")).where("many > 2 OR other IS NOT NULL")
+
+    def some(posts: DataFrame) -> DataFrame:
+        first = posts.groupBy("token").agg(F.min(F.struct("set", "code", "map")).alias("first"), F.count("*").alias("many")).where("many > 1")
+        first = first.select("token", F.col("first.set").alias("first"), F.col("first.code").alias("first_code"), F.col("first.map").alias("first_map"), "many")
+        other = F.when((F.col("first") < F.col("set")) & passes("code", "first_code", "map", "first_map"), F.col("first"))
+        return posts.join(first, "token").select("token", "set", "code", "map", "many", other.alias("other")).where("many > 2 OR other IS NOT NULL")
+
+    return shares(posts, some, "shared")
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -147,15 +161,19 @@ def kept(docs: DataFrame) -> DataFrame:
     that are left meet all earlier ones. Thus a group of similar lines does not become all its pairs.
     """
     sets = numbered(docs)
-    posts = written(shared(sets), "shared")
+    posts = shared(sets)
     one = similar(docs, sets, posts.where("other IS NOT NULL").select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
-    many = posts.where("many > 2").select("token", "set", "code", "map")
-    x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"), F.col("map").alias("ma"))
-    y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"), F.col("map").alias("mb"))
-    two = similar(docs, sets, x.join(y, "token").where((F.col("b") < F.col("a")) & passes("ca", "cb", "ma", "mb")).select("a", "b").distinct())
+
+    def left(many: DataFrame) -> DataFrame:
+        x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"), F.col("map").alias("ma"))
+        y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"), F.col("map").alias("mb"))
+        return x.join(y, "token").where((F.col("b") < F.col("a")) & passes("ca", "cb", "ma", "mb")).select("a", "b").distinct()
+
+    found = shares(posts.where("many > 2").select("token", "set", "code", "map"), left, "left")
+    two = similar(docs, sets, found.distinct())
     stay = sets.select("set", "doc_id", "th", "n").join(one.union(two), "set", "left_anti")
     out = written(stay.groupBy("doc_id", "th").agg(F.collect_list("n").alias("ns")), "kept")
-    for old in (sets, posts, one, two):
+    for old in (sets, posts, found, one, two):
         discard(old)
     return out
 
