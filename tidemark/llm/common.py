@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -19,10 +20,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a folder of the warehouse, or a temporary one if all runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidemark-scratch"
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-") if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidemark-scratch"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
