@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from typing import Any
 
@@ -40,7 +41,10 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df as a table of files, as an archive has it: what reads it several times does not make it again. In the folder that executors share."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/tidemark-tables"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:  # in one process a temporary folder will do
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-") if alone else spark.conf.get("spark.sql.warehouse.dir") + "/tidemark-tables"
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
