@@ -1,5 +1,6 @@
 """Raw days from sealed segments to a published, verified manifest; stores, publishers and what may go wrong with them."""
 
+import copy
 import json
 import threading
 import urllib.error
@@ -48,8 +49,17 @@ def tables(spark, folder):
     return archive.records(wal.entries(spark, str(folder))).withColumn("scope", F.lit("gateway")), rows, own
 
 
+KNOWN = {}
+
+
 def manifests(spark, folder):
-    found, _, own = tables(spark, folder)
+    if folder not in KNOWN:
+        found, _, own = tables(spark, folder)
+        KNOWN[folder] = made(found, own)
+    return copy.deepcopy(KNOWN[folder])
+
+
+def made(found, own):
     return [archive.manifest_value(r.asDict(True), Q.configuration("view"), 1, None, "provisional", "synced", 0) for r in archive.raw_days(found, own, "scope").orderBy("day").collect()]
 
 
