@@ -143,10 +143,12 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     some = own.join(F.broadcast(right) if few else right, own["doc_id"].eqNullSafe(right["d"]) & (own["th"] == right["h"]))
     some = some.withColumn("parts", F.array(F.split(F.lower(spaced(F.col("text"))), "\n")))  # in an array, so that a text is split once
     some = some.select(F.explode(F.expr("transform(parts, p -> transform(ns, x -> struct(x.set AS set, get(p, x.n) AS line)))[0]")).alias("x"))
-    full = some.select("x.set", F.array_distinct(words(F.col("x.line"))).alias("w")).dropDuplicates(["set"])  # rows may repeat an id and a text; the joins below share its shuffle
-    left, other = full.select(F.col("set").alias("a"), F.col("w").alias("wa")), full.select(F.col("set").alias("b"), F.col("w").alias("wb"))
+    full = some.select("x.set", "x.line").dropDuplicates(["set"])  # rows may repeat an id and a text; lines travel as they are, which takes a quarter of the room of their words
+    left, other = full.select(F.col("set").alias("a"), F.col("line").alias("la")), full.select(F.col("set").alias("b"), F.col("line").alias("lb"))
     both = pairs.join(left, "a").join(other, "b")
-    both = both.where(F.size(F.array_intersect("wa", "wb")) * (NEAR + OF) >= (F.size("wa") + F.size("wb")) * NEAR)
+    sides = F.array(F.struct(*(F.array_distinct(words(F.col(c))).alias(c) for c in ("la", "lb"))))  # in an array, so that each line is split once
+    near = F.transform(sides, lambda p: F.size(F.array_intersect(p["la"], p["lb"])) * (NEAR + OF) >= (F.size(p["la"]) + F.size(p["lb"])) * NEAR)
+    both = both.where(F.get(near, F.lit(0)))
     done = written(both.select(F.col("a").alias("set")).distinct(), "settled")
     for old in (pairs, need):
         discard(old)

@@ -51,8 +51,8 @@ SPELLED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
 #: a-z, the marks and other ASCII characters have codes below 32, all others are their own codes after them.
 CODE = np.array([0] + [c - 96 if 97 <= c <= 122 else 29 + c % 3 if c < 128 else c for c in range(1, 0x3000)], np.int64)
 CODE[ord("^")], CODE[ord("|")] = 27, 28
-#: Places of subsequences: of codes below 32 each has its own, those with a larger one are hashed to as many more.
-PLAIN_PLACES, SIZE = 1 << 15, 1 << 16
+#: Places of subsequences: of codes below 32 each has its own, those with a larger one are hashed to a quarter as many more.
+PLAIN_PLACES, SIZE = 1 << 15, (1 << 15) + (1 << 13)
 
 
 def units(text: str) -> list[str]:
