@@ -22,7 +22,7 @@ from tidemark.llm.common import slices, trimmed, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 #: Words after which a worker starts to forget those it met longest ago, and characters of the longest word that it remembers.
-REMEMBERED, SHORT = 450_000, 64
+REMEMBERED, SHORT = 750_000, 64
 #: A word without white space but for a blank before it.
 PLAIN = re.compile(r" ?\S+").fullmatch
 #: White space besides blanks and line ends, and what else keeps a text from being cut at each of these.
