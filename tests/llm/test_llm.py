@@ -100,6 +100,22 @@ def test_large_groups_of_similar_lines(spark):
     assert got == lines_by_hand(rows)
 
 
+def test_few_candidates_among_long_lines(spark, monkeypatch):
+    """Unlike lines of many words that share some are told apart by their maps; like ones of all widths of map are found."""
+    rng = random.Random(8)
+    lines = [[f"{n}w{k}" for k in rng.sample(range(4 * n), n)] for n in (60, 94, 150, 190, 260, 330) for _ in range(25)]
+    rows = [(d, " ".join(x)) for d, x in enumerate(lines)]
+    for d, own in enumerate(lines[::5]):
+        left, more = own[rng.randrange(len(own) // 8) :], rng.randrange(len(own) // 7)
+        rows.append((1000 + d, " ".join([*left, *(f"new{d}x{k}" for k in range(more))])))
+    pairs, similar = [], line_dedup.similar
+    monkeypatch.setattr(line_dedup, "similar", lambda docs, sets, some: pairs.append(some.distinct().count()) or similar(docs, sets, some))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = lines_by_hand(rows)
+    assert got == want and 5 < sum(x == "" for x in want.values()) < 30
+    assert sum(pairs) < 150
+
+
 def test_one_changed_word_of_a_short_line(spark):
     rows = [(1, "one two three four five six seven eight nine"), (2, "one two three four five six seven eight other"), (3, "one two other four five six different eight nine"), (4, "a b c"), (5, "a b d"), (6, "b a c b")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -1,12 +1,12 @@
 """Line dedup by an exact set-similarity join, in DataFrame and SQL functions only.
 
 A line's tokens are its distinct words, lower-cased. They are ordered by rarity: the LISTED most
-frequent words of all lines come last, by their counts; all others before them, as equally rare; ties
-by a hash.
+frequent words of all lines come last, by their counts; all others before them, as equally rare, unless
+their hash shares the place of a listed one, whose count they then have; ties by a hash.
 Two sets with a Jaccard similarity of 0.8 or more share a word in the first fifth of their orders
 (prefix filter); such pairs must agree in length (length filter) and in what can still follow the
 shared word (positional filter) and in all but a few bits of a map of their words (bitmap filter, which
-like the others loses no pair); then their words are compared. A line is removed if an earlier line,
+like the others loses no pair; longer lines have wider maps); then their words are compared. A line is removed if an earlier line,
 in the order of doc_id and line number, has the same set or one of similarity 0.8 or more, whether or
 not that line stays itself.
 
@@ -31,7 +31,11 @@ from tidemark.llm.common import discard, unused, written
 #: The similarity is at least NEAR/OF; a smaller set than LEAST is similar to no other.
 NEAR, OF, LEAST = 4, 5, 4
 #: Words that are listed with their counts, places of their table, and steps of a count's logarithm.
-LISTED, PLACES, STEPS = 1 << 17, 1 << 18, 6
+LISTED, PLACES, STEPS = 1 << 17, 1 << 20, 4
+#: Places that are put in order together.
+CHUNK = 1 << 10
+#: Sizes from which a set's map has 128 and 256 bits instead of 64, in so many columns; narrower sets have zeros there.
+WIDER, WIDEST, MAPS = 96, 192, ("m0", "m1", "m2", "m3")
 #: Shares of the words that are dealt one after the other, so that no more than a share of their places is on its way at a time.
 SHARES = 4
 #: Documents up to which the list of those with lines that are wanted is broadcast (about 60 bytes each); beyond, it is joined by shuffling.
@@ -63,50 +67,68 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row, one column: for each place the listed words whose hash belongs there, with the logarithm of their counts in the lowest byte."""
+    """One row, one column: for each place the logarithm of the largest count of the listed words whose hash belongs there, or 0."""
     text = F.replace(F.lower(spaced(F.col("text"))), F.lit("\n"), F.lit(" "))
     each = docs.select(F.explode(F.split(text, " ")).alias("word")).where("word <> ''").select(F.xxhash64("word").alias("token"))
     most = each.groupBy("token").count().orderBy(F.desc("count"), "token").limit(LISTED)
-    entry = F.col("token").bitwiseAND(F.lit(~255)).bitwiseOR(F.least(F.lit(255), F.ceil(STEPS * F.log2(F.col("count") + 1))))
-    lists = most.select(F.col("token").bitwiseAND(F.lit(PLACES - 1)).alias("place"), entry.alias("entry")).groupBy("place").agg(F.collect_list("entry").alias("entries"))
+    rank = F.least(F.lit(127), F.ceil(STEPS * F.log2(F.col("count") + 1))).cast("byte")
+    lists = most.groupBy(F.col("token").bitwiseAND(F.lit(PLACES - 1)).alias("place")).agg(F.max(rank).alias("rank"))
     every = docs.sparkSession.range(PLACES).withColumnRenamed("id", "place").join(lists, "place", "left")
-    row = every.agg(F.sort_array(F.collect_list(F.struct("place", F.coalesce("entries", F.array().cast("array<bigint>")).alias("entries")))).alias("all"))
-    return row.select(F.expr("transform(all, x -> x.entries)").alias("ranks"))
+    chunk = F.transform(F.sort_array(F.collect_list(F.struct("place", F.coalesce("rank", F.lit(0).cast("byte")).alias("rank")))), lambda x: x["rank"])
+    chunks = every.groupBy(F.floor(F.col("place") / CHUNK).alias("chunk")).agg(chunk.alias("ranks"))
+    row = chunks.agg(F.sort_array(F.collect_list(F.struct("chunk", "ranks"))).alias("all"))
+    return row.select(F.expr("flatten(transform(all, x -> x.ranks))").alias("ranks"))
 
 
-def ordered(rows: DataFrame, ranks: DataFrame) -> DataFrame:
-    """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order), map and the set's hashes h1 and h2.
+def maps() -> list[Column]:
+    """The map of the words in t, as columns: a bit is set if an odd number of words belong to it. The bits of a wider map, folded, are those of a narrower one."""
 
-    A bit of the map is set if an odd number of the set's words belong to it, so two maps differ in no more bits than the sets in words.
-    """
+    def part(of: int, k: int) -> str:
+        bit = "a ^ shiftleft(1L, int(x & 63))"
+        return f"aggregate(t, 0L, (a, x) -> {bit if of == 1 else f'if((x & {64 * (of - 1)}) = {64 * k}, {bit}, a)'})" if k < of else "0L"
+
+    return [F.expr(f"CASE WHEN size(t) < {WIDER} THEN {part(1, k)} WHEN size(t) < {WIDEST} THEN {part(2, k)} ELSE {part(4, k)} END").alias(m) for k, m in enumerate(MAPS)]
+
+
+def ordered(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order), its map and the set's hashes h1 and h2."""
     rows = rows.select("doc_id", "th", "n", F.expr("array_distinct(transform(w, x -> xxhash64(x)))").alias("t")).withColumn("ranks", ranks.scalar())
-    found = f"get(filter(get(p, int(x & {PLACES - 1})), e -> shiftrightunsigned(e ^ x, 8) = 0), 0)"  # p: the tables, which must be named once only
-    rank = f"coalesce({found}, 0L)"  # its lowest byte is what the shift leaves
-    codes = f"transform(array(ranks), p -> transform(t, x -> shiftleft({rank}, 56) | shiftrightunsigned(x, 8)))[0]"
-    rows = rows.withColumn("t", F.expr(f"sort_array(transform({codes}, x -> x ^ shiftleft(1L, 63)))")).drop("ranks")  # the sign is turned: sorting is signed
+    code = f"shiftleft(bigint(get(p, int(x & {PLACES - 1}))), 56) | shiftrightunsigned(x, 8)"  # p: the ranks, which must be named once only
+    rows = rows.withColumn("t", F.expr(f"sort_array(transform(array(ranks), p -> transform(t, x -> {code}))[0])")).drop("ranks")
     prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
-    return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), F.expr("aggregate(t, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
+    return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), *maps(), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size, prefix and map."""
+    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size, prefix and its map."""
     place = F.struct("doc_id", "th", "n")
-    sets = ordered(lines(docs), rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("map").alias("map"))
-    sets = sets.select("first.*", "size", "prefix", "map").orderBy("doc_id", "th", "n")
+    sets = ordered(lines(docs), rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), *(F.first(m).alias(m) for m in MAPS))
+    sets = sets.select("first.*", "size", "prefix", *MAPS).orderBy("doc_id", "th", "n")
     return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
 
 
-def passes(x: str, y: str, map_x: str, map_y: str) -> Column:
-    """The length, positional and bitmap filters for two places of one word, given as codes; of two sets the smaller one shares a word in the first ninth of its order."""
-    size, at = (lambda c: F.shiftright(c, 31)), (lambda c: F.col(c).bitwiseAND(F.lit(2**31 - 1)))
+def passes(x: str, y: str) -> Column:
+    """The length, positional and bitmap filters for two places of one word, whose columns begin with x and y; of two sets the smaller one shares a word in the first ninth of its order.
+
+    A word that only one of two sets has changes one bit, so the maps of similar sets, folded to the width of the narrower one, differ in a ninth of their words at most.
+    """
+    size, at = (lambda c: F.shiftright(c + "code", 31)), (lambda c: F.col(c + "code").bitwiseAND(F.lit(2**31 - 1)))
     sx, ix, sy, iy = size(x), at(x), size(y), at(y)
     length = F.least(sx, sy) * OF >= F.greatest(sx, sy) * NEAR
     follows = F.least(sx - ix, sy - iy)  # the shared word and what may come after it
     early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
-    differ = F.bit_count(F.col(map_x).bitwiseXOR(F.col(map_y)))  # similar sets differ in a ninth of their words at most
+    m0, m1, m2, m3 = (F.col(x + m).bitwiseXOR(F.col(y + m)) for m in MAPS)
+    even, odd = m0.bitwiseXOR(m2), m1.bitwiseXOR(m3)
+    wide = F.when(F.least(sx, sy) < WIDEST, F.bit_count(even) + F.bit_count(odd)).otherwise(F.bit_count(m0) + F.bit_count(m1) + F.bit_count(m2) + F.bit_count(m3))
+    differ = F.when(F.least(sx, sy) < WIDER, F.bit_count(even.bitwiseXOR(odd))).otherwise(wide)
     return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR) & (differ * (NEAR + OF) <= (sx + sy) * (OF - NEAR))
 
 
+def named(rows: DataFrame, start: str) -> DataFrame:
+    """rows, whose columns but the token begin with start."""
+    return rows.select("token", *(F.col(c).alias(start + c) for c in ("set", "code", *MAPS)))
+
+
 def shares(rows: DataFrame, run: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """run() of each share of the words in rows, one written table after the other."""
     done = [written(run(rows.where(F.pmod(F.shiftright("token", 7), F.lit(SHARES)) == k)), name) for k in range(SHARES)]
@@ -114,19 +136,19 @@ def shares(rows: DataFrame, run: Callable[[DataFrame], DataFrame], name: str) ->
 
 
 def shared(sets: DataFrame) -> DataFrame:
-    """token, set, code (size and place), map and many of the prefix words that several sets have; and other, the earliest set of the word if it is a candidate.
+    """token, set, code (size and place), map (MAPS) and many of the prefix words that several sets have; and other, the earliest set of the word if it is a candidate.
 
     The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent word.
     Of a word that two sets have only the candidate is left, for the two are compared by it.
     """
-    posts = sets.where("prefix IS NOT NULL").select("set", "size", "map", F.posexplode("prefix").alias("at", "token"))
-    posts = posts.select("token", "set", "map", F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
+    posts = sets.where("prefix IS NOT NULL").select("set", "size", *MAPS, F.posexplode("prefix").alias("at", "token"))
+    posts = posts.select("token", "set", *MAPS, F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
 
     def some(posts: DataFrame) -> DataFrame:
-        first = posts.groupBy("token").agg(F.min(F.struct("set", "code", "map")).alias("first"), F.count("*").alias("many")).where("many > 1")
-        first = first.select("token", F.col("first.set").alias("first"), F.col("first.code").alias("first_code"), F.col("first.map").alias("first_map"), "many")
-        other = F.when((F.col("first") < F.col("set")) & passes("code", "first_code", "map", "first_map"), F.col("first"))
-        return posts.join(first, "token").select("token", "set", "code", "map", "many", other.alias("other")).where("many > 2 OR other IS NOT NULL")
+        first = posts.groupBy("token").agg(F.min(F.struct("set", "code", *MAPS)).alias("first"), F.count("*").alias("many")).where("many > 1")
+        first = first.select("token", "many", *(F.col(f"first.{c}").alias("first_" + c) for c in ("set", "code", *MAPS)))
+        other = F.when((F.col("first_set") < F.col("set")) & passes("", "first_"), F.col("first_set"))
+        return posts.join(first, "token").select("token", "set", "code", *MAPS, "many", other.alias("other")).where("many > 2 OR other IS NOT NULL")
 
     return shares(posts, some, "shared")
 
@@ -167,11 +189,10 @@ def kept(docs: DataFrame) -> DataFrame:
     one = similar(docs, sets, posts.where("other IS NOT NULL").select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
 
     def left(many: DataFrame) -> DataFrame:
-        x = many.join(one, "set", "left_anti").select("token", F.col("set").alias("a"), F.col("code").alias("ca"), F.col("map").alias("ma"))
-        y = many.select("token", F.col("set").alias("b"), F.col("code").alias("cb"), F.col("map").alias("mb"))
-        return x.join(y, "token").where((F.col("b") < F.col("a")) & passes("ca", "cb", "ma", "mb")).select("a", "b").distinct()
+        x, y = named(many.join(one, "set", "left_anti"), "x_"), named(many, "y_")
+        return x.join(y, "token").where((F.col("y_set") < F.col("x_set")) & passes("x_", "y_")).select(F.col("x_set").alias("a"), F.col("y_set").alias("b")).distinct()
 
-    found = shares(posts.where("many > 2").select("token", "set", "code", "map"), left, "left")
+    found = shares(posts.where("many > 2").select("token", "set", "code", *MAPS), left, "left")
     two = similar(docs, sets, found.distinct())
     stay = sets.select("set", "doc_id", "th", "n").join(one.union(two), "set", "left_anti")
     out = written(stay.groupBy("doc_id", "th").agg(F.collect_list("n").alias("ns")), "kept")
