@@ -5,6 +5,7 @@ import collections
 import functools
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -572,6 +573,13 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.harmless(table, labels).columns == table.columns
 
 
+def test_toxicity_is_not_learned_in_the_driver(spark, docs, monkeypatch):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    monkeypatch.setattr(toxicity, "train", lambda toxic, clean, counts: toxicity.Model(np.zeros(toxicity.SIZE), float(os.getpid()), np.array([len(toxic), len(clean), 0.0])))
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.bias != os.getpid() and model.logistic[0] > 0 and model.logistic[1] > 0
+
+
 # 9
 
 

@@ -14,6 +14,7 @@ counts. If nothing can be learned the score is the share of toxic labels. Ties d
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -254,7 +255,10 @@ def train(toxic: list[str], clean: list[str], counts: tuple[int, int]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
-    """The model of a bounded sample of the documents whose label is known and for whose label's row learn holds."""
+    """The model of a bounded sample of the documents whose label is known and for whose label's row learn holds.
+
+    It is trained in one task, and only the model goes to the driver, which needs its memory for what it knows of all tasks.
+    """
     own = labels.where(learn & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n = (counts.get(1, 0), counts.get(0, 0))
@@ -262,11 +266,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     place = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     some = F.broadcast(own.where(place < share))
     texts = docs.where(F.col("text").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "text").join(some, "doc_id")
-    rows = sorted((r["doc_id"], r["toxic"], r["text"]) for r in texts.limit(2 * (TOXIC + CLEAN)).collect())
-    model = train([t for _, x, t in rows if x == 1], [t for _, x, t in rows if x == 0], n)
-    del rows
-    trimmed()
-    return model
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "toxic", "text")), strict=True))
+        model = train([t for _, x, t in rows if x == 1], [t for _, x, t in rows if x == 0], n)
+        del rows
+        trimmed()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    done = texts.select("doc_id", "toxic", "text").limit(2 * (TOXIC + CLEAN)).coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(done[0]["model"]) if done else train([], [], n)
 
 
 def score(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
