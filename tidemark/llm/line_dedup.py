@@ -1,8 +1,7 @@
 """Line dedup by an exact set-similarity join, in DataFrame and SQL functions only.
 
-A line's tokens are its distinct words, lower-cased. They are ordered by rarity: the LISTED most
-frequent words of all lines come last, by their counts; all others before them, as equally rare, unless
-their hash shares the place of a listed one, whose count they then have; ties by a hash.
+A line's tokens are its distinct words, lower-cased. They are ordered by rarity:
+all words are counted, those together whose hashes share one of the PLACES; ties by a hash.
 Two sets with a Jaccard similarity of 0.8 or more share a word in the first fifth of their orders
 (prefix filter); such pairs must agree in length (length filter) and in what can still follow the
 shared word (positional filter) and in all but a few bits of a map of their words (bitmap filter, which
@@ -21,7 +20,6 @@ is computed from the words themselves.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,14 +28,18 @@ from tidemark.llm.common import discard, unused, written
 
 #: The similarity is at least NEAR/OF; a smaller set than LEAST is similar to no other.
 NEAR, OF, LEAST = 4, 5, 4
-#: Words that are listed with their counts, places of their table, and steps of a count's logarithm.
-LISTED, PLACES, STEPS = 1 << 17, 1 << 20, 4
+#: Places that words are counted by, how many of them (the most frequent ones) keep their counts, and steps of a count's logarithm.
+PLACES, LISTED, STEPS = 1 << 20, 1 << 20, 4
 #: Places that are put in order together.
 CHUNK = 1 << 10
 #: Sizes from which a set's map has 128 and 256 bits instead of 64, in so many columns; narrower sets have zeros there.
 WIDER, WIDEST, MAPS = 96, 192, ("m0", "m1", "m2", "m3")
 #: Shares of the words that are dealt one after the other, so that no more than a share of their places is on its way at a time.
-SHARES = 4
+SHARES = 2
+#: Pairs of neighbouring words at the end of its prefix by which a set meets the earliest set that has them.
+LEADS = 2
+#: Sets that met the same earliest set, from which all sets that are left meet it by every word of their prefix.
+LARGE = 50
 #: Documents up to which the list of those with lines that are wanted is broadcast (about 60 bytes each); beyond, it is joined by shuffling.
 BROADCAST_ROWS = 300_000
 
@@ -46,13 +48,13 @@ def spaced(text: Column) -> Column:
     """The text, in which other ASCII white space than blanks and line ends has become blanks. Few texts have any, and finding out is cheap."""
     other = F.lit(False)
     for c in "\t\x0b\x0c\r":
-        other = other | (F.instr(text, c) > 0)
+        other = other | F.contains(text, F.lit(c))  # looks at bytes; instr counts characters, which takes as long as splitting the text
     return F.when(other, F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
 
 
 def words(line: Column) -> Column:
     """The words of a line of a spaced text; one empty word if it is blank."""
-    plain = F.when(F.instr(line, "  ") > 0, F.regexp_replace(line, " +", " ")).otherwise(line)
+    plain = F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
     return F.split(F.trim(plain), " ")
 
 
@@ -63,16 +65,18 @@ def blank(line: Column) -> Column:
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, th (a hash of the text), n and w, the words in lower case, of every line that is not blank."""
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.lower(spaced(F.col("text"))), "\n")).alias("n", "line"))
-    return rows.select("doc_id", "th", "n", words(F.col("line")).alias("w")).where(F.get("w", F.lit(0)) != F.lit(""))
+    return rows.where(F.trim("line") != F.lit("")).select("doc_id", "th", "n", words(F.col("line")).alias("w"))  # a filter on w would split each line twice
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row, one column: for each place the logarithm of the largest count of the listed words whose hash belongs there, or 0."""
+    """One row, one column: for each place the logarithm of the count of the words whose hash belongs there, or 0."""
     text = F.replace(F.lower(spaced(F.col("text"))), F.lit("\n"), F.lit(" "))
-    each = docs.select(F.explode(F.split(text, " ")).alias("word")).where("word <> ''").select(F.xxhash64("word").alias("token"))
-    most = each.groupBy("token").count().orderBy(F.desc("count"), "token").limit(LISTED)
+    each = docs.select(F.explode(F.split(text, " ")).alias("word")).where("word <> ''").select(F.xxhash64("word").bitwiseAND(F.lit(PLACES - 1)).alias("place"))
+    most = each.groupBy("place").count()
+    if LISTED < PLACES:
+        most = most.orderBy(F.desc("count"), "place").limit(LISTED)
     rank = F.least(F.lit(127), F.ceil(STEPS * F.log2(F.col("count") + 1))).cast("byte")
-    lists = most.groupBy(F.col("token").bitwiseAND(F.lit(PLACES - 1)).alias("place")).agg(F.max(rank).alias("rank"))
+    lists = most.select("place", rank.alias("rank"))
     every = docs.sparkSession.range(PLACES).withColumnRenamed("id", "place").join(lists, "place", "left")
     chunk = F.transform(F.sort_array(F.collect_list(F.struct("place", F.coalesce("rank", F.lit(0).cast("byte")).alias("rank")))), lambda x: x["rank"])
     chunks = every.groupBy(F.floor(F.col("place") / CHUNK).alias("chunk")).agg(chunk.alias("ranks"))
@@ -93,7 +97,7 @@ def maps() -> list[Column]:
 def ordered(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     """doc_id, th, n, size (of the line's set), prefix (the first fifth of its order), its map and the set's hashes h1 and h2."""
     rows = rows.select("doc_id", "th", "n", F.expr("array_distinct(transform(w, x -> xxhash64(x)))").alias("t")).withColumn("ranks", ranks.scalar())
-    code = f"shiftleft(bigint(get(p, int(x & {PLACES - 1}))), 56) | shiftrightunsigned(x, 8)"  # p: the ranks, which must be named once only
+    code = f"shiftleft(bigint(coalesce(get(p, int(x & {PLACES - 1})), 0Y)), 56) | shiftrightunsigned(x, 8)"  # p: the ranks, which must be named once only; what cannot be null is sorted as plain numbers
     rows = rows.withColumn("t", F.expr(f"sort_array(transform(array(ranks), p -> transform(t, x -> {code}))[0])")).drop("ranks")
     prefix = F.expr(f"slice(t, 1, size(t) - (size(t) * {NEAR} + {OF - 1}) div {OF} + 1)")
     return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), *maps(), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
@@ -104,53 +108,67 @@ def numbered(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "th", "n")
     sets = ordered(lines(docs), rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), *(F.first(m).alias(m) for m in MAPS))
     sets = sets.select("first.*", "size", "prefix", *MAPS).orderBy("doc_id", "th", "n")
-    return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
+    return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets", "snappy")
 
 
-def passes(x: str, y: str) -> Column:
-    """The length, positional and bitmap filters for two places of one word, whose columns begin with x and y; of two sets the smaller one shares a word in the first ninth of its order.
+def sizes(x: str, y: str) -> tuple[Column, Column]:
+    return F.shiftright(x + "code", 31), F.shiftright(y + "code", 31)
+
+
+def alike(x: str, y: str) -> Column:
+    """The length and bitmap filters for two sets, whose columns begin with x and y.
 
     A word that only one of two sets has changes one bit, so the maps of similar sets, folded to the width of the narrower one, differ in a ninth of their words at most.
     """
-    size, at = (lambda c: F.shiftright(c + "code", 31)), (lambda c: F.col(c + "code").bitwiseAND(F.lit(2**31 - 1)))
-    sx, ix, sy, iy = size(x), at(x), size(y), at(y)
+    sx, sy = sizes(x, y)
     length = F.least(sx, sy) * OF >= F.greatest(sx, sy) * NEAR
-    follows = F.least(sx - ix, sy - iy)  # the shared word and what may come after it
-    early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
     m0, m1, m2, m3 = (F.col(x + m).bitwiseXOR(F.col(y + m)) for m in MAPS)
     even, odd = m0.bitwiseXOR(m2), m1.bitwiseXOR(m3)
     wide = F.when(F.least(sx, sy) < WIDEST, F.bit_count(even) + F.bit_count(odd)).otherwise(F.bit_count(m0) + F.bit_count(m1) + F.bit_count(m2) + F.bit_count(m3))
     differ = F.when(F.least(sx, sy) < WIDER, F.bit_count(even.bitwiseXOR(odd))).otherwise(wide)
-    return length & early & (follows * (NEAR + OF) >= (sx + sy) * NEAR) & (differ * (NEAR + OF) <= (sx + sy) * (OF - NEAR))
+    return length & (differ * (NEAR + OF) <= (sx + sy) * (OF - NEAR))
+
 
+def passes(x: str, y: str) -> Column:
+    """The positional filter for two places of one word, whose columns begin with x and y; of two sets the smaller one shares a word in the first ninth of its order."""
+    (sx, sy), (ix, iy) = sizes(x, y), (F.col(c + "code").bitwiseAND(F.lit(2**31 - 1)) for c in (x, y))
+    follows = F.least(sx - ix, sy - iy)  # the shared word and what may come after it
+    early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
+    return early & (follows * (NEAR + OF) >= (sx + sy) * NEAR)
 
-def named(rows: DataFrame, start: str) -> DataFrame:
-    """rows, whose columns but the token begin with start."""
-    return rows.select("token", *(F.col(c).alias(start + c) for c in ("set", "code", *MAPS)))
 
+def code(at: Column) -> Column:
+    """The size of a set and the place of a word in its order."""
+    return F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(at.cast("long")).alias("code")
 
-def shares(rows: DataFrame, run: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """run() of each share of the words in rows, one written table after the other."""
-    done = [written(run(rows.where(F.pmod(F.shiftright("token", 7), F.lit(SHARES)) == k)), name) for k in range(SHARES)]
-    return functools.reduce(DataFrame.unionByName, done)
 
+def posts(sets: DataFrame, start: str, share: int | None = None) -> DataFrame:
+    """token, set, code and map of the prefix words, of a share or all; all columns but the token begin with start."""
+    each = sets.where("prefix IS NOT NULL").select("set", "size", *MAPS, F.posexplode("prefix").alias("at", "token"))
+    if share is not None:
+        each = each.where(F.pmod(F.shiftright("token", 7), F.lit(SHARES)) == share)
+    return each.select("token", F.col("set").alias(start + "set"), code(F.col("at")).alias(start + "code"), *(F.col(m).alias(start + m) for m in MAPS))
 
-def shared(sets: DataFrame) -> DataFrame:
-    """token, set, code (size and place), map (MAPS) and many of the prefix words that several sets have; and other, the earliest set of the word if it is a candidate.
 
-    The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent word.
-    Of a word that two sets have only the candidate is left, for the two are compared by it.
+def earliest(sets: DataFrame) -> DataFrame:
+    """a, b: sets and the earliest sets (b) that share two neighbouring words at the end of the prefix with them, if they are candidates.
+
+    The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent pair of words.
     """
-    posts = sets.where("prefix IS NOT NULL").select("set", "size", *MAPS, F.posexplode("prefix").alias("at", "token"))
-    posts = posts.select("token", "set", *MAPS, F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(F.col("at").cast("long")).alias("code"))
+    n = F.size("prefix")
+    two = [F.xxhash64(F.get("prefix", n - k), F.get("prefix", n - k - 1)) for k in range(1, LEADS + 1)]  # the only word of a prefix stands alone
+    leads = F.array(*(F.when((n > k) | F.lit(k == 1), key) for k, key in enumerate(two, 1)))
+    each = sets.where("prefix IS NOT NULL").select("set", code(F.lit(0)), *MAPS, F.explode(leads).alias("lead")).where("lead IS NOT NULL")
+    first = each.groupBy("lead").agg(F.min(F.struct("set", "code", *MAPS)).alias("first"), F.count("*").alias("many")).where("many > 1")
+    first = first.select("lead", *(F.col(f"first.{c}").alias("first_" + c) for c in ("set", "code", *MAPS)))
+    both = each.join(first, "lead").where((F.col("first_set") < F.col("set")) & alike("", "first_"))
+    return both.select(F.col("set").alias("a"), F.col("first_set").alias("b")).distinct()
 
-    def some(posts: DataFrame) -> DataFrame:
-        first = posts.groupBy("token").agg(F.min(F.struct("set", "code", *MAPS)).alias("first"), F.count("*").alias("many")).where("many > 1")
-        first = first.select("token", "many", *(F.col(f"first.{c}").alias("first_" + c) for c in ("set", "code", *MAPS)))
-        other = F.when((F.col("first_set") < F.col("set")) & passes("", "first_"), F.col("first_set"))
-        return posts.join(first, "token").select("token", "set", "code", *MAPS, "many", other.alias("other")).where("many > 2 OR other IS NOT NULL")
 
-    return shares(posts, some, "shared")
+def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
+    """a, b: sets of x and all earlier sets of y that are candidates by a shared word."""
+    both = x.join(y, "token").where((F.col("y_set") < F.col("x_set")) & passes("x_", "y_") & alike("x_", "y_"))
+    return both.select(F.col("x_set").alias("a"), F.col("y_set").alias("b")).distinct()
 
 
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -181,35 +199,37 @@ def kept(docs: DataFrame) -> DataFrame:
     """doc_id, th and ns, the numbers of the lines that stay, of every document that has such lines.
 
     One similar earlier line is enough for a line to go. So each set is first compared with the earliest
-    set of each of its words, which settles most members of a large group of similar lines; only the sets
-    that are left meet all earlier ones. Thus a group of similar lines does not become all its pairs.
+    sets that share a few pairs of rare words with it, and with the first sets of large groups by every word
+    of its prefix, which settles most members of a large group of similar lines; only the sets that are left meet all earlier ones, by every word of their prefix. Thus
+    a group of similar lines does not become all its pairs.
     """
     sets = numbered(docs)
-    posts = shared(sets)
-    one = similar(docs, sets, posts.where("other IS NOT NULL").select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
-
-    def left(many: DataFrame) -> DataFrame:
-        x, y = named(many.join(one, "set", "left_anti"), "x_"), named(many, "y_")
-        return x.join(y, "token").where((F.col("y_set") < F.col("x_set")) & passes("x_", "y_")).select(F.col("x_set").alias("a"), F.col("y_set").alias("b")).distinct()
-
-    found = shares(posts.where("many > 2").select("token", "set", "code", *MAPS), left, "left")
-    two = similar(docs, sets, found.distinct())
-    stay = sets.select("set", "doc_id", "th", "n").join(one.union(two), "set", "left_anti")
+    met = written(earliest(sets), "met")
+    done = [similar(docs, sets, met)]
+    later = sets.join(done[0], "set", "left_anti")
+    heads = sets.join(met.groupBy(F.col("b").alias("set")).count().where(F.col("count") >= LARGE), "set", "left_semi")
+    heads = written(posts(heads, "y_"), "heads")
+    if (some := heads.limit(BROADCAST_ROWS + 1).count()) > 0:
+        done.append(similar(docs, sets, candidates(posts(later, "x_"), F.broadcast(heads) if some <= BROADCAST_ROWS else heads)))
+        later = later.join(done[1], "set", "left_anti")
+    found = [written(candidates(posts(later, "x_", share), posts(sets, "y_", share)), "found") for share in range(SHARES)]  # one table after the other
+    done.append(similar(docs, sets, functools.reduce(DataFrame.unionByName, found).distinct()))
+    stay = sets.select("set", "doc_id", "th", "n").join(functools.reduce(DataFrame.union, done), "set", "left_anti")
     out = written(stay.groupBy("doc_id", "th").agg(F.collect_list("n").alias("ns")), "kept")
-    for old in (sets, posts, found, one, two):
+    for old in (sets, met, heads, *found, *done):
         discard(old)
     return out
 
 
 def _judged(docs: DataFrame, n_lines: str, n_removed: str) -> DataFrame:
     """docs with what is left of text, and two columns more."""
-    d, h, own, ns, left = (unused(docs, x) for x in ("place_id", "place_hash", "own_hash", "stay", "left_lines"))
+    d, h, own, ns, every, left = (unused(docs, x) for x in ("place_id", "place_hash", "own_hash", "stay", "every_line", "left_lines"))
     per_doc = kept(docs.select("doc_id", "text")).toDF(d, h, ns)
     if per_doc.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         per_doc = F.broadcast(per_doc)
     joined = docs.withColumn(own, F.xxhash64("text")).join(per_doc, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(h)), "left")
-    parts, some = F.split("text", "\n"), F.coalesce(F.col(ns), F.array().cast("array<int>"))
-    joined = joined.withColumn(left, F.when(F.size(some) == F.size(parts), parts).otherwise(F.filter(parts, lambda x, n: F.array_contains(some, n) | blank(x))))
+    parts, some = F.col(every), F.coalesce(F.col(ns), F.array().cast("array<int>"))
+    joined = joined.withColumn(every, F.split("text", "\n")).withColumn(left, F.when(F.size(some) == F.size(parts), parts).otherwise(F.filter(parts, lambda x, n: F.array_contains(some, n) | blank(x))))
     return joined.select(
         *(F.array_join(left, "\n").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias(n_lines),
