@@ -7,10 +7,7 @@ are separate pieces. Empty tables give empty results; other columns are not carr
 
 from __future__ import annotations
 
-import functools
 import itertools
-import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,93 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, trimmed, written
+from tidemark.llm.words import Words, words  # noqa: F401 (Words is part of this module, too)
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-#: Words after which a worker starts to forget those it met longest ago, and characters of the longest word that it remembers.
-REMEMBERED, SHORT = 750_000, 64
-#: A word without white space but for a blank before it.
-PLAIN = re.compile(r" ?\S+").fullmatch
-#: White space besides blanks and line ends, and what else keeps a text from being cut at each of these.
-BLANK, OTHER, BESIDE = re.compile(r"[^\S \n]|\x00").search, "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\0", ("  ", " \n", "\n ", "\n\n")
-
-
-class Words:
-    """Ids of texts by the tokenizers library, word by word, with the ids of words already met.
-
-    A text is cut before each single blank, and on both sides of each single line end, between characters
-    that are no white space. The tokenizer's own pattern ends a match there whatever stands around, so the
-    ids of the parts, joined, are the ids of the text.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True
-        self.line_end = np.array(self.own.encode("\n", add_special_tokens=False).ids, "<u4")
-        self.known: dict[str, bytes] = {"\n": self.line_end.tobytes()}
-        self.older: dict[str, bytes] = {}
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        if text and not (any(c in text for c in OTHER) if text.isascii() else BLANK(text)):
-            if text[0] not in " \n" and text[-1] not in " \n" and not any(c in text for c in BESIDE):  # no blank or line end is first, last or beside another
-                return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        words = text.split(" ")
-        out = [words[0]]
-        for before, w in zip(words, words[1:], strict=False):
-            if before and w and not before[-1].isspace() and not w[0].isspace():
-                out.append(" " + w)
-            else:
-                out[-1] += " " + w
-        return out
-
-    def fresh(self, words: list[str]) -> list[bytes]:
-        """The ids of each word; words without white space inside share a call, with line ends between them."""
-        plain = [w for w in words if PLAIN(w)]
-        other = list(set(words).difference(plain)) if len(plain) < len(words) else []
-        found = {}
-        if len(self.line_end) == 1:
-            groups = [plain[i : i + 128] for i in range(0, len(plain), 128)]
-            for group, done in zip(groups, self.own.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
-                ids = np.array(done.ids, "<u4")
-                ends = [*(4 * np.flatnonzero(ids == self.line_end[0])).tolist(), 4 * len(ids)]
-                data, start = ids.tobytes(), 0
-                for w, stop in zip(group, ends, strict=True):
-                    found[w] = data[start:stop]
-                    start = stop + 4
-        else:
-            other += plain
-        for w, done in zip(other, self.own.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            found[w] = np.array(done.ids, "<u4").tobytes()
-        return [found[w] for w in words]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.parts(x) for x in texts]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {"\n": self.line_end.tobytes()}, self.known
-        known, older = self.known, self.older
-        missing = set().union(*cut).difference(known)
-        again = [w for w in missing if w in older]
-        known.update((w, older[w]) for w in again)
-        new, once = list(missing.difference(again)), []
-        for a in range(0, len(new), 8192):
-            some = new[a : a + 8192]
-            known.update(zip(some, self.fresh(some), strict=True))
-            once += [w for w in some if len(w) > SHORT]
-        found = [b"".join(map(known.__getitem__, parts)) for parts in cut]
-        for w in once:  # long words are not remembered
-            del known[w]
-        return found
-
-
-@functools.lru_cache(maxsize=2)
-def words(path: str) -> Words:
-    return Words(path)
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, end: int, size: int) -> DataFrame:
     """doc_id, piece, start, length and ids (little-endian unsigned 32-bit) of each document's pieces.
 
@@ -115,18 +28,20 @@ def pieces(docs: DataFrame, tokenizer_path: str, end: int, size: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.array([end], "<u4").tobytes()
-        for batch in slices(batches, "text", 2 << 20):
-            out: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), words(tokenizer_path).encode([x or "" for x in batch.column("text").to_pylist()]), strict=True):
-                ids += last
-                n = len(ids) // 4
+        own = words(tokenizer_path)
+        for batch in slices(batches, "text", 4 << 20):
+            flat, lengths = own.encode_batch(batch.column("text"))
+            data, at, out = flat.astype("<u4").tobytes(), 0, []
+            for doc, n in zip(batch.column("doc_id").to_pylist(), (lengths + 1).tolist(), strict=True):
+                ids = data[at : at + 4 * n - 4] + last
+                at += 4 * n - 4
                 first = n if n <= size else n % size or size
                 for k, start in enumerate([0, *range(first, n, size)]):
                     stop = first if k == 0 else start + size
                     out.append((doc, k, start, stop - start, ids[4 * start : 4 * stop]))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids"])
-        words(tokenizer_path).older = {}
+        own.forget()
         trimmed()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
