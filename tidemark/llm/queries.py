@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, bpe, katz, langid, line_dedup, packing, simhash, toxicity, vec_dedup, warc
+from tidemark.llm import bitsliced, bpe, katz, langid, lexical, line_dedup, packing, simhash, token_files, toxicity, trie, vec_dedup, warc
 from tidemark.llm.common import table
 
 
@@ -56,10 +56,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations")).drop("preorder", "subtree_end")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    own = (op1_line_dedup, op2_best_fit_packing, op3_katz_backoff, op4_language_id, op5_embedding_near_dedup, op6_byte_bpe, op7_simhash_near_dedup, op8_toxicity, op9_exact_top_k, op10_warc)
+    own = (op1_line_dedup, op2_best_fit_packing, op3_katz_backoff, op4_language_id, op5_embedding_near_dedup, op6_byte_bpe, op7_simhash_near_dedup, op8_toxicity, op9_exact_top_k, op10_warc, op11_ranked_lexical_search, op12_token_files, op13_conversation_trie)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -118,5 +132,43 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = c
 """
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+           FROM documents WHERE text IS NOT NULL),
+k AS (SELECT row, doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM k),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT row, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM k) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, docs),
+s AS (SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))) AS s FROM p JOIN w USING (term), c),
+r AS (SELECT item_id, row, doc_id, sum(s)::BIGINT AS score FROM q JOIN s USING (term) GROUP BY item_id, row, doc_id HAVING sum(s) > 0),
+o AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST))::INTEGER AS rank, doc_id, score FROM r)
+SELECT * FROM o WHERE rank <= 10
+"""
+
+
+OP13_SQL = """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS n
+           FROM conversations WHERE conv_id IS NOT NULL),
+b AS (SELECT DISTINCT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT) AS bytes FROM t),
+c AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+               lambda crc, x: list_reduce(list_prepend(xor(crc, x), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) % 6 AS h FROM b),
+r AS (SELECT c.conv_id, 0 AS part, n, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND n < h
+      UNION ALL SELECT conv_id, 1, n, role, text FROM c JOIN t USING (conv_id) WHERE n >= h),
+s AS (SELECT c.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY part, n) FILTER (part IS NOT NULL), []) AS turns FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d, list_slice(turns, 1, d) AS path, d = len(turns) AS ends FROM (SELECT *, unnest(generate_series(0, len(turns))) AS d FROM s)),
+g AS (SELECT path, d, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs,
+             (count(*) - 1) * (CASE WHEN d = 0 THEN 0 ELSE length(path[d].text) END) AS saved,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY path, d),
+k AS (SELECT list_slice(path, 1, d - 1) AS path, count(*)::BIGINT AS n_children FROM g WHERE d > 0 GROUP BY ALL),
+f AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k USING (path)),
+u AS (SELECT list_slice(path, 1, e) AS path, sum(saved)::BIGINT AS saved_tokens, (count(*) FILTER (n_children = 0))::BIGINT AS n_leaves
+      FROM (SELECT *, unnest(generate_series(0, d)) AS e FROM f) GROUP BY ALL)
+SELECT f.conv_id, f.d::BIGINT AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM f JOIN u USING (path) LEFT JOIN g q ON f.d > 0 AND q.path = list_slice(f.path, 1, f.d - 1)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op5_embedding_near_dedup": OP5_SQL, "op9_exact_top_k": OP9_SQL, "op10_warc": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op5_embedding_near_dedup": OP5_SQL, "op9_exact_top_k": OP9_SQL, "op10_warc": OP10_SQL, "op11_ranked_lexical_search": OP11_SQL, "op13_conversation_trie": OP13_SQL}
