@@ -3,7 +3,7 @@
 The ids of all documents, each closed by an end id, follow one another in ascending order of doc_id (null
 first; texts that share an id in the order of a hash, repeated rows one after the other). They are cut into
 sequences of equal length: ``ids``, unsigned 16-bit integers where the vocabulary allows it and 32-bit ones
-otherwise, and ``mask``, bytes that are 0 for padding, FIRST for a document's first id and 1 for every other id.
+otherwise, ``mask``, bits that are set but for padding, and ``first``, bits that are set at each document's first id.
 A file is an Arrow stream whose record batches hold the same number of sequences, but for the last one. Without
 compression such batches take the same number of bytes, so sequence k is found by one multiplication
 (``Sequences``) and read in place. Beside each file stands a stream with the doc_id of its documents.
@@ -36,8 +36,6 @@ from tidemark.llm.words import words
 
 #: Ids of a sequence, sequences of a record batch, ids after which a file ends with the next document.
 LENGTH, ROWS, FILE_IDS = 1024, 64, 1 << 24
-#: The mask of a document's first id.
-FIRST = 2
 FILES = "part int, number int, file string, docs long, ids long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -53,27 +51,28 @@ class Shard:
     def __init__(self, uri: str, dtype: np.dtype, length: int, rows: int):
         own, path = place(uri)
         self.length, self.size, self.docs, self.ids = length, length * rows, 0, 0
-        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length)), ("first", pa.list_(pa.bool_(), length))])
         self.sinks = [own.open_output_stream(path), own.open_output_stream(path + ".docs")]
         self.sequences, self.list = pa.ipc.new_stream(self.sinks[0], self.schema), pa.ipc.new_stream(self.sinks[1], pa.schema([("doc_id", pa.int64())]))
-        self.rest = [np.zeros(0, dtype), np.zeros(0, np.uint8)]
+        self.rest = [np.zeros(0, dtype), np.zeros(0, bool)]
 
-    def batch(self, columns: list[np.ndarray]) -> None:
-        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in columns]
+    def batch(self, ids: np.ndarray, first: np.ndarray) -> None:
+        used, more = len(ids), -len(ids) % self.length
+        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(np.pad(x, (0, more))), self.length) for x in (ids, np.ones(used, bool), first)]
         self.sequences.write_batch(pa.RecordBatch.from_arrays(arrays, schema=self.schema))
 
-    def add(self, doc_ids: pa.Array, ids: np.ndarray, mask: np.ndarray) -> None:
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, first: np.ndarray) -> None:
         self.list.write_batch(pa.RecordBatch.from_arrays([doc_ids], names=["doc_id"]))
         self.docs, self.ids = self.docs + len(doc_ids), self.ids + len(ids)
-        both = [np.concatenate(x) for x in zip(self.rest, (ids, mask), strict=True)]
+        both = [np.concatenate(x) for x in zip(self.rest, (ids, first), strict=True)]
         whole = len(both[0]) // self.size * self.size
         for a in range(0, whole, self.size):
-            self.batch([x[a : a + self.size] for x in both])
+            self.batch(*(x[a : a + self.size] for x in both))
         self.rest = [x[whole:] for x in both]
 
     def close(self) -> None:
-        if left := len(self.rest[0]):
-            self.batch([np.pad(x, (0, -left % self.length)) for x in self.rest])
+        if len(self.rest[0]):
+            self.batch(*self.rest)
         for x in (self.sequences, self.list, *self.sinks):
             x.close()
 
@@ -93,10 +92,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2, length:
         for batch in slices(batches, "text", 4 << 20):
             flat, lengths = own.encode_batch(batch.column("text"))
             stops = np.cumsum(lengths + 1)
-            ids, mask, inner = np.full(stops[-1], end, dtype), np.ones(stops[-1], np.uint8), np.ones(stops[-1], bool)
+            ids, first, inner = np.full(stops[-1], end, dtype), np.zeros(stops[-1], bool), np.ones(stops[-1], bool)
             inner[stops - 1] = False
             ids[inner] = flat
-            mask[np.concatenate([[0], stops[:-1]])] = FIRST
+            first[np.concatenate([[0], stops[:-1]])] = True
             at = 0
             while at < batch.num_rows:
                 if shard is None:
@@ -104,7 +103,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2, length:
                     shard = Shard(file, dtype, length, rows)
                 before = stops[at - 1] if at else 0
                 upto = min(int(np.searchsorted(stops, before + file_ids - shard.ids)) + 1, batch.num_rows)
-                shard.add(batch.column("doc_id").slice(at, upto - at), ids[before : stops[upto - 1]], mask[before : stops[upto - 1]])
+                shard.add(batch.column("doc_id").slice(at, upto - at), ids[before : stops[upto - 1]], first[before : stops[upto - 1]])
                 at = upto
                 if shard.ids >= file_ids:
                     closed()
@@ -125,17 +124,17 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2, length:
 
 
 def read(file: str, start: int) -> Iterator[tuple]:
-    """doc_id, start, n_tokens and ids_crc32 of each document of a file, from its sequences and masks; the file is read as a stream."""
+    """doc_id, start, n_tokens and ids_crc32 of each document of a file, from its sequences and bits; the file is read as a stream."""
     own, path = place(file)
     crc = count = 0
     with own.open_input_stream(path) as data, own.open_input_stream(path + ".docs") as names:
         ids_of = (x for batch in pa.ipc.open_stream(names) for x in batch.column(0).to_pylist())
         for batch in pa.ipc.open_stream(data):
-            ids, mask = (batch.column(c).flatten().to_numpy() for c in ("ids", "mask"))
+            ids, mask, first = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("ids", "mask", "first"))
             used = int(np.count_nonzero(mask))
             if not mask[:used].all():
                 raise ValueError(f"{file} has padding before its end")
-            plain, firsts = memoryview(ids[:used].astype("<u4")).cast("B"), np.flatnonzero(mask[:used] == FIRST).tolist()
+            plain, firsts = memoryview(ids[:used].astype("<u4")).cast("B"), np.flatnonzero(first[:used]).tolist()
             at = 0
             for to in [*firsts, used]:
                 crc, count = zlib.crc32(plain[4 * at : 4 * to], crc), count + to - at
@@ -176,7 +175,7 @@ def documents(files: DataFrame) -> DataFrame:
 
 
 class Sequences:
-    """The sequences of one file, whose bytes may be a memory map: sequences[k] is (ids, mask), numpy views of those bytes."""
+    """The sequences of one file, whose bytes may be a memory map: sequences[k] is (ids, mask, first), Arrow arrays that are views of those bytes."""
 
     def __init__(self, data: pa.Buffer):
         at = pa.BufferReader(data)
@@ -194,12 +193,11 @@ class Sequences:
     def __len__(self) -> int:
         return self.count
 
-    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, k: int) -> tuple[pa.Array, ...]:
         if not 0 <= k < self.count:
             raise IndexError(k)
         batch, row = self.at(self.head + k // self.rows * self.stride), k % self.rows
-        ids, mask = (batch.column(c).slice(row, 1).flatten().to_numpy(zero_copy_only=True) for c in ("ids", "mask"))
-        return ids, mask
+        return tuple(batch.column(c).slice(row, 1).flatten() for c in ("ids", "mask", "first"))
 
 
 def stored(docs: DataFrame, tokenizer_path: str, end: int = 2) -> DataFrame:
