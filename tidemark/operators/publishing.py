@@ -13,15 +13,18 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.operators import archive, publication, selection
+from tidemark.sources.commits import NAMES, Commits
 from tidemark.sources.parts import claim as claim_of
 from tidemark.sources.parts import receipt as receipt_of
 from tidemark.sources.store import FolderStore, Layout, StoreError, classified
+from tidemark.streaming.incremental import DayTables
 
 #: The stages of a publication, in order.
 STAGES = ("intent", "claimed", "objects_copied", "objects_verified", "manifest_copied", "manifest_verified", "receipt_saved")
@@ -309,40 +312,40 @@ class ReplayPublisher:
 
 @dataclass
 class StateTables:
-    """Tables that change together, as Parquet, one folder a commit: a commit is there when its marker is, and a number is committed once.
+    """Tables that change together, one numbered batch after the other (``sources.commits``).
 
-    For foreachBatch: a batch that is run again finds its number committed and changes nothing.
+    For foreachBatch: a batch that is run again finds its number committed and changes nothing. Several gateways may write; two
+    that are about the same scope at the same time conflict.
     """
 
     spark: SparkSession
     folder: str
 
-    def _marks(self) -> FolderStore:
-        return FolderStore(self.folder)
+    @property
+    def log(self) -> Commits:
+        return Commits(self.spark, self.folder)
 
-    def committed(self) -> list[int]:
-        return [int(k.rsplit("/", 1)[1]) for k, _ in self._marks().keys("commits", 1 << 24)]
-
-    def commit(self, number: int, tables: dict[str, DataFrame]) -> bool:
+    def commit(self, number: int, tables: dict[str, DataFrame], replaced: tuple[str, ...] = (), names: list[str] | None = None, writer: str = "batches") -> bool:
         """Write the tables of a commit; whether it is new."""
-        if number in self.committed():
-            return False
-        for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{self.folder}/{name}/commit={number}")
-        return self._marks().put_if_absent(f"commits/{number:020d}", b"done")
+        return self.log.commit(tables, (writer, number), replaced, names or ()) is not None
 
     def appended(self, name: str) -> DataFrame:
         """All rows of a table that commits add to."""
-        return self.spark.read.parquet(*(f"{self.folder}/{name}/commit={n}" for n in self.committed()))
+        return self.log.table(name)
 
     def latest(self, name: str) -> DataFrame:
         """A table that each commit replaces."""
-        return self.spark.read.parquet(f"{self.folder}/{name}/commit={max(self.committed())}")
+        return self.spark.read.parquet(self.log.paths(name)[-1])
+
+    def count(self, name: str) -> int:
+        """Rows that commits added to a table, from what they say of it."""
+        return self.log.count(name)
 
 
 def journal_batch(tables: StateTables, number: int, acks: DataFrame, state: DataFrame) -> bool:
-    """A micro-batch's accepted batches and the gateway's state after it, in one commit."""
-    return tables.commit(number, {"batches": acks, "state": state})
+    """A micro-batch's accepted batches and the gateway's state after it, in one commit; a gateway that took in the same scope meanwhile is a conflict."""
+    scopes = [r[0] for r in acks.select("scope").distinct().limit(NAMES + 1).collect()] if "scope" in acks.columns else []
+    return tables.commit(number, {"batches": acks, "state": state}, ("state",), scopes)
 
 
 def plannable(days: DataFrame, revisions: DataFrame, published: DataFrame) -> DataFrame:
@@ -367,24 +370,59 @@ def publish_due(publisher: Publisher, catalog: DataFrame, now: int, least: int =
     The first failure that may pass is scheduled for later and ends the tick; one that may not is raised.
     What an interrupted run left goes first, for it is due like any other.
     """
-    rows = {(r["date"], r["revision"]): r.asDict() for r in catalog.collect()}
-    for r in publication.due(catalog, now).orderBy("date", "revision").collect():
-        own = rows[r["date"], r["revision"]]
+    done = []
+    for r in publication.due(catalog, now).orderBy("date", "revision").toLocalIterator():
         try:
-            publisher.publish(C.parse_canonical(publisher.local.get(own["key"]), set(archive.DAY_KEYS)))
+            publisher.publish(C.parse_canonical(publisher.local.get(r["key"]), set(archive.DAY_KEYS)))
         except Exception as bad:
             kind, again = classified(bad)
             if not again:
                 raise StoreError("integrity" if kind == "local_integrity" else kind, str(bad)) from bad
-            own |= {"state": "retry_wait", "attempts": own["attempts"] + 1, "next_retry": now + min(most, least * 2 ** min(own["attempts"], 40))}
+            done.append((r["date"], r["revision"], "retry_wait", r["attempts"] + 1, now + min(most, least * 2 ** min(r["attempts"], 40))))
             break
-        own |= {"state": "published", "next_retry": 0}
-    return publisher.spark.createDataFrame(list(rows.values()), catalog.schema)
+        done.append((r["date"], r["revision"], "published", r["attempts"], 0))
+    names = ("state", "attempts", "next_retry")
+    fresh = publisher.spark.createDataFrame(done, "date string, revision long, _state string, _attempts long, _next_retry long")  # what this tick did, no more
+    rows = catalog.join(F.broadcast(fresh), ["date", "revision"], "left")
+    return rows.select(*(F.when(F.col("_state").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)).cast(catalog.schema[c].dataType).alias(c) if c in names else c for c in catalog.columns))
+
+
+SPOOLED = "date string, revision long, key string, state string"
+
+
+def spooled(days: DataFrame, folder: str, config: dict[str, Any], last: dict[str, tuple[int, str, bool]]) -> DataFrame:
+    """date, revision, key and state of each of days, whose manifests the tasks write to the spool of the store at folder.
+
+    last has revision and key of a day's last manifest and whether it is published. A day waits for that, and a day whose manifest
+    would say the same as the last one is left alone: state is spooled, waiting or same.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, schema = FolderStore(folder), pa.schema([("date", pa.string()), ("revision", pa.int64()), ("key", pa.string()), ("state", pa.string())])
+        for batch in batches:
+            for row in range(batch.num_rows):
+                day = batch.slice(row, 1).to_pylist()[0]
+                revision, key, published = last.get(day["day"], (0, "", True))
+                out = {"date": day["day"], "revision": revision, "key": key, "state": "waiting"}
+                if published:
+                    old = C.parse_canonical(store.get(key), set(archive.DAY_KEYS)) if key else None
+                    value = archive.manifest_value(day, config, revision + 1, C.sha(D.RAW_DAY, C.canonical_json(old)).hex() if old else None, "provisional", "synced", 0)
+                    out["state"] = "same"
+                    if old is None or any(value[k] != old[k] for k in value if k not in ("revision", "manifest_id", "previous_manifest_sha256")):
+                        if old is not None:
+                            archive.succeeds(old, value)
+                        out |= {"revision": revision + 1, "key": spool(store, value), "state": "spooled"}
+                yield pa.RecordBatch.from_pylist([out], schema=schema)
+
+    return days.mapInArrow(run, SPOOLED)
 
 
 @dataclass
 class Pipeline:
-    """One gateway's local work between capture and publication: seal, promote, spool, measure."""
+    """One gateway's local work between capture and publication: seal, promote, fold, spool, measure.
+
+    A tick reads the segments that came since the last one; days are states that they are folded into (``streaming.incremental``).
+    """
 
     spark: SparkSession
     writer: Any  # wal.Writer
@@ -392,6 +430,23 @@ class Pipeline:
     config: dict[str, Any]
     max_bytes: int
     catalog: list[dict[str, Any]] = field(default_factory=list)
+    #: Days that changed since their last manifest.
+    open_days: set[str] = field(default_factory=set)
+    started: bool = False
+
+    @property
+    def days(self) -> DayTables:
+        return DayTables(self.spark, f"{self.store.folder}/days")
+
+    def _new_keys(self, sealed: str | None) -> list[str]:
+        """Stored segments that no tick has taken in: the one just sealed, and at the start what an interrupted run left."""
+        if self.started:
+            return [sealed] if sealed else []
+        self.started = True
+        listed = self.spark.createDataFrame([(k,) for k, _ in self.store.keys("objects/raw", 1 << 20)], "object_key string")
+        known = self.days.log.table("segments", "scope string, object_key string").select("object_key")
+        self.open_days |= {r["day"] for r in self.days.states().select("day").distinct().collect()} - {r["date"] for r in self.catalog}
+        return sorted(r["object_key"] for r in listed.join(known, "object_key", "left_anti").collect())
 
     def process(self, force: bool = False, published: tuple[str, ...] = ()) -> dict[str, int]:
         """Seal the active segment if it is large enough or force is set, store it under its content's name, and spool the manifests of days that changed.
@@ -400,29 +455,25 @@ class Pipeline:
         """
         from tidemark.sources import wal
 
+        key = None
         if self.writer.next > self.writer.start and (force or len(self.writer.data) >= self.max_bytes):
             data = self.writer.seal()
-            self.store.put_if_absent(f"objects/raw/wal-{C.sha(data).hex()}.rtw", data)
-        keys = [k for k, _ in self.store.keys("objects/raw", 1 << 20)]
-        if keys:
-            files = wal.files(self.spark, f"{self.store.folder}/objects/raw")
+            key = f"objects/raw/wal-{C.sha(data).hex()}.rtw"
+            self.store.put_if_absent(key, data)
+        if new := self._new_keys(key):
+            files = wal.files(self.spark, [f"{self.store.folder}/{k}" for k in new])
             found = archive.records(files.mapInArrow(lambda b: wal._entries(b, "sealed"), wal.ENTRIES)).withColumn("scope", F.lit("scope"))
             own = files.mapInArrow(wal._segments, wal.SEGMENTS)
             own = own.select(F.lit("scope").alias("scope"), "object_key", F.lower(F.hex("object_sha256")).alias("object_sha256"), F.col("file_bytes"), *(F.col(c).cast("long").alias(c) for c in ("start_sequence", "last_sequence")), *(F.lower(F.hex(c)).alias(c) for c in ("chain_start", "chain_root")))
-            for day in archive.raw_days(found, own, "scope").orderBy("day").collect():
-                self._spool(day.asDict(True), published)
-        return {"pending": sum(r["state"] != "published" for r in self.catalog), "objects": len(keys)}
-
-    def _spool(self, day: dict[str, Any], published: tuple[str, ...]) -> None:
-        before = [r for r in self.catalog if r["date"] == day["day"]]
-        last = before[-1] if before else None
-        old = C.parse_canonical(self.store.get(last["key"]), set(archive.DAY_KEYS)) if last else None
-        if last and C.sha(D.RAW_DAY, C.canonical_json(old)).hex() not in published:
-            return
-        value = archive.manifest_value(day, self.config, 1 + len(before), C.sha(D.RAW_DAY, C.canonical_json(old)).hex() if old else None, "provisional", "synced", 0)
-        if old:
-            same = {k: v for k, v in value.items() if k not in ("revision", "manifest_id", "previous_manifest_sha256")}
-            if same == {k: v for k, v in old.items() if k in same}:
-                return
-            archive.succeeds(old, value)
-        self.catalog.append({"date": day["day"], "revision": value["revision"], "state": "spooled", "attempts": 0, "next_retry": 0, "key": spool(self.store, value)})
+            number = self.days.log.known().tokens.get("ticks", -1) + 1
+            self.days.fold(number, found, own)
+            self.open_days |= {r["day"] for r in self.days.states().where(F.col("tick") == number).select("day").collect()}
+        if self.open_days:
+            last = {r["date"]: (r["revision"], r["key"], r["key"][-69:-5] in published) for r in self.catalog if r["date"] in self.open_days}
+            days = self.days.days(low=min(self.open_days), high=max(self.open_days)).where(F.col("day").isin(sorted(self.open_days)))
+            for r in spooled(days, self.store.folder, self.config, last).orderBy("date").collect():  # one small row an open day
+                if r["state"] == "spooled":
+                    self.catalog.append({"date": r["date"], "revision": r["revision"], "state": "spooled", "attempts": 0, "next_retry": 0, "key": r["key"]})
+                if r["state"] != "waiting":
+                    self.open_days.discard(r["date"])
+        return {"pending": sum(r["state"] != "published" for r in self.catalog), "objects": self.days.log.count("segments")}

@@ -38,16 +38,20 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a table of files, as an archive has it: what reads it several times does not make it again. In the folder that executors share."""
-    spark = df.sparkSession
+def place(spark: SparkSession, name: str) -> str:
+    """A path that nothing uses yet, in the folder that executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:  # in one process a temporary folder will do
         alone = spark.sparkContext.master.split("[")[0] == "local"
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-") if alone else spark.conf.get("spark.sql.warehouse.dir") + "/tidemark-tables"
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """df as a table of files, as an archive has it, in folders by the columns of by: what reads it several times does not make it again."""
+    path = place(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def entry(sequence):

@@ -12,10 +12,12 @@ from tidemark.functions import native as N
 from tidemark.operators import archive, chains, publication, selection
 from tidemark.plans import events as E
 from tidemark.plans.catalogue import query
-from tidemark.streaming import gateway
+from tidemark.streaming import gateway, incremental
 
 #: Entries of an object, every so many entries an error, and a symbol's configuration but for its names.
 OBJECT, ERRORS = 8, 7
+#: Batches in which objects arrive.
+TICKS = 10
 CONFIG = {
     "broker_server_fingerprint": "broker", "day_definition_id": "utc-day-v1", "gateway_build_identity": "gateway", "producer_build_identity": "producer", "protocol_limits": {"max_frame_bytes": 1048576, "max_records": 4096, "max_string_bytes": 255},
     "protocol_version": 1, "provider_id": "provider", "publisher_epoch": 1, "publisher_id": "publisher", "settle_policy": "settle", "stable_feed_id": "feed",
@@ -69,11 +71,19 @@ def tables(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     return found, chain, E.stored(segments(found), "segments")
 
 
-def manifests(spark, sf, found: DataFrame, own: DataFrame) -> DataFrame:
+def configurations(spark, sf) -> dict[str, dict]:
     names = [r[0] for r in spark.read.parquet(f"{sf}/events.parquet").select("event_type").distinct().limit(1001).collect()]
     if len(names) > 1000:
         raise ValueError("more symbols than configurations")
-    return E.stored(archive.with_manifests(archive.raw_days(found, own, "symbol"), {s: configuration(s) for s in names}, "symbol"), "manifests")
+    return {s: configuration(s) for s in names}
+
+
+def manifests(spark, sf, found: DataFrame, own: DataFrame) -> DataFrame:
+    return E.stored(archive.with_manifests(archive.raw_days(found, own, "symbol"), configurations(spark, sf), "symbol"), "manifests")
+
+
+def summary(rows: DataFrame) -> DataFrame:
+    return rows.select("symbol", "day", "accepted", "errors", "first_sequence", "start_root", "last_sequence", "end_root", F.size("objects").cast("long").alias("ranges"), F.size("chain_objects").cast("long").alias("chain"), "raw_set_root", "manifest_sha256")
 
 
 def spoiled(days: DataFrame) -> DataFrame:
@@ -96,8 +106,21 @@ def entry_chain(spark, sf):
 @query
 def raw_day_manifest(spark, sf):
     found, _, own = tables(spark, sf)
-    rows = manifests(spark, sf, found, own)
-    return rows.select("symbol", "day", "accepted", "errors", "first_sequence", "start_root", "last_sequence", "end_root", F.size("objects").cast("long").alias("ranges"), F.size("chain_objects").cast("long").alias("chain"), "raw_set_root", "manifest_sha256")
+    return summary(manifests(spark, sf, found, own))
+
+
+@query
+def incremental_days(spark, sf):
+    """The same manifests from the states of days: each symbol's objects come in TICKS batches, of which each is folded from its own records alone."""
+    found, _, own = tables(spark, sf)
+    many = own.groupBy("symbol").agg(F.count("*").alias("objects"))
+    batch = F.floor(F.floor((F.col("start_sequence") - 1) / OBJECT) * TICKS / F.col("objects")).cast("int")
+    dealt = own.join(many, "symbol").select("symbol", "object_key", batch.alias("batch"))
+    records, objects = (E.stored(x.join(dealt, ["symbol", "object_key"]).select(*x.columns, "batch"), "ticks", "batch") for x in (found, own))
+    days = incremental.DayTables(spark, E.place(spark, "days"), ("symbol",))
+    for k in range(TICKS):
+        days.fold(k, records.where(F.col("batch") == k).drop("batch"), objects.where(F.col("batch") == k).drop("batch"))
+    return summary(archive.with_manifests(days.days(), configurations(spark, sf), "symbol"))
 
 
 @query

@@ -50,6 +50,7 @@ ranges AS (SELECT symbol, day, object_key, min((sequence, ordinal)) AS a, max((s
 
 ORACLE["entry_chain"] = f"WITH RECURSIVE {CHAIN} SELECT symbol, sequence, previous_hash, entry_hash FROM chain"
 ORACLE["raw_day_manifest"] = f"""WITH RECURSIVE {DAYS} SELECT symbol, day, accepted, errors, first_sequence, start_root, last_sequence, end_root, ranges, chain, raw_set_root, {sha(raw(D.RAW_DAY), f'encode({JSON})')} AS manifest_sha256 FROM days"""
+ORACLE["incremental_days"] = ORACLE["raw_day_manifest"]
 ORACLE["verify_day"] = f"""WITH RECURSIVE {CHAIN}, d AS (SELECT symbol, day, {KIND} AS k FROM found GROUP BY ALL)
 SELECT symbol, day, k <> 4 AS present, true AS contiguous, k <> 2 AS anchored, k NOT IN (1, 2) AS selected, k NOT IN (3, 4) AS ranges, k IN (0, 5) AS valid FROM d"""
 ORACLE["segment_coverage"] = f"""WITH RECURSIVE {DAYS}, l AS (SELECT symbol, day, min((sequence, a)) AS lost FROM runs GROUP BY symbol, day),

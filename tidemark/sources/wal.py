@@ -200,7 +200,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
 
-def files(spark: SparkSession, path: str) -> DataFrame:
+def files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "content")
 
 
