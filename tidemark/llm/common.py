@@ -63,6 +63,7 @@ def discard(df: DataFrame) -> None:
 
 def trimmed() -> None:
     """Give the memory that a worker no longer uses back to the system; workers are kept for the next stage."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library has it
         ctypes.CDLL(None).malloc_trim(0)
 
