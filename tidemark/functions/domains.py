@@ -22,6 +22,7 @@ PART_SET = b"tick-data-platform/part-set/v1\0"
 SCOPE_KEY = b"tick-data-platform/source-symbol-scope/v1\0"
 REPLAY_IDENTITY = b"tick-data-platform/replay-identity/v1\0"
 PROOF = b"tick-data-platform/retention-proof/v1\0"
+VERIFICATION = b"tick-data-platform/retention-verification/v1\0"
 CHECKPOINT = b"tick-data-platform/prune-checkpoint/v1\0"
 PRUNE_PLAN = b"tick-data-platform/prune-plan/v1\0"
 COMPLETION = b"tick-data-platform/prune-completion/v1\0"

@@ -183,9 +183,7 @@ def parsed(spark: SparkSession, documents: list[tuple[str, bytes]]) -> DataFrame
 
 def linked(entries: DataFrame, *scopes: str) -> DataFrame:
     """entries with place (their number in the scope) and faults: how many entries up to here do not follow the one before them by number and hash."""
-    order = Window.partitionBy(*scopes).orderBy("sequence")
-    rows = chains.unlinked(entries, list(scopes), "sequence", "previous_hash", "entry_hash")
-    return rows.withColumn("place", F.row_number().over(order)).withColumn("faults", F.sum(F.col("breaks").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("breaks")
+    return chains.linked_in_ranges(entries, list(scopes), "sequence", "previous_hash", "entry_hash")
 
 
 def slice_holds(slices: DataFrame, entries: DataFrame, *scopes: str) -> DataFrame:

@@ -53,6 +53,58 @@ def unlinked(df: DataFrame, by: list[str], order: str, previous: str, own: str)
     return df.withColumn("breaks", ~F.coalesce(good, F.lit(False)))
 
 
+#: Numbers of a range in which a long chain is read.
+RANGE = 1 << 16
+
+
+def linked_in_ranges(df: DataFrame, by: list[str], order: str, previous: str, own: str) -> DataFrame:
+    """df with place, the row's number in its group, and faults, how many rows up to it do not follow the one before them by number and hash.
+
+    A group's rows are read in ranges of RANGE numbers. What a range begins with meets the end of the one before it, and its counts
+    are added up, over one small row a range, so no group has to lie in one task.
+    """
+    inside, over = Window.partitionBy(*by, "_cut").orderBy(order), Window.partitionBy(*by).orderBy("_cut")
+    rows = df.withColumn("_cut", F.floor(F.col(order) / RANGE).cast("long"))
+    before, root = F.lag(order).over(inside), F.lag(own).over(inside)
+    good = before.isNull() | ((F.col(order) == before + 1) & F.col(previous).eqNullSafe(root))
+    rows = rows.withColumns({"_in": (~F.coalesce(good, F.lit(False))).cast("long"), "_no": F.row_number().over(inside)})
+    ends = rows.groupBy(*by, "_cut").agg(
+        F.count("*").alias("_n"), F.sum("_in").alias("_f"), F.min_by(F.struct(F.col(order).alias("at"), F.col(previous).alias("h")), order).alias("_first"), F.max_by(F.struct(F.col(order).alias("at"), F.col(own).alias("h")), order).alias("_last")
+    )
+    last = F.lag("_last").over(over)
+    follows = last.isNull() | ((F.col("_first.at") == last["at"] + 1) & F.col("_first.h").eqNullSafe(last["h"]))
+    ends = ends.withColumn("_open", (~F.coalesce(follows, F.lit(False))).cast("long"))
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*by, "_cut", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_places"), (F.coalesce(F.sum(F.col("_f") + F.col("_open")).over(earlier), F.lit(0)) + F.col("_open")).alias("_faults"))
+    done = rows.join(ends, [*by, "_cut"])
+    so_far = F.sum("_in").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return done.withColumns({"place": (F.col("_places") + F.col("_no")).cast("long"), "faults": F.col("_faults") + so_far}).drop("_cut", "_in", "_no", "_places", "_faults")
+
+
+def shared_budget(charges: DataFrame, order: str, limits: dict[str, int]) -> DataFrame:
+    """charges with stopped_by, the category whose limit an earlier charge or this one passes first, or null while all are within their limits.
+
+    order numbers the charges of all candidates; limits name columns of amounts, one a category. The first charge that passes any
+    limit (of several at once the first name) stops it and all that follow. Sums are made of ranges of RANGE numbers, so no task has all charges.
+    """
+    names = sorted(limits)
+    rows = charges.withColumn("_cut", F.floor(F.col(order) / RANGE).cast("long"))
+    group = F.floor(F.col("_cut") / RANGE).cast("long")
+    sums = rows.groupBy("_cut").agg(*(F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in names)).withColumn("_group", group)
+    earlier = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("decimal(38,0)"))
+    groups = sums.groupBy("_group").agg(*(F.sum(c).alias(c) for c in names))
+    groups = groups.select("_group", *(earlier(Window.orderBy("_group"), c).alias(f"_g_{c}") for c in names))  # one row a range of ranges
+    starts = sums.select("_cut", "_group", *(earlier(Window.partitionBy("_group").orderBy("_cut"), c).alias(f"_s_{c}") for c in names)).join(groups, "_group")
+    starts = starts.select("_cut", *((F.col(f"_s_{c}") + F.col(f"_g_{c}")).alias(f"_s_{c}") for c in names))
+    inside = Window.partitionBy("_cut").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(starts, "_cut")
+    passed = F.coalesce(*(F.when(F.sum(F.col(c).cast("decimal(38,0)")).over(inside) + F.col(f"_s_{c}") > limits[c], c) for c in names))
+    rows = rows.withColumn("_passed", passed)
+    first = rows.where("_passed IS NOT NULL").agg(F.min(F.struct(F.col(order).alias("at"), F.col("_passed").alias("by"))).alias("stop"))
+    stop = rows.withColumn("_stop", first.scalar())
+    return stop.select(*charges.columns, F.when(F.col(order) >= F.col("_stop.at"), F.col("_stop.by")).alias("stopped_by"))
+
+
 def part_graph(parts: DataFrame, by: list[str]) -> DataFrame:
     """Parts with breaks: part 0 starts at row 0 from the zero hash, each other where the one before it ends."""
     w = Window.partitionBy(*by).orderBy("part_sequence")

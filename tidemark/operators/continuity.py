@@ -12,7 +12,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -55,16 +54,37 @@ def overlap(tail: list, new: list) -> tuple[int, bool]:
     return (n, False) if inside.count(n) == 1 else (0, True)
 
 
+def agreement(pattern: list, items: list) -> list[int]:
+    """At each place of items how many records from there on agree with the beginning of pattern. One pass over both."""
+    every = [*pattern, object(), *items]
+    out, left, right = [0] * len(every), 0, 0
+    for k in range(1, len(every)):
+        n = min(right - k, out[k - left]) if k < right else 0
+        while k + n < len(every) and every[n] == every[k + n]:
+            n += 1
+        out[k] = n
+        if k + n > right:
+            left, right = k, k + n
+    return out[len(pattern) + 1 :]
+
+
 def history_change(tail: list, new: list) -> int | None:
-    """The place in the tail of a record that was altered since: the tail's end and the new start agree but for one inner record, and nowhere else."""
+    """The place in the tail of a record that was altered since: the tail's end and the new start agree but for one inner record, and nowhere else.
+
+    Two stretches of n records differ in exactly one if they agree up to it and after it for n - 1 records together. The longest such
+    n is found, and where else it fits, by how far stretches agree from both ends, in one pass each.
+    """
     known: dict = {}
-    a, b = (np.array([known.setdefault(x, len(known)) for x in some], np.int64) for some in (tail, new))
-    for n in range(min(len(a), len(b)), 2, -1):
-        differ = a[len(a) - n :] != b[:n]
-        if np.count_nonzero(differ) == 1 and 0 < (at := int(np.argmax(differ))) < n - 1:
-            every = np.lib.stride_tricks.sliding_window_view(a, n) != b[:n]
-            alike = (every.sum(axis=1) == 1) & (every[:, 1 : n - 1].sum(axis=1) == 1)
-            return len(a) - n + at if np.count_nonzero(alike) == 1 else None
+    a, b = ([known.setdefault(x, len(known)) for x in some] for some in (tail, new))
+    most = min(len(a), len(b))
+    ahead = agreement(b, a)  # of the tail from each place on, with the beginning of the new ones
+    back = agreement(a[::-1], b[::-1])  # of the new ones before each place, with the tail's end
+    for n in range(most, 2, -1):
+        at = ahead[len(a) - n]
+        if 0 < at < n - 1 and at + back[len(b) - n] == n - 1:
+            behind = agreement(b[:n][::-1], a[::-1])
+            alike = sum(0 < min(ahead[j], n) < n - 1 and ahead[j] + min(behind[len(a) - j - n], n) == n - 1 for j in range(len(a) - n + 1))
+            return len(a) - n + at if alike == 1 else None
     return None
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ipaddress
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +21,51 @@ def overall(status: Column) -> Column:
     return F.when(F.array_contains(status, "failed"), "failed").when(F.array_contains(status, "blocked"), "blocked").when(F.array_contains(status, "degraded"), "degraded").otherwise("healthy")
 
 
-def collisions(scopes: DataFrame) -> DataFrame:
-    """left, right and what they share. Equal values meet in an equi-join, nested paths by the folders above them: scopes are never all paired."""
+def address(value: str | None) -> str | None:
+    """A listener in one spelling, host and port with a blank between: a wildcard host is *, localhost its address, IP addresses are written shortest. What has no valid port stays as it is."""
+    host, colon, port = (value or "").strip().rpartition(":")
+    if not colon or not re.fullmatch(r"[0-9]{1,5}", port) or not 0 < int(port) < 65536 or host.startswith("[") != host.endswith("]"):
+        return value
+    host = host.removeprefix("[").removesuffix("]").removesuffix(".").lower()
+    if host in ("", "0.0.0.0", "::"):
+        host = "*"
+    elif host == "localhost":
+        host = "127.0.0.1"
+    else:
+        with contextlib.suppress(ValueError):
+            ip = ipaddress.ip_address(host)
+            host = str(getattr(ip, "ipv4_mapped", None) or ip)
+    return f"{host} {int(port)}"
+
+
+def _addresses(values: pd.Series) -> pd.Series:
+    return values.map(address)
+
+
+def clean_path(path: Column, folder: str = "/") -> Column:
+    """The absolute path without empty, . and .. steps; a relative one lies in folder."""
+    whole = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path))
+
+    def step(kept: Column, part: Column) -> Column:
+        return F.when(part.isin("", "."), kept).when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(part)))
+
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(whole, "/"), F.array().cast("array<string>"), step), "/"))
+
+
+def collisions(scopes: DataFrame, folder: str = "/") -> DataFrame:
+    """left, right and what they share, however it is spelled. Equal values meet in an equi-join, a listener on all hosts meets those of its port,
+    nested paths meet by the folders above them: scopes are never all paired. Relative paths lie in folder."""
     found = []
+    scopes = scopes.select("*", *(clean_path(F.col(c), folder).alias(f"_{c}") for c in PATHS)).withColumn("listener", F.pandas_udf(_addresses, "string")("listener"))
     for column in EXCLUSIVE:
         a, b = scopes.select(F.col("scope").alias("left"), F.col(column).alias("v")), scopes.select(F.col("scope").alias("right"), F.col(column).alias("v"))
         found.append(a.join(b, "v").where("left < right").select("left", "right", F.lit(column).alias("shared")))
-    every = scopes.select("scope", F.explode(F.array(*(F.rtrim(c, F.lit("/")) for c in PATHS))).alias("path"))
-    parts = F.split("path", "/")
-    above = every.select(F.col("scope").alias("a"), F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.concat_ws("/", F.slice(parts, 1, n)))).alias("path")).where("path <> ''")
+    ports = scopes.select("scope", F.split("listener", " ").alias("v")).where(F.size("v") == 2).select("scope", F.col("v")[0].alias("host"), F.col("v")[1].alias("port"))
+    every_host = ports.where("host = '*'").select(F.col("scope").alias("a"), "port").join(ports.select(F.col("scope").alias("b"), "port"), "port").where("a <> b")
+    found.append(every_host.select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"), F.lit("listener").alias("shared")))
+    every = scopes.select("scope", F.explode(F.array(*(f"_{c}" for c in PATHS))).alias("path"))
+    parts = F.filter(F.split("path", "/"), lambda x: x != "")
+    above = every.select(F.col("scope").alias("a"), F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/")))).alias("path"))
     nested = above.join(every.withColumnRenamed("scope", "b"), "path").where("a <> b")
     found.append(nested.select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"), F.lit("path").alias("shared")))
     out = found[0]

@@ -12,6 +12,7 @@ from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.functions import native as N
 from tidemark.operators import chains
+from tidemark.operators import proofs as contract
 from tidemark.sources.store import FolderStore
 
 
@@ -50,8 +51,8 @@ def plan(candidates: DataFrame, policy: Policy) -> DataFrame:
     """artifact_id, action (prune or blocked) and reason, ordered by artifact_id.
 
     A clock that ran backwards blocks all. Segments must go as a prefix of the log without a gap: the first
-    break says so, what follows waits. Beyond max_candidates the rest waits too. Twice the same id or path
-    is an error.
+    break says so, what follows waits. Of what may go, the first max_candidates by artifact_id go, the rest waits too. Twice the same
+    id or path is an error.
     """
     order = lambda c: Window.partitionBy(c)
     twice = (F.count("*").over(order("artifact_id")) > 1) | (F.count("*").over(order("path")) > 1)
@@ -65,7 +66,7 @@ def plan(candidates: DataFrame, policy: Policy) -> DataFrame:
     wal = wal.select("artifact_id", "first_sequence", broken.alias("reason"))
     other = rows.where("kind <> 'wal'").select("artifact_id", "first_sequence", F.col("own").alias("reason"))
     every = wal.unionByName(other)
-    first = every.where("reason IS NULL").orderBy("first_sequence", "artifact_id").limit(policy.max_candidates).select("artifact_id", F.lit(True).alias("_first"))
+    first = every.where("reason IS NULL").orderBy("artifact_id").limit(policy.max_candidates).select("artifact_id", F.lit(True).alias("_first"))
     every = every.join(F.broadcast(first), "artifact_id", "left")  # a plan has at most max_candidates actions
     every = every.withColumn("reason", F.when(F.col("reason").isNull() & F.col("_first").isNull(), "max_prune_candidates").otherwise(F.col("reason")))
     return every.select("artifact_id", F.when(F.col("reason").isNull(), "prune").otherwise("blocked").alias("action"), "reason").orderBy("artifact_id")
@@ -175,13 +176,24 @@ class Executor:
         rows = self.spark.read.format("binaryFile").load(f"{self.root}/checkpoints").select("path", "content").collect()
         out: list[dict] = []
         for row in sorted(rows, key=lambda r: r["path"]):
-            value = C.parse_canonical(bytes(row["content"]), {"end_sequence", "previous_checkpoint_digest", "retained_chain_root", "segment_sha256", "start_sequence"})
+            value = self._parsed(bytes(row["content"]))
             before = out[-1] if out else {"digest": D.ZERO.hex(), "end_sequence": value["start_sequence"] - 1}
             if value["previous_checkpoint_digest"] != before["digest"] or value["start_sequence"] != before["end_sequence"] + 1:
                 raise C.FormatError("INVALID_FIELD", f"{row['path']} does not follow")
-            out.append(value | {"digest": C.digest(D.CHECKPOINT, value).hex()})
+            out.append(value)
         return out
 
+    @staticmethod
+    def _parsed(data: bytes) -> dict:
+        """A checkpoint's facts and digest; one that holds a proof must be bound to it."""
+        if b'"checkpoint_version"' not in data:
+            value = C.parse_canonical(data, {"end_sequence", "previous_checkpoint_digest", "retained_chain_root", "segment_sha256", "start_sequence"})
+            return value | {"digest": C.digest(D.CHECKPOINT, value).hex()}
+        value = C.parse_canonical(data, set(contract.CHECKPOINT_KEYS))
+        contract.check_checkpoint(value)
+        own = {k: value[k] for k in ("end_sequence", "previous_checkpoint_digest", "retained_chain_root")} | {"segment_sha256": value["last_segment_sha256"], "start_sequence": value["retention_proof"]["wal_range"]["start_sequence"]}
+        return own | {"digest": C.digest(D.CHECKPOINT, value).hex()}
+
     def _publish(self, action: dict) -> None:
         from tidemark.sources.parts import put_if_absent
 
@@ -191,11 +203,18 @@ class Executor:
         last = chain[-1] if chain else None
         if last and action["start_sequence"] != last["end_sequence"] + 1:
             raise C.FormatError("INVALID_FIELD", "the plan does not follow the last checkpoint")
-        value = {k: action[k] for k in ("start_sequence", "end_sequence", "retained_chain_root", "segment_sha256")} | {"previous_checkpoint_digest": last["digest"] if last else D.ZERO.hex()}
+        before = last["digest"] if last else D.ZERO.hex()
+        if action.get("proof"):  # the contract's document, which holds the proof
+            value = contract.checkpoint(action["proof"], before)
+            contract.check_checkpoint(value)
+            if (value["end_sequence"], value["last_segment_sha256"], value["retained_chain_root"]) != (action["end_sequence"], action["segment_sha256"], action["retained_chain_root"]):
+                raise C.FormatError("INVALID_FIELD", "the proof is of another segment")
+        else:
+            value = {k: action[k] for k in ("start_sequence", "end_sequence", "retained_chain_root", "segment_sha256")} | {"previous_checkpoint_digest": before}
         put_if_absent(self.spark, f"{self.root}/checkpoints/{action['end_sequence']:020d}.json", C.canonical_json(value))
 
     def execute(self, actions: list[dict]) -> list[str]:
-        """Prune segments (artifact_id, name, start_sequence, end_sequence, retained_chain_root, segment_sha256) in order; the ids that are done."""
+        """Prune segments (artifact_id, name, start_sequence, end_sequence, retained_chain_root, segment_sha256; proof, the retention proof) in order; the ids that are done."""
         done = []
         for action in sorted(actions, key=lambda a: a["start_sequence"]):
             name, own = action["name"], action["artifact_id"]

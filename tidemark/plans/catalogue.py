@@ -242,9 +242,13 @@ def scope_collisions(spark, sf):
     users = E.ticks(spark, sf).select(F.col("volume").alias("u")).distinct()
     word = lambda p, c: F.concat(F.lit(p), c.cast("string"))
     u = F.col("u")
+    port = F.concat(F.lit(":"), (F.floor(u / 6) + 10_000).cast("string"))
+    hosts = F.array(*(F.lit(h) for h in ("127.0.0.1", "localhost", " LocalHost.", "[::1]", "[0:0:0:0:0:0:0:1]")), word("host-", u))
+    listener = F.when(u % 36 == 5, port).when(u % 72 == 17, F.concat(F.lit("0.0.0.0"), port)).otherwise(F.concat(F.element_at(hosts, (u % 6 + 1).cast("int")), port))
+    folder = F.when(u % 60 == 7, F.concat(F.lit("/data//5/./"), u.cast("string"))).when(u % 60 == 8, F.concat(F.lit("/data/x/../6/"), u.cast("string"), F.lit("/"))).otherwise(word("/data/", u))
     scopes = users.select(
-        word("scope-", u).alias("scope"), word("key-", F.when(u % 40 == 0, F.lit(0)).otherwise(u)).alias("scope_key"), word("port-", u).alias("listener"), word("pub-", F.when(u % 50 == 3, F.lit(3)).otherwise(u)).alias("publisher_id"),
-        word("cred-", u).alias("credential_id"), word("/data/", F.when(u % 60 == 7, F.concat(F.lit("5/"), u.cast("string"))).otherwise(u.cast("string"))).alias("wal_dir"), word("/spool/", u).alias("spool_dir"),
+        word("scope-", u).alias("scope"), word("key-", F.when(u % 40 == 0, F.lit(0)).otherwise(u)).alias("scope_key"), listener.alias("listener"), word("pub-", F.when(u % 50 == 3, F.lit(3)).otherwise(u)).alias("publisher_id"),
+        word("cred-", u).alias("credential_id"), folder.alias("wal_dir"), word("/spool/", u).alias("spool_dir"),
     )
     return operations.collisions(scopes)
 
@@ -276,9 +280,9 @@ def _candidates(spark, sf):
     rows = _segments(spark, sf)
     n = F.col("segment")
     return rows.select(
-        F.concat(F.lit("artifact-"), F.lpad(n.cast("string"), 8, "0")).alias("artifact_id"), F.concat(F.lit("/wal/"), n.cast("string")).alias("path"), F.when(n % 10 == 9, "replay_outbox").otherwise("wal").alias("kind"),
+        F.concat(F.lit("artifact-"), F.substring(F.sha2(n.cast("string"), 256), 1, 12)).alias("artifact_id"), F.concat(F.lit("/wal/"), n.cast("string")).alias("path"), F.when(n % 10 == 9, "replay_outbox").otherwise("wal").alias("kind"),
         "first_sequence", "last_sequence", (n == 8).alias("active"), F.lit(True).alias("recovered"), (n % 11 != 7).alias("fresh"), F.lit(True).alias("covered"), (n % 6 != 5).alias("remote_verified"),
-        F.when(n % 13 != 12, F.sha2(n.cast("string"), 256)).alias("proof_sha256"), F.lit(True).alias("limits_match"), F.concat(F.lit("artifact-"), F.lpad(n.cast("string"), 8, "0")).alias("proof_artifact"),
+        F.when(n % 13 != 12, F.sha2(n.cast("string"), 256)).alias("proof_sha256"), F.lit(True).alias("limits_match"), F.concat(F.lit("artifact-"), F.substring(F.sha2(n.cast("string"), 256), 1, 12)).alias("proof_artifact"),
         F.lit(100).cast("long").alias("observed_at"), F.when(n == 4, 999).otherwise(200).cast("long").alias("grace_not_before"), F.lit(False).alias("recovery_floor"),
     )
 

@@ -55,7 +55,7 @@ p2 AS (SELECT *, sha256(name) AS digest, sha256(name || '-end') AS last_row_chai
 parts AS (SELECT *, CASE WHEN user_id % 7 = 0 AND part_sequence = 1 THEN repeat('f', 64) ELSE coalesce(lag(last_row_chain_hash) OVER (PARTITION BY user_id ORDER BY part_sequence), repeat('0', 64)) END AS previous_row_chain_hash FROM p2)"""
 WORK = BASE + """, w0 AS (SELECT sequence, min(day) AS date, count(*) AS bytes, max(time) AS updated FROM ticks GROUP BY sequence),
 work AS (SELECT *, ['sealed', 'spooled', 'retry_wait', 'published', 'uploading'][sequence % 5 + 1] AS state, sequence % 6 AS attempts, CASE WHEN sequence % 4 = 0 THEN 0 ELSE sequence * 10 END AS next_retry FROM w0)"""
-CANDIDATES = SEGMENTS + """, candidates AS (SELECT 'artifact-' || lpad(segment::VARCHAR, 8, '0') AS artifact_id, CASE WHEN segment % 10 = 9 THEN 'replay_outbox' ELSE 'wal' END AS kind, first_sequence, last_sequence,
+CANDIDATES = SEGMENTS + """, candidates AS (SELECT 'artifact-' || left(sha256(segment::VARCHAR), 12) AS artifact_id, CASE WHEN segment % 10 = 9 THEN 'replay_outbox' ELSE 'wal' END AS kind, first_sequence, last_sequence,
   CASE WHEN segment = 8 THEN 'active_artifact' WHEN segment % 10 = 9 THEN 'artifact_policy_unimplemented' WHEN segment % 11 = 7 THEN 'fresh_observation_missing' WHEN segment % 6 = 5 THEN 'remote_verified_missing'
     WHEN segment % 13 = 12 THEN 'retention_proof_missing' WHEN segment = 4 THEN 'grace_not_elapsed' END AS reason FROM linked)"""
 USERS = BASE + ", un AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER BY capture_sequence) AS n FROM ticks), batches AS (SELECT 'session-' || volume AS session, n + n // 10 AS batch_sequence, capture_sequence AS sequence, event_id FROM un)"
@@ -103,9 +103,11 @@ WHERE (sequence % 19 = 0 AND sequence % 13 <> 0) OR (sequence % 13 = 0 AND seque
 ORACLE["raw_binding"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day) WHERE revision <= 2"""
 ORACLE["raw_binding_all"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day)"""
 ORACLE["scope_collisions"] = f"""WITH {BASE}, u AS (SELECT DISTINCT volume AS u FROM ticks),
-s AS (SELECT 'scope-' || u AS scope, CASE WHEN u % 40 = 0 THEN 0 ELSE u END AS k, CASE WHEN u % 50 = 3 THEN 3 ELSE u END AS p, '/data/' || CASE WHEN u % 60 = 7 THEN '5/' || u ELSE u::VARCHAR END AS d FROM u)
+s AS (SELECT 'scope-' || u AS scope, CASE WHEN u % 40 = 0 THEN 0 ELSE u END AS k, CASE WHEN u % 50 = 3 THEN 3 ELSE u END AS p, '/data/' || CASE WHEN u % 60 = 7 THEN '5/' || u WHEN u % 60 = 8 THEN '6/' || u ELSE u::VARCHAR END AS d,
+  u // 6 AS port, CASE WHEN u % 36 = 5 OR u % 72 = 17 THEN '*' WHEN u % 6 < 3 THEN '127.0.0.1' WHEN u % 6 < 5 THEN '::1' ELSE 'host-' || u END AS host FROM u)
 SELECT a.scope AS left, b.scope AS right, 'scope_key' AS shared FROM s a JOIN s b ON a.k = b.k AND a.scope < b.scope
 UNION ALL SELECT a.scope, b.scope, 'publisher_id' FROM s a JOIN s b ON a.p = b.p AND a.scope < b.scope
+UNION ALL SELECT a.scope, b.scope, 'listener' FROM s a JOIN s b ON a.port = b.port AND a.scope < b.scope AND (a.host = b.host OR a.host = '*' OR b.host = '*')
 UNION ALL SELECT a.scope, b.scope, 'path' FROM s a JOIN s b ON a.scope < b.scope AND (starts_with(a.d || '/', b.d || '/') OR starts_with(b.d || '/', a.d || '/'))"""
 ORACLE["pending_stats"] = f"""WITH {WORK} SELECT count(*) AS pending, sum(CASE WHEN sequence % 2 = 0 THEN bytes ELSE 0 END)::BIGINT AS bytes, sum(attempts)::BIGINT AS attempts, min(CASE WHEN sequence <> 1 THEN updated END) AS oldest FROM work WHERE state <> 'published'"""
 ORACLE["due_manifests"] = f"WITH {WORK} SELECT sequence, date, state FROM work WHERE state IN ('spooled', 'retry_wait') AND (next_retry = 0 OR next_retry <= 700)"
@@ -114,7 +116,7 @@ ORACLE["prune_eligibility"] = f"WITH {CANDIDATES} SELECT artifact_id, reason FRO
 ORACLE["prune_plan"] = f"""WITH {CANDIDATES}, w AS (SELECT *, first_sequence <> coalesce(lag(last_sequence) OVER (ORDER BY first_sequence) + 1, 1) AS gap FROM candidates WHERE kind = 'wal'),
 x AS (SELECT *, coalesce(bool_or(gap OR reason IS NOT NULL) OVER (ORDER BY first_sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM w),
 y AS (SELECT artifact_id, first_sequence, CASE WHEN late THEN 'wal_prefix_blocked' WHEN gap THEN 'wal_prefix_gap' ELSE reason END AS reason FROM x UNION ALL SELECT artifact_id, first_sequence, reason FROM candidates WHERE kind <> 'wal'),
-z AS (SELECT artifact_id, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY reason IS NULL ORDER BY first_sequence, artifact_id) > 3 THEN 'max_prune_candidates' ELSE reason END AS reason FROM y)
+z AS (SELECT artifact_id, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY reason IS NULL ORDER BY artifact_id) > 3 THEN 'max_prune_candidates' ELSE reason END AS reason FROM y)
 SELECT artifact_id, CASE WHEN reason IS NULL THEN 'prune' ELSE 'blocked' END AS action, reason FROM z"""
 ORACLE["budget_first_exceed"] = f"""WITH {BASE}, c AS (SELECT symbol, event_id, bid, sum(bid) OVER (PARTITION BY symbol ORDER BY event_id)::BIGINT AS total FROM ticks) SELECT symbol, event_id, total FROM c WHERE total > 1000000 AND total - bid <= 1000000"""
 ORACLE["list_datasets"] = f"WITH {BASE} SELECT DISTINCT 'dataset-' || symbol AS dataset_id FROM ticks"
