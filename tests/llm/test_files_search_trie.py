@@ -11,8 +11,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import lexical, scan, token_files, trie
+from tidemark.llm import langid, lexical, scan, token_files, toxicity, trie
 from tidemark.llm.common import scratch
 
 SF = "/root/testdata/sf0.001"
@@ -255,3 +256,73 @@ def test_scan_of_segments_over_many_tasks(spark, monkeypatch, parts):
     for k, r in enumerate(sorted(whole, key=lambda r: (r["s"], r["k"]))):
         before = (before or 0) + r["v"]
         assert (r["at"], r["run_v"]) == (k, before)
+
+
+# 4
+
+
+def labelled(spark, n_langs, per):
+    """Texts of invented languages, each with words of its own; two of a family, the rest alone."""
+    rng = random.Random(3)
+    names = ["no", "sv", *(f"x{k}" for k in range(n_langs - 2))]
+    rows = []
+    for lang in names:
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(8)]
+        rows += [(len(rows) + k, " ".join(rng.choices(words, k=12)), lang) for k in range(per)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def chosen_by_hand(model, text):
+    """The family by its largest margin, then votes of pairs, each margin a plain sum over the text's pairs and triples of bytes."""
+    if not text or not model.families or not langid.LETTER.search(text):
+        return "und", 0.0
+    data = [langid.FOLD[c] for c in b" " + text.lower().encode() + b"  "]
+    counts = collections.Counter()
+    for k in range(len(data) - 2):
+        a, b, c = (int(x) for x in data[k : k + 3])
+        counts[a << 8 | b] += 1
+        counts[((a << 16 | b << 8 | c) * 0x9E3779B1 >> 13 & (langid.TRIPLES - 1)) + langid.PAIRS] += 1
+    letters = max(1, sum(x != 32 for x in data))
+    blanks = (0x2020, (0x202020 * 0x9E3779B1 >> 13 & (langid.TRIPLES - 1)) + langid.PAIRS)
+    margins = [langid.SCALE * sum(n * w[c] for c, n in counts.items() if c not in blanks) / letters + w[-1] for w in model.weights]
+    sure = lambda m: 1 / (1 + math.exp(-3 * m))
+    n = len(model.families) if len(model.families) > 1 else 0
+    first = max(range(n), key=lambda k: margins[k]) if n else 0
+    score, langs = sure(margins[first]) if n else 1.0, model.langs[model.families[first]]
+    won, sums, least = collections.Counter(), collections.Counter(), dict.fromkeys(langs, 1.0)
+    for (a, b), m in zip(model.pairs, margins[n:], strict=True):
+        if a in langs:
+            for lang, own in ((a, m), (b, -m)):
+                won[lang] += own > 0
+                sums[lang] += own
+                least[lang] = min(least[lang], sure(own))
+    best = max(sorted(langs), key=lambda x: (won[x], sums[x]))
+    return best, score * least[best]
+
+
+def test_languages_are_chosen_as_by_hand(spark, docs):
+    model = langid.fit(docs, F.lit(True), 40)
+    texts = [r["text"] for r in docs.select("text").limit(60).collect()] + ["", "12", "a", "Zażółć gęślą"]
+    for text, (lang, score) in zip(texts, model.predict(texts), strict=True):
+        want = chosen_by_hand(model, text)
+        assert lang == want[0] and score == pytest.approx(want[1], abs=1e-6)
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any earlier bound; the driver gets machines, not texts."""
+    table = labelled(spark, 104, 3)
+    model = langid.fit(table, F.lit(True), 3)
+    assert sum(map(len, model.langs.values())) == 104 and model.pairs == [("no", "sv")]
+    rows = table.collect()
+    assert sum(lang == r["lang"] for r, (lang, _) in zip(rows, model.predict([r["text"] for r in rows]), strict=True)) >= 300
+
+
+def test_toxic_rows_are_chosen_by_a_hash(spark, monkeypatch):
+    """Ids that repeat in documents: the same rows are learned from however the table is dealt."""
+    monkeypatch.setattr(toxicity, "TOXIC", 3)
+    monkeypatch.setattr(toxicity, "CLEAN", 3)
+    monkeypatch.setattr(toxicity, "train", lambda toxic, clean, counts: (sorted(toxic), sorted(clean)))
+    labels = spark.createDataFrame([(d, d % 2) for d in range(6)], "doc_id long, toxic int")
+    table = spark.createDataFrame([(d, f"text {d} {k}") for d in range(6) for k in range(8)], "doc_id long, text string")
+    seen = [toxicity.fit(table.repartition(n), labels, F.lit(True)) for n in (1, 5, 9)]
+    assert seen[0] == seen[1] == seen[2] and sum(map(len, seen[0])) == 12

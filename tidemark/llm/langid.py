@@ -6,12 +6,14 @@ on a bounded sample of labelled texts; every prediction reads the whole text and
 
 A null text, or one without a letter, is ``und`` with score 0. Rows without a label are not learned
 from; ties of votes go to the larger sum of margins, then to the name that sorts first. If nothing can
-be learned, every text is ``und``. Copies of a row are learned from once. At most LANGUAGES languages are
-learned, each a class. An empty table gives an empty result; other columns change nothing.
+be learned, every text is ``und``. Copies of a row are learned from once. Every language that has a row to learn
+from is a class. The machines are trained in a task; the driver gets the number of rows of each language and the
+machines. An empty table gives an empty result; other columns change nothing.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,8 +34,8 @@ FAMILIES = {
     "slavic": ("bg", "cs", "pl", "ru", "sk", "sr", "uk"),
 }
 FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-#: The sample that machines are trained on: rows of a language, characters of a text that may be in it, and languages, the most frequent ones.
-SAMPLE, LONGEST, LANGUAGES = 300, 50_000, 100
+#: The sample that machines are trained on: rows of a language, characters of a text that may be in it, and rows in all, which languages share evenly.
+SAMPLE, LONGEST, ROWS = 300, 50_000, 30_000
 #: Codes: pairs of bytes as they are, triples hashed to TRIPLES places after them.
 PAIRS, TRIPLES = 1 << 16, 1 << 17
 LETTER = re.compile(r"[^\W\d_]")
@@ -122,34 +124,29 @@ class Model:
         return lang, float(score * votes[lang][2])
 
 
-def sampled(docs: DataFrame, learn: Column, per: int) -> list[tuple[str, str]]:
-    """About per different texts of each language among the rows to learn from, chosen by a hash of id and text."""
+def sampled(docs: DataFrame, learn: Column, per: int) -> tuple[DataFrame, int] | None:
+    """lang, place and text of somewhat more than per different texts of each language among the rows to learn from, chosen by a hash of id and text, and per, which many languages lower; None if there are none."""
     able = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= LONGEST)).select("doc_id", "lang", "text")
-    counts = able.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = able.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
-        return []
-    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.1 * per / r["n"])) for r in counts], "lang string, share double")
+        return None
+    per = max(1, min(per, ROWS // len(counts)))
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, (1.1 * per + 10) / r["n"])) for r in counts], "lang string, share double")
     place = F.pmod(F.xxhash64(F.lit("lang"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    some = able.withColumn("place", place).join(F.broadcast(share), "lang").where(F.col("place") < F.col("share")).select("lang", "place", "text").dropDuplicates(["lang", "place", "text"])
-    rows = sorted((r["lang"], r["place"], r["text"]) for r in some.limit(2 * per * len(counts)).collect())
-    kept: dict[str, int] = {}
-    out = []
-    for lang, _, text in rows:
-        kept[lang] = kept.get(lang, 0) + 1
-        if kept[lang] <= per and LETTER.search(text):
-            out.append((lang, text))
-    return out
+    some = able.withColumn("place", place).join(F.broadcast(share), "lang").where(F.col("place") < F.col("share"))
+    return some.select("lang", "place", "text").dropDuplicates(["lang", "place", "text"]), per
 
 
-def fit(docs: DataFrame, learn: Column, per: int = SAMPLE) -> Model:
-    """The machines, trained on at most per texts of each language among the rows where learn holds."""
-    rows = sampled(docs, learn, per)
-    features, langs = [], np.array([lang for lang, _ in rows])
-    for _, text in rows:
-        pair, triple, _, letters = codes([text])
-        at, n = np.unique(np.concatenate([pair, triple]), return_counts=True)
-        blank = np.isin(at, [0x2020, ((0x202020 * 0x9E3779B1) >> 13 & (TRIPLES - 1)) + PAIRS])
-        features.append((at[~blank], SCALE * n[~blank] / max(1, letters[0])))
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of a text and their scaled counts, without those of blanks alone."""
+    pair, triple, _, letters = codes([text])
+    at, n = np.unique(np.concatenate([pair, triple]), return_counts=True)
+    blank = np.isin(at, [0x2020, ((0x202020 * 0x9E3779B1) >> 13 & (TRIPLES - 1)) + PAIRS])
+    return at[~blank], SCALE * n[~blank] / max(1, letters[0])
+
+
+def trained(rows: list[tuple[np.ndarray, np.ndarray]], langs: np.ndarray) -> Model:
+    """The machines of families and of pairs of languages, for features() and their languages."""
     of: dict[str, list[str]] = {}
     for lang in sorted(set(langs.tolist())):
         of.setdefault(FAMILY.get(lang, lang), []).append(lang)
@@ -157,14 +154,40 @@ def fit(docs: DataFrame, learn: Column, per: int = SAMPLE) -> Model:
     weights = []
     if len(families) > 1:
         for family in families:
-            weights.append(train(features, np.where(np.isin(langs, of[family]), 1, -1)))
+            weights.append(train(rows, np.where(np.isin(langs, of[family]), 1, -1)))
     pairs = [(a, b) for family in families for a, b in combinations(of[family], 2)]
     for a, b in pairs:
         own = np.flatnonzero((langs == a) | (langs == b))
-        weights.append(train([features[i] for i in own], np.where(langs[own] == a, 1, -1)))
+        weights.append(train([rows[i] for i in own], np.where(langs[own] == a, 1, -1)))
     return Model(families, of, pairs, np.array(weights) if weights else np.zeros((0, PAIRS + TRIPLES + 1)))
 
 
+def fit(docs: DataFrame, learn: Column, per: int = SAMPLE) -> Model:
+    """The machines, trained in one task on at most per texts of each language among the rows where learn holds."""
+    found = sampled(docs, learn, per)
+    if found is None:
+        return trained([], np.array([], str))
+    some, per = found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, langs, kept = [], [], {}
+        for batch in batches:  # by language and place; a text goes once its counts are taken
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                kept[lang] = kept.get(lang, 0) + 1
+                if kept[lang] <= per and LETTER.search(text):
+                    rows.append(features(text))
+                    langs.append(lang)
+        model = trained(rows, np.array(langs, str))
+        for k in range(max(1, len(model.weights))):  # a row a machine, so no row is large
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([pickle.dumps((model.families, model.langs, model.pairs) if k == 0 else None)], pa.binary()), pa.array([model.weights[k : k + 1].tobytes()], pa.binary())], names=["k", "names", "weights"])
+        del rows, model
+        trimmed()
+
+    parts = sorted(some.repartition(1).sortWithinPartitions("lang", "place", "text").mapInArrow(run, "k long, names binary, weights binary").collect())
+    data = b"".join(bytes(r["weights"]) for r in parts)
+    return Model(*pickle.loads(parts[0]["names"]), np.frombuffer(data).reshape(-1, PAIRS + TRIPLES + 1))
+
+
 def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """docs with two columns more, lang and score; columns of those names are replaced."""
     keep = [c for c in docs.columns if c not in (lang, score)]

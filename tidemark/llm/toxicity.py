@@ -274,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
         trimmed()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    done = texts.select("doc_id", "toxic", "text").limit(2 * (TOXIC + CLEAN)).coalesce(1).mapInArrow(run, "model binary").collect()
+    done = texts.select("doc_id", "toxic", "text").orderBy(F.xxhash64(F.lit("row"), "doc_id", "text"), "doc_id", "text").limit(2 * (TOXIC + CLEAN)).coalesce(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(done[0]["model"]) if done else train([], [], n)
 
 
