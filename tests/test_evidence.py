@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import codec as C
 from tidemark.functions import domains as D
-from tidemark.operators import chains, continuity, operations, proofs, retention
+from tidemark.operators import bundles, chains, continuity, operations, proofs, retention
 from tidemark.plans import evidence as Q
 
 SF = "/root/testdata/sf0.001"
@@ -200,3 +200,31 @@ def test_altered_history_in_linear_time():
     began = time.process_time()
     assert continuity.history_change(same, [b"x"] * 2000 + [b"y"] + [b"x"] * 2095) == 2000
     assert time.process_time() - began < 0.5
+
+
+def test_bundles_are_sealed_if_every_fact_holds(spark):
+    """Each spoiled fact names itself, in the contract's order; bundles without parts fail."""
+    part = lambda b, n, **more: {"b": b, "part_sequence": n, "key": f"k{b}{n}", "digest": f"{n:064x}", "row_count": 2, "first_stream_sequence": 2 * n, "last_stream_sequence": 2 * n + 1, "previous_row_chain_hash": f"{n:064x}", "last_row_chain_hash": f"{n + 1:064x}", "bytes": 10, "verified": True} | more
+    names = ("good", "many", "late", "shut", "other", "torn", "raw", "before", "rows", "root", "big", "empty")
+    files, said = [], []
+    for b in names[:-1]:
+        own = [part(b, n) for n in range(4 if b == "big" else 2)]
+        said += own[:-1] if b == "many" else [own[0], own[1] | {"row_count": 3}] if b == "other" else own
+        if b == "late":
+            own = [p | {"part_sequence": p["part_sequence"] + 1} for p in own]
+        if b == "shut":
+            own[1]["verified"] = False
+        if b == "torn":
+            own[1] = own[1] | {"previous_row_chain_hash": "f" * 64}
+            said[-1] = own[1]
+        files += own
+    types = "b string, part_sequence long, key string, digest string, row_count long, first_stream_sequence long, last_stream_sequence long, previous_row_chain_hash string, last_row_chain_hash string, bytes long, verified boolean"
+    parts, manifests = (spark.createDataFrame(x, types) for x in (files, said))
+    roots = {r["b"]: r["part_set_root"] for r in chains.part_set_root(manifests, ["b"]).collect()}
+    rows = [(b, 2 if b == "before" else 1, "x" * 64 if b == "before" else None, f"raw-{b}", 9 if b == "rows" else 8 if b == "big" else 4, "0" * 64 if b == "root" else roots.get(b, "")) for b in names]
+    table = spark.createDataFrame(rows, "b string, revision int, previous string, raw_digest string, row_count long, part_set_root string")
+    raws = table.where("b <> 'raw'").select("b", "raw_digest")
+    known = spark.createDataFrame([("before", 1, "y" * 64)], "b string, revision int, digest string")
+    got = {r["b"]: r["fault"] for r in bundles.bundle_faults(table, parts, manifests, raws, known, {"max_parts": 3, "max_total_parquet_bytes": 1000}, "b").collect()}
+    want = {"good": None, "many": "part_count", "late": "part_sequence", "shut": "part_object", "other": "part_manifest", "torn": "part_graph", "raw": "raw_manifest", "before": "predecessor", "rows": "replay_manifest", "root": "replay_manifest", "big": "limits", "empty": "part_count"}
+    assert got == want

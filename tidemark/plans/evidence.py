@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import chains, proofs
+from tidemark.operators import bundles, chains, proofs
 from tidemark.plans import events as E
-from tidemark.plans.catalogue import query
+from tidemark.plans.catalogue import _parts, query
 
 LIMITS = {"max_manifest_nodes": 2, "max_proof_bytes": 200_000, "max_proof_objects": 7}
 NOW_MS, GRACE_MS = 1_704_412_800_000, 86_400_000
@@ -54,3 +54,23 @@ def shared_budget(spark, sf):
     charges = E.ticks(spark, sf).select("event_id", "capture_sequence", F.lit(1).cast("long").alias("requests"), *amounts)
     limits = {"requests": REQUESTS} | {f"bytes_{s}": KIND_BYTES for s in kinds}
     return chains.shared_budget(charges, "capture_sequence", limits).select("event_id", "stopped_by")
+
+
+@query
+def bundle_faults(spark, sf):
+    """A bundle a user, of which by the user's number a raw manifest, a part, a part manifest, the predecessor or the replay manifest is spoiled."""
+    parts = E.stored(_parts(spark, sf).withColumn("bytes", F.col("row_count") * 60), "parts")
+    n = F.col("user_id") % 9
+    roots = chains.part_set_root(parts, ["user_id"])
+    rows = parts.groupBy("user_id").agg(F.sum("row_count").alias("row_count")).join(roots, "user_id")
+    name = lambda p: F.sha2(F.concat(F.lit(p), F.col("user_id").cast("string")), 256)
+    every = rows.select(
+        "user_id", F.lit(2).alias("revision"), F.when(n == 7, F.lit("f" * 64)).otherwise(name("first-")).alias("previous"), name("raw-").alias("raw_digest"), F.when(n == 5, F.col("row_count") + 1).otherwise(F.col("row_count")).alias("row_count"),
+        F.when(n == 6, F.lit("e" * 64)).otherwise(F.col("part_set_root")).alias("part_set_root"),
+    )
+    last = parts.groupBy("user_id").agg(F.max("part_sequence").alias("_last"))
+    said = parts.join(last, "user_id").where((n != 1) | (F.col("part_sequence") != F.col("_last"))).withColumn("digest", F.when((n == 2) & (F.col("part_sequence") == 0), F.lit("d" * 64)).otherwise(F.col("digest")))
+    own = parts.withColumn("part_sequence", F.when(n == 3, F.col("part_sequence") + 1).otherwise(F.col("part_sequence"))).withColumn("verified", (n != 4) | (F.col("part_sequence") != 0))
+    raws = rows.where(n != 8).select("user_id", name("raw-").alias("raw_digest"))
+    known = rows.select("user_id", F.lit(1).alias("revision"), name("first-").alias("digest"))
+    return bundles.bundle_faults(every, own, said, raws, known, {"max_parts": 5, "max_total_parquet_bytes": 1 << 40}, "user_id").select("user_id", "fault")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark.functions import domains as D
 from tidemark.plans import evidence as Q
-from tidemark.plans.oracle import BASE, raw, sha
+from tidemark.plans.oracle import BASE, PARTS, raw, sha
 
 ORACLE: dict[str, str] = {}
 
@@ -29,3 +29,8 @@ PASSED = " ".join(f"WHEN {c} > {n} THEN '{c}'" for c, n in [*((f"bytes_{s}", Q.K
 ORACLE["shared_budget"] = f"""WITH {BASE}, c AS (SELECT event_id, capture_sequence, count(*) OVER w AS requests, {TOTALS} FROM ticks WINDOW w AS (ORDER BY capture_sequence)),
 p AS (SELECT event_id, capture_sequence, CASE {PASSED} END AS passed FROM c), f AS (SELECT min((capture_sequence, passed)) AS first FROM p WHERE passed IS NOT NULL)
 SELECT event_id, CASE WHEN capture_sequence >= first[1] THEN first[2] END AS stopped_by FROM p, f"""
+
+ORACLE["bundle_faults"] = f"""WITH {PARTS}, g AS (SELECT user_id, part_sequence, CASE WHEN part_sequence = 0 THEN previous_row_chain_hash <> repeat('0', 64) ELSE previous_row_chain_hash <> lag(last_row_chain_hash) OVER (PARTITION BY user_id ORDER BY part_sequence) END AS breaks FROM parts),
+u AS (SELECT user_id, user_id % 9 AS n, count(*) AS parts, bool_or(breaks) AS breaks FROM g GROUP BY user_id)
+SELECT user_id, CASE WHEN n = 8 THEN 'raw_manifest' WHEN n = 1 THEN 'part_count' WHEN n = 3 THEN 'part_sequence' WHEN n = 4 THEN 'part_object' WHEN n = 2 THEN 'part_manifest' WHEN breaks THEN 'part_graph' WHEN n = 7 THEN 'predecessor'
+  WHEN n IN (5, 6) THEN 'replay_manifest' WHEN parts > 5 THEN 'limits' END AS fault FROM u"""
