@@ -121,3 +121,33 @@ def supervisor_plan(scopes: DataFrame, running: DataFrame) -> DataFrame:
     want, have = scopes.select("scope").distinct().withColumn("_w", F.lit(True)), running.select("scope").distinct().withColumn("_h", F.lit(True))
     action = F.when(F.col("_h").isNull(), "start").when(F.col("_w").isNull(), "stop").otherwise("keep")
     return want.join(have, "scope", "full_outer").select("scope", action.alias("action")).orderBy("scope")
+
+
+#: Classes of the last error of a publication, those after which nothing may go on, and those that pass.
+ERRORS = ("remote_transient", "remote_timeout", "permission", "collision", "local_integrity", "remote_integrity")
+FATAL, PASSING = ("collision", "local_integrity", "remote_integrity"), ("remote_transient", "remote_timeout", "permission")
+#: What the names of a scope's services begin with.
+SERVICES = {"gateway_service_name": "tick-gateway-", "mql_service_name": "tick-mql-"}
+
+
+def application_status(found: DataFrame) -> DataFrame:
+    """found, what ingest, publication and disk of each application say, with last_error_class as it may be shown, and overall.
+
+    An error of integrity has failed, whatever else is said. Then what may not acknowledge is blocked, and what is short of disk, has
+    work that waits, cannot reach its store or met an error that passes is degraded. What is not known counts against it.
+    """
+    sure = lambda c: F.coalesce(F.col(c), F.lit(False))
+    error = F.coalesce(F.col("last_error_class"), F.lit(""))
+    shown = F.when(error.isin("", *ERRORS), error).otherwise("unknown")
+    slow = (F.coalesce(F.col("disk_class"), F.lit("high")) == "high") | F.coalesce(F.col("worker_priority"), F.lit(True))
+    waits = (F.coalesce(F.col("pending_bytes"), F.lit(1)) != 0) | (F.coalesce(F.col("pending_manifests"), F.lit(1)) != 0)
+    overall_of = F.when(shown.isin(*FATAL), "failed").when(~(sure("ready_for_ack") & sure("disk_ready") & sure("ack_allowed")), "blocked").when(slow | ~sure("remote_available") | shown.isin(*PASSING) | waits, "degraded").otherwise("healthy")
+    return found.withColumns({"last_error_class": shown, "overall": overall_of})
+
+
+def supervisor_units(scopes: DataFrame) -> DataFrame:
+    """One unit a scope, in the order of scope_key (64 hexadecimal digits): the names of its services, its listener and configurations."""
+    names = {n: F.concat(F.lit(start), F.substring("scope_key", 1, 16)) for n, start in SERVICES.items()}
+    rows = scopes.select("scope_key", *(v.alias(n) for n, v in names.items()), F.col("listener").alias("listen_address"), "gateway_config_path", "mql_config_path")
+    good = F.when(F.col("scope_key").rlike("^[0-9a-f]{64}$"), True).otherwise(F.raise_error(F.lit("a scope key is no hash")).cast("boolean"))
+    return rows.where(good).orderBy("scope_key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import bundles, chains, proofs
+from tidemark.operators import bundles, chains, operations, proofs
 from tidemark.plans import events as E
 from tidemark.plans.catalogue import _parts, query
 
@@ -74,3 +74,22 @@ def bundle_faults(spark, sf):
     raws = rows.where(n != 8).select("user_id", name("raw-").alias("raw_digest"))
     known = rows.select("user_id", F.lit(1).alias("revision"), name("first-").alias("digest"))
     return bundles.bundle_faults(every, own, said, raws, known, {"max_parts": 5, "max_total_parquet_bytes": 1 << 40}, "user_id").select("user_id", "fault")
+
+
+@query
+def application_status(spark, sf):
+    """An application an entry, whose ingest, publication and disk say what the entry's number makes them say."""
+    n = F.col("sequence")
+    errors = F.array(*(F.lit(x) for x in ("", "remote_timeout", "", "collision", "", "strange", "", "permission")))
+    rows = E.ticks(spark, sf).groupBy("sequence").agg(F.count("*").alias("records"), F.max("error").alias("error"))
+    found = rows.select(
+        "sequence", (n % 13 != 5).alias("ready_for_ack"), (n % 17 != 3).alias("disk_ready"), F.when(n % 19 != 7, True).alias("ack_allowed"), F.when(n % 5 == 1, "high").otherwise("normal").alias("disk_class"), (n % 23 == 4).alias("worker_priority"),
+        (F.col("error") == 0).alias("remote_available"), F.element_at(errors, (n % 8 + 1).cast("int")).alias("last_error_class"), F.when(n % 3 == 0, F.col("records")).otherwise(0).alias("pending_bytes"), F.lit(0).alias("pending_manifests"),
+    )
+    return operations.application_status(found).select("sequence", "last_error_class", "overall")
+
+
+@query
+def supervisor_units(spark, sf):
+    scopes = E.ticks(spark, sf).select("symbol").distinct().select(F.sha2("symbol", 256).alias("scope_key"), F.concat(F.lit("127.0.0.1:"), (F.octet_length("symbol") + 9000).cast("string")).alias("listener"), F.concat(F.col("symbol"), F.lit(".toml")).alias("gateway_config_path"), F.concat(F.col("symbol"), F.lit(".set")).alias("mql_config_path"))
+    return operations.supervisor_units(scopes)

@@ -34,3 +34,12 @@ ORACLE["bundle_faults"] = f"""WITH {PARTS}, g AS (SELECT user_id, part_sequence,
 u AS (SELECT user_id, user_id % 9 AS n, count(*) AS parts, bool_or(breaks) AS breaks FROM g GROUP BY user_id)
 SELECT user_id, CASE WHEN n = 8 THEN 'raw_manifest' WHEN n = 1 THEN 'part_count' WHEN n = 3 THEN 'part_sequence' WHEN n = 4 THEN 'part_object' WHEN n = 2 THEN 'part_manifest' WHEN breaks THEN 'part_graph' WHEN n = 7 THEN 'predecessor'
   WHEN n IN (5, 6) THEN 'replay_manifest' WHEN parts > 5 THEN 'limits' END AS fault FROM u"""
+
+ORACLE["application_status"] = f"""WITH {BASE}, s AS (SELECT sequence AS n, count(*) AS records, max(error) AS error FROM ticks GROUP BY sequence),
+e AS (SELECT *, ['', 'remote_timeout', '', 'collision', '', 'unknown', '', 'permission'][n % 8 + 1] AS last_error_class FROM s)
+SELECT n AS sequence, last_error_class, CASE WHEN n % 8 = 3 THEN 'failed' WHEN n % 13 = 5 OR n % 17 = 3 OR n % 19 = 7 THEN 'blocked'
+  WHEN n % 5 = 1 OR n % 23 = 4 OR error <> 0 OR n % 8 IN (1, 7) OR n % 3 = 0 THEN 'degraded' ELSE 'healthy' END AS overall FROM e"""
+
+ORACLE["supervisor_units"] = f"""WITH {BASE}, s AS (SELECT DISTINCT symbol FROM ticks)
+SELECT sha256(symbol) AS scope_key, 'tick-gateway-' || left(sha256(symbol), 16) AS gateway_service_name, 'tick-mql-' || left(sha256(symbol), 16) AS mql_service_name,
+  '127.0.0.1:' || (octet_length(encode(symbol)) + 9000) AS listen_address, symbol || '.toml' AS gateway_config_path, symbol || '.set' AS mql_config_path FROM s"""

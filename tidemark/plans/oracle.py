@@ -62,7 +62,7 @@ USERS = BASE + ", un AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER
 
 ORACLE["day_selection"] = f"""WITH {BASE} SELECT day, count(*) AS accepted, count(DISTINCT CASE WHEN error <> 0 THEN sequence END) AS errors, max(time_msc) AS source_watermark, max(capture_sequence) AS capture_watermark,
   min(sequence) AS first_sequence, max(sequence) AS last_sequence, min_by(previous_hash, sequence) AS start_root, max_by(entry_hash, sequence) AS end_root FROM ticks GROUP BY day"""
-ORACLE["selected_ranges"] = f"""WITH {BASE}, v AS (SELECT day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY day, sequence ORDER BY ordinal) AS run FROM ticks WHERE symbol = 'view')
+ORACLE["selected_ranges"] = f"""WITH {BASE}, v AS (SELECT day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY day, sequence ORDER BY ordinal) AS run FROM ticks)
 SELECT day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY day, sequence, run"""
 ORACLE["selected_ranges_by_symbol"] = f"""WITH {BASE}, v AS (SELECT symbol, day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY symbol, day, sequence ORDER BY ordinal) AS run FROM ticks)
 SELECT symbol, day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY symbol, day, sequence, run"""
@@ -100,8 +100,8 @@ SELECT day || '/' || sequence || '/' || a AS id, count(*) FILTER (sequence BETWE
 ORACLE["journal_differences"] = f"""WITH {BASE}, b AS (SELECT sequence, count(*) AS n FROM ticks GROUP BY sequence)
 SELECT sequence, CASE WHEN sequence % 19 = 0 THEN 'journal_only' WHEN sequence % 13 = 0 THEN 'log_only' ELSE 'differs' END AS difference FROM b
 WHERE (sequence % 19 = 0 AND sequence % 13 <> 0) OR (sequence % 13 = 0 AND sequence % 19 <> 0) OR (sequence % 17 = 0 AND sequence % 13 <> 0 AND sequence % 19 <> 0)"""
-ORACLE["raw_binding"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day) WHERE revision <= 2"""
-ORACLE["raw_binding_all"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day)"""
+ORACLE["raw_binding"] = f"""WITH {REVISIONS}, l AS (SELECT day, max(revision) AS m FROM revisions GROUP BY day) SELECT day, revision AS replay_revision, revision = m AS bound FROM revisions JOIN l USING (day)"""
+ORACLE["raw_binding_all"] = ORACLE["raw_binding"]
 ORACLE["scope_collisions"] = f"""WITH {BASE}, u AS (SELECT DISTINCT volume AS u FROM ticks),
 s AS (SELECT 'scope-' || u AS scope, CASE WHEN u % 40 = 0 THEN 0 ELSE u END AS k, CASE WHEN u % 50 = 3 THEN 3 ELSE u END AS p, '/data/' || CASE WHEN u % 60 = 7 THEN '5/' || u WHEN u % 60 = 8 THEN '6/' || u ELSE u::VARCHAR END AS d,
   u // 6 AS port, CASE WHEN u % 36 = 5 OR u % 72 = 17 THEN '*' WHEN u % 6 < 3 THEN '127.0.0.1' WHEN u % 6 < 5 THEN '::1' ELSE 'host-' || u END AS host FROM u)
