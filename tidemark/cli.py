@@ -29,6 +29,7 @@ class Config:
     raw_manifests: str
     scopes: str
     replay_manifests: str = ""
+    part_manifests: str = ""
     max_items: int = 1000
     exact: bool = False
 
@@ -46,7 +47,18 @@ class Config:
 
 def opened(spark: SparkSession, config: Config) -> catalog.Archive:
     replay = catalog.manifests(spark, config.replay_manifests, D.REPLAY_DAY, "replay-day-*.json", config.exact) if config.replay_manifests else None
-    return catalog.Archive(spark.read.json(config.scopes), catalog.manifests(spark, config.raw_manifests, D.RAW_DAY, exact=config.exact), replay)
+    parts = catalog.part_manifests(spark, config.part_manifests, config.exact) if config.part_manifests else None
+    return catalog.Archive(spark.read.json(config.scopes), catalog.manifests(spark, config.raw_manifests, D.RAW_DAY, exact=config.exact), replay, parts)
+
+
+def fetched(own: catalog.Archive, dataset: str, selector: str, store: str, into: str, kind: str = "auto") -> DataFrame:
+    """The objects of a raw day or the part files of a replay day, copied and checked on both sides."""
+    found, manifest = own.resolve_any(dataset, selector, kind)
+    if found == "raw":
+        return catalog.fetch(own.fetch_plan(manifest), store, into)
+    if own.parts is None:
+        raise catalog.ReadError("not_found", "part manifests")
+    return catalog.fetch_replay(own, manifest, store, into)
 
 
 def chain(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -88,6 +100,7 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
     parser.add_argument("command", choices=["datasets", "scopes", "snapshots", "fetch-plan", "fetch", "verify-day", "verify-scope"])
     parser.add_argument("values", nargs="*")
     parser.add_argument("--replay", action="store_true")
+    parser.add_argument("--kind", choices=["auto", "raw", "replay"], default="auto")
     given = parser.parse_args(arguments)
     spark = spark or SparkSession.builder.appName("tidemark").getOrCreate()
     try:
@@ -103,7 +116,7 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
             "scopes": lambda: own.list_scopes(*given.values),
             "snapshots": lambda: (own.replay_snapshots if given.replay else own.raw_snapshots)(*given.values),
             "fetch-plan": lambda: own.fetch_plan(own.resolve(*given.values[:2])),
-            "fetch": lambda: catalog.fetch(own.fetch_plan(own.resolve(*given.values[:2])), *given.values[2:]),
+            "fetch": lambda: fetched(own, *given.values, kind=given.kind),
         }[given.command]()
         print(json.dumps({"items": catalog.items(rows, config.max_items)}, sort_keys=True, default=str))
         return 0

@@ -71,6 +71,26 @@ def manifests(spark: SparkSession, path: str, domain: bytes, pattern: str = "*.j
     return files.mapInArrow(run, MANIFEST)
 
 
+def part_manifests(spark: SparkSession, root: str, exact: bool = True) -> DataFrame:
+    """Part manifests below a scope's root, decoded like manifests(): key (below the root), digest, part_key, part_sha256 and part_bytes."""
+    from tidemark.operators import publication
+
+    schema = pa.schema([(n, pa.string()) for n in ("key", "digest", "part_key", "part_sha256")] + [("part_bytes", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for p, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                value, own = C.parse_canonical(content, publication.PART_KEYS if exact else None), C.sha(D.PART, content).hex()
+                if own not in p.rsplit("/", 1)[-1]:
+                    raise C.FormatError("INVALID_FIELD", f"{p} does not name its digest")
+                rows.append({"key": p[p.index("derivatives/stream=") :], "digest": own} | {k: value[k] for k in ("part_key", "part_sha256", "part_bytes")})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*.json").load(root).select("path", "content")
+    return files.mapInArrow(run, "key string, digest string, part_key string, part_sha256 string, part_bytes long")
+
+
 RANGE = pa.struct([(x.split(":")[0], pa.string() if x.endswith("string") else pa.int64()) for x in RAW_RANGE[7:-1].split(",")])
 ARROW = pa.schema(
     [(n, pa.string()) for n in ("path",)] + [("bytes", pa.int64())] + [(n, pa.string()) for n in ("digest", "manifest_id", "dataset_id", "day_definition_id", "date")]
@@ -105,6 +125,19 @@ class Archive:
         by = "digest" if DIGEST.fullmatch(selector) else "path"
         return only(self.raw.where((F.col("dataset_id") == dataset) & (F.col(by) == selector)))
 
+    def resolve_any(self, dataset: str, selector: str, kind: str = "auto") -> tuple[str, dict[str, Any]]:
+        """raw or replay, and the one manifest of a digest or a key: of the kind that is asked for, or what the key says, else raw before replay."""
+        if kind == "auto" and "/replay-day-" in selector:
+            kind = "replay"
+        if kind != "replay":
+            try:
+                return "raw", self.resolve(dataset, selector)
+            except ReadError as bad:
+                if kind == "raw" or bad.code != "not_found" or self.replay is None:
+                    raise
+        by = F.col("digest") == selector if DIGEST.fullmatch(selector) else F.endswith(F.col("path"), F.lit(selector))
+        return "replay", only(self.replay.where((F.col("dataset_id") == dataset) & by))
+
     def manifest(self, digest: str) -> dict[str, Any]:
         """The manifest of a digest: raw first, then replay. Several raw ones are a conflict, which a replay one does not mask."""
         try:
@@ -130,7 +163,8 @@ class Archive:
 
     def fetch_plan(self, *chosen: dict[str, Any]) -> DataFrame:
         """Objects of raw manifests in order, each once: key, sha256 and bytes. Conflicting sizes are an error."""
-        rows = self.raw.where(F.col("digest").isin([m["digest"] for m in chosen])).select(F.posexplode("objects").alias("at", "o"))
+        order = F.array_position(F.array(*(F.lit(m["digest"]) for m in chosen)), F.col("digest"))
+        rows = self.raw.where(F.col("digest").isin([m["digest"] for m in chosen])).select(order.alias("no"), F.posexplode("objects").alias("n", "o")).select(F.struct("no", "n").alias("at"), "o")
         plan = rows.groupBy("o.key").agg(F.min("at").alias("at"), F.min("o.sha256").alias("sha256"), F.min("o.bytes").alias("bytes"), F.count_distinct("o.sha256", "o.bytes").alias("n"))
         return plan.where(F.when(F.col("n") == 1, True).otherwise(F.raise_error(F.lit("conflicting descriptors")).cast("boolean"))).orderBy("at").drop("n")
 
