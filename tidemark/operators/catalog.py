@@ -162,9 +162,9 @@ class Archive:
         return newest.asDict(True)
 
     def fetch_plan(self, *chosen: dict[str, Any]) -> DataFrame:
-        """Objects of raw manifests in order, each once: key, sha256 and bytes. Conflicting sizes are an error."""
+        """Objects of raw manifests in the order in which these are named, each once: key, at (its place), sha256 and bytes. Conflicting sizes are an error."""
         order = F.array_position(F.array(*(F.lit(m["digest"]) for m in chosen)), F.col("digest"))
-        rows = self.raw.where(F.col("digest").isin([m["digest"] for m in chosen])).select(order.alias("no"), F.posexplode("objects").alias("n", "o")).select(F.struct("no", "n").alias("at"), "o")
+        rows = self.raw.where(F.col("digest").isin([m["digest"] for m in chosen])).select(order.alias("no"), F.posexplode("objects").alias("n", "o")).select(F.shiftleft(F.col("no") - 1, 32).bitwiseOR(F.col("n").cast("long")).alias("at"), "o")
         plan = rows.groupBy("o.key").agg(F.min("at").alias("at"), F.min("o.sha256").alias("sha256"), F.min("o.bytes").alias("bytes"), F.count_distinct("o.sha256", "o.bytes").alias("n"))
         return plan.where(F.when(F.col("n") == 1, True).otherwise(F.raise_error(F.lit("conflicting descriptors")).cast("boolean"))).orderBy("at").drop("n")
 
