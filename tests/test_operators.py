@@ -105,6 +105,19 @@ def test_queries_cover_the_whole_table(spark):
     assert set(map(tuple, catalogue.QUERIES["orphan_missing_objects"](spark, SF).select("symbol", "object_id", "kind").collect())) == want
 
 
+def test_selected_ranges_are_those_of_every_symbol(spark):
+    ticks = [(r["symbol"], r["day"], r["sequence"], r["ordinal"]) for r in E.ticks(spark, SF).select("symbol", "day", "sequence", "ordinal").collect()]
+    want, at = [], None
+    for symbol, day, sequence, ordinal in sorted(ticks):
+        if at == (symbol, day, sequence, ordinal - 1):
+            want[-1][-1] = ordinal
+        else:
+            want.append([symbol, day, sequence, ordinal, ordinal])
+        at = (symbol, day, sequence, ordinal)
+    got = catalogue.QUERIES["selected_ranges"](spark, SF).select("symbol", "day", "sequence", "first_ordinal", "last_ordinal").collect()
+    assert sorted(map(list, got)) == want and len({r[0] for r in want}) > 1
+
+
 def test_native_matches_codec(spark):
     values = [0, 1, 255, 2**31, 2**63 - 1, -1, -(2**63)]
     rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", N.little(F.col("v"), 8).alias("b"), N.little(F.col("v"), 4).alias("c")).collect()

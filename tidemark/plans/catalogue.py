@@ -32,12 +32,13 @@ def day_selection(spark, sf):
 
 @query
 def selected_ranges(spark, sf):
-    return selection.ranges(E.ticks(spark, sf))
+    """What of each entry and day each symbol selects: the ranges of every symbol, of which none goes on in another's."""
+    return selection.ranges(E.ticks(spark, sf), "symbol")
 
 
 @query
 def selected_ranges_by_symbol(spark, sf):
-    """The ranges of each symbol by itself; in selected_ranges the symbols' records go on in one another."""
+    """The rows of selected_ranges, under the name that they had while it did not cover every symbol."""
     return selection.ranges(E.ticks(spark, sf), "symbol").select("symbol", "day", "sequence", "first_ordinal", "last_ordinal")
 
 

@@ -62,8 +62,8 @@ USERS = BASE + ", un AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER
 
 ORACLE["day_selection"] = f"""WITH {BASE} SELECT day, count(*) AS accepted, count(DISTINCT CASE WHEN error <> 0 THEN sequence END) AS errors, max(time_msc) AS source_watermark, max(capture_sequence) AS capture_watermark,
   min(sequence) AS first_sequence, max(sequence) AS last_sequence, min_by(previous_hash, sequence) AS start_root, max_by(entry_hash, sequence) AS end_root FROM ticks GROUP BY day"""
-ORACLE["selected_ranges"] = f"""WITH {BASE}, v AS (SELECT day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY day, sequence ORDER BY ordinal) AS run FROM ticks)
-SELECT day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY day, sequence, run"""
+ORACLE["selected_ranges"] = f"""WITH {BASE}, v AS (SELECT symbol, day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY symbol, day, sequence ORDER BY ordinal) AS run FROM ticks)
+SELECT symbol, day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY symbol, day, sequence, run"""
 ORACLE["selected_ranges_by_symbol"] = f"""WITH {BASE}, v AS (SELECT symbol, day, sequence, ordinal, ordinal - row_number() OVER (PARTITION BY symbol, day, sequence ORDER BY ordinal) AS run FROM ticks)
 SELECT symbol, day, sequence, min(ordinal) AS first_ordinal, max(ordinal) AS last_ordinal FROM v GROUP BY symbol, day, sequence, run"""
 ORACLE["payload_fingerprint"] = f"WITH {PRINTS} SELECT event_id, lower(hex(fingerprint)) AS fingerprint FROM prints"
