@@ -2,6 +2,7 @@
 
 from zlib import crc32
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -317,6 +318,30 @@ def test_rank_without_one_task(spark):
     assert got.where("rank <> id div 3 + 1").count() == 0 and got.count() == 100_000
 
 
+def test_rank_in_groups_without_one_task_a_group(spark):
+    rows = [(s, k * 37 + j) for j, s in enumerate(("a", "b", None)) for k in range(300)]
+    got = chains.ranked(spark.createDataFrame(rows, "s string, id long").repartition(5), "id", "rank", width=100, by=("s",)).collect()
+    assert sorted((r["s"] or "", r["id"], r["rank"]) for r in got) == sorted((s or "", k, 1 + (k // 37)) for s, k in rows)
+
+
+def test_entries_are_chained_as_a_stream():
+    frames = [(k + 1, 1000 + k, bytes([k % 251]) * 60) for k in range(3000)]
+    taken, want, root = [], [], D.ZERO
+
+    def batches():
+        for k in range(0, 3000, 1500):
+            taken.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*(("s", *f) for f in frames[k : k + 1500]), strict=True)], names=["symbol", "sequence", "wall", "frame"])
+
+    for sequence, wall, frame in frames:
+        before, root = root, C.entry_hash(sequence, root, wall, sequence, C.batch_hash(frame), frame)
+        want.append(("s", sequence, before.hex(), root.hex()))
+    out = raw_days.chained((pa.scalar("s"),), batches())
+    first = next(out)
+    assert taken == [0] and first.num_rows <= 1500  # what is done is given on before more is read
+    assert [tuple(r.values()) for b in (first, *out) for r in b.to_pylist()] == want
+
+
 def test_health(spark):
     rows = spark.createDataFrame([("a", ["healthy"]), ("b", ["degraded", "failed"])], "scope string, states array<string>")
     assert [tuple(r) for r in operations.scope_health(rows).collect()] == [("a", "healthy"), ("b", "failed")]

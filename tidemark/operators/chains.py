@@ -14,20 +14,30 @@ from tidemark.functions import domains as D
 from tidemark.functions import native as N
 
 
-def ranked(df: DataFrame, key: str, out: str, width: int = 1 << 16) -> DataFrame:
-    """df with the rank from 1 of its integer key over all rows, without sorting them in one task.
+def _of_group(rows: DataFrame, other: DataFrame, by: tuple[str, ...], at: str) -> DataFrame:
+    """rows with the columns of other that have the same at and group, null groups included."""
+    named = other.select(F.col(at).alias("_at"), *(F.col(c).alias(f"_by_{c}") for c in by), *(c for c in other.columns if c not in (at, *by)))
+    same = F.col(at) == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return rows.join(named, same).drop("_at", *(f"_by_{c}" for c in by))
+
+
+def ranked(df: DataFrame, key: str, out: str, width: int = 1 << 16, by: tuple[str, ...] = ()) -> DataFrame:
+    """df with the rank from 1 of its integer key over all rows, or over those of its group by, without sorting them in one task.
 
     Keys are cut into ranges of a fixed width, and those into ranges of ranges. Rows are ranked within
     their range, after the rows in the ranges before, which are running sums over one small row a range and
     over one a range of ranges.
     """
     cut, group = F.floor(F.col(key) / width).cast("long"), F.floor(F.col("_cut") / width).cast("long")
-    sizes = df.groupBy(cut.alias("_cut")).agg(F.count("*").alias("_n")).withColumn("_group", group)
+    sizes = df.groupBy(*by, cut.alias("_cut")).agg(F.count("*").alias("_n")).withColumn("_group", group)
     earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_n")).select("_group", earlier(Window.orderBy("_group")).alias("_start"))
-    offsets = sizes.withColumn("_before", earlier(Window.partitionBy("_group").orderBy("_cut"))).join(groups, "_group").select("_cut", (F.col("_before") + F.col("_start")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_cut").orderBy(key))
-    return df.withColumn("_cut", cut).join(offsets, "_cut").withColumn(out, (F.col("_before") + inside).cast("long")).drop("_cut", "_before")
+    groups = sizes.groupBy(*by, "_group").agg(F.sum("_n").alias("_n")).select(*by, "_group", earlier(Window.partitionBy(*by).orderBy("_group")).alias("_start"))
+    offsets = sizes.withColumn("_before", earlier(Window.partitionBy(*by, "_group").orderBy("_cut")))
+    offsets = _of_group(offsets, groups, by, "_group").select(*by, "_cut", (F.col("_before") + F.col("_start")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_cut").orderBy(key))
+    return _of_group(df.withColumn("_cut", cut), offsets, by, "_cut").withColumn(out, (F.col("_before") + inside).cast("long")).drop("_cut", "_before")
 
 
 def row_chain_root(rows: DataFrame, by: list[str], sequence: str, data: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from tidemark.streaming import gateway, incremental
 OBJECT, ERRORS = 8, 7
 #: Batches in which objects arrive.
 TICKS = 10
+#: Entries of a chain that a worker holds as Python values at once.
+ROWS = 1024
 CONFIG = {
     "broker_server_fingerprint": "broker", "day_definition_id": "utc-day-v1", "gateway_build_identity": "gateway", "producer_build_identity": "producer", "protocol_limits": {"max_frame_bytes": 1048576, "max_records": 4096, "max_string_bytes": 255},
     "protocol_version": 1, "provider_id": "provider", "publisher_epoch": 1, "publisher_id": "publisher", "settle_policy": "settle", "stable_feed_id": "feed",
@@ -30,8 +34,7 @@ def configuration(symbol: str) -> dict:
 
 def records(spark, sf) -> DataFrame:
     """Each symbol's ticks in entries of E.BATCH records: symbol, sequence, ordinal, record and what the selection needs."""
-    place = F.row_number().over(Window.partitionBy("symbol").orderBy("capture_sequence")) - 1
-    rows = E.fingerprints(spark, sf).select("symbol", "time_msc", "time", "day", "capture_sequence", "record").withColumn("n", place)
+    rows = chains.ranked(E.fingerprints(spark, sf), "event_id", "n", by=("symbol",)).select("symbol", "time_msc", "time", "day", "capture_sequence", "record", (F.col("n") - 1).alias("n"))
     sequence = (F.floor(F.col("n") / E.BATCH) + 1).cast("long")
     rows = rows.select("*", sequence.alias("sequence"), (F.col("n") % E.BATCH).cast("long").alias("ordinal"), F.floor((sequence - 1) / OBJECT).cast("long").alias("object"))
     name = F.sha2(F.concat_ws("/", "symbol", F.col("object").cast("string")), 256)
@@ -39,21 +42,24 @@ def records(spark, sf) -> DataFrame:
     return rows.select("symbol", "sequence", "ordinal", "day", "time", "time_msc", "capture_sequence", "record", "object", name.alias("object_sha256"), N.raw_object_key(name).alias("object_key"), error.alias("error"))
 
 
-def entries(rows: DataFrame) -> DataFrame:
-    """symbol, sequence, previous_hash and entry_hash: each symbol's chain from the zero hash, with the format's digests of the records' bytes."""
-
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("sequence")
-        before, own, previous = [], [], D.ZERO
-        for sequence, wall, frame in zip(group["sequence"].to_pylist(), group["wall"].to_pylist(), group["frame"].to_pylist(), strict=True):
+def chained(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A symbol's entries with their digests, read in order as a stream, of any length."""
+    previous = D.ZERO
+    for batch in (some.slice(k, ROWS) for some in batches for k in range(0, some.num_rows, ROWS)):
+        before, own = [], []
+        for sequence, wall, frame in zip(*(batch.column(c).to_pylist() for c in ("sequence", "wall", "frame")), strict=True):
             before.append(previous.hex())
             previous = C.entry_hash(sequence, previous, wall, sequence, C.batch_hash(frame), frame)
             own.append(previous.hex())
-        return pa.table({"symbol": group["symbol"], "sequence": group["sequence"], "previous_hash": pa.array(before, pa.string()), "entry_hash": pa.array(own, pa.string())})
+        symbol = pa.array([key[0].as_py()] * len(own), pa.string())
+        yield pa.RecordBatch.from_arrays([symbol, batch.column("sequence"), pa.array(before, pa.string()), pa.array(own, pa.string())], names=["symbol", "sequence", "previous_hash", "entry_hash"])
 
+
+def entries(rows: DataFrame) -> DataFrame:
+    """symbol, sequence, previous_hash and entry_hash: each symbol's chain from the zero hash, with the format's digests of the records' bytes."""
     frames = rows.groupBy("symbol", "sequence").agg(F.array_sort(F.collect_list(F.struct("ordinal", "record"))).alias("r"), F.max("time").alias("wall"))
     frames = frames.select("symbol", "sequence", "wall", F.aggregate(F.transform("r", lambda x: x["record"]), N.raw(b""), lambda a, x: F.concat(a, x)).alias("frame"))
-    return frames.groupBy("symbol").applyInArrow(run, "symbol string, sequence long, previous_hash string, entry_hash string")
+    return frames.repartition("symbol").sortWithinPartitions("symbol", "sequence").groupBy("symbol").applyInArrow(chained, "symbol string, sequence long, previous_hash string, entry_hash string")
 
 
 def segments(found: DataFrame) -> DataFrame:
@@ -140,7 +146,7 @@ def segment_coverage(spark, sf):
 @query
 def verify_scope(spark, sf):
     """Each symbol's chain up to the roots of its entries with number 1, 5, 10, ...; every tenth entry of one symbol in two is lost, and of one root in ten nothing is known."""
-    chain = entries(records(spark, sf))
+    chain = E.stored(entries(records(spark, sf)), "entries")
     lossy = F.octet_length("symbol") % 2 == 0
     roots = chain.where("sequence = 1 OR sequence % 5 = 0").select("symbol", F.when(F.col("sequence") % 50 == 25, F.lit("e" * 64)).otherwise(F.col("entry_hash")).alias("root")).distinct()
     return archive.verify_scope(chain.where(~(lossy & (F.col("sequence") % 10 == 7))), roots, "symbol")
@@ -149,7 +155,7 @@ def verify_scope(spark, sf):
 @query
 def restore_entries(spark, sf):
     """The entries of each symbol from its second to its ninth."""
-    chain = entries(records(spark, sf))
+    chain = E.stored(entries(records(spark, sf)), "entries")
     slices = chain.where("sequence BETWEEN 2 AND 9").groupBy("symbol").agg(F.min("sequence").alias("first_sequence"), F.max("sequence").alias("last_sequence"), F.min_by("previous_hash", "sequence").alias("start_root"), F.max_by("entry_hash", "sequence").alias("end_root"))
     return archive.restored(chain, slices, "symbol").select("symbol", "sequence", "entry_hash")
 
