@@ -342,6 +342,42 @@ def test_entries_are_chained_as_a_stream():
     assert [tuple(r.values()) for b in (first, *out) for r in b.to_pylist()] == want
 
 
+def ticks_of(n, size):
+    rows = [{"symbol": "s", "day": "2024-01-01", "time": k // 1000, "time_msc": k, "bid": 7 * k, "volume": k, "capture_sequence": k + 1} for k in range(n)]
+    return [pa.RecordBatch.from_pylist(rows[k : k + size]) for k in range(0, n, size)]
+
+
+@pytest.mark.parametrize("n", [1, 16, 17, 48, 63, 64, 65, 80, 81, 111, 112, 113, 160, 161, 1000])
+def test_polls_do_not_depend_on_batches(n):
+    found = [[f for b in E.polled((pa.scalar("s"), pa.scalar("2024-01-01")), iter(ticks_of(n, size))) for f in b.to_pylist()] for size in (7, 64, 2000)]
+    assert found[0] == found[1] == found[2]
+    starts = list(range(0, max(1, n - E.POLL + E.STEP), E.STEP))
+    assert [f["arrival"] - 1 for f in found[0]] == starts and [f["sequence"] for f in found[0]] == list(range(1, len(starts) + 1))
+    for f, start in zip(found[0], starts, strict=True):
+        assert [r["time_msc"] for r in C.decode_message(f["frame"])[1]["records"]] == list(range(start, min(n, start + E.POLL))) and len(f["ordinals"]) == min(n - start, E.POLL)
+
+
+def test_frames_and_acknowledgements_are_streams():
+    taken = []
+
+    def watched(batches):
+        for k, b in enumerate(batches):
+            taken.append(k)
+            yield b
+
+    frames = E.polled((pa.scalar("s"), pa.scalar("2024-01-01")), watched(ticks_of(40_000, 10_000)))
+    assert next(frames).num_rows and taken == [0]  # what is done is given on before more is read
+    rest = list(frames)
+    taken.clear()
+    acks = gateway.folded("s", watched(rest), gateway.State(lease_s=10**9))
+    first = next(acks)
+    assert taken == [0] and first.num_rows == rest[0].num_rows
+    state = gateway.State(lease_s=10**9)
+    want = [state.accept(f["frame"], f["now"]) for b in rest for f in b.to_pylist()]
+    got = [r for b in (first, *acks) for r in b.to_pylist()]
+    assert [{k: v for k, v in r.items() if k not in ("scope", "arrival")} for r in got] == want
+
+
 def test_health(spark):
     rows = spark.createDataFrame([("a", ["healthy"]), ("b", ["degraded", "failed"])], "scope string, states array<string>")
     assert [tuple(r) for r in operations.scope_health(rows).collect()] == [("a", "healthy"), ("b", "failed")]

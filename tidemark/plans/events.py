@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -20,6 +21,8 @@ from tidemark.sources import wal
 BATCH, SEGMENT, ERRORS, ERROR = 64, 16, 97, 4401
 #: Polls of POLL records that move on by STEP.
 POLL, STEP = 64, 48
+#: Rows that a worker holds as Python values at once.
+ROWS = 1024
 IDENTITY = {"producer_instance_id": "producer", "provider_id": "provider", "stable_feed_id": "feed", "broker_server_fingerprint": "broker", "exact_source_symbol": "symbol"}
 SCOPE: dict[str, Any] = {"day_definition_id": "utc-day-v1", "replay_contract_id": "replay-v1", "conversion_id": "conversion-v1", "raw_day_manifest_key": "manifests/raw-day", "raw_day_manifest_sha256": bytes(range(32))}
 
@@ -72,40 +75,52 @@ FRAMES = "scope string, day string, sequence long, arrival long, now long, frame
 ARROW = pa.schema([("scope", pa.string()), ("day", pa.string()), ("sequence", pa.int64()), ("arrival", pa.int64()), ("now", pa.int64()), ("frame", pa.binary()), ("raw_object_key", pa.string()), ("raw_object_sha256", pa.binary()), ("ordinals", pa.list_(pa.int64()))])
 
 
+def polled(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frames of a symbol and day, whose ticks are read in order as a stream, of any length."""
+    symbol, day = (k.as_py() for k in key)
+    lease = C.lease_id(IDENTITY["producer_instance_id"], f"session-{symbol}", *(IDENTITY[k] for k in ("provider_id", "stable_feed_id", "broker_server_fingerprint", "exact_source_symbol")))
+    own = C.sha(f"{symbol}/{day}".encode())
+    k, number, open_ = 0, 0, []
+
+    def frame() -> dict[str, Any]:
+        nonlocal k, number, open_
+        number += 2 if k and k % 13 == 0 else 1
+        some = [{n: r["bid"] for n in ("bid_bits", "ask_bits", "last_bits", "volume_real_bits")} | {n: r[n] for n in ("time", "volume", "time_msc", "capture_sequence")} | {"flags": 3} for r in open_[:POLL]]
+        if k and k % 7 == 0 and len(some) > 4:
+            some[4] = some[4] | {"volume": some[4]["volume"] + 1}
+        message = {
+            "session_lease_id": lease, "producer_session_id": f"session-{symbol}", "batch_sequence": number, "requested_from_msc": some[0]["time_msc"], "requested_count": POLL, "fetch_wall_start_s": some[0]["time"],
+            "fetch_wall_end_s": some[-1]["time"], "fetch_monotonic_start_us": k, "fetch_monotonic_end_us": k + 1, "returned_count": len(some), "copy_ticks_error": ERROR if k and k % 11 == 0 else 0, "source_status_flags": 0,
+            "source_schema_id": D.SCHEMA_ID, "records": some,
+        }
+        k, open_ = k + 1, open_[STEP:]
+        return {"scope": symbol, "day": day, "sequence": k, "arrival": some[0]["capture_sequence"], "now": some[0]["time"], "frame": C.encode_message("BATCH", message), "raw_object_key": f"objects/raw/wal-{own.hex()}.rtw", "raw_object_sha256": own, "ordinals": list(range(len(some)))}
+
+    for batch in (some.slice(j, ROWS) for some in batches for j in range(0, some.num_rows, ROWS)):
+        out, open_ = [], open_ + batch.to_pylist()
+        while len(open_) >= POLL:
+            out.append(frame())
+        yield pa.RecordBatch.from_pylist(out, schema=ARROW)
+    if not k or len(open_) > POLL - STEP:  # the last poll is a short one, unless the one before it has all of it
+        yield pa.RecordBatch.from_pylist([frame()], schema=ARROW)
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch frames of each symbol and day: overlapping polls, every eleventh an error, every thirteenth number skipped, every seventh with one altered record."""
-
-    def run(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: r["capture_sequence"])
-        symbol, day = rows[0]["symbol"], rows[0]["day"]
-        lease = C.lease_id(IDENTITY["producer_instance_id"], f"session-{symbol}", *(IDENTITY[k] for k in ("provider_id", "stable_feed_id", "broker_server_fingerprint", "exact_source_symbol")))
-        out, number = [], 0
-        for k, start in enumerate(range(0, max(1, len(rows) - POLL + STEP), STEP)):
-            number += 2 if k and k % 13 == 0 else 1
-            some = [{n: r["bid"] for n in ("bid_bits", "ask_bits", "last_bits", "volume_real_bits")} | {n: r[n] for n in ("time", "volume", "time_msc", "capture_sequence")} | {"flags": 3} for r in rows[start : start + POLL]]
-            if k and k % 7 == 0 and len(some) > 4:
-                some[4] = some[4] | {"volume": some[4]["volume"] + 1}
-            message = {
-                "session_lease_id": lease, "producer_session_id": f"session-{symbol}", "batch_sequence": number, "requested_from_msc": some[0]["time_msc"], "requested_count": POLL, "fetch_wall_start_s": some[0]["time"],
-                "fetch_wall_end_s": some[-1]["time"], "fetch_monotonic_start_us": k, "fetch_monotonic_end_us": k + 1, "returned_count": len(some), "copy_ticks_error": ERROR if k and k % 11 == 0 else 0, "source_status_flags": 0,
-                "source_schema_id": D.SCHEMA_ID, "records": some,
-            }
-            frame = C.encode_message("BATCH", message)
-            key = C.sha(f"{symbol}/{day}".encode())
-            out.append({"scope": symbol, "day": day, "sequence": k + 1, "arrival": some[0]["capture_sequence"], "now": some[0]["time"], "frame": frame, "raw_object_key": f"objects/raw/wal-{key.hex()}.rtw", "raw_object_sha256": key, "ordinals": list(range(len(some)))})
-        return pa.Table.from_pylist(out, schema=ARROW)
-
-    return ticks(spark, sf_dir).select("symbol", "day", "time", "time_msc", "bid", "volume", "capture_sequence").groupBy("symbol", "day").applyInArrow(run, FRAMES)
+    rows = ticks(spark, sf_dir).select("symbol", "day", "time", "time_msc", "bid", "volume", "capture_sequence")
+    return rows.repartition("symbol", "day").sortWithinPartitions("symbol", "day", "capture_sequence").groupBy("symbol", "day").applyInArrow(polled, FRAMES)
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """path and content of one sealed segment a symbol and day."""
 
-    def run(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: r["sequence"])
-        writer = wal.Writer(rows[0]["scope"])
-        for r in rows:
-            writer.append(r["frame"], r["now"], r["sequence"])
-        return pa.table({"path": [f"{rows[0]['scope']}/{rows[0]['day']}.rtw"], "content": pa.array([writer.seal()], pa.binary())})
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scope, day = (k.as_py() for k in key)
+        writer = wal.Writer(scope)
+        for batch in (some.slice(j, ROWS) for some in batches for j in range(0, some.num_rows, ROWS)):
+            for frame, now, sequence in zip(*(batch.column(c).to_pylist() for c in ("frame", "now", "sequence")), strict=True):
+                writer.append(frame, now, sequence)
+        yield pa.RecordBatch.from_arrays([pa.array([f"{scope}/{day}.rtw"]), pa.array([writer.seal()], pa.binary())], names=["path", "content"])
 
-    return frames(spark, sf_dir).groupBy("scope", "day").applyInArrow(run, "path string, content binary")
+    rows = frames(spark, sf_dir).select("scope", "day", "sequence", "now", "frame")
+    return rows.repartition("scope", "day").sortWithinPartitions("scope", "day", "sequence").groupBy("scope", "day").applyInArrow(run, "path string, content binary")

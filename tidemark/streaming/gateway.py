@@ -22,6 +22,8 @@ from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 
 ACKS = "scope string, arrival long, session string, batch_sequence long, sequence long, status int, cursor long, next_count long, digest string, entry_hash string"
+#: Frames that a fold holds as Python values at once.
+ROWS = 256
 (ADVANCED, SAME, DUPLICATE, DENSE, UNRESOLVED, _, _, CONFLICT, LEASED) = range(1, 10)
 
 
@@ -124,9 +126,23 @@ def fold(frames: pd.DataFrame, state: State) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[x.split()[0] for x in ACKS.split(", ")])
 
 
+def folded(scope: str, batches: Iterator[pa.RecordBatch], state: State) -> Iterator[pa.RecordBatch]:
+    """Acknowledgements of a scope's frames, which are read in order of arrival as a stream; besides the state no more than ROWS of them are held."""
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
+    schema = pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ACKS.split(", "))])
+    for batch in (some.slice(k, ROWS) for some in batches for k in range(0, some.num_rows, ROWS)):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("arrival", "now", "frame")), strict=True)
+        yield pa.RecordBatch.from_pylist([{"scope": scope, "arrival": arrival} | state.accept(frame, now) for arrival, now, frame in rows], schema=schema)
+
+
 def acknowledge(frames: DataFrame, **start: int) -> DataFrame:
     """Acknowledgements of frames (scope, arrival, now, frame), each scope folded in order of arrival."""
-    return frames.groupBy("scope").applyInPandas(lambda group: fold(group, State(**start)), ACKS)
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from folded(key[0].as_py(), batches, State(**start))
+
+    rows = frames.select("scope", "arrival", "now", "frame").repartition("scope").sortWithinPartitions("scope", "arrival")
+    return rows.groupBy("scope").applyInArrow(run, ACKS)
 
 
 class Hashes(MutableMapping):
