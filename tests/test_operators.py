@@ -1,5 +1,7 @@
 """Operators on small tables: decisions, retention, health, reading, streaming."""
 
+import random
+import re
 from zlib import crc32
 
 import pyarrow as pa
@@ -378,6 +380,35 @@ def test_frames_and_acknowledgements_are_streams():
     assert [{k: v for k, v in r.items() if k not in ("scope", "arrival")} for r in got] == want
 
 
+def test_regressions_of_runs_are_those_of_lists(spark):
+    rng, lists = random.Random(5), [[], [0], [0, 1], [0, 1, 2, 5], [0, 1, 2, 5, 6], [0, 1, 2, 5, 6, 9], [0, 1, 2], [0, 1, 2, 4], [1, 2], [3, 1], [3, 1, 2], None, [0, 2]]
+    rows = [(s, k + 1 + (k > 7), 10 + k - 3 * (k % 11 == 5), 10 + k, rng.choice(lists)) for s in range(40) for k in range(15)]
+
+    def runs(numbers):
+        out = []
+        for x in numbers or []:
+            if out and out[-1][1] == x - 1:
+                out[-1] = (out[-1][0], x)
+            else:
+                out.append((x, x))
+        return None if numbers is None else out
+
+    names = "s long, revision long, source_watermark long, capture_watermark long"
+    listed = selection.watermark_regressions(spark.createDataFrame(rows, f"{names}, ranges array<long>"), "s")
+    packed = selection.watermark_regressions(spark.createDataFrame([(*r[:4], runs(r[4])) for r in rows], f"{names}, runs array<struct<first:long,last:long>>"), "s")
+    want = {}
+    for (s, n, at, _, now), (_, _, was, _, old) in zip(rows[1:], rows, strict=False):
+        want[s, n] = n > 1 and (at < was or bool(old) and now is not None and now[: len(old)] != old)
+    for got in (listed, packed):
+        assert {(r["s"], r["revision"]): r["regression"] for r in got.collect()} == want | {(0, 1): False}
+
+
+def test_regressions_do_not_sort_whole_lists(spark):
+    plan = catalogue.QUERIES["watermark_regressions"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0" not in plan  # no list a revision, whose sizes add up to the square of their number
+    assert "row_number() windowspecdefinition(symbol" in plan and not re.search(r"row_number\(\) windowspecdefinition\(symbol#\d+, \w+#\d+L? ASC", plan)  # nor one sort a symbol
+
+
 def test_health(spark):
     rows = spark.createDataFrame([("a", ["healthy"]), ("b", ["degraded", "failed"])], "scope string, states array<string>")
     assert [tuple(r) for r in operations.scope_health(rows).collect()] == [("a", "healthy"), ("b", "failed")]

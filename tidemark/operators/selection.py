@@ -115,12 +115,26 @@ def branches(revisions: DataFrame, *by: str) -> DataFrame:
 
 
 def watermark_regressions(revisions: DataFrame, *by: str) -> DataFrame:
-    """Revisions whose watermarks fall or whose ranges do not begin with those of the revision before."""
+    """Revisions whose watermarks fall or whose ranges do not begin with those of the revision before.
+
+    The lists of ranges are arrays (ranges), or (runs) arrays of the longest runs of ranges that are numbered one after the
+    other, each with its first and last number: a revision that names all before it is then one run, however long its list is.
+    """
+    held = "runs" if "runs" in revisions.columns else "ranges"
     order = Window.partitionBy(*by).orderBy("revision")
-    before = {c: F.lag(c).over(order) for c in ("source_watermark", "capture_watermark", "ranges")}
+    before = {c: F.lag(c).over(order) for c in ("source_watermark", "capture_watermark", held)}
     falls = (F.col("source_watermark") < before["source_watermark"]) | (F.col("capture_watermark") < before["capture_watermark"])
-    kept = F.coalesce(F.slice("ranges", F.lit(1), F.greatest(F.size(before["ranges"]), F.lit(1))) == before["ranges"], F.lit(True))
-    return revisions.withColumn("regression", F.coalesce(falls, F.lit(False)) | ~(kept | (F.size(before["ranges"]) == 0)))
+    begins = _runs_begin if held == "runs" else lambda now, old: F.slice(now, F.lit(1), F.greatest(F.size(old), F.lit(1))) == old
+    kept = F.coalesce(begins(F.col(held), before[held]), F.lit(True))
+    return revisions.withColumn("regression", F.coalesce(falls, F.lit(False)) | ~(kept | (F.size(before[held]) == 0)))
+
+
+def _runs_begin(now: Column, old: Column) -> Column:
+    """Whether a list of runs begins with an old one: the last old run may go on, those before it are the same."""
+    n = F.size(old)
+    last, same = F.get(old, n - 1), F.get(now, n - 1)
+    whole = F.greatest(n - 1, F.lit(0))
+    return (F.size(now) >= n) & (F.slice(now, F.lit(1), whole) == F.slice(old, F.lit(1), whole)) & (same["first"] == last["first"]) & (same["last"] >= last["last"])
 
 
 def changed(now: DataFrame, before: DataFrame, by: list[str], columns: list[str]) -> DataFrame:

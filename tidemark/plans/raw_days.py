@@ -248,11 +248,12 @@ def late_revisions(spark, sf):
 
 @query
 def watermark_regressions(spark, sf):
-    """Revisions of each symbol, one a hundred records, of which every third lost records: watermarks or ranges go back."""
-    rows = E.ticks(spark, sf).withColumn("n", F.row_number().over(Window.partitionBy("symbol").orderBy("capture_sequence")) - 1)
+    """Revisions of each symbol, one a hundred records, of which every third lost records: watermarks or ranges go back. A revision's ranges are numbered from 0, so they are one run."""
+    rows = chains.ranked(E.ticks(spark, sf), "event_id", "n", by=("symbol",)).withColumn("n", F.col("n") - 1)
     marks = rows.groupBy("symbol", F.floor(F.col("n") / 100).cast("long").alias("k")).agg(F.max("time_msc").alias("source_watermark"), F.max("capture_sequence").alias("capture_watermark"))
     lost = F.col("k") % 3 == 2
-    marks = marks.select("symbol", (F.col("k") + 1).alias("revision"), "source_watermark", F.when(lost, F.col("capture_watermark") - 100_000).otherwise(F.col("capture_watermark")).alias("capture_watermark"), F.sequence(F.lit(0).cast("long"), F.when(lost, F.greatest(F.col("k") - 2, F.lit(0))).otherwise(F.col("k"))).alias("ranges"))
+    upto = F.when(lost, F.greatest(F.col("k") - 2, F.lit(0))).otherwise(F.col("k"))
+    marks = marks.select("symbol", (F.col("k") + 1).alias("revision"), "source_watermark", F.when(lost, F.col("capture_watermark") - 100_000).otherwise(F.col("capture_watermark")).alias("capture_watermark"), F.array(F.struct(F.lit(0).cast("long").alias("first"), upto.alias("last"))).alias("runs"))
     return selection.watermark_regressions(marks, "symbol").select("symbol", "revision", "regression")
 
 
