@@ -12,7 +12,7 @@ from tidemark.functions import codec as C
 from tidemark.functions import domains as D
 from tidemark.functions import native as N
 from tidemark.operators import catalog, chains, operations, publication, retention, selection
-from tidemark.plans import catalogue, oracle, raw_days, raw_days_oracle  # noqa: F401
+from tidemark.plans import catalogue, ingest, oracle, raw_days, raw_days_oracle  # noqa: F401
 from tidemark.plans import events as E
 from tidemark.sources import wal
 from tidemark.streaming import gateway
@@ -409,6 +409,22 @@ def test_regressions_do_not_sort_whole_lists(spark):
     assert "row_number() windowspecdefinition(symbol" in plan and not re.search(r"row_number\(\) windowspecdefinition\(symbol#\d+, \w+#\d+L? ASC", plan)  # nor one sort a symbol
 
 
+@pytest.mark.parametrize("made", [ingest.logged, raw_days.records])
+def test_records_are_numbered_without_one_sort_a_symbol(spark, made):
+    plan = made(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(symbol" in plan and not re.search(r"row_number\(\) windowspecdefinition\(symbol#\d+, \w+#\d+L? ASC", plan)
+
+
+def test_segments_are_cut_across_batches(spark):
+    rows = spark.createDataFrame([(s, k, 60, k * 10) for s in ("s", "t") for k in range(50)], "scope string, sequence long, bytes long, wall_s long").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = sorted((r["scope"], r["sequence"], r["segment"]) for r in gateway.segment_groups(rows, 150).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(s, k, k // 3) for s in ("s", "t") for k in range(50)]
+
+
 def test_health(spark):
     rows = spark.createDataFrame([("a", ["healthy"]), ("b", ["degraded", "failed"])], "scope string, states array<string>")
     assert [tuple(r) for r in operations.scope_health(rows).collect()] == [("a", "healthy"), ("b", "failed")]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import recovery
+from tidemark.operators import chains, recovery
 from tidemark.plans import events as E
 from tidemark.plans.catalogue import query
 from tidemark.streaming import leases
@@ -29,8 +29,8 @@ def lease_outcomes(spark, sf):
 
 def logged(spark, sf) -> DataFrame:
     """The log's entries of each symbol, numbered from 1, with a hash of what they hold."""
-    place = F.row_number().over(Window.partitionBy("symbol").orderBy("capture_sequence")) - 1
-    rows = E.ticks(spark, sf).select(F.col("symbol").alias("scope"), "capture_sequence", (F.floor(place / E.BATCH) + 1).cast("long").alias("sequence"))
+    rows = chains.ranked(E.ticks(spark, sf), "event_id", "n", by=("symbol",))
+    rows = rows.select(F.col("symbol").alias("scope"), "capture_sequence", (F.floor((F.col("n") - 1) / E.BATCH) + 1).cast("long").alias("sequence"))
     rows = rows.groupBy("scope", "sequence").agg(F.count("*").alias("n"), F.max("capture_sequence").alias("last"))
     return rows.select("scope", "sequence", F.sha2(F.concat_ws("/", "scope", F.col("sequence").cast("string"), F.col("n").cast("string"), F.col("last").cast("string")), 256).alias("entry_hash"))
 

@@ -231,20 +231,21 @@ def segment_groups(entries: DataFrame, max_bytes: int, max_age_s: int | None = N
     """entries (scope, sequence, bytes, wall_s) with the number of the segment in which they are sealed.
 
     A segment closes after the first entry with which it has max_bytes, or before one that comes max_age_s or later after its first
-    one; the last stays open until it is sealed by force. Each cut depends on the one before it, so a scope is one group.
+    one; the last stays open until it is sealed by force. Each cut depends on the one before it, so a scope is one group, which is read in order as a stream.
     """
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("sequence")
-        out, number, total, opened = [], 0, 0, None
-        for size, wall in zip(group["bytes"].to_pylist(), group["wall_s"].to_pylist(), strict=True):
-            if opened is not None and (total >= max_bytes or max_age_s is not None and wall - opened >= max_age_s):
-                number, total, opened = number + 1, 0, None
-            opened = wall if opened is None else opened
-            total += size
-            out.append(number)
-        return group.append_column("segment", pa.array(out, pa.int64()))
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, total, opened = 0, 0, None
+        for batch in batches:
+            out = []
+            for size, wall in zip(batch.column("bytes").to_pylist(), batch.column("wall_s").to_pylist(), strict=True):
+                if opened is not None and (total >= max_bytes or max_age_s is not None and wall - opened >= max_age_s):
+                    number, total, opened = number + 1, 0, None
+                opened = wall if opened is None else opened
+                total += size
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "segment"])
 
     rows = entries if "wall_s" in entries.columns else entries.withColumn("wall_s", F.lit(0).cast("long"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.groupBy("scope").applyInArrow(run, f"{schema}, segment long").select(*entries.columns, "segment")
+    return rows.repartition("scope").sortWithinPartitions("scope", "sequence").groupBy("scope").applyInArrow(run, f"{schema}, segment long").select(*entries.columns, "segment")
