@@ -117,6 +117,29 @@ def test_few_candidates_among_long_lines(spark, monkeypatch):
     assert sum(pairs) < 150
 
 
+def test_smaller_sets_meet_larger_ones_by_a_ninth_of_their_words(spark, monkeypatch):
+    """Half of the places of words meet the others; settled sets and lists that are not broadcast change nothing."""
+    rng = random.Random(4)
+    rows, pool = [], [f"p{k}" for k in range(900)]
+    for d in range(60):
+        own = rng.sample(pool, rng.randrange(5, 60))
+        more = [f"new{d}x{k}" for k in range(rng.randrange(1 + len(own) // 5))]
+        pair = [own[rng.randrange(1 + len(own) // 9) :], own + more]
+        rows += [(2 * d + k, " ".join(rng.sample(x, len(x)))) for k, x in enumerate(pair if d % 2 else pair[::-1])]
+    rows += [(1000 + d, " ".join([*(f"same{k}" for k in range(30)), f"other{d}"])) for d in range(20)]
+    want, joined, pairs = lines_by_hand(rows), [], line_dedup.open_pairs
+    assert 30 < sum(x == "" for x in want.values()) < len(rows) - 40
+    monkeypatch.setattr(line_dedup, "open_pairs", lambda sets, share: joined.append(share) or pairs(sets, share))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for few, large in ((300_000, 50), (0, 3)):
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", few)
+        monkeypatch.setattr(line_dedup, "LARGE", large)
+        assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(table).collect()} == want
+    assert joined == list(range(line_dedup.SHARES)) * 2
+    ninth = [r["places"] for r in line_dedup.numbered(table).where("prefix IS NOT NULL").selectExpr("size(slice(prefix, 1, size div 9 + 1)) = size div 9 + 1 AS places").collect()]
+    assert all(ninth)
+
+
 def test_one_changed_word_of_a_short_line(spark):
     rows = [(1, "one two three four five six seven eight nine"), (2, "one two three four five six seven eight other"), (3, "one two other four five six different eight nine"), (4, "a b c"), (5, "a b d"), (6, "b a c b")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -40,7 +40,7 @@ SHARES = 2
 LEADS = 2
 #: Sets that met the same earliest set, from which all sets that are left meet it by every word of their prefix.
 LARGE = 50
-#: Documents up to which the list of those with lines that are wanted is broadcast (about 60 bytes each); beyond, it is joined by shuffling.
+#: Rows up to which a list of documents (about 60 bytes each) or of sets is broadcast; beyond, it is joined by shuffling.
 BROADCAST_ROWS = 300_000
 
 
@@ -111,6 +111,11 @@ def numbered(docs: DataFrame) -> DataFrame:
     return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets", "snappy")
 
 
+def short(rows: DataFrame) -> DataFrame:
+    """rows that were written, to be broadcast if they are few."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def sizes(x: str, y: str) -> tuple[Column, Column]:
     return F.shiftright(x + "code", 31), F.shiftright(y + "code", 31)
 
@@ -129,12 +134,16 @@ def alike(x: str, y: str) -> Column:
     return length & (differ * (NEAR + OF) <= (sx + sy) * (OF - NEAR))
 
 
+def follows(x: str, y: str) -> Column:
+    """The positional filter for two places of one word, whose columns begin with x and y: that word and what may come after it are enough."""
+    (sx, sy), (ix, iy) = sizes(x, y), (F.col(c + "code").bitwiseAND(F.lit(2**31 - 1)) for c in (x, y))
+    return F.least(sx - ix, sy - iy) * (NEAR + OF) >= (sx + sy) * NEAR
+
+
 def passes(x: str, y: str) -> Column:
-    """The positional filter for two places of one word, whose columns begin with x and y; of two sets the smaller one shares a word in the first ninth of its order."""
+    """The positional filter, for words in prefixes; of two sets the smaller one shares a word in the first ninth of its order."""
     (sx, sy), (ix, iy) = sizes(x, y), (F.col(c + "code").bitwiseAND(F.lit(2**31 - 1)) for c in (x, y))
-    follows = F.least(sx - ix, sy - iy)  # the shared word and what may come after it
-    early = F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR))
-    return early & (follows * (NEAR + OF) >= (sx + sy) * NEAR)
+    return F.when(sy <= sx, iy * (NEAR + OF) <= sy * (OF - NEAR)).otherwise(ix * (NEAR + OF) <= sx * (OF - NEAR)) & follows(x, y)
 
 
 def code(at: Column) -> Column:
@@ -142,9 +151,9 @@ def code(at: Column) -> Column:
     return F.shiftleft(F.col("size").cast("long"), 31).bitwiseOR(at.cast("long")).alias("code")
 
 
-def posts(sets: DataFrame, start: str, share: int | None = None) -> DataFrame:
-    """token, set, code and map of the prefix words, of a share or all; all columns but the token begin with start."""
-    each = sets.where("prefix IS NOT NULL").select("set", "size", *MAPS, F.posexplode("prefix").alias("at", "token"))
+def posts(sets: DataFrame, start: str, share: int | None = None, part: Column | None = None) -> DataFrame:
+    """token, set, code and map of the prefix words, of a share or all, or of a part of each prefix; all columns but the token begin with start."""
+    each = sets.where("prefix IS NOT NULL").select("set", "size", *MAPS, F.posexplode("prefix" if part is None else part).alias("at", "token"))
     if share is not None:
         each = each.where(F.pmod(F.shiftright("token", 7), F.lit(SHARES)) == share)
     return each.select("token", F.col("set").alias(start + "set"), code(F.col("at")).alias(start + "code"), *(F.col(m).alias(start + m) for m in MAPS))
@@ -159,8 +168,7 @@ def earliest(sets: DataFrame) -> DataFrame:
     two = [F.xxhash64(F.get("prefix", n - k), F.get("prefix", n - k - 1)) for k in range(1, LEADS + 1)]  # the only word of a prefix stands alone
     leads = F.array(*(F.when((n > k) | F.lit(k == 1), key) for k, key in enumerate(two, 1)))
     each = sets.where("prefix IS NOT NULL").select("set", code(F.lit(0)), *MAPS, F.explode(leads).alias("lead")).where("lead IS NOT NULL")
-    first = each.groupBy("lead").agg(F.min(F.struct("set", "code", *MAPS)).alias("first"), F.count("*").alias("many")).where("many > 1")
-    first = first.select("lead", *(F.col(f"first.{c}").alias("first_" + c) for c in ("set", "code", *MAPS)))
+    first = each.groupBy("lead").agg(F.min("set").alias("first_set"), *(F.min_by(c, "set").alias("first_" + c) for c in ("code", *MAPS)), F.count("*").alias("many")).where("many > 1")  # numbers, which need no sort, as a struct does
     both = each.join(first, "lead").where((F.col("first_set") < F.col("set")) & alike("", "first_"))
     return both.select(F.col("set").alias("a"), F.col("first_set").alias("b")).distinct()
 
@@ -171,16 +179,30 @@ def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
     return both.select(F.col("x_set").alias("a"), F.col("y_set").alias("b")).distinct()
 
 
+def open_pairs(sets: DataFrame, share: int) -> DataFrame:
+    """a, b: sets that are open and all earlier sets that are candidates by a shared word of a share.
+
+    A word of the first ninth of the smaller set's order meets the larger sets' prefixes; the number of a set that is not open is made negative.
+    """
+    ninth = F.slice("prefix", F.lit(1), F.expr(f"size * {OF - NEAR} div {NEAR + OF} + 1").cast("int"))
+    x, y = posts(sets, "x_", share, ninth), posts(sets, "y_", share)
+    (sx, sy), nx, ny = sizes("x_", "y_"), F.col("x_set"), F.col("y_set")
+    place = [n.bitwiseXOR(F.shiftright(n, 63)) for n in (nx, ny)]  # -1 - n of a negative number
+    apart = (sx < sy) | ((sx == sy) & (place[0] < place[1]))  # of two sets of one size either one's ninth will do
+    open_later = F.when(place[0] < place[1], ny >= 0).otherwise(nx >= 0)
+    both = x.join(y, "token").where(apart & follows("x_", "y_") & alike("x_", "y_") & open_later)
+    return both.select(F.greatest(*place).alias("a"), F.least(*place).alias("b")).distinct()
+
+
 def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """set: the later sets (a) of pairs whose words have a Jaccard similarity of 0.8 or more. Only the lines of candidates are read again, by their places."""
     pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    need = sets.select("set", "doc_id", "th", "n").join(wanted, "set", "left_semi")
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "ids")
+    need = sets.select("set", "doc_id", "th", "n").join(short(wanted), "set", "left_semi")
     need = written(need.groupBy("doc_id", "th").agg(F.collect_list(F.struct("n", "set")).alias("ns")), "wanted")
     own = docs.where(F.col("text").isNotNull()).select("doc_id", "text").withColumn("th", F.xxhash64("text"))
     right = need.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "ns")
-    few = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    some = own.join(F.broadcast(right) if few else right, own["doc_id"].eqNullSafe(right["d"]) & (own["th"] == right["h"]))
+    some = own.join(short(right), own["doc_id"].eqNullSafe(right["d"]) & (own["th"] == right["h"]))
     some = some.withColumn("parts", F.array(F.split(F.lower(spaced(F.col("text"))), "\n")))  # in an array, so that a text is split once
     some = some.select(F.explode(F.expr("transform(parts, p -> transform(ns, x -> struct(x.set AS set, get(p, x.n) AS line)))[0]")).alias("x"))
     full = some.select("x.set", "x.line").dropDuplicates(["set"])  # rows may repeat an id and a text; lines travel as they are, which takes a quarter of the room of their words
@@ -190,7 +212,7 @@ def similar(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     near = F.transform(sides, lambda p: F.size(F.array_intersect(p["la"], p["lb"])) * (NEAR + OF) >= (F.size(p["la"]) + F.size(p["lb"])) * NEAR)
     both = both.where(F.get(near, F.lit(0)))
     done = written(both.select(F.col("a").alias("set")).distinct(), "settled")
-    for old in (pairs, need):
+    for old in (pairs, wanted, need):
         discard(old)
     return done
 
@@ -206,17 +228,22 @@ def kept(docs: DataFrame) -> DataFrame:
     sets = numbered(docs)
     met = written(earliest(sets), "met")
     done = [similar(docs, sets, met)]
-    later = sets.join(done[0], "set", "left_anti")
-    heads = sets.join(met.groupBy(F.col("b").alias("set")).count().where(F.col("count") >= LARGE), "set", "left_semi")
-    heads = written(posts(heads, "y_"), "heads")
-    if (some := heads.limit(BROADCAST_ROWS + 1).count()) > 0:
-        done.append(similar(docs, sets, candidates(posts(later, "x_"), F.broadcast(heads) if some <= BROADCAST_ROWS else heads)))
-        later = later.join(done[1], "set", "left_anti")
-    found = [written(candidates(posts(later, "x_", share), posts(sets, "y_", share)), "found") for share in range(SHARES)]  # one table after the other
+    leaders = written(met.groupBy(F.col("b").alias("set")).count().where(F.col("count") >= LARGE).select("set"), "leaders")
+    heads = written(posts(sets.join(short(leaders), "set", "left_semi"), "y_"), "heads")
+    if not heads.isEmpty():
+        later = sets.join(short(done[0]), "set", "left_anti")
+        done.append(similar(docs, sets, candidates(posts(later, "x_"), short(heads))))
+    gone = written(functools.reduce(DataFrame.union, done), "gone")
+    closed = sets.join(short(gone.withColumn("gone", F.lit(True))), "set", "left")
+    rest = closed.select(F.when(F.col("gone"), -1 - F.col("set")).otherwise(F.col("set")).alias("set"), "size", "prefix", *MAPS)
+    if gone.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        rest = written(rest, "rest", "snappy")  # joined once, not for each share and side
+    found = [written(open_pairs(rest, share), "found") for share in range(SHARES)]  # one table after the other
     done.append(similar(docs, sets, functools.reduce(DataFrame.unionByName, found).distinct()))
-    stay = sets.select("set", "doc_id", "th", "n").join(functools.reduce(DataFrame.union, done), "set", "left_anti")
+    every = written(functools.reduce(DataFrame.union, done), "every")
+    stay = sets.select("set", "doc_id", "th", "n").join(short(every), "set", "left_anti")
     out = written(stay.groupBy("doc_id", "th").agg(F.collect_list("n").alias("ns")), "kept")
-    for old in (sets, met, heads, *found, *done):
+    for old in (sets, met, leaders, heads, gone, *found, every, *done):
         discard(old)
     return out
 
@@ -224,9 +251,7 @@ def kept(docs: DataFrame) -> DataFrame:
 def _judged(docs: DataFrame, n_lines: str, n_removed: str) -> DataFrame:
     """docs with what is left of text, and two columns more."""
     d, h, own, ns, every, left = (unused(docs, x) for x in ("place_id", "place_hash", "own_hash", "stay", "every_line", "left_lines"))
-    per_doc = kept(docs.select("doc_id", "text")).toDF(d, h, ns)
-    if per_doc.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        per_doc = F.broadcast(per_doc)
+    per_doc = short(kept(docs.select("doc_id", "text")).toDF(d, h, ns))
     joined = docs.withColumn(own, F.xxhash64("text")).join(per_doc, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(h)), "left")
     parts, some = F.col(every), F.coalesce(F.col(ns), F.array().cast("array<int>"))
     joined = joined.withColumn(every, F.split("text", "\n")).withColumn(left, F.when(F.size(some) == F.size(parts), parts).otherwise(F.filter(parts, lambda x, n: F.array_contains(some, n) | blank(x))))
