@@ -140,6 +140,18 @@ def test_smaller_sets_meet_larger_ones_by_a_ninth_of_their_words(spark, monkeypa
     assert all(ninth)
 
 
+def test_sets_are_numbered_by_texts_and_lines(spark, monkeypatch):
+    """Texts are sorted, not sets: a set's number ends with the number of its line and grows with its place, however the text numbers are joined."""
+    rows = [(d, "\n".join(f"line l{k} of text number {d} {x}" for k in range(5))) for d in [None, *range(-3, 40)] for x in ("a", "b")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for few in (300_000, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", few)
+        got = sorted((r["set"], (r["doc_id"] is not None, r["doc_id"] or 0, r["th"], r["n"])) for r in line_dedup.numbered(table).collect())
+        assert len({x for x, _ in got}) == len(got) == 5 * len(rows) and all(x % 2**31 == place[-1] for x, place in got)
+        assert [place for _, place in got] == sorted(place for _, place in got)
+        assert {x >> 31 for x, _ in got} == set(range(len(rows)))
+
+
 def test_one_changed_word_of_a_short_line(spark):
     rows = [(1, "one two three four five six seven eight nine"), (2, "one two three four five six seven eight other"), (3, "one two other four five six different eight nine"), (4, "a b c"), (5, "a b d"), (6, "b a c b")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

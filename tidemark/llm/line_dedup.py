@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, unused, written
@@ -103,12 +103,27 @@ def ordered(rows: DataFrame, ranks: DataFrame) -> DataFrame:
     return rows.select("doc_id", "th", "n", F.size("t").alias("size"), F.when(F.size("t") >= LEAST, prefix).alias("prefix"), *maps(), F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
 
 
+def in_order(docs: DataFrame) -> DataFrame:
+    """doc_id, th and id, a number that grows with both, of every text."""
+    own = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th")).distinct()
+    return own.orderBy("doc_id", "th").withColumn("id", F.monotonically_increasing_id())
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size, prefix and its map."""
+    """The distinct sets: set (a number that grows with the place where the set stands first), doc_id, th and n of that place, size, prefix and its map.
+
+    Texts are sorted and numbered, not sets, which are many and wide; the text's number and that of the line make the set's.
+    """
     place = F.struct("doc_id", "th", "n")
     sets = ordered(lines(docs), rarity(docs)).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), *(F.first(m).alias(m) for m in MAPS))
-    sets = sets.select("first.*", "size", "prefix", *MAPS).orderBy("doc_id", "th", "n")
-    return written(sets.withColumn("set", F.monotonically_increasing_id()), "sets", "snappy")
+    order, part = written(in_order(docs), "order"), F.shiftright("id", 33)
+    counts = order.groupBy(part.alias("part")).agg(F.count("*").alias("many"))
+    before = counts.select("part", (F.sum("many").over(Window.orderBy("part")) - F.col("many")).alias("before"))  # a row for each task that wrote the order
+    sets = sets.select("first.*", "size", "prefix", *MAPS).join(short(order).withColumnsRenamed({"doc_id": "d", "th": "h"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
+    number = F.shiftleft(F.col("before") + F.col("id").bitwiseAND(F.lit(2**33 - 1)), 31).bitwiseOR(F.col("n").cast("long"))
+    sets = written(sets.join(F.broadcast(before), part == F.col("part")).select("doc_id", "th", "n", "size", "prefix", *MAPS, number.alias("set")), "sets", "snappy")
+    discard(order)
+    return sets
 
 
 def short(rows: DataFrame) -> DataFrame:
@@ -162,15 +177,18 @@ def posts(sets: DataFrame, start: str, share: int | None = None, part: Column |
 def earliest(sets: DataFrame) -> DataFrame:
     """a, b: sets and the earliest sets (b) that share two neighbouring words at the end of the prefix with them, if they are candidates.
 
-    The earliest is found by an aggregate that combines before the shuffle, and joined back by a join that can split a frequent pair of words.
+    The earliest is found by an aggregate that combines before the shuffle, and joined back by a broadcast or by a join that can split a frequent pair of words.
     """
     n = F.size("prefix")
     two = [F.xxhash64(F.get("prefix", n - k), F.get("prefix", n - k - 1)) for k in range(1, LEADS + 1)]  # the only word of a prefix stands alone
     leads = F.array(*(F.when((n > k) | F.lit(k == 1), key) for k, key in enumerate(two, 1)))
     each = sets.where("prefix IS NOT NULL").select("set", code(F.lit(0)), *MAPS, F.explode(leads).alias("lead")).where("lead IS NOT NULL")
     first = each.groupBy("lead").agg(F.min("set").alias("first_set"), *(F.min_by(c, "set").alias("first_" + c) for c in ("code", *MAPS)), F.count("*").alias("many")).where("many > 1")  # numbers, which need no sort, as a struct does
-    both = each.join(first, "lead").where((F.col("first_set") < F.col("set")) & alike("", "first_"))
-    return both.select(F.col("set").alias("a"), F.col("first_set").alias("b")).distinct()
+    first = written(first.drop("many"), "first", "snappy")
+    both = each.join(short(first), "lead").where((F.col("first_set") < F.col("set")) & alike("", "first_"))
+    done = written(both.select(F.col("set").alias("a"), F.col("first_set").alias("b")).distinct(), "met")
+    discard(first)
+    return done
 
 
 def candidates(x: DataFrame, y: DataFrame) -> DataFrame:
@@ -226,7 +244,7 @@ def kept(docs: DataFrame) -> DataFrame:
     a group of similar lines does not become all its pairs.
     """
     sets = numbered(docs)
-    met = written(earliest(sets), "met")
+    met = earliest(sets)
     done = [similar(docs, sets, met)]
     leaders = written(met.groupBy(F.col("b").alias("set")).count().where(F.col("count") >= LARGE).select("set"), "leaders")
     heads = written(posts(sets.join(short(leaders), "set", "left_semi"), "y_"), "heads")
